@@ -6,17 +6,18 @@ m(u,v) / outdeg(u))`` over in-edges, parallel edges counted with their
 multiplicity ``m``; after the last round ranks are scaled to sum to |V|
 (``normalize=True``). Edges whose ends are not vertices are dropped.
 
-Plan per round: the weighted edges are hash-partitioned by ``src`` and
-checkpointed once; ranks are kept hash-partitioned by ``id`` with the same
-partition count, so ``edges ⋈ ranks`` needs no exchange, the contribution
-sum is one partial-aggregated shuffle on ``dst``, and the left join back to
-the vertex ids reuses that partitioning. Ranks are checkpointed to the
-shared folder every ``checkpoint_interval`` rounds, so lineage stays short
-and a lost executor costs at most that many rounds of recomputation.
+Plan per round: parallel edges are collapsed into weights once and the
+weighted edges persisted, hash-partitioned and sorted by ``src``; a round
+is one join of them with the previous round's per-vertex sums (|V| rows,
+the only side that is shuffled, or broadcast when AQE measures it small)
+and one partial-aggregated shuffle on ``dst``. The sums are checkpointed to
+the shared folder every ``checkpoint_interval`` rounds, so lineage stays
+short and a lost executor costs at most that many rounds.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,23 +47,44 @@ def weighted_edges(vertices: DataFrame, edges: DataFrame, direction: str = "out"
 def pagerank(vertices: DataFrame, edges: DataFrame, max_iter: int = DEFAULT_ITERATIONS,
              reset_prob: float = DEFAULT_RESET, normalize: bool = True, direction: str = "out",
              checkpoint_interval: int = 1, partitions: int | None = None) -> DataFrame:
-    """(id, pagerank) for every vertex id (one row per distinct id)."""
+    """(id, pagerank) for every vertex id (one row per distinct id).
+
+    Only the per-vertex message sums ``s`` (|V| rows) move between rounds:
+    round i joins the persisted edges with round i-1's sums on ``src`` (the
+    source's rank is ``reset + d * s``, or 1.0 in round 1) and sums
+    ``weight * rank`` per ``dst``. The edges are persisted once,
+    hash-partitioned and sorted by ``src``, so no round re-shuffles or
+    re-sorts them; a vertex with no in-edges simply has no ``s`` row.
+    """
     spark = vertices.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ids = cut_lineage(vertices.select("id").distinct().repartition(n, "id"))
-    w = cut_lineage(weighted_edges(ids, edges, direction).repartition(n, "src"))
-    ranks = ids.select("id", F.lit(1.0).alias("rank"))
+    ids = vertices.select("id").distinct()
+    w = (weighted_edges(ids, edges, direction)
+         .repartition(n, "src").sortWithinPartitions("src")
+         .persist(StorageLevel.MEMORY_AND_DISK))
     damping = 1.0 - reset_prob
+
+    def rank_of(s):
+        return F.lit(reset_prob) + F.lit(damping) * F.coalesce(s, F.lit(0.0))
+
+    sums = None
     for i in range(max_iter):
-        contrib = (
-            w.join(ranks.withColumnRenamed("id", "src"), "src")
-            .groupBy(F.col("dst").alias("id"))
-            .agg(F.sum(F.col("weight") * F.col("rank")).alias("s"))
-        )
-        ranks = ids.join(contrib, "id", "left").select(
-            "id", (F.lit(reset_prob) + F.lit(damping) * F.coalesce(F.col("s"), F.lit(0.0))).alias("rank"))
-        if checkpoint_interval and (i + 1) % checkpoint_interval == 0:
-            ranks = cut_lineage(ranks)
+        if sums is None:
+            src_rank = w.select("dst", "weight", F.lit(1.0).alias("rank"))
+        else:
+            src_rank = w.join(sums.withColumnRenamed("id", "src"), "src", "left").select(
+                "dst", "weight", rank_of(F.col("s")).alias("rank"))
+        sums = src_rank.groupBy(F.col("dst").alias("id")).agg(
+            F.sum(F.col("weight") * F.col("rank")).alias("s"))
+        last = i == max_iter - 1
+        if last or (checkpoint_interval and (i + 1) % checkpoint_interval == 0):
+            sums = cut_lineage(sums)
+    if sums is None:
+        ranks = ids.select("id", F.lit(1.0).alias("rank"))
+    else:
+        ranks = ids.join(sums, "id", "left").select("id", rank_of(F.col("s")).alias("rank"))
+    ranks = cut_lineage(ranks)
+    w.unpersist()
     if normalize:
         factor = ranks.select((F.count(F.lit(1)) / F.sum("rank")).alias("f")).scalar()
         ranks = ranks.select("id", (F.col("rank") * factor).alias("rank"))
