@@ -100,7 +100,7 @@ def vehicle_metrics(df: DataFrame, key_columns: Sequence[str] = VEHICLE_KEY_COLU
 
     def row(metric: str, key: Column, value: Column, text: Column) -> Column:
         return F.struct(F.lit(metric).alias("metric"), key.cast("string").alias("group_key"),
-                        value.cast("double").alias("value"), text.alias("text_value"))
+                        value.cast("double").alias("value"), text.cast("string").alias("text_value"))
 
     pct = [
         row("null_pct", F.lit(c),
@@ -158,7 +158,7 @@ def graph_metrics(vertices: DataFrame, edges: DataFrame, vertex_type: str = "ver
 
     def row(metric: str, key: Column, value: Column, text: Column) -> Column:
         return F.struct(F.lit(metric).alias("metric"), key.cast("string").alias("group_key"),
-                        value.cast("double").alias("value"), text.alias("text_value"))
+                        value.cast("double").alias("value"), text.cast("string").alias("text_value"))
 
     # grouping_id bits, in the order (_cust, _loc, _prod, _cat): 1 = aggregated away
     gid_loc, gid_cat, gid_all = 0b0011, 0b1100, 0b1111
