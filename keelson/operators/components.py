@@ -15,18 +15,23 @@ component; an isolated vertex is its own component.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from keelson.operators.graph import drop_dangling
 from keelson.session import cut_lineage
 
 DEFAULT_MAX_ROUNDS = 100
 
 
+def _oriented(e: DataFrame, a: str, b: str) -> DataFrame:
+    """(lo, hi) with lo < hi; self-loops dropped; duplicates kept."""
+    return e.filter(F.col(a) != F.col(b)).select(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi"))
+
+
 def _canonical(e: DataFrame, a: str, b: str) -> DataFrame:
-    return (e.filter(F.col(a) != F.col(b))
-            .select(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi"))
-            .distinct())
+    return _oriented(e, a, b).distinct()
 
 
 def _large_star(e: DataFrame) -> DataFrame:
@@ -35,7 +40,8 @@ def _large_star(e: DataFrame) -> DataFrame:
         e.select(F.col("hi").alias("u"), F.col("lo").alias("v")))
     m = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
     out = e.join(m, e.lo == m.u).select(F.col("m").alias("a"), F.col("hi").alias("b"))
-    return _canonical(out, "a", "b")
+    # no distinct here: the small-star step that follows de-duplicates
+    return _oriented(out, "a", "b")
 
 
 def _small_star(e: DataFrame) -> DataFrame:
@@ -59,18 +65,23 @@ def _is_star_forest(e: DataFrame) -> bool:
 
 def connected_components(vertices: DataFrame, edges: DataFrame,
                          max_rounds: int = DEFAULT_MAX_ROUNDS) -> DataFrame:
-    ids = vertices.select("id").distinct()
-    e = edges.select("src", "dst")
-    e = e.join(ids.withColumnRenamed("id", "src"), "src", "left_semi")
-    e = e.join(ids.withColumnRenamed("id", "dst"), "dst", "left_semi")
-    e = cut_lineage(_canonical(e, "src", "dst"))
+    ids = vertices.select("id").distinct().persist(StorageLevel.MEMORY_AND_DISK)
+    raw = edges.select("src", "dst").persist(StorageLevel.MEMORY_AND_DISK)
+    # duplicates and orientation are sorted out by the first round itself
+    e = _oriented(drop_dangling(raw, ids), "src", "dst")
     rounds = 0
-    while not _is_star_forest(e):
-        if rounds >= max_rounds:
-            raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
+    while True:
         e = cut_lineage(_small_star(_large_star(e)))
+        if rounds == 0:
+            raw.unpersist()
         rounds += 1
+        if _is_star_forest(e):
+            break
+        if rounds >= max_rounds:
+            raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
     labels = e.select(F.col("hi").alias("id"), F.col("lo").alias("component")).unionByName(
         e.select(F.col("lo").alias("id"), F.col("lo").alias("component"))).distinct()
-    return ids.join(labels, "id", "left").select(
-        "id", F.coalesce(F.col("component"), F.col("id")).alias("component"))
+    out = cut_lineage(ids.join(labels, "id", "left").select(
+        "id", F.coalesce(F.col("component"), F.col("id")).alias("component")))
+    ids.unpersist()
+    return out

@@ -60,6 +60,12 @@ class PurchaseGraph:
     vertices: DataFrame
     edges: DataFrame
 
+    def materialized(self) -> "PurchaseGraph":
+        """Both frames checkpointed to the shared folder, so several analyses
+        read them instead of re-running the build and merge plans."""
+        from keelson.session import cut_lineage
+        return PurchaseGraph(cut_lineage(self.vertices), cut_lineage(self.edges))
+
 
 def merged_graph(inputs: dict[str, DataFrame], namespaced: bool = True) -> PurchaseGraph:
     """Existing graph merged insert-only with the new batch.
@@ -73,10 +79,22 @@ def merged_graph(inputs: dict[str, DataFrame], namespaced: bool = True) -> Purch
     return PurchaseGraph(merge_vertices(vertices, new_vertices), merge_edges(edges, new_edges))
 
 
+def drop_dangling(edges: DataFrame, ids: DataFrame) -> DataFrame:
+    """Keep edges whose ``src`` and ``dst`` are both in ``ids`` (column ``id``),
+    as a graph made of these two frames would.
+
+    First a cheap test: distinct endpoints (partial-aggregated to at most
+    |V|-ish rows) anti-joined with the ids. Only if some endpoint is missing
+    are the edges semi-joined on both ends (two edge-sized shuffles).
+    """
+    endpoints = edges.select(F.col("src").alias("id")).unionByName(edges.select(F.col("dst").alias("id")))
+    missing = endpoints.distinct().join(ids.select("id"), "id", "left_anti")
+    if missing.isEmpty():
+        return edges.filter(F.col("src").isNotNull() & F.col("dst").isNotNull())
+    e = edges.join(ids.select(F.col("id").alias("src")), "src", "left_semi")
+    return e.join(ids.select(F.col("id").alias("dst")), "dst", "left_semi")
+
+
 def graph_edges(vertices: DataFrame, edges: DataFrame) -> DataFrame:
-    """(src, dst) of edges whose both ends are vertices: dangling edges are
-    dropped, as a graph made of these two frames would drop them."""
-    ids = vertices.select(F.col("id"))
-    e = edges.select("src", "dst")
-    e = e.join(ids.withColumnRenamed("id", "src"), "src", "left_semi")
-    return e.join(ids.withColumnRenamed("id", "dst"), "dst", "left_semi").select("src", "dst")
+    """(src, dst) of edges whose both ends are vertices."""
+    return drop_dangling(edges.select("src", "dst"), vertices.select("id")).select("src", "dst")

@@ -21,6 +21,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from keelson.operators.graph import drop_dangling
 from keelson.session import cut_lineage
 
 # Defaults of the reference job.
@@ -28,20 +29,37 @@ DEFAULT_ITERATIONS = 10
 DEFAULT_RESET = 0.15
 
 
-def weighted_edges(vertices: DataFrame, edges: DataFrame, direction: str = "out") -> DataFrame:
-    """(src, dst, weight = multiplicity / outdeg(src)) over edges between vertices."""
+def _pairs(vertices: DataFrame, edges: DataFrame, direction: str) -> DataFrame:
+    """Distinct (src, dst) with multiplicity ``m``, both ends being vertices."""
     e = edges.select("src", "dst")
     if direction == "both":
         e = e.unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     elif direction != "out":
         raise ValueError(f"direction must be 'out' or 'both', not {direction!r}")
-    ids = vertices.select("id")
     # collapse parallel edges first: every later shuffle moves distinct pairs only
     pairs = e.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("m"))
-    pairs = pairs.join(ids.withColumnRenamed("id", "dst"), "dst", "left_semi")
-    pairs = pairs.join(ids.withColumnRenamed("id", "src"), "src", "left_semi")
-    outdeg = pairs.groupBy("src").agg(F.sum("m").alias("deg"))
-    return pairs.join(outdeg, "src").select("src", "dst", (F.col("m") / F.col("deg")).alias("weight"))
+    return drop_dangling(pairs, vertices.select("id"))
+
+
+def _out_degrees(pairs: DataFrame) -> DataFrame:
+    """(src, deg = edges counted with multiplicity, fanout = distinct targets)."""
+    return pairs.groupBy("src").agg(F.sum("m").alias("deg"), F.count(F.lit(1)).alias("fanout"))
+
+
+def weighted_edges(vertices: DataFrame, edges: DataFrame, direction: str = "out") -> DataFrame:
+    """(src, dst, weight = multiplicity / outdeg(src)) over edges between vertices."""
+    pairs = _pairs(vertices, edges, direction)
+    return pairs.join(_out_degrees(pairs), "src").select(
+        "src", "dst", (F.col("m") / F.col("deg")).alias("weight"))
+
+
+def _persisted(df: DataFrame) -> DataFrame:
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+# A source is "hot" when its fan-out exceeds total_pairs / (HOT_SHARE * partitions):
+# at most HOT_SHARE * partitions sources can be hot, which bounds what is broadcast.
+HOT_SHARE = 4
 
 
 def pagerank(vertices: DataFrame, edges: DataFrame, max_iter: int = DEFAULT_ITERATIONS,
@@ -52,16 +70,38 @@ def pagerank(vertices: DataFrame, edges: DataFrame, max_iter: int = DEFAULT_ITER
     Only the per-vertex message sums ``s`` (|V| rows) move between rounds:
     round i joins the persisted edges with round i-1's sums on ``src`` (the
     source's rank is ``reset + d * s``, or 1.0 in round 1) and sums
-    ``weight * rank`` per ``dst``. The edges are persisted once,
-    hash-partitioned and sorted by ``src``, so no round re-shuffles or
-    re-sorts them; a vertex with no in-edges simply has no ``s`` row.
+    ``weight * rank`` per ``dst``. A vertex with no in-edges has no ``s`` row.
+
+    Edges of ordinary sources are persisted hash-partitioned and sorted by
+    ``src``, so no round re-shuffles or re-sorts them. Edges of hot sources
+    (a source with a large share of all edges would otherwise load one task
+    with that share every round) are persisted spread over (src, dst), and
+    joined with a broadcast of just the hot sources' sums, whose row count
+    is bounded by ``HOT_SHARE * partitions``.
     """
     spark = vertices.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ids = vertices.select("id").distinct()
-    w = (weighted_edges(ids, edges, direction)
-         .repartition(n, "src").sortWithinPartitions("src")
-         .persist(StorageLevel.MEMORY_AND_DISK))
+    # ids and the edge projection are read by the dangling-edge test and by
+    # the weights; persisting them keeps their upstream plans to one run each
+    ids = _persisted(vertices.select("id").distinct())
+    e = _persisted(edges.select("src", "dst"))
+    pairs = _persisted(_pairs(ids, e, direction))
+    degrees = _persisted(_out_degrees(pairs))
+    total_pairs = degrees.agg(F.sum("fanout")).first()[0] or 0
+    e.unpersist()
+    limit = max(1, -(-total_pairs // (HOT_SHARE * n)))
+    hot = _persisted(degrees.filter(F.col("fanout") > limit).select("src"))
+    has_hot = hot.count() > 0
+    weighted = pairs.join(degrees, "src").select("src", "dst", (F.col("m") / F.col("deg")).alias("weight"))
+    cold_w = weighted.join(F.broadcast(hot), "src", "left_anti") if has_hot else weighted
+    cold_w = _persisted(cold_w.repartition(n, "src").sortWithinPartitions("src"))
+    cold_w.count()
+    hot_w = None
+    if has_hot:
+        hot_w = _persisted(weighted.join(F.broadcast(hot), "src", "left_semi").repartition(n, "src", "dst"))
+        hot_w.count()
+    pairs.unpersist()
+    degrees.unpersist()
     damping = 1.0 - reset_prob
 
     def rank_of(s):
@@ -69,11 +109,16 @@ def pagerank(vertices: DataFrame, edges: DataFrame, max_iter: int = DEFAULT_ITER
 
     sums = None
     for i in range(max_iter):
-        if sums is None:
-            src_rank = w.select("dst", "weight", F.lit(1.0).alias("rank"))
-        else:
-            src_rank = w.join(sums.withColumnRenamed("id", "src"), "src", "left").select(
-                "dst", "weight", rank_of(F.col("s")).alias("rank"))
+        parts = []
+        for w in ([cold_w, hot_w] if hot_w is not None else [cold_w]):
+            if sums is None:
+                parts.append(w.select("dst", "weight", F.lit(1.0).alias("rank")))
+                continue
+            side = sums.withColumnRenamed("id", "src")
+            if w is hot_w:
+                side = F.broadcast(side.join(F.broadcast(hot), "src", "left_semi"))
+            parts.append(w.join(side, "src", "left").select("dst", "weight", rank_of(F.col("s")).alias("rank")))
+        src_rank = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
         sums = src_rank.groupBy(F.col("dst").alias("id")).agg(
             F.sum(F.col("weight") * F.col("rank")).alias("s"))
         last = i == max_iter - 1
@@ -84,7 +129,9 @@ def pagerank(vertices: DataFrame, edges: DataFrame, max_iter: int = DEFAULT_ITER
     else:
         ranks = ids.join(sums, "id", "left").select("id", rank_of(F.col("s")).alias("rank"))
     ranks = cut_lineage(ranks)
-    w.unpersist()
+    for frame in (cold_w, hot_w, hot, ids):
+        if frame is not None:
+            frame.unpersist()
     if normalize:
         factor = ranks.select((F.count(F.lit(1)) / F.sum("rank")).alias("f")).scalar()
         ranks = ranks.select("id", (F.col("rank") * factor).alias("rank"))

@@ -42,7 +42,10 @@ class GraphAnalytics:
 
 def analyse(graph: PurchaseGraph, k: int = DEFAULT_TOP_K, iterations: int = DEFAULT_ITERATIONS,
             reset: float = DEFAULT_RESET, direction: str = "out") -> GraphAnalytics:
-    """PageRank (materialised once, in the shared folder), components, top-k."""
+    """PageRank (materialised once, in the shared folder), components, top-k.
+
+    ``graph`` should be materialised (written or checkpointed): both
+    algorithms read it. The job passes the versions it has just written."""
     ranks = cut_lineage(ranked_vertices(graph.vertices, pagerank(
         graph.vertices, graph.edges, iterations, reset, direction=direction)))
     comps = graph.vertices.select("id", "vertex_type").join(

@@ -442,8 +442,8 @@ def q_graph_metrics(spark, sf):
 
 # ---------------------------------------------------------------- graph analytics
 
-def _ranked(spark, sf, direction: str = "out") -> DataFrame:
-    g = graph(spark, sf)
+def _ranked(spark, sf, direction: str = "out", g=None) -> DataFrame:
+    g = g or graph(spark, sf)
     return ranked_vertices(g.vertices, pagerank(g.vertices, g.edges, direction=direction)).select(
         "id", "vertex_type", _r("pagerank"))
 
@@ -476,8 +476,8 @@ def q_popular_products(spark, sf):
 
 @query("purchase_graph_etl")
 def q_purchase_graph_etl(spark, sf):
-    g = graph(spark, sf)
-    ranks = _ranked(spark, sf)
+    g = graph(spark, sf).materialized()
+    ranks = _ranked(spark, sf, g=g)
     comps = g.vertices.select("id", "vertex_type").join(connected_components(g.vertices, g.edges), "id")
     return enriched_output(g, GraphAnalytics(ranks, comps, None, None))
 

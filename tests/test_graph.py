@@ -141,3 +141,17 @@ def test_both_directions_ranks_customers(spark):
     links = [(x.src, x.dst) for x in g.edges.collect()]
     want = python_pagerank(sorted(r), links + [(d, s) for s, d in links])
     assert r == pytest.approx(want) and sum(r.values()) == pytest.approx(6.0)
+
+
+def test_pagerank_with_a_hot_source_matches_python_loop(spark):
+    # one hub source holds most edges: it takes the broadcast path
+    rnd = random.Random(11)
+    nodes = [f"h{i:03d}" for i in range(60)]
+    edges = [("h000", n) for n in nodes[1:]] * 3 + [(rnd.choice(nodes), rnd.choice(nodes)) for _ in range(40)]
+    edges = [(s, d) for s, d in edges if s != d]
+    v = spark.createDataFrame([(n,) for n in nodes], "id string")
+    e = spark.createDataFrame(edges, "src string, dst string")
+    got = {r.id: r.pagerank for r in pagerank(v, e, partitions=4).collect()}
+    want = python_pagerank(nodes, edges)
+    for n in nodes:
+        assert got[n] == pytest.approx(want[n], rel=1e-9)
