@@ -65,112 +65,95 @@ def untrimmed_count(df: DataFrame, column: str = "manufacturer") -> DataFrame:
     return violation_count(df, is_untrimmed(column))
 
 
-def _with_sentinel(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Project ``cols`` plus ``_real``=1 and append one all-null row with
-    ``_real``=0, so a grand-total grouping set exists even on empty input.
-    A one-row local relation: no shuffle, no join."""
-    real = df.select(*cols, F.lit(1).alias("_real"))
-    sentinel = df.sparkSession.range(1).select(
-        *[F.lit(None).cast(df.schema[c].dataType).alias(c) for c in cols], F.lit(0).alias("_real"))
-    return real.unionByName(sentinel)
+def _row(metric: str, key: Column, value: Column, text: Column) -> Column:
+    return F.struct(F.lit(metric).alias("metric"), key.cast("string").alias("group_key"),
+                    value.cast("double").alias("value"), text.cast("string").alias("text_value"))
+
+
+def _null_d() -> Column:
+    return F.lit(None).cast("double")
+
+
+def _null_s() -> Column:
+    return F.lit(None).cast("string")
+
+
+def _group_counts(df: DataFrame, groups: Sequence[tuple[str, str, Column | None]]) -> DataFrame:
+    """Row counts per value of several columns in one GROUPING SETS pass.
+
+    ``groups`` holds (metric name, column, optional row filter). Only
+    fixed-width counters are aggregated, so Spark keeps a hash aggregate
+    with map-side partial aggregation (a hot value never piles up in one
+    task) and never sorts the (expanded) input.
+    """
+    cols = [c for _, c, _ in groups]
+    keep = [F.coalesce(f, F.lit(False)).alias(f"_in_{i}") for i, (_, _, f) in enumerate(groups) if f is not None]
+    data = df.select(*[F.col(c) for c in dict.fromkeys(cols)], *keep)
+    counters = []
+    for i, (_, _, f) in enumerate(groups):
+        counters.append((F.count_if(F.col(f"_in_{i}")) if f is not None else F.count(F.lit(1))).alias(f"_n_{i}"))
+    agg = data.groupingSets([[c] for c in cols], *dict.fromkeys(cols)).agg(
+        F.grouping_id().alias("_gid"), *counters)
+    width = len(dict.fromkeys(cols))
+    order = list(dict.fromkeys(cols))
+    chain = None
+    for i, (metric, c, _) in enumerate(groups):
+        # grouping_id: one bit per grouping column, 0 = grouped; first column is the high bit
+        gid = (1 << width) - 1 - (1 << (width - 1 - order.index(c)))
+        cond = (F.col("_gid") == gid) & (F.col(f"_n_{i}") > 0)
+        val = F.array(_row(metric, F.col(c), F.col(f"_n_{i}"), _null_s()))
+        chain = F.when(cond, val) if chain is None else chain.when(cond, val)
+    return agg.select(F.inline(F.coalesce(chain, F.array().cast(_METRIC_ARRAY))))
 
 
 def vehicle_metrics(df: DataFrame, key_columns: Sequence[str] = VEHICLE_KEY_COLUMNS,
                     manufacturer: str = "manufacturer", gear: str = "gearPosition",
                     date: str = "date") -> DataFrame:
-    """All vehicle business metrics in one scan and one (tiny) shuffle:
-    ``null_pct`` per key column, ``count`` per manufacturer, ``gear_pos`` per
-    gear code, ``min_date`` / ``max_date``.
-
-    GROUPING SETS ((manufacturer), (gear), ()) does partial aggregation in
-    each task, so hot groups never concentrate rows in one task.
+    """All vehicle business metrics as one long table: ``null_pct`` per key
+    column, ``count`` per manufacturer, ``gear_pos`` per gear code,
+    ``min_date`` / ``max_date``.
+
+    Two aggregates instead of the reference's eleven actions: a GROUPING SETS
+    hash aggregate for the per-group counts, and one keyless aggregate
+    (always exactly one row, even on empty input; string min/max stream
+    without a sort) for totals, null counts and the date range.
     """
-    cols = list(dict.fromkeys([*key_columns, manufacturer, gear, date]))
-    data = _with_sentinel(df, cols)
-    real = F.col("_real") == 1
-    agg = data.groupingSets([[manufacturer], [gear], []], manufacturer, gear).agg(
-        F.grouping_id().alias("_gid"),
-        F.count_if(real).alias("_n"),
-        *[F.count_if(real & F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(key_columns)],
-        F.min(date).alias("_min_date"),
-        F.max(date).alias("_max_date"),
+    counts = _group_counts(df, [("count", manufacturer, None), ("gear_pos", gear, None)])
+    totals = df.agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(key_columns)],
+        F.min(date).alias("_min"), F.max(date).alias("_max"),
     )
-    null_d = F.lit(None).cast("double")
-    null_s = F.lit(None).cast("string")
-
-    def row(metric: str, key: Column, value: Column, text: Column) -> Column:
-        return F.struct(F.lit(metric).alias("metric"), key.cast("string").alias("group_key"),
-                        value.cast("double").alias("value"), text.cast("string").alias("text_value"))
-
-    pct = [
-        row("null_pct", F.lit(c),
-            F.coalesce(F.try_divide(F.col(f"_null_{i}") * 100.0, F.col("_n")), F.lit(0.0)), null_s)
-        for i, c in enumerate(key_columns)
-    ]
-    totals = F.array(*pct, row("min_date", null_s, null_d, F.col("_min_date")),
-                     row("max_date", null_s, null_d, F.col("_max_date")))
-    per_group = (
-        F.when((F.col("_gid") == 1) & (F.col("_n") > 0),
-               F.array(row("count", F.col(manufacturer), F.col("_n"), null_s)))
-        .when((F.col("_gid") == 2) & (F.col("_n") > 0),
-              F.array(row("gear_pos", F.col(gear), F.col("_n"), null_s)))
-        .when(F.col("_gid") == 3, totals)
-    )
-    return agg.select(F.inline(F.coalesce(per_group, F.array().cast(_METRIC_ARRAY))))
+    pct = [_row("null_pct", F.lit(c), F.coalesce(F.try_divide(F.col(f"_null_{i}") * 100.0, F.col("_n")),
+                                                   F.lit(0.0)), _null_s())
+           for i, c in enumerate(key_columns)]
+    total_rows = totals.select(F.inline(F.array(
+        *pct, _row("min_date", _null_s(), _null_d(), F.col("_min")), _row("max_date", _null_s(), _null_d(), F.col("_max")))))
+    return total_rows.unionByName(counts)
 
 
 def graph_metrics(vertices: DataFrame, edges: DataFrame, vertex_type: str = "vertex_type",
                   location: str = "location", category: str = "category",
                   relationship: str = "relationship", purchase_date: str = "purchase_date") -> DataFrame:
-    """Graph business metrics in one pass over vertices and edges together:
-    ``total_vertices``, ``total_edges``, ``customers_in`` per location,
-    ``products_in`` per category, ``min_date`` / ``max_date`` of PURCHASED
-    edges. The two inputs are unioned (no shuffle) and aggregated with
-    GROUPING SETS."""
-    is_cust = F.col(vertex_type) == "customer"
-    is_prod = F.col(vertex_type) == "product"
-    v = vertices.select(
-        F.lit(1).alias("_is_v"),
-        F.coalesce(is_cust, F.lit(False)).alias("_cust"), F.col(location).cast("string").alias("_loc"),
-        F.coalesce(is_prod, F.lit(False)).alias("_prod"), F.col(category).cast("string").alias("_cat"),
-        F.lit(None).cast("string").alias("_pdate"), F.lit(1).alias("_real"))
-    e = edges.select(
-        F.lit(0).alias("_is_v"),
-        F.lit(False).alias("_cust"), F.lit(None).cast("string").alias("_loc"),
-        F.lit(False).alias("_prod"), F.lit(None).cast("string").alias("_cat"),
-        F.when(F.col(relationship) == "PURCHASED", F.col(purchase_date).cast("string")).alias("_pdate"),
-        F.lit(1).alias("_real"))
-    sentinel = vertices.sparkSession.range(1).select(
-        F.lit(0).alias("_is_v"), F.lit(False).alias("_cust"), F.lit(None).cast("string").alias("_loc"),
-        F.lit(False).alias("_prod"), F.lit(None).cast("string").alias("_cat"),
-        F.lit(None).cast("string").alias("_pdate"), F.lit(0).alias("_real"))
-    data = v.unionByName(e).unionByName(sentinel)
-    real = F.col("_real") == 1
-    agg = data.groupingSets([["_cust", "_loc"], ["_prod", "_cat"], []], "_cust", "_loc", "_prod", "_cat").agg(
-        F.grouping_id().alias("_gid"),
-        F.count_if(real).alias("_n"),
-        F.count_if(real & (F.col("_is_v") == 1)).alias("_nv"),
-        F.count_if(real & (F.col("_is_v") == 0)).alias("_ne"),
-        F.min("_pdate").alias("_min"), F.max("_pdate").alias("_max"),
-    )
-    null_d = F.lit(None).cast("double")
-    null_s = F.lit(None).cast("string")
-
-    def row(metric: str, key: Column, value: Column, text: Column) -> Column:
-        return F.struct(F.lit(metric).alias("metric"), key.cast("string").alias("group_key"),
-                        value.cast("double").alias("value"), text.cast("string").alias("text_value"))
-
-    # grouping_id bits, in the order (_cust, _loc, _prod, _cat): 1 = aggregated away
-    gid_loc, gid_cat, gid_all = 0b0011, 0b1100, 0b1111
-    per_group = (
-        F.when((F.col("_gid") == gid_loc) & F.col("_cust") & (F.col("_n") > 0),
-               F.array(row("customers_in", F.col("_loc"), F.col("_n"), null_s)))
-        .when((F.col("_gid") == gid_cat) & F.col("_prod") & (F.col("_n") > 0),
-              F.array(row("products_in", F.col("_cat"), F.col("_n"), null_s)))
-        .when(F.col("_gid") == gid_all, F.array(
-            row("total_vertices", null_s, F.col("_nv"), null_s),
-            row("total_edges", null_s, F.col("_ne"), null_s),
-            row("min_date", null_s, null_d, F.col("_min")),
-            row("max_date", null_s, null_d, F.col("_max"))))
+    """Graph business metrics, each input scanned once: ``total_vertices``,
+    ``customers_in`` per location and ``products_in`` per category from one
+    GROUPING SETS hash aggregate over the vertices; ``total_edges`` and the
+    ``min_date`` / ``max_date`` of PURCHASED edges from one keyless
+    aggregate over the edges."""
+    counts = _group_counts(vertices, [
+        ("customers_in", location, F.col(vertex_type) == "customer"),
+        ("products_in", category, F.col(vertex_type) == "product"),
+    ])
+    nv = vertices.agg(F.count(F.lit(1)).alias("_nv"))
+    purchased = F.col(relationship) == "PURCHASED"
+    e = edges.agg(
+        F.count(F.lit(1)).alias("_ne"),
+        F.min(F.when(purchased, F.col(purchase_date))).alias("_min"),
+        F.max(F.when(purchased, F.col(purchase_date))).alias("_max"),
     )
-    return agg.select(F.inline(F.coalesce(per_group, F.array().cast(_METRIC_ARRAY))))
+    totals = e.select(F.inline(F.array(
+        _row("total_vertices", _null_s(), nv.scalar(), _null_s()),
+        _row("total_edges", _null_s(), F.col("_ne"), _null_s()),
+        _row("min_date", _null_s(), _null_d(), F.col("_min")),
+        _row("max_date", _null_s(), _null_d(), F.col("_max")))))
+    return totals.unionByName(counts)

@@ -44,7 +44,7 @@ from keelson.operators.merge import (
 )
 from keelson.operators.pagerank import pagerank, ranked_vertices, top_k
 from keelson.operators.vehicle import clean_vehicle_events
-from keelson.plans.graph_job import GraphAnalytics, PurchaseGraphJob, enriched_output
+from keelson.plans.graph_job import TABLE_DEFAULTS, GraphAnalytics, PurchaseGraphJob, enriched_output
 from keelson.plans.job import run_job
 from keelson.plans.vehicle_job import VehicleJob
 from keelson.session import scratch_path, unique_name
@@ -537,7 +537,7 @@ def q_graph_job(spark, sf):
     vertex/edge tables; returns the published vertex table."""
     inputs = A.retail_inputs(spark, sf)
     props = {}
-    for key, (prop, _default) in PurchaseGraphJob_TABLES.items():
+    for key, (prop, _default) in TABLE_DEFAULTS.items():
         view = unique_name(key)
         register_view(inputs[key], view)
         props[prop] = view
@@ -553,8 +553,6 @@ def q_graph_job(spark, sf):
     return scan_table(spark, props["pagerank-table"]).select("id", "vertex_type", _r("pagerank"))
 
 
-from keelson.plans.graph_job import TABLE_DEFAULTS as PurchaseGraphJob_TABLES  # noqa: E402
-
 
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
