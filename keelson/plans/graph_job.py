@@ -83,7 +83,9 @@ class PurchaseGraphJob:
         if "base-path" not in props:
             raise ValueError("base-path must be specified")
         base = props["base-path"].rstrip("/")
-        version = props.get("version") or new_version()
+        if not props.get("version"):
+            props["version"] = new_version()  # run_job hands metrics() the same dict
+        version = props["version"]
         vertices, edges = split_output(df)
         counts: dict[str, int] = {}
         for label, frame, table_prop, default in (
@@ -110,5 +112,12 @@ class PurchaseGraphJob:
         return counts
 
     def metrics(self, spark: SparkSession, df: DataFrame, props: dict[str, str]) -> DataFrame:
-        vertices, edges = split_output(df)
+        """Graph metrics; after ``output`` they read the versions just
+        written instead of re-running the merge joins."""
+        if props.get("base-path") and props.get("version"):
+            base = props["base-path"].rstrip("/")
+            vertices = read_version(spark, f"{base}/vertices", props["version"])
+            edges = read_version(spark, f"{base}/edges", props["version"])
+        else:
+            vertices, edges = split_output(df)
         return graph_metrics(vertices, edges)

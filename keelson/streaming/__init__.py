@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reference has no streaming sources, sinks, watermarks or stateful
+operators; its only notion of increments is the batch "existing + new"
+insert-only merge, which lives in ``keelson.operators.merge``.
+"""

@@ -83,3 +83,12 @@ def test_compare_frames(spark):
     row = compare_frames(a, c).first()
     assert (row.left_only, row.right_only) == (1, 0)
     assert not compare_frames(a, spark.createDataFrame([(1,)], "id long")).first().schema_equal
+
+
+def test_cli_rejects_unknown_job():
+    from keelson.__main__ import load_job, main
+    assert main([]) == 1
+    with pytest.raises(SystemExit):
+        load_job("nope")
+    assert type(load_job("vehicle")).__name__ == "VehicleJob"
+    assert type(load_job("keelson.plans.graph_job:PurchaseGraphJob")).__name__ == "PurchaseGraphJob"
