@@ -87,21 +87,17 @@ def pagerank(vertices: DataFrame, edges: DataFrame, max_iter: int = DEFAULT_ITER
     e = _persisted(edges.select("src", "dst"))
     pairs = _persisted(_pairs(ids, e, direction))
     degrees = _persisted(_out_degrees(pairs))
-    total_pairs = degrees.agg(F.sum("fanout")).first()[0] or 0
-    e.unpersist()
-    limit = max(1, -(-total_pairs // (HOT_SHARE * n)))
-    hot = _persisted(degrees.filter(F.col("fanout") > limit).select("src"))
+    # hot: fan-out above total_pairs / (HOT_SHARE * n); one action finds them
+    total_pairs = degrees.select(F.sum("fanout")).scalar()
+    hot = _persisted(degrees.filter(F.col("fanout") * F.lit(HOT_SHARE * n) > total_pairs).select("src"))
     has_hot = hot.count() > 0
     weighted = pairs.join(degrees, "src").select("src", "dst", (F.col("m") / F.col("deg")).alias("weight"))
     cold_w = weighted.join(F.broadcast(hot), "src", "left_anti") if has_hot else weighted
     cold_w = _persisted(cold_w.repartition(n, "src").sortWithinPartitions("src"))
-    cold_w.count()
     hot_w = None
     if has_hot:
         hot_w = _persisted(weighted.join(F.broadcast(hot), "src", "left_semi").repartition(n, "src", "dst"))
-        hot_w.count()
-    pairs.unpersist()
-    degrees.unpersist()
+    staging = [e, pairs, degrees]  # released once round 1 has filled the edge caches
     damping = 1.0 - reset_prob
 
     def rank_of(s):
@@ -122,8 +118,14 @@ def pagerank(vertices: DataFrame, edges: DataFrame, max_iter: int = DEFAULT_ITER
         sums = src_rank.groupBy(F.col("dst").alias("id")).agg(
             F.sum(F.col("weight") * F.col("rank")).alias("s"))
         last = i == max_iter - 1
-        if last or (checkpoint_interval and (i + 1) % checkpoint_interval == 0):
+        if last or i == 0 or (checkpoint_interval and (i + 1) % checkpoint_interval == 0):
             sums = cut_lineage(sums)
+        if i == 0:
+            for frame in staging:
+                frame.unpersist()
+            staging = []
+    for frame in staging:
+        frame.unpersist()
     if sums is None:
         ranks = ids.select("id", F.lit(1.0).alias("rank"))
     else:
