@@ -155,3 +155,15 @@ def test_pagerank_with_a_hot_source_matches_python_loop(spark):
     want = python_pagerank(nodes, edges)
     for n in nodes:
         assert got[n] == pytest.approx(want[n], rel=1e-9)
+
+
+def test_pagerank_drops_dangling_edges(spark):
+    nodes = ["a", "b", "c"]
+    edges = [("a", "b"), ("b", "c"), ("c", "a"), ("a", "c")]
+    v = spark.createDataFrame([(n,) for n in nodes], "id string")
+    clean = spark.createDataFrame(edges, "src string, dst string")
+    dirty = spark.createDataFrame(edges + [("a", "ghost"), ("ghost", "b"), (None, "a")], "src string, dst string")
+    got = {r.id: r.pagerank for r in pagerank(v, dirty).collect()}
+    want = {r.id: r.pagerank for r in pagerank(v, clean).collect()}
+    assert got == pytest.approx(want) and set(got) == set(nodes)
+    assert want == pytest.approx(python_pagerank(nodes, edges))
