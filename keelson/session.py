@@ -34,6 +34,8 @@ def local_session(cores: int | str = 8, app: str = "keelson") -> SparkSession:
         # local data is small: let AQE keep ~one post-shuffle task per core
         # instead of coalescing everything under 1 MB into a single task
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+        # local disk only: skip Hadoop's .crc sidecar file per data file
+        .config("spark.hadoop.fs.file.impl", "org.apache.hadoop.fs.RawLocalFileSystem")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("KEELSON_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
