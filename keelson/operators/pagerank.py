@@ -57,6 +57,20 @@ def _persisted(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+# Persisted edge partitions hold about ROWS_PER_PARTITION weighted pairs (a few
+# tens of MB); with little data, enough partitions to use the cores, but none
+# under MIN_ROWS_PER_PARTITION; never more than spark.sql.shuffle.partitions.
+ROWS_PER_PARTITION = 2_000_000
+MIN_ROWS_PER_PARTITION = 50_000
+
+
+def _partition_count(spark, total_pairs: int) -> int:
+    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    by_size = -(-total_pairs // ROWS_PER_PARTITION)
+    by_cores = min(spark.sparkContext.defaultParallelism, -(-total_pairs // MIN_ROWS_PER_PARTITION))
+    return max(1, min(cap, max(by_size, by_cores)))
+
+
 # A source is "hot" when its fan-out exceeds total_pairs / (HOT_SHARE * partitions):
 # at most HOT_SHARE * partitions sources can be hot, which bounds what is broadcast.
 HOT_SHARE = 4
@@ -67,6 +81,9 @@ def pagerank(vertices: DataFrame, edges: DataFrame, max_iter: int = DEFAULT_ITER
              checkpoint_interval: int = 1, partitions: int | None = None) -> DataFrame:
     """(id, pagerank) for every vertex id (one row per distinct id).
 
+    ``partitions``: partition count of the persisted edges; by default
+    derived from the number of weighted pairs (see ``_partition_count``).
+
     Only the per-vertex message sums ``s`` (|V| rows) move between rounds:
     round i joins the persisted edges with round i-1's sums on ``src`` (the
     source's rank is ``reset + d * s``, or 1.0 in round 1) and sums
@@ -80,16 +97,16 @@ def pagerank(vertices: DataFrame, edges: DataFrame, max_iter: int = DEFAULT_ITER
     is bounded by ``HOT_SHARE * partitions``.
     """
     spark = vertices.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # ids and the edge projection are read by the dangling-edge test and by
     # the weights; persisting them keeps their upstream plans to one run each
     ids = _persisted(vertices.select("id").distinct())
     e = _persisted(edges.select("src", "dst"))
     pairs = _persisted(_pairs(ids, e, direction))
     degrees = _persisted(_out_degrees(pairs))
-    # hot: fan-out above total_pairs / (HOT_SHARE * n); one action finds them
-    total_pairs = degrees.select(F.sum("fanout")).scalar()
-    hot = _persisted(degrees.filter(F.col("fanout") * F.lit(HOT_SHARE * n) > total_pairs).select("src"))
+    total_pairs = int(degrees.agg(F.sum("fanout")).first()[0] or 0)
+    n = partitions or _partition_count(spark, total_pairs)
+    # hot: fan-out above total_pairs / (HOT_SHARE * n)
+    hot = _persisted(degrees.filter(F.col("fanout") * F.lit(HOT_SHARE * n) > F.lit(total_pairs)).select("src"))
     has_hot = hot.count() > 0
     weighted = pairs.join(degrees, "src").select("src", "dst", (F.col("m") / F.col("deg")).alias("weight"))
     cold_w = weighted.join(F.broadcast(hot), "src", "left_anti") if has_hot else weighted
