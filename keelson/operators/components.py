@@ -2,6 +2,10 @@
 and small-star contraction (Kiveris et al., "Connected Components in
 MapReduce and Beyond", SoCC 2014).
 
+Each round starts with one aggregation over the edges (both directions)
+that yields, per node, the large-star minimum and the two counts of the
+stop test, so the test reads |V| rows instead of re-shuffling the edges.
+
 Each round is a handful of joins and partial-aggregated group-bys on vertex
 keys; a hub vertex's neighbour list is never gathered in one task (the
 minimum over neighbours is a combinable aggregate, and AQE splits skewed
@@ -34,12 +38,29 @@ def _canonical(e: DataFrame, a: str, b: str) -> DataFrame:
     return _oriented(e, a, b).distinct()
 
 
-def _large_star(e: DataFrame) -> DataFrame:
-    # m(u) = min of u and all its neighbours; connect each larger neighbour to m(u)
+def _neighbour_stats(e: DataFrame) -> DataFrame:
+    """Per node u over its neighbours (both directions): m = min(u, N(u)),
+    up = number of smaller neighbours, down = 1 if it has a larger one.
+    All combinable aggregates, so a hub is pre-aggregated in every task."""
     both = e.select(F.col("lo").alias("u"), F.col("hi").alias("v")).unionByName(
         e.select(F.col("hi").alias("u"), F.col("lo").alias("v")))
-    m = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    out = e.join(m, e.lo == m.u).select(F.col("m").alias("a"), F.col("hi").alias("b"))
+    return both.groupBy("u").agg(
+        F.least(F.min("v"), F.col("u")).alias("m"),
+        F.count_if(F.col("v") < F.col("u")).alias("up"),
+        F.max(F.when(F.col("v") > F.col("u"), 1).otherwise(0)).alias("down"))
+
+
+def _is_star_forest(stats: DataFrame) -> bool:
+    """True when every node has at most one smaller neighbour and no node
+    with a smaller neighbour has a larger one: each component is then a star
+    centred at its minimum, the fixed point of both steps. Reads the
+    per-node stats (|V| rows), not the edges."""
+    return stats.filter((F.col("up") > 1) | ((F.col("up") >= 1) & (F.col("down") == 1))).isEmpty()
+
+
+def _large_star(e: DataFrame, stats: DataFrame) -> DataFrame:
+    # connect each larger neighbour of u to m(u)
+    out = e.join(stats.select("u", "m"), e.lo == stats.u).select(F.col("m").alias("a"), F.col("hi").alias("b"))
     # no distinct here: the small-star step that follows de-duplicates
     return _oriented(out, "a", "b")
 
@@ -52,17 +73,6 @@ def _small_star(e: DataFrame) -> DataFrame:
     return _canonical(spokes.unionByName(hubs), "a", "b")
 
 
-def _is_star_forest(e: DataFrame) -> bool:
-    """True when every node has at most one smaller neighbour and no node
-    with a smaller neighbour has a larger one: each component is then a star
-    centred at its minimum, the fixed point of both steps."""
-    roles = e.select(F.col("hi").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
-        e.select(F.col("lo").alias("n"), F.lit(0).alias("up"), F.lit(1).alias("down")))
-    bad = (roles.groupBy("n").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
-           .filter((F.col("up") > 1) | ((F.col("up") >= 1) & (F.col("down") == 1))))
-    return bad.isEmpty()
-
-
 def connected_components(vertices: DataFrame, edges: DataFrame,
                          max_rounds: int = DEFAULT_MAX_ROUNDS) -> DataFrame:
     ids = vertices.select("id").distinct().persist(StorageLevel.MEMORY_AND_DISK)
@@ -71,17 +81,22 @@ def connected_components(vertices: DataFrame, edges: DataFrame,
     e = _oriented(drop_dangling(raw, ids), "src", "dst")
     rounds = 0
     while True:
-        e = cut_lineage(_small_star(_large_star(e)))
-        if rounds == 0:
-            raw.unpersist()
-        rounds += 1
-        if _is_star_forest(e):
+        # one aggregation gives both the stop test and the large-star minimums
+        stats = _neighbour_stats(e).persist(StorageLevel.MEMORY_AND_DISK)
+        if _is_star_forest(stats):
+            stats.unpersist()
             break
         if rounds >= max_rounds:
             raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
+        e = cut_lineage(_small_star(_large_star(e, stats)))
+        stats.unpersist()
+        if rounds == 0:
+            raw.unpersist()
+        rounds += 1
     labels = e.select(F.col("hi").alias("id"), F.col("lo").alias("component")).unionByName(
         e.select(F.col("lo").alias("id"), F.col("lo").alias("component"))).distinct()
     out = cut_lineage(ids.join(labels, "id", "left").select(
         "id", F.coalesce(F.col("component"), F.col("id")).alias("component")))
     ids.unpersist()
+    raw.unpersist()
     return out
