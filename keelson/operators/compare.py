@@ -1,5 +1,5 @@
-"""Frame comparison that scales: schema check, then multiset difference both
-ways with ``exceptAll`` (a distributed shuffle), never a driver collect."""
+"""Frame comparison that scales: schema check, then the multiset difference
+both ways in one distributed aggregation, never a driver collect."""
 
 from __future__ import annotations
 
@@ -23,24 +23,30 @@ def compare_frames(left: DataFrame, right: DataFrame, check_nullability: bool =
     """One row: schema_equal, left_rows, right_rows, left_only, right_only.
 
     The frames are equal (order ignored, duplicates counted) when the schema
-    matches and both difference counts are zero. With differing schemas only
-    the row counts are filled in.
+    matches and both difference counts are zero. One pass: both frames are
+    tagged, unioned and grouped by all columns (identical rows are
+    pre-aggregated in each task), and the per-row count differences are
+    summed. With differing schemas only the row counts are filled in.
     """
-    spark = left.sparkSession
     same = schemas_equal(left, right, check_nullability)
-    lc = left.agg(F.count(F.lit(1)).alias("left_rows"))
-    rc = right.agg(F.count(F.lit(1)).alias("right_rows"))
-    if same:
-        lo = left.exceptAll(right).agg(F.count(F.lit(1)).alias("left_only"))
-        ro = right.exceptAll(left).agg(F.count(F.lit(1)).alias("right_only"))
-    else:
-        lo = spark.range(1).select(F.lit(None).cast("long").alias("left_only"))
-        ro = spark.range(1).select(F.lit(None).cast("long").alias("right_only"))
-    return spark.range(1).select(
-        F.lit(same).alias("schema_equal"),
-        lc.scalar().alias("left_rows"), rc.scalar().alias("right_rows"),
-        lo.scalar().alias("left_only"), ro.scalar().alias("right_only"),
-    )
+    if not same:
+        spark = left.sparkSession
+        return spark.range(1).select(
+            F.lit(False).alias("schema_equal"),
+            left.select(F.count(F.lit(1))).scalar().alias("left_rows"),
+            right.select(F.count(F.lit(1))).scalar().alias("right_rows"),
+            F.lit(None).cast("long").alias("left_only"), F.lit(None).cast("long").alias("right_only"))
+    cols = [F.col(f"`{c}`") for c in left.columns]
+    tagged = left.select(*cols, F.lit(1).alias("_l"), F.lit(0).alias("_r")).union(
+        right.select(*[F.col(f"`{c}`") for c in right.columns], F.lit(0).alias("_l"), F.lit(1).alias("_r")))
+    per_row = tagged.groupBy(*cols).agg(F.sum("_l").alias("l"), F.sum("_r").alias("r"))
+    zero = F.lit(0).cast("long")
+    return per_row.agg(
+        F.coalesce(F.sum("l"), zero).alias("left_rows"),
+        F.coalesce(F.sum("r"), zero).alias("right_rows"),
+        F.coalesce(F.sum(F.greatest(F.col("l") - F.col("r"), zero)), zero).alias("left_only"),
+        F.coalesce(F.sum(F.greatest(F.col("r") - F.col("l"), zero)), zero).alias("right_only"),
+    ).select(F.lit(True).alias("schema_equal"), "left_rows", "right_rows", "left_only", "right_only")
 
 
 def frames_equal(left: DataFrame, right: DataFrame, check_nullability: bool = False) -> bool:

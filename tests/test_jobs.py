@@ -92,3 +92,13 @@ def test_cli_rejects_unknown_job():
         load_job("nope")
     assert type(load_job("vehicle")).__name__ == "VehicleJob"
     assert type(load_job("keelson.plans.graph_job:PurchaseGraphJob")).__name__ == "PurchaseGraphJob"
+
+
+def test_compare_frames_counts_duplicates_and_nulls(spark):
+    a = spark.createDataFrame([(1, None), (1, None), (2, "y"), (3, "z")], "id int, v string")
+    b = spark.createDataFrame([(1, None), (2, "y"), (2, "y")], "id int, v string")
+    row = compare_frames(a, b).first()
+    assert (row.left_rows, row.right_rows, row.left_only, row.right_only) == (4, 3, 2, 1)
+    assert (a.exceptAll(b).count(), b.exceptAll(a).count()) == (2, 1)
+    empty = compare_frames(a.limit(0), b.limit(0)).first()
+    assert (empty.left_rows, empty.left_only, empty.right_only) == (0, 0, 0)
