@@ -92,3 +92,16 @@ def test_save_and_empty_table_like(spark, scratch):
     empty = V.create_empty_table_like(spark, t, f"keelson_test_db.{unique_name('empty')}", scratch("empty"))
     assert empty.count() == 0 and empty.schema == t.schema
     spark.sql("DROP DATABASE keelson_test_db CASCADE")
+
+
+def test_null_int_partition_republish(spark, scratch):
+    base = scratch("nullint")
+    name = f"default.{unique_name('t')}"
+    df = spark.createDataFrame([("a", "2024-01-01", 1), ("b", "2024-01-01", None)], "name string, date string, hour int")
+    V.create_partitioned_table(spark, name, df.schema, ["date", "hour"], V.version_path(base, "v0"))
+    V.write_version(df, base, "v1", ["date", "hour"])
+    V.publish_partitioned(spark, name, base, "v1")
+    assert sorted(r.name for r in spark.table(name).collect()) == ["a", "b"]
+    V.write_version(df.filter("hour IS NOT NULL"), base, "v2", ["date", "hour"])
+    V.publish_partitioned(spark, name, base, "v2")
+    assert [r.name for r in spark.table(name).collect()] == ["a"]
