@@ -23,12 +23,17 @@ def align_union(left: DataFrame, right: DataFrame) -> DataFrame:
 def new_rows(updates: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``updates`` whose key is absent from ``existing`` (left anti).
 
-    Only the key columns of ``existing`` are read. A null key never matches,
-    so such a row counts as new. AQE picks broadcast (by measured size) or
-    sort-merge and splits skewed partitions of ``updates``.
+    Two steps, so a small batch never forces a shuffle of a large existing
+    table: first the existing keys that occur in the batch (a semi join in
+    which AQE can broadcast the batch's keys when it measures them small;
+    a left anti join could only build on the existing side), then the batch
+    minus those keys. Only the key columns of ``existing`` are read. A null
+    key never matches, so such a row counts as new. Skewed partitions are
+    split by AQE in either join.
     """
     keys = list(keys)
-    return updates.join(existing.select(*keys), on=keys, how="left_anti")
+    seen = existing.select(*keys).join(updates.select(*keys), on=keys, how="left_semi")
+    return updates.join(seen, on=keys, how="left_anti")
 
 
 def insert_only_merge(existing: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
