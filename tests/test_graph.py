@@ -167,3 +167,12 @@ def test_pagerank_drops_dangling_edges(spark):
     want = {r.id: r.pagerank for r in pagerank(v, clean).collect()}
     assert got == pytest.approx(want) and set(got) == set(nodes)
     assert want == pytest.approx(python_pagerank(nodes, edges))
+
+
+def test_new_rows_with_duplicate_existing_keys(spark):
+    from keelson.operators.merge import new_rows
+    existing = spark.createDataFrame([("a", "b", 1), ("a", "b", 2), ("c", "d", 3)], "src string, dst string, n int")
+    batch = spark.createDataFrame([("a", "b", 9), ("x", "y", 8), ("x", "y", 7), (None, "b", 6)],
+                                  "src string, dst string, n int")
+    got = sorted((r.n for r in new_rows(batch, existing, ["src", "dst"]).collect()))
+    assert got == [6, 7, 8]
