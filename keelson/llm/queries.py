@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm import chat_format, line_quality
+from keelson.llm import chat_format, line_quality, signature_tree
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -41,3 +41,8 @@ def op4_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_quality.with_line_quality(docs).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query
+def op6_signature_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return signature_tree.jaccard_components(table(spark, sf_dir, "documents"))

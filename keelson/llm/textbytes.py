@@ -95,13 +95,13 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return start, end, np.searchsorted(start, offsets)
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches whose texts hold about max_bytes at most (a longer text stands alone)."""
+def pieces(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int, max_rows: int = 1 << 14) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of max_rows and about max_bytes of text at most (a longer text stands alone)."""
     for b in batches:
         _, offsets = flat(b.column(column))
         at = 0
         while at < b.num_rows:
-            to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + max_bytes, "right")) - 1)
+            to = min(at + max_rows, max(at + 1, int(np.searchsorted(offsets, offsets[at] + max_bytes, "right")) - 1))
             yield b.slice(at, to - at)
             at = to
 
