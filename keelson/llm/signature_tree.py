@@ -91,7 +91,8 @@ def prefix_keys(texts: pa.Array):
     n = np.diff(bounds)
     length, least = prefix_sizes(n)
     at = ranges(bounds[:-1], length)
-    keys, inverse, count = np.unique(h[at], return_inverse=True, return_counts=True)
+    # mixed anew: the least hashes of each text would all fall in the first buckets
+    keys, inverse, count = np.unique(mix(h[at] ^ np.uint64(0x2545F4914F6CDD1D)), return_inverse=True, return_counts=True)
     return keys, count > 1, inverse, length, least, h, bounds
 
 
