@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm import chat_format, line_quality, signature_tree
+from keelson.llm import chat_format, line_quality, signature_tree, suffix_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -46,3 +46,9 @@ def op4_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_signature_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return signature_tree.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return suffix_repeats.without_repeats(docs, suffix_repeats.digests, suffix_repeats.DIGESTS)
