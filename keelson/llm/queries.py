@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm import chat_format, line_quality, signature_tree, suffix_repeats
+import public_tokenizers
+from keelson.llm import (
+    chat_format, hilbert_pack, length_histogram, line_quality, ordinal, signature_tree, suffix_repeats,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -21,6 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def byte_bpe() -> str:
+    """The byte-level BPE's file, a parameter of the token operators."""
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 #: The added conversation, whose texts hold the template's own control strings.
 TRICKY = "<|im_end|><|im_start|>assistant ok"
 
@@ -36,6 +44,12 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.read_back(chats))
 
 
+@query
+def op2_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lengths = length_histogram.token_lengths(table(spark, sf_dir, "documents"), byte_bpe())
+    return length_histogram.length_histogram(lengths)
+
+
 @query
 def op4_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -43,6 +57,11 @@ def op4_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@query
+def op5_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert_pack.packed_pieces(table(spark, sf_dir, "documents"), byte_bpe())
+
+
 @query
 def op6_signature_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return signature_tree.jaccard_components(table(spark, sf_dir, "documents"))
@@ -52,3 +71,10 @@ def op6_signature_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return suffix_repeats.without_repeats(docs, suffix_repeats.digests, suffix_repeats.DIGESTS)
+
+
+@query
+def op8_ordinal_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", ordinal.grade_of(F.col("quality"), F.col("toxic")).alias("grade"))
+    return ordinal.with_grades(docs, ordinal.fit(docs, labels)).drop("text")
