@@ -63,5 +63,23 @@ FROM ({LINE_QUALITY.replace("DOCUMENTS_INPUT", "documents")})
 """
 
 
+ORACLE["op9_backoff_lm"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_SPACES}'),
+             lambda v: v <> '') AS w FROM documents),
+p AS (SELECT r, i, w[i] AS w, CASE WHEN i > 1 THEN w[i - 1] END AS h FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
+one AS (SELECT w, count(*) AS c FROM p GROUP BY w),
+two AS (SELECT h, w, count(*) AS c FROM p WHERE h IS NOT NULL GROUP BY h, w),
+s AS (SELECT r, coalesce(two.c >= 2, false) AS seen, p.h,
+             CASE WHEN two.c >= 2 THEN ln(two.c / ctx.c) ELSE ln(one.c / (SELECT count(*) FROM p))
+                  + CASE WHEN p.h IS NULL THEN 0 ELSE ln(0.4) END END AS x
+      FROM p JOIN one ON p.w = one.w LEFT JOIN one AS ctx ON p.h = ctx.w LEFT JOIN two ON p.h = two.h AND p.w = two.w),
+t AS (SELECT r, sum(x) AS x, count(*) AS n, count(*) FILTER (WHERE NOT seen AND h IS NOT NULL) AS b FROM s GROUP BY r)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_words, round(coalesce(x, 0), 4) AS log_score, round(x / n, 6) AS mean_log_score,
+       coalesce(b, 0)::BIGINT AS n_backoffs
+FROM d LEFT JOIN t ON d.r = t.r
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 from keelson.llm import (
-    chat_format, hilbert_pack, length_histogram, line_quality, ordinal, signature_tree, suffix_repeats,
+    backoff_lm, chat_format, hilbert_pack, length_histogram, line_quality, ordinal, signature_tree, sp_viterbi,
+    suffix_repeats,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +79,14 @@ def op8_ordinal_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", ordinal.grade_of(F.col("quality"), F.col("toxic")).alias("grade"))
     return ordinal.with_grades(docs, ordinal.fit(docs, labels)).drop("text")
+
+
+@query
+def op9_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = backoff_lm.backoff_scores(table(spark, sf_dir, "documents"))
+    return scores.withColumns({"log_score": F.round("log_score", 4), "mean_log_score": F.round("mean_log_score", 6)})
+
+
+@query
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sp_viterbi.round_trips(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
