@@ -9,15 +9,20 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 from keelson.llm import (
-    backoff_lm, chat_format, hilbert_pack, length_histogram, line_quality, ordinal, signature_tree, sp_viterbi,
+    backoff_lm, chat_format, hilbert_pack, iblt, length_histogram, line_quality, ordinal, signature_tree, sp_viterbi,
     suffix_repeats,
 )
+from keelson.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(fn):
-    QUERIES[fn.__name__] = fn
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
     return fn
 
 
@@ -51,6 +56,11 @@ def op2_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return length_histogram.length_histogram(lengths)
 
 
+@query
+def op3_iblt_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return iblt.with_edits(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

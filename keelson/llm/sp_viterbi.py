@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from keelson.llm.textbytes import SpanHash, flat, pieces, ranges
@@ -218,7 +219,7 @@ class SentencePieces(UnitEncoder):
         """All ids in a row, and each text's bounds."""
         data, offsets = flat(texts)
         if _META.encode() in data.tobytes():
-            texts = pa.compute.replace_substring(texts, _META, " ")
+            texts = pc.replace_substring(texts, _META, " ")
             data, offsets = flat(texts)
         real = (np.diff(offsets) > 0).astype(np.int64)       # each non-empty text gets the dummy prefix
         shift = np.concatenate([[0], np.cumsum(real)])
@@ -263,7 +264,7 @@ def decoded(rows: DataFrame, path: str, id_col: str = "doc_id") -> DataFrame:
         m = model(path)
         for b in batches:
             column = b.column("ids")
-            sizes = np.array([0 if x is None else x for x in pa.compute.list_value_length(column).to_pylist()], np.int64)
+            sizes = np.array([0 if x is None else x for x in pc.list_value_length(column).to_pylist()], np.int64)
             texts = m.decode(column.flatten().to_numpy(), np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64))
             yield pa.RecordBatch.from_pydict({id_col: b.column(id_col), "text": pa.array(texts, pa.string())})
 
