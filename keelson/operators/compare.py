@@ -19,6 +19,21 @@ def schemas_equal(left: DataFrame, right: DataFrame, check_nullability: bool = F
     return True
 
 
+def _quoted(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
+def _free_names(taken: list[str], *wanted: str) -> list[str]:
+    used = {c.lower() for c in taken}
+    out = []
+    for name in wanted:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
 def compare_frames(left: DataFrame, right: DataFrame, check_nullability: bool = False) -> DataFrame:
     """One row: schema_equal, left_rows, right_rows, left_only, right_only.
 
@@ -36,10 +51,13 @@ def compare_frames(left: DataFrame, right: DataFrame, check_nullability: bool =
             left.select(F.count(F.lit(1))).scalar().alias("left_rows"),
             right.select(F.count(F.lit(1))).scalar().alias("right_rows"),
             F.lit(None).cast("long").alias("left_only"), F.lit(None).cast("long").alias("right_only"))
-    cols = [F.col(f"`{c}`") for c in left.columns]
-    tagged = left.select(*cols, F.lit(1).alias("_l"), F.lit(0).alias("_r")).union(
-        right.select(*[F.col(f"`{c}`") for c in right.columns], F.lit(0).alias("_l"), F.lit(1).alias("_r")))
-    per_row = tagged.groupBy(*cols).agg(F.sum("_l").alias("l"), F.sum("_r").alias("r"))
+    cols = [F.col(_quoted(c)) for c in left.columns]
+    # count columns with names that no column of the frames has
+    l, r = _free_names(left.columns, "left_count", "right_count")
+    tagged = left.select(*cols, F.lit(1).alias(l), F.lit(0).alias(r)).union(
+        right.select(*[F.col(_quoted(c)) for c in right.columns], F.lit(0).alias(l), F.lit(1).alias(r)))
+    per_row = tagged.groupBy(*cols).agg(F.sum(l).alias(l), F.sum(r).alias(r)).select(
+        F.col(l).alias("l"), F.col(r).alias("r"))
     zero = F.lit(0).cast("long")
     return per_row.agg(
         F.coalesce(F.sum("l"), zero).alias("left_rows"),

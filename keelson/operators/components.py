@@ -6,12 +6,13 @@ Each round starts with one aggregation over the edges (both directions)
 that yields, per node, the large-star minimum and the two counts of the
 stop test, so the test reads |V| rows instead of re-shuffling the edges.
 
-Each round is a handful of joins and partial-aggregated group-bys on vertex
-keys; a hub vertex's neighbour list is never gathered in one task (the
-minimum over neighbours is a combinable aggregate, and AQE splits skewed
-join partitions). It stops when the edge set is a forest of stars centred
-at each component's smallest id (an exact test, not a checksum) and
-checkpoints every round to the shared folder.
+Every round stores its node statistics and its edges as Parquet in the shared
+folder and drops the round before. So both sides of each join are plain
+shuffles of stored tables, and a hub's edges (the giant component's smallest id
+in the last rounds) can be split over many tasks by the skew join; a minimum
+over neighbours is a combinable aggregate, so no neighbour list is gathered.
+It stops when the edge set is a forest of stars centred at each component's
+smallest id (an exact test, not a checksum).
 
 Output: (id, component) for every vertex, component = smallest id in the
 component; an isolated vertex is its own component.
@@ -19,14 +20,11 @@ component; an isolated vertex is its own component.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keelson.operators.graph import drop_dangling
-from keelson.session import cut_lineage
-
-DEFAULT_MAX_ROUNDS = 100
+from keelson.session import Stored, store
 
 
 def _oriented(e: DataFrame, a: str, b: str) -> DataFrame:
@@ -65,38 +63,43 @@ def _large_star(e: DataFrame, stats: DataFrame) -> DataFrame:
     return _oriented(out, "a", "b")
 
 
-def _small_star(e: DataFrame) -> DataFrame:
-    # m(u) = min of u's smaller neighbours; connect them and u itself to m(u)
-    m = e.groupBy(F.col("hi").alias("u")).agg(F.min("lo").alias("m"))
+def _small_star(e: DataFrame) -> tuple[DataFrame, Stored]:
+    """m(u) = min of u's smaller neighbours; connect them and u itself to m(u)."""
+    least = store(e.groupBy(F.col("hi").alias("u")).agg(F.min("lo").alias("m")), "cc_least")
+    m = least.df
     spokes = e.join(m, e.hi == m.u).select(F.col("lo").alias("a"), F.col("m").alias("b"))
     hubs = m.select(F.col("u").alias("a"), F.col("m").alias("b"))
-    return _canonical(spokes.unionByName(hubs), "a", "b")
+    return _canonical(spokes.unionByName(hubs), "a", "b"), least
 
 
-def connected_components(vertices: DataFrame, edges: DataFrame,
-                         max_rounds: int = DEFAULT_MAX_ROUNDS) -> DataFrame:
-    ids = vertices.select("id").distinct().persist(StorageLevel.MEMORY_AND_DISK)
-    raw = edges.select("src", "dst").persist(StorageLevel.MEMORY_AND_DISK)
+def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int | None = None) -> DataFrame:
+    """(id, component) of every vertex. ``max_rounds``: fail beyond so many rounds; None: go on to the end."""
+    ids = store(vertices.select("id").distinct(), "cc_ids")
     # duplicates and orientation are sorted out by the first round itself
-    e = _oriented(drop_dangling(raw, ids), "src", "dst")
+    raw = store(edges.select("src", "dst"), "cc_raw")
+    current = store(_oriented(drop_dangling(raw.df, ids.df), "src", "dst"), "cc_edges")
+    raw.drop()
     rounds = 0
     while True:
         # one aggregation gives both the stop test and the large-star minimums
-        stats = _neighbour_stats(e).persist(StorageLevel.MEMORY_AND_DISK)
-        if _is_star_forest(stats):
-            stats.unpersist()
+        stats = store(_neighbour_stats(current.df), "cc_stats")
+        if _is_star_forest(stats.df):
+            stats.drop()
             break
-        if rounds >= max_rounds:
+        if max_rounds is not None and rounds >= max_rounds:
             raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
-        e = cut_lineage(_small_star(_large_star(e, stats)))
-        stats.unpersist()
-        if rounds == 0:
-            raw.unpersist()
+        large = store(_large_star(current.df, stats.df), "cc_large")
+        small, least = _small_star(large.df)
+        following = store(small, "cc_edges")
+        for old in (stats, large, least, current):
+            old.drop()
+        current = following
         rounds += 1
+    e = current.df
     labels = e.select(F.col("hi").alias("id"), F.col("lo").alias("component")).unionByName(
         e.select(F.col("lo").alias("id"), F.col("lo").alias("component"))).distinct()
-    out = cut_lineage(ids.join(labels, "id", "left").select(
-        "id", F.coalesce(F.col("component"), F.col("id")).alias("component")))
-    ids.unpersist()
-    raw.unpersist()
-    return out
+    out = store(ids.df.join(labels, "id", "left").select(
+        "id", F.coalesce(F.col("component"), F.col("id")).alias("component")), "components")
+    ids.drop()
+    current.drop()
+    return out.df

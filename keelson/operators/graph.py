@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keelson.operators.merge import align_union, merge_edges, merge_vertices
+from keelson.session import store
 
 # vertex/edge tags and id namespaces. Customer and product ids
 # come from different key spaces, so each vertex id carries its kind.
@@ -61,10 +62,19 @@ class PurchaseGraph:
     edges: DataFrame
 
     def materialized(self) -> "PurchaseGraph":
-        """Both frames checkpointed to the shared folder, so several analyses
-        read them instead of re-running the build and merge plans."""
-        from keelson.session import cut_lineage
-        return PurchaseGraph(cut_lineage(self.vertices), cut_lineage(self.edges))
+        """Both frames stored in the shared folder, so several analyses read
+        them instead of re-running the build and merge plans."""
+        return PurchaseGraph(store(self.vertices, "vertices").df, store(self.edges, "edges").df)
+
+    def checked(self) -> "PurchaseGraph":
+        """The graph itself, if no vertex id stands twice; else an error that names one.
+
+        One partial-aggregated pass over the ids: call it on stored vertices.
+        """
+        twice = self.vertices.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1").select("id").first()
+        if twice is not None:
+            raise ValueError(f"vertex id {twice[0]!r} occurs more than once")
+        return self
 
 
 def merged_graph(inputs: dict[str, DataFrame], namespaced: bool = True) -> PurchaseGraph:
@@ -94,7 +104,3 @@ def drop_dangling(edges: DataFrame, ids: DataFrame) -> DataFrame:
     e = edges.join(ids.select(F.col("id").alias("src")), "src", "left_semi")
     return e.join(ids.select(F.col("id").alias("dst")), "dst", "left_semi")
 
-
-def graph_edges(vertices: DataFrame, edges: DataFrame) -> DataFrame:
-    """(src, dst) of edges whose both ends are vertices."""
-    return drop_dangling(edges.select("src", "dst"), vertices.select("id")).select("src", "dst")

@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from keelson.session import store
+
 DATASET_TYPE = "dataset_type"
 # Tags of the combined output.
 VERTEX_TAG, EDGE_TAG = "vertex", "edge"
@@ -23,13 +25,12 @@ def align_union(left: DataFrame, right: DataFrame) -> DataFrame:
 def new_rows(updates: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``updates`` whose key is absent from ``existing`` (left anti).
 
-    Two steps, so a small batch never forces a shuffle of a large existing
-    table: first the existing keys that occur in the batch (a semi join in
-    which AQE can broadcast the batch's keys when it measures them small;
-    a left anti join could only build on the existing side), then the batch
-    minus those keys. Only the key columns of ``existing`` are read. A null
-    key never matches, so such a row counts as new. Skewed partitions are
-    split by AQE in either join.
+    First the existing keys that occur in the batch (a semi join), then the
+    batch minus those keys. Give a stored batch (``insert_only_merge`` does):
+    its true size then lets Spark broadcast it before the existing side is
+    shuffled. A batch above the threshold is a shuffled join of both. Only the
+    key columns of ``existing`` are read. A null key never matches, so such a
+    row counts as new.
     """
     keys = list(keys)
     seen = existing.select(*keys).join(updates.select(*keys), on=keys, how="left_semi")
@@ -39,11 +40,13 @@ def new_rows(updates: DataFrame, existing: DataFrame, keys: Sequence[str]) -> Da
 def insert_only_merge(existing: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """existing ∪ (updates not already present by ``keys``).
 
-    The existing row wins; updates to known keys are discarded; duplicates
-    inside the new batch all stay. Union by name, so a batch with another
-    column order cannot shift values between columns.
+    The batch is stored once in the shared folder: it is computed once, and
+    its size is known. The existing row wins; updates to known keys are
+    discarded; duplicates inside the new batch all stay. Union by name, so a
+    batch with another column order cannot shift values between columns.
     """
-    return align_union(existing, new_rows(updates, existing, keys))
+    batch = store(updates, "batch").df
+    return align_union(existing, new_rows(batch, existing, keys))
 
 
 def merge_vertices(vertices: DataFrame, updates: DataFrame, key: str = "id") -> DataFrame:

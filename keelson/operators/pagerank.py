@@ -6,13 +6,17 @@ m(u,v) / outdeg(u))`` over in-edges, parallel edges counted with their
 multiplicity ``m``; after the last round ranks are scaled to sum to |V|
 (``normalize=True``). Edges whose ends are not vertices are dropped.
 
-Plan per round: parallel edges are collapsed into weights once and the
-weighted edges persisted, hash-partitioned and sorted by ``src``; a round
-is one join of them with the previous round's per-vertex sums (|V| rows,
-the only side that is shuffled, or broadcast when AQE measures it small)
-and one partial-aggregated shuffle on ``dst``. The sums are checkpointed to
-the shared folder every ``checkpoint_interval`` rounds, so lineage stays
-short and a lost executor costs at most that many rounds.
+Plan per round: parallel edges are collapsed into weights once. The weighted
+edges are persisted, hash-partitioned and sorted by ``src``; a round is one
+join of them with the previous round's per-vertex sums (|V| rows, the only side
+that is shuffled, or broadcast when AQE measures it small) and one
+partial-aggregated shuffle on ``dst``. The sums are stored in the shared folder
+every ``store_interval`` rounds and the round before is dropped, so lineage
+stays short. When two stored rounds in a row have equal sums, all later rounds
+have them too, and the loop stops.
+
+The pairs and degrees that the weights are made of are stored tables, so their
+join is of two plain shuffles and a hub's edges can be split by the skew join.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keelson.operators.graph import drop_dangling
-from keelson.session import cut_lineage
+from keelson.session import Stored, store
 
 # Defaults of the reference job.
 DEFAULT_ITERATIONS = 10
@@ -46,20 +50,13 @@ def _out_degrees(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("src").agg(F.sum("m").alias("deg"), F.count(F.lit(1)).alias("fanout"))
 
 
-def weighted_edges(vertices: DataFrame, edges: DataFrame, direction: str = "out") -> DataFrame:
-    """(src, dst, weight = multiplicity / outdeg(src)) over edges between vertices."""
-    pairs = _pairs(vertices, edges, direction)
-    return pairs.join(_out_degrees(pairs), "src").select(
-        "src", "dst", (F.col("m") / F.col("deg")).alias("weight"))
-
-
 def _persisted(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 # Persisted edge partitions hold about ROWS_PER_PARTITION weighted pairs (a few
-# tens of MB); with little data, enough partitions to use the cores, but none
-# under MIN_ROWS_PER_PARTITION; never more than spark.sql.shuffle.partitions.
+# tens of MB), however many that takes; with little data, enough partitions to
+# use the cores, but none under MIN_ROWS_PER_PARTITION.
 ROWS_PER_PARTITION = 2_000_000
 MIN_ROWS_PER_PARTITION = 50_000
 
@@ -68,7 +65,17 @@ def _partition_count(spark, total_pairs: int) -> int:
     cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
     by_size = -(-total_pairs // ROWS_PER_PARTITION)
     by_cores = min(spark.sparkContext.defaultParallelism, -(-total_pairs // MIN_ROWS_PER_PARTITION))
-    return max(1, min(cap, max(by_size, by_cores)))
+    return max(1, by_size, min(cap, by_cores))
+
+
+# Rounds after which two equal rounds in a row are looked for.
+EARLY_ROUNDS = 4
+
+
+def _equal_sums(a: DataFrame, b: DataFrame) -> bool:
+    """Whether two rounds have the same sums, bit by bit."""
+    other = b.select("id", F.col("s").alias("t"))
+    return a.join(other, "id", "full").filter(~F.col("s").eqNullSafe(F.col("t"))).isEmpty()
 
 
 # A source is "hot" when its fan-out exceeds total_pairs / (HOT_SHARE * partitions):
@@ -78,7 +85,7 @@ HOT_SHARE = 4
 
 def pagerank(vertices: DataFrame, edges: DataFrame, max_iter: int = DEFAULT_ITERATIONS,
              reset_prob: float = DEFAULT_RESET, normalize: bool = True, direction: str = "out",
-             checkpoint_interval: int = 1, partitions: int | None = None) -> DataFrame:
+             store_interval: int = 3, partitions: int | None = None) -> DataFrame:
     """(id, pagerank) for every vertex id (one row per distinct id).
 
     ``partitions``: partition count of the persisted edges; by default
@@ -97,30 +104,27 @@ def pagerank(vertices: DataFrame, edges: DataFrame, max_iter: int = DEFAULT_ITER
     is bounded by ``HOT_SHARE * partitions``.
     """
     spark = vertices.sparkSession
-    # ids and the edge projection are read by the dangling-edge test and by
-    # the weights; persisting them keeps their upstream plans to one run each
-    ids = _persisted(vertices.select("id").distinct())
-    e = _persisted(edges.select("src", "dst"))
-    pairs = _persisted(_pairs(ids, e, direction))
-    degrees = _persisted(_out_degrees(pairs))
-    total_pairs = int(degrees.agg(F.sum("fanout")).first()[0] or 0)
+    ids = store(vertices.select("id").distinct(), "pr_ids")
+    pairs = store(_pairs(ids.df, edges, direction), "pr_pairs")
+    degrees = store(_out_degrees(pairs.df), "pr_degrees")
+    total_pairs = int(degrees.df.agg(F.sum("fanout")).first()[0] or 0)
     n = partitions or _partition_count(spark, total_pairs)
     # hot: fan-out above total_pairs / (HOT_SHARE * n)
-    hot = _persisted(degrees.filter(F.col("fanout") * F.lit(HOT_SHARE * n) > F.lit(total_pairs)).select("src"))
+    hot = _persisted(degrees.df.filter(F.col("fanout") * F.lit(HOT_SHARE * n) > F.lit(total_pairs)).select("src"))
     has_hot = hot.count() > 0
-    weighted = pairs.join(degrees, "src").select("src", "dst", (F.col("m") / F.col("deg")).alias("weight"))
+    weighted = pairs.df.join(degrees.df, "src").select("src", "dst", (F.col("m") / F.col("deg")).alias("weight"))
     cold_w = weighted.join(F.broadcast(hot), "src", "left_anti") if has_hot else weighted
     cold_w = _persisted(cold_w.repartition(n, "src").sortWithinPartitions("src"))
     hot_w = None
     if has_hot:
         hot_w = _persisted(weighted.join(F.broadcast(hot), "src", "left_semi").repartition(n, "src", "dst"))
-    staging = [e, pairs, degrees]  # released once round 1 has filled the edge caches
     damping = 1.0 - reset_prob
 
     def rank_of(s):
         return F.lit(reset_prob) + F.lit(damping) * F.coalesce(s, F.lit(0.0))
 
-    sums = None
+    sums: DataFrame | None = None
+    stored: Stored | None = None
     for i in range(max_iter):
         parts = []
         for w in ([cold_w, hot_w] if hot_w is not None else [cold_w]):
@@ -134,23 +138,24 @@ def pagerank(vertices: DataFrame, edges: DataFrame, max_iter: int = DEFAULT_ITER
         src_rank = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
         sums = src_rank.groupBy(F.col("dst").alias("id")).agg(
             F.sum(F.col("weight") * F.col("rank")).alias("s"))
-        last = i == max_iter - 1
-        if last or i == 0 or (checkpoint_interval and (i + 1) % checkpoint_interval == 0):
-            sums = cut_lineage(sums)
-        if i == 0:
-            for frame in staging:
-                frame.unpersist()
-            staging = []
-    for frame in staging:
-        frame.unpersist()
-    if sums is None:
-        ranks = ids.select("id", F.lit(1.0).alias("rank"))
-    else:
-        ranks = ids.join(sums, "id", "left").select("id", rank_of(F.col("s")).alias("rank"))
-    ranks = cut_lineage(ranks)
-    for frame in (cold_w, hot_w, hot, ids):
+        # the first rounds are stored each, to see whether the ranks are fixed already
+        if i < EARLY_ROUNDS or i == max_iter - 1 or (i + 1) % store_interval == 0:
+            before, stored = stored, store(sums, "pr_sums")
+            sums = stored.df
+            fixed = before is not None and i < EARLY_ROUNDS and _equal_sums(before.df, sums)
+            if before is not None:
+                before.drop()
+            if fixed:
+                break
+    ranks = ids.df.select("id", F.lit(1.0).alias("rank")) if sums is None else \
+        ids.df.join(sums, "id", "left").select("id", rank_of(F.col("s")).alias("rank"))
+    ranks = store(ranks, "pr_ranks").df
+    for frame in (cold_w, hot_w, hot):
         if frame is not None:
             frame.unpersist()
+    for table in (ids, pairs, degrees, stored):
+        if table is not None:
+            table.drop()
     if normalize:
         factor = ranks.select((F.count(F.lit(1)) / F.sum("rank")).alias("f")).scalar()
         ranks = ranks.select("id", (F.col("rank") * factor).alias("rank"))
@@ -164,7 +169,8 @@ def ranked_vertices(vertices: DataFrame, ranks: DataFrame) -> DataFrame:
 
 def top_k(ranked: DataFrame, vertex_type: str, k: int) -> DataFrame:
     """Top ``k`` vertices of one type by rank; ties broken by id (a
-    TakeOrderedAndProject: each task keeps only k rows)."""
+    TakeOrderedAndProject: each task keeps only k rows). Ranks are compared
+    to 12 decimals: sums of floats differ in the last bits from run to run."""
     return (ranked.filter(F.col("vertex_type") == vertex_type)
-            .orderBy(F.col("pagerank").desc(), F.col("id").asc())
+            .orderBy(F.round("pagerank", 12).desc(), F.col("id").asc())
             .limit(k))

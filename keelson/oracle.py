@@ -44,22 +44,25 @@ FROM vehicle_events WHERE vin IS NOT NULL""", "vehicle_events")
 
 cte("customers", """
 SELECT c_custkey AS customer_id, c_name AS name, c_mktsegment AS location FROM customer
-WHERE c_custkey < (SELECT (max(c_custkey) + 1) * 4 / 5 FROM customer)""")
+WHERE c_custkey % 15 < 12""")
 cte("new_customers", """
 SELECT c_custkey AS customer_id, concat(c_name, ' v2') AS name, c_mktsegment AS location FROM customer
-WHERE c_custkey >= (SELECT (max(c_custkey) + 1) * 2 / 3 FROM customer)""")
+WHERE c_custkey % 15 >= 10""")
 cte("products", """
 SELECT p_partkey AS product_id, p_name AS name, p_type AS category, p_retailprice AS price FROM part
-WHERE p_partkey < (SELECT (max(p_partkey) + 1) * 4 / 5 FROM part)""")
+WHERE p_partkey % 15 < 12""")
 cte("new_products", """
 SELECT p_partkey AS product_id, concat(p_name, ' v2') AS name, p_type AS category, p_retailprice AS price
-FROM part WHERE p_partkey >= (SELECT (max(p_partkey) + 1) * 2 / 3 FROM part)""")
+FROM part WHERE p_partkey % 15 >= 10""")
+cte("all_customers", "SELECT c_custkey AS customer_id, c_name AS name, c_mktsegment AS location FROM customer")
+cte("all_products", "SELECT p_partkey AS product_id, p_name AS name, p_type AS category, p_retailprice AS price FROM part")
 _PURCHASE = """
 SELECT l_orderkey * 10 + l_linenumber AS purchase_id, o_custkey AS customer_id, l_partkey AS product_id,
        CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS purchase_date,
        CAST(trunc(l_quantity) AS INTEGER) AS quantity, l_extendedprice AS amount
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE """
 cte("purchases", _PURCHASE + "o_orderdate < TIMESTAMP '2001-01-01 00:00:00'")
+cte("all_purchases", _PURCHASE + "true")
 cte("new_purchases", _PURCHASE + "o_orderdate >= TIMESTAMP '2000-10-01 00:00:00'")
 
 
@@ -79,6 +82,8 @@ SELECT purchase_id, 'c:' || CAST(customer_id AS VARCHAR) AS src, 'p:' || CAST(pr
 
 
 cte("vertices", _vertices("customers", "products"), "customers", "products")
+cte("all_vertices", _vertices("all_customers", "all_products"), "all_customers", "all_products")
+cte("all_edges", _edges("all_purchases"), "all_purchases")
 cte("new_vertices", _vertices("new_customers", "new_products"), "new_customers", "new_products")
 cte("edges", _edges("purchases"), "purchases")
 cte("new_edges", _edges("new_purchases"), "new_purchases")
@@ -120,9 +125,9 @@ cte("links_both", "SELECT src, dst FROM graph_links UNION ALL SELECT dst AS src,
     "graph_links")
 _pagerank_ctes("pr", "graph_links")
 _pagerank_ctes("pr_both", "links_both")
-cte("ranked", """SELECT v.id, v.vertex_type, round(p.pagerank, 6) AS pagerank
+cte("ranked", """SELECT v.id, v.vertex_type, round(p.pagerank, 6) AS pagerank, round(p.pagerank, 12) AS exact
 FROM merged_vertices v JOIN pr p ON v.id = p.id""", "merged_vertices", "pr")
-cte("ranked_both", """SELECT v.id, v.vertex_type, round(p.pagerank, 6) AS pagerank
+cte("ranked_both", """SELECT v.id, v.vertex_type, round(p.pagerank, 6) AS pagerank, round(p.pagerank, 12) AS exact
 FROM merged_vertices v JOIN pr_both p ON v.id = p.id""", "merged_vertices", "pr_both")
 
 cte("cc_links", "SELECT src AS a, dst AS b FROM graph_links UNION SELECT dst, src FROM graph_links", "graph_links")
@@ -205,9 +210,12 @@ SELECT NULL, NULL, NULL, NULL, NULL, NULL, 'edge', purchase_id, src, dst, purcha
        relationship{extra_edge} FROM merged_edges"""
 
 
-def _top(vertex_type: str) -> str:
-    return (f"SELECT id, vertex_type, pagerank FROM ranked WHERE vertex_type = '{vertex_type}' "
-            f"ORDER BY pagerank DESC, id ASC LIMIT {TOP_K}")
+def _top(vertex_type: str, ranked: str = "ranked") -> str:
+    return (f"SELECT id, vertex_type, pagerank FROM {ranked} WHERE vertex_type = '{vertex_type}' "
+            f"ORDER BY exact DESC, id ASC LIMIT {TOP_K}")
+
+
+_RANKED = "SELECT id, vertex_type, pagerank FROM "
 
 
 ORACLES: dict[str, str] = {
@@ -238,9 +246,9 @@ ORACLES: dict[str, str] = {
     "distinct_categories": sql(f"SELECT DISTINCT {_BAND} AS price_category FROM part"),
     "write_partitioned_version": sql(f"SELECT {_VEHICLE_COLS} FROM vehicle_clean", "vehicle_clean"),
     "write_version": sql("SELECT * FROM merged_vertices", "merged_vertices"),
-    "save_table": sql("SELECT * FROM customers", "customers"),
-    "empty_table_like": sql("SELECT 'source' AS table_role, count(*) AS row_count, 3 AS column_count FROM customers "
-                            "UNION ALL SELECT 'empty', 0, 3", "customers"),
+    "save_table": sql("SELECT * FROM all_customers", "all_customers"),
+    "empty_table_like": sql("SELECT 'source' AS table_role, count(*) AS row_count, 3 AS column_count FROM all_customers "
+                            "UNION ALL SELECT 'empty', 0, 3", "all_customers"),
     "partition_values": sql("SELECT DISTINCT date, hour FROM vehicle_clean", "vehicle_clean"),
     "partition_specs": sql("SELECT date, hour, count(*) AS row_count FROM vehicle_clean GROUP BY date, hour",
                            "vehicle_clean"),
@@ -249,7 +257,7 @@ ORACLES: dict[str, str] = {
     "list_partitions": sql("SELECT DISTINCT 'date=' || date || '/hour=' || CAST(hour AS VARCHAR) AS partition "
                            "FROM vehicle_clean", "vehicle_clean"),
     "publish_table": sql("SELECT * FROM merged_vertices", "merged_vertices"),
-    "scan_table": sql("SELECT location, count(*) AS customers FROM customers GROUP BY location", "customers"),
+    "scan_table": sql("SELECT location, count(*) AS customers FROM all_customers GROUP BY location", "all_customers"),
     "scan_sql": sql("SELECT event_type, count(*) AS events, round(sum(value), 6) AS total_value "
                     "FROM events GROUP BY event_type"),
     "scan_json": sql("SELECT * FROM customer"),
@@ -262,10 +270,10 @@ SELECT true AS schema_equal, (SELECT count(*) FROM merged_vertices) AS left_rows
                           "merged_vertices", "vertices"),
     "align_union": sql("""
 SELECT customer_id, name, location, CAST(NULL AS BIGINT) AS product_id, CAST(NULL AS VARCHAR) AS category,
-       CAST(NULL AS DOUBLE) AS price FROM customers
-UNION ALL SELECT NULL, name, NULL, product_id, category, price FROM products""", "customers", "products"),
-    "build_vertices": sql("SELECT * FROM vertices", "vertices"),
-    "build_edges": sql("SELECT * FROM edges", "edges"),
+       CAST(NULL AS DOUBLE) AS price FROM all_customers
+UNION ALL SELECT NULL, name, NULL, product_id, category, price FROM all_products""", "all_customers", "all_products"),
+    "build_vertices": sql("SELECT * FROM all_vertices", "all_vertices"),
+    "build_edges": sql("SELECT * FROM all_edges", "all_edges"),
     "anti_join_vertices": sql("SELECT * FROM fresh_vertices", "fresh_vertices"),
     "anti_join_edges": sql("SELECT * FROM fresh_edges", "fresh_edges"),
     "merge_vertices": sql("SELECT * FROM merged_vertices", "merged_vertices"),
@@ -283,11 +291,16 @@ UNION ALL SELECT NULL, name, NULL, product_id, category, price FROM products""",
     "purchase_date_range": sql("SELECT min(purchase_date) AS min_date, max(purchase_date) AS max_date "
                                "FROM merged_edges WHERE relationship = 'PURCHASED'", "merged_edges"),
     "graph_metrics": sql(_GRAPH_METRICS, "merged_vertices", "merged_edges"),
-    "pagerank": sql("SELECT * FROM ranked", "ranked"),
-    "pagerank_both_directions": sql("SELECT * FROM ranked_both", "ranked_both"),
+    "pagerank": sql(_RANKED + "ranked", "ranked"),
+    "pagerank_both_directions": sql(_RANKED + "ranked_both", "ranked_both"),
     "connected_components": sql("SELECT * FROM components", "components"),
     "influential_customers": sql(_top("customer"), "ranked"),
+    "influential_customers_both": sql(_top("customer", "ranked_both"), "ranked_both"),
     "popular_products": sql(_top("product"), "ranked"),
+    "components_many": sql("""
+SELECT 'o:' || CAST(o_orderkey AS VARCHAR) AS id,
+       min('o:' || CAST(o_orderkey AS VARCHAR)) OVER (PARTITION BY o_custkey) AS component FROM orders"""),
+    "publish_schema_change": sql(f"SELECT {_VEHICLE_COLS} FROM vehicle_clean", "vehicle_clean"),
     "purchase_graph_etl": sql(_COMBINED.format(
         extra_null=", pagerank, component",
         extra_edge=", CAST(NULL AS DOUBLE) AS pagerank, CAST(NULL AS VARCHAR) AS component",
@@ -301,7 +314,12 @@ UNION ALL SELECT NULL, name, NULL, product_id, category, price FROM products""",
                              "UNION ALL SELECT 'vehicle etl (no partitions)', 'FAILED', NULL, 'builtins.ValueError'",
                              "vehicle_clean"),
     "run_business_metrics": sql(_VEHICLE_METRICS, "vehicle_clean"),
-    "graph_job": sql("SELECT * FROM ranked", "ranked"),
+    "graph_job_vertices": sql("SELECT * FROM merged_vertices", "merged_vertices"),
+    "graph_job_edges": sql("SELECT * FROM merged_edges", "merged_edges"),
+    "graph_job_components": sql("SELECT * FROM components", "components"),
+    "graph_job_top_customers": sql(_top("customer"), "ranked"),
+    "graph_job_top_products": sql(_top("product"), "ranked"),
+    "graph_job": sql(_RANKED + "ranked", "ranked"),
 }
 
 

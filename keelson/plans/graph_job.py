@@ -14,7 +14,7 @@ from keelson.operators.graph import CUSTOMER, PRODUCT, PurchaseGraph, merged_gra
 from keelson.operators.merge import combine_output, split_output
 from keelson.operators.pagerank import DEFAULT_ITERATIONS, DEFAULT_RESET, pagerank, ranked_vertices, top_k
 from keelson.operators.quality import graph_metrics
-from keelson.session import cut_lineage
+from keelson.session import store
 from keelson.sinks.versioned import new_version, publish_table, read_version, write_version
 from keelson.sources.tables import scan_table
 
@@ -29,6 +29,13 @@ TABLE_DEFAULTS = {
 }
 DEFAULT_VERTICES_TABLE = "retail.processed_vertices"
 DEFAULT_EDGES_TABLE = "retail.processed_edges"
+# Every result is published: property and default name of each table.
+RESULT_TABLES = {
+    "pagerank": ("pagerank-table", "retail.pagerank"),
+    "components": ("components-table", "retail.components"),
+    "top_customers": ("top-customers-table", "retail.top_customers"),
+    "top_products": ("top-products-table", "retail.top_products"),
+}
 DEFAULT_TOP_K = 5
 
 
@@ -42,12 +49,12 @@ class GraphAnalytics:
 
 def analyse(graph: PurchaseGraph, k: int = DEFAULT_TOP_K, iterations: int = DEFAULT_ITERATIONS,
             reset: float = DEFAULT_RESET, direction: str = "out") -> GraphAnalytics:
-    """PageRank (materialised once, in the shared folder), components, top-k.
+    """PageRank (stored once, in the shared folder), components, top-k.
 
-    ``graph`` should be materialised (written or checkpointed): both
-    algorithms read it. The job passes the versions it has just written."""
-    ranks = cut_lineage(ranked_vertices(graph.vertices, pagerank(
-        graph.vertices, graph.edges, iterations, reset, direction=direction)))
+    ``graph`` should be stored: both algorithms read it. The job passes the
+    versions it has just written."""
+    ranks = store(ranked_vertices(graph.vertices, pagerank(
+        graph.vertices, graph.edges, iterations, reset, direction=direction)), "ranks").df
     comps = graph.vertices.select("id", "vertex_type").join(
         connected_components(graph.vertices, graph.edges), "id")
     return GraphAnalytics(ranks, comps, top_k(ranks, CUSTOMER, k), top_k(ranks, PRODUCT, k))
@@ -65,8 +72,8 @@ class PurchaseGraphJob:
     """Properties: the six *-table names, target-vertices-table,
     target-edges-table, base-path, version, top-k (5),
     pagerank-iterations (10), reset-probability (0.15),
-    pagerank-direction (out | both), optional pagerank-table and
-    components-table."""
+    pagerank-direction (out | both), pagerank-table, components-table,
+    top-customers-table and top-products-table."""
 
     def inputs(self, spark: SparkSession, props: dict[str, str]) -> dict[str, DataFrame]:
         return {key: scan_table(spark, props.get(prop, default))
@@ -98,16 +105,17 @@ class PurchaseGraphJob:
             counts[label] = int(obs.get["rows"])
         # analytics run on the written versions, so the merges are not recomputed
         g = PurchaseGraph(read_version(spark, f"{base}/vertices", version),
-                          read_version(spark, f"{base}/edges", version))
+                          read_version(spark, f"{base}/edges", version)).checked()
         a = analyse(g, int(props.get("top-k", DEFAULT_TOP_K)),
                     int(props.get("pagerank-iterations", DEFAULT_ITERATIONS)),
                     float(props.get("reset-probability", DEFAULT_RESET)),
                     props.get("pagerank-direction", "out"))
-        for label, frame, table_prop in (("pagerank", a.ranks, "pagerank-table"),
-                                         ("components", a.components, "components-table")):
-            if table_prop in props:
-                write_version(frame, f"{base}/{label}", version)
-                publish_table(spark, props[table_prop], f"{base}/{label}", version)
+        frames = {"pagerank": a.ranks, "components": a.components,
+                  "top_customers": a.influential, "top_products": a.popular}
+        for label, frame in frames.items():
+            table_prop, default = RESULT_TABLES[label]
+            write_version(frame, f"{base}/{label}", version)
+            publish_table(spark, props.get(table_prop, default), f"{base}/{label}", version)
         counts["processed"] = counts["vertices"] + counts["edges"]
         return counts
 

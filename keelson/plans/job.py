@@ -9,9 +9,9 @@ A job is three functions over a caller-supplied session and a flat
 * ``metrics(spark, df, props) -> DataFrame | None`` - business metrics in
   long format (``metric, group_key, value, text_value``), or None.
 
-``run_job`` runs them, times the phases and hands a ``RunMetrics`` record
-(and the business metrics frame) to a reporter. On failure the FAILED
-record is reported before the error is re-raised.
+``run_job`` runs them, times the phases and hands the business metrics frame
+and a ``RunMetrics`` record to a reporter. On failure the FAILED record is
+reported before the error is re-raised.
 """
 
 from __future__ import annotations
@@ -83,38 +83,39 @@ def parse_properties(args: list[str]) -> dict[str, str]:
     for arg in args:
         key, sep, value = arg.partition("=")
         if not sep:
-            print(f"Warning: ignoring malformed parameter: {arg}", file=sys.stderr)
+            print(f"skipped argument {arg!r}: not of the form key=value", file=sys.stderr)
             continue
         props[key] = value
     return props
 
 
 class ConsoleReporter:
-    """Prints the run record and up to ``max_rows`` business metrics."""
+    """Prints the run record and every business metric, streamed row by row."""
 
-    def __init__(self, max_rows: int = 50):
-        self.max_rows = max_rows
+    def business(self, spark: SparkSession, run: RunMetrics, business: DataFrame) -> None:
+        print(f"business metrics of run {run.job_id}: {', '.join(business.columns)}")
+        for row in business.toLocalIterator():
+            print("  " + ", ".join("" if v is None else str(v) for v in row))
 
-    def report(self, spark: SparkSession, run: RunMetrics, business: DataFrame | None) -> None:
-        print(f"ETL run {run.job_id} ({run.etl_class}, {run.name}): {run.status}")
+    def run(self, spark: SparkSession, run: RunMetrics) -> None:
+        print(f"run {run.job_id} ({run.etl_class}, {run.name}): {run.status}")
         print(f"  duration_ms={run.duration_ms} records={run.record_counts} timings={run.timings}")
         if run.error_details:
             print(f"  error: {run.error_details}")
-        if business is not None:
-            business.show(self.max_rows, truncate=False)
 
 
 class TableReporter:
-    """Appends the run record to ``{path}/runs`` and the business metrics
-    (tagged with the job id) to ``{path}/business_metrics`` as Parquet."""
+    """Appends the business metrics (tagged with the job id) to
+    ``{path}/business_metrics`` and the run record to ``{path}/runs``, as Parquet."""
 
     def __init__(self, path: str):
         self.path = path.rstrip("/")
 
-    def report(self, spark: SparkSession, run: RunMetrics, business: DataFrame | None) -> None:
-        if business is not None and run.status == "SUCCESS":
-            (business.select(F.lit(run.job_id).alias("job_id"), "*")
-             .write.mode("append").parquet(f"{self.path}/business_metrics"))
+    def business(self, spark: SparkSession, run: RunMetrics, business: DataFrame) -> None:
+        (business.select(F.lit(run.job_id).alias("job_id"), "*")
+         .write.mode("append").parquet(f"{self.path}/business_metrics"))
+
+    def run(self, spark: SparkSession, run: RunMetrics) -> None:
         spark.createDataFrame([run.as_tuple()], RUN_SCHEMA).coalesce(1).write.mode("append").parquet(
             f"{self.path}/runs")
 
@@ -126,14 +127,16 @@ def create_reporter(props: dict[str, str]):
             raise ValueError("metrics-reporter=table needs metrics-path")
         return TableReporter(props["metrics-path"])
     if kind != "console":
-        print(f"Unknown metrics reporter type: {kind}, defaulting to console", file=sys.stderr)
+        print(f"no reporter is called {kind!r}; the console is used", file=sys.stderr)
     return ConsoleReporter()
 
 
 def run_job(spark: SparkSession, job: Job, props: dict[str, str] | None = None,
             reporter=None, raise_errors: bool = True) -> RunMetrics:
     """logic -> output (record counts observed on the write) -> business
-    metrics; phase timings; SUCCESS/FAILED record always reported."""
+    metrics, each timed. Metrics are evaluated (handed to the reporter's
+    ``business``) inside the run, so a metrics frame that fails makes the run
+    FAILED. The run record is handed over last, and always."""
     props = dict(props or {})
     run = RunMetrics(
         job_id=props.get("job-id", str(uuid.uuid4())),
@@ -142,25 +145,27 @@ def run_job(spark: SparkSession, job: Job, props: dict[str, str] | None = None,
         start_time=_now_ms(),
     )
     reporter = reporter or create_reporter(props)
-    business = None
+    error: Exception | None = None
     try:
-        t0 = _now_ms()
+        start = _now_ms()
         df = job.logic(spark, props)
-        run = run.with_timing("logic", _now_ms() - t0)
-        t1 = _now_ms()
+        run = run.with_timing("logic", _now_ms() - start)
+        start = _now_ms()
         counts = job.output(spark, df, props) or {}
-        run = run.with_timing("output", _now_ms() - t1)
+        run = run.with_timing("output", _now_ms() - start)
         for phase, n in counts.items():
             run = run.with_count(phase, n)
+        start = _now_ms()
         business = job.metrics(spark, df, props)
-        run = run.finished("SUCCESS")
+        if business is not None:
+            reporter.business(spark, run, business)
+        run = run.with_timing("metrics", _now_ms() - start).finished("SUCCESS")
     except Exception as exc:  # report, then re-raise
-        err = f"{type(exc).__module__}.{type(exc).__name__}: {exc}"
-        run = run.finished("FAILED", err)
-        reporter.report(spark, run, None)
+        error = exc
+        run = run.finished("FAILED", f"{type(exc).__module__}.{type(exc).__name__}: {exc}")
+    reporter.run(spark, run)
+    if error is not None:
         if raise_errors:
-            raise
-        traceback.print_exc()
-        return run
-    reporter.report(spark, run, business)
+            raise error
+        traceback.print_exception(error)
     return run

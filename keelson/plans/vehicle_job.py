@@ -12,6 +12,7 @@ from keelson.sinks.versioned import (
     create_partitioned_table,
     new_version,
     publish_partitioned,
+    read_version,
     version_path,
     write_version,
 )
@@ -36,7 +37,9 @@ class VehicleJob:
         if "base-path" not in props:
             raise ValueError("base-path must be specified")
         base = props["base-path"]
-        version = props.get("version") or new_version()
+        if not props.get("version"):
+            props["version"] = new_version()  # run_job hands metrics() the same dict
+        version = props["version"]
         cols = check_partition_columns(df, props.get("partition-columns"))
         if props.get("create-target", "false").lower() == "true" and not spark.catalog.tableExists(target):
             create_partitioned_table(spark, target, df.schema, cols, version_path(base, version))
@@ -46,4 +49,8 @@ class VehicleJob:
         return {"processed": int(obs.get["rows"])}
 
     def metrics(self, spark: SparkSession, df: DataFrame, props: dict[str, str]) -> DataFrame:
+        """Metrics of the result; after ``output`` they read the version just
+        written instead of cleaning the source again."""
+        if props.get("base-path") and props.get("version"):
+            df = read_version(spark, props["base-path"], props["version"], df.schema)
         return vehicle_metrics(df)

@@ -44,7 +44,7 @@ from keelson.operators.merge import (
 )
 from keelson.operators.pagerank import pagerank, ranked_vertices, top_k
 from keelson.operators.vehicle import clean_vehicle_events
-from keelson.plans.graph_job import TABLE_DEFAULTS, GraphAnalytics, PurchaseGraphJob, enriched_output
+from keelson.plans.graph_job import RESULT_TABLES, TABLE_DEFAULTS, GraphAnalytics, PurchaseGraphJob, enriched_output
 from keelson.plans.job import run_job
 from keelson.plans.vehicle_job import VehicleJob
 from keelson.session import scratch_path, unique_name
@@ -210,22 +210,22 @@ def q_write_version(spark, sf):
 
 @query("save_table")
 def q_save_table(spark, sf):
-    customers = A.customers(A.read_table(spark, sf, "customer"))
+    customers = A.all_customers(A.read_table(spark, sf, "customer"))
     name = f"default.{unique_name('customers')}"
     return V.save_table(customers, name, scratch_path(spark, "customers_table"))
 
 
 @query("empty_table_like")
 def q_empty_table_like(spark, sf):
-    customers = A.customers(A.read_table(spark, sf, "customer"))
+    customers = A.all_customers(A.read_table(spark, sf, "customer"))
     src = V.save_table(customers, f"default.{unique_name('customers')}", scratch_path(spark, "customers_table"))
     empty = V.create_empty_table_like(spark, src, f"default.{unique_name('new_customers')}",
                                       scratch_path(spark, "empty_table"))
-    same = len(empty.columns)
-    return (src.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit("source").alias("table_role"), "row_count")
-            .unionByName(empty.agg(F.count(F.lit(1)).alias("row_count"))
-                         .select(F.lit("empty").alias("table_role"), "row_count"))
-            .withColumn("column_count", F.lit(same)))
+    def described(df: DataFrame, role: str) -> DataFrame:
+        return df.agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(role).alias("table_role"), "row_count", F.lit(len(df.columns)).alias("column_count"))
+
+    return described(src, "source").unionByName(described(empty, "empty"))
 
 
 @query("partition_values")
@@ -278,6 +278,21 @@ def q_rollback_version(spark, sf):
     return scan_table(spark, name)
 
 
+@query("publish_schema_change")
+def q_publish_schema_change(spark, sf):
+    """v1 without the model column, v2 with it: the table must show v2's columns."""
+    clean = vehicle_clean(spark, sf)
+    base = scratch_path(spark, "schema_change")
+    first = _first_day(clean).drop("model")
+    name = f"default.{unique_name('processed_vehicles')}"
+    V.create_partitioned_table(spark, name, first.schema, PARTITION_COLUMNS, V.version_path(base, "v000"))
+    V.write_version(first, base, "v1", PARTITION_COLUMNS)
+    V.publish_partitioned(spark, name, base, "v1")
+    V.write_version(clean, base, "v2", PARTITION_COLUMNS)
+    V.publish_partitioned(spark, name, base, "v2")
+    return scan_table(spark, name)
+
+
 @query("list_partitions")
 def q_list_partitions(spark, sf):
     clean = vehicle_clean(spark, sf)
@@ -305,7 +320,7 @@ def q_publish_table(spark, sf):
 
 @query("scan_table")
 def q_scan_table(spark, sf):
-    customers = A.customers(A.read_table(spark, sf, "customer"))
+    customers = A.all_customers(A.read_table(spark, sf, "customer"))
     name = f"default.{unique_name('customers')}"
     V.save_table(customers, name, scratch_path(spark, "customers_table"))
     return scan_table(spark, name).groupBy("location").agg(F.count(F.lit(1)).alias("customers"))
@@ -351,19 +366,17 @@ def q_compare_frames(spark, sf):
 
 @query("align_union")
 def q_align_union(spark, sf):
-    inputs = A.retail_inputs(spark, sf)
-    return align_union(inputs["customers"], inputs["products"])
+    return align_union(A.all_customers(A.read_table(spark, sf, "customer")), A.all_products(_parts(spark, sf)))
 
 
 @query("build_vertices")
 def q_build_vertices(spark, sf):
-    inputs = A.retail_inputs(spark, sf)
-    return build_vertices(inputs["customers"], inputs["products"])
+    return build_vertices(A.all_customers(A.read_table(spark, sf, "customer")), A.all_products(_parts(spark, sf)))
 
 
 @query("build_edges")
 def q_build_edges(spark, sf):
-    return build_edges(A.retail_inputs(spark, sf)["purchases"])
+    return build_edges(A.all_purchases(A.read_table(spark, sf, "lineitem"), A.read_table(spark, sf, "orders")))
 
 
 @query("anti_join_vertices")
@@ -444,18 +457,21 @@ def q_graph_metrics(spark, sf):
 
 def _ranked(spark, sf, direction: str = "out", g=None) -> DataFrame:
     g = g or graph(spark, sf)
-    return ranked_vertices(g.vertices, pagerank(g.vertices, g.edges, direction=direction)).select(
-        "id", "vertex_type", _r("pagerank"))
+    return ranked_vertices(g.vertices, pagerank(g.vertices, g.edges, direction=direction))
+
+
+def _rounded(ranked: DataFrame) -> DataFrame:
+    return ranked.select("id", "vertex_type", _r("pagerank"))
 
 
 @query("pagerank")
 def q_pagerank(spark, sf):
-    return _ranked(spark, sf)
+    return _rounded(_ranked(spark, sf))
 
 
 @query("pagerank_both_directions")
 def q_pagerank_both(spark, sf):
-    return _ranked(spark, sf, "both")
+    return _rounded(_ranked(spark, sf, "both"))
 
 
 @query("connected_components")
@@ -464,20 +480,32 @@ def q_connected_components(spark, sf):
     return g.vertices.select("id", "vertex_type").join(connected_components(g.vertices, g.edges), "id")
 
 
+@query("components_many")
+def q_components_many(spark, sf):
+    """About one component a customer, each a long path: orders chained per customer."""
+    return connected_components(*A.order_chains(A.read_table(spark, sf, "orders")))
+
+
 @query("influential_customers")
 def q_influential_customers(spark, sf):
-    return top_k(_ranked(spark, sf), CUSTOMER, TOP_K)
+    return _rounded(top_k(_ranked(spark, sf), CUSTOMER, TOP_K))
+
+
+@query("influential_customers_both")
+def q_influential_customers_both(spark, sf):
+    """Both directions: there the customers' ranks differ."""
+    return _rounded(top_k(_ranked(spark, sf, "both"), CUSTOMER, TOP_K))
 
 
 @query("popular_products")
 def q_popular_products(spark, sf):
-    return top_k(_ranked(spark, sf), PRODUCT, TOP_K)
+    return _rounded(top_k(_ranked(spark, sf), PRODUCT, TOP_K))
 
 
 @query("purchase_graph_etl")
 def q_purchase_graph_etl(spark, sf):
-    g = graph(spark, sf).materialized()
-    ranks = _ranked(spark, sf, g=g)
+    g = graph(spark, sf).materialized().checked()
+    ranks = _rounded(_ranked(spark, sf, g=g))
     comps = g.vertices.select("id", "vertex_type").join(connected_components(g.vertices, g.edges), "id")
     return enriched_output(g, GraphAnalytics(ranks, comps, None, None))
 
@@ -531,10 +559,8 @@ def q_run_business_metrics(spark, sf):
         "metric", "group_key", _r("value"), "text_value")
 
 
-@query("graph_job")
-def q_graph_job(spark, sf):
-    """The graph job through the runner: six catalog inputs, published
-    vertex/edge tables; returns the published vertex table."""
+def _graph_job(spark, sf) -> dict[str, str]:
+    """Run the graph job on six catalog inputs; the name of each published table."""
     inputs = A.retail_inputs(spark, sf)
     props = {}
     for key, (prop, _default) in TABLE_DEFAULTS.items():
@@ -542,16 +568,45 @@ def q_graph_job(spark, sf):
         register_view(inputs[key], view)
         props[prop] = view
     root = scratch_path(spark, "graph_job")
-    props.update({
-        "target-vertices-table": f"default.{unique_name('processed_vertices')}",
-        "target-edges-table": f"default.{unique_name('processed_edges')}",
-        "pagerank-table": f"default.{unique_name('pagerank')}",
-        "base-path": f"{root}/data", "version": "v001",
-        "metrics-reporter": "table", "metrics-path": f"{root}/metrics",
-    })
+    names = {"vertices": "target-vertices-table", "edges": "target-edges-table"} | {
+        label: prop for label, (prop, _default) in RESULT_TABLES.items()}
+    tables = {label: f"default.{unique_name(label)}" for label in names}
+    props.update({prop: tables[label] for label, prop in names.items()})
+    props.update({"base-path": f"{root}/data", "version": "v001", "top-k": str(TOP_K),
+                  "metrics-reporter": "table", "metrics-path": f"{root}/metrics"})
     run_job(spark, PurchaseGraphJob(), props)
-    return scan_table(spark, props["pagerank-table"]).select("id", "vertex_type", _r("pagerank"))
+    return tables
+
+
+@query("graph_job")
+def q_graph_job(spark, sf):
+    """The ranks that the graph job publishes."""
+    return _rounded(scan_table(spark, _graph_job(spark, sf)["pagerank"]))
+
+
+@query("graph_job_vertices")
+def q_graph_job_vertices(spark, sf):
+    return scan_table(spark, _graph_job(spark, sf)["vertices"])
+
+
+@query("graph_job_edges")
+def q_graph_job_edges(spark, sf):
+    return scan_table(spark, _graph_job(spark, sf)["edges"])
+
+
+@query("graph_job_components")
+def q_graph_job_components(spark, sf):
+    return scan_table(spark, _graph_job(spark, sf)["components"])
+
+
+@query("graph_job_top_customers")
+def q_graph_job_top_customers(spark, sf):
+    return _rounded(scan_table(spark, _graph_job(spark, sf)["top_customers"]))
+
 
+@query("graph_job_top_products")
+def q_graph_job_top_products(spark, sf):
+    return _rounded(scan_table(spark, _graph_job(spark, sf)["top_products"]))
 
 
 def queries() -> dict[str, QueryFn]:

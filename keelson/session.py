@@ -12,10 +12,11 @@ import os
 import tempfile
 import uuid
 import zipfile
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_SCRATCH: dict[int, str] = {}
+_LOCAL_SCRATCH: dict[str, str] = {}
 
 
 def local_session(cores: int | str = 8, app: str = "keelson") -> SparkSession:
@@ -51,25 +52,24 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for checkpoints and intermediate tables.
 
     Reads ``spark.checkpoint.dir`` from the session (or the directory already
-    set on the context). Only if neither is set, a fresh local folder is made
-    and registered as the checkpoint directory; that happens in tests only.
+    set on the context). Only if neither is set and the master is local (tests),
+    a fresh local folder is made; on a cluster that is an error.
     """
-    conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if conf_dir:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(conf_dir)
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(conf_dir)
         return conf_dir.rstrip("/")
-    set_dir = spark.sparkContext.getCheckpointDir()
-    key = id(spark.sparkContext)
-    if key in _LOCAL_SCRATCH:
-        return _LOCAL_SCRATCH[key]
-    if set_dir:
-        root = set_dir.rstrip("/")
-    else:
-        root = tempfile.mkdtemp(prefix="keelson-")
-        spark.sparkContext.setCheckpointDir(root)
-    _LOCAL_SCRATCH[key] = root
-    return root
+    if sc.applicationId not in _LOCAL_SCRATCH:
+        root = sc.getCheckpointDir()
+        if not root:
+            if not sc.master.split("[")[0] == "local":
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            root = tempfile.mkdtemp(prefix="keelson-")
+            sc.setCheckpointDir(root)
+        _LOCAL_SCRATCH[sc.applicationId] = root.rstrip("/")
+    return _LOCAL_SCRATCH[sc.applicationId]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -82,15 +82,29 @@ def unique_name(label: str) -> str:
     return f"{label}_{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss).
+@dataclass(frozen=True)
+class Stored:
+    """A frame written once to the shared folder, and its path."""
+
+    df: DataFrame
+    path: str
+
+    def drop(self) -> None:
+        """Delete the files; nothing may read the frame any more."""
+        spark = self.df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def store(df: DataFrame, label: str) -> Stored:
+    """Write ``df`` as Parquet to the shared folder and read it back.
 
-    Writing the checkpoint is a second job over the same plan; it re-reads
-    the first job's shuffle output (those stages are skipped), so only the
-    last stage runs twice. Measured faster than persisting first.
+    One pass over the plan; the files survive lost executors, and readers get
+    pruning, pushdown and true sizes for Spark's own join choices.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return Stored(df.sparkSession.read.schema(df.schema).parquet(path), path)
 
 
 _SHIPPED: set[str] = set()

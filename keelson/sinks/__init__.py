@@ -3,6 +3,7 @@
 from keelson.sinks.versioned import (
     create_empty_table_like,
     create_partitioned_table,
+    drop_database,
     drop_table,
     list_partitions,
     new_version,
@@ -20,6 +21,7 @@ from keelson.sinks.versioned import (
 __all__ = [
     "create_empty_table_like",
     "create_partitioned_table",
+    "drop_database",
     "drop_table",
     "list_partitions",
     "new_version",

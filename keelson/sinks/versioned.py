@@ -2,12 +2,12 @@
 external catalog tables re-pointed from one version to another.
 
 Every version stays on disk, so publishing an older version is a rollback.
-Publishing re-registers partitions from what is on disk for that version
-(MSCK), so partitions never go stale, only tuples that occur are
-registered, and a null value's ``__HIVE_DEFAULT_PARTITION__`` is registered
-too. Only partition tuples (metadata) ever reach the driver, never rows.
-Publishing is not atomic: between dropping the old partitions and the
-repair, a reader can see an empty table.
+Publishing first checks that the version is there, holds data files and fits
+the table. Its partition tuples are then added or re-pointed (a quarter of those at a time), and
+only after that are the absent ones dropped, so no reader finds the table empty
+in between. If a step fails, the table is put back as it was and the error is
+raised again. Only tuples that occur are registered, nulls included. Partition
+tuples (metadata, one row each) reach the driver, never rows.
 """
 
 from __future__ import annotations
@@ -20,7 +20,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-_DROP_BATCH = 500
+# Partitions in one DDL statement; the name Hive-style layouts give a null value.
+_BATCH = 500
+_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def new_version() -> str:
@@ -130,50 +132,168 @@ def _parse_partition(spec: str) -> list[tuple[str, str]]:
     return out
 
 
+def version_files(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists and holds at least one Parquet data file."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(conf)
+    if not fs.exists(p):
+        return False
+    found = fs.listFiles(p, True)
+    while found.hasNext():
+        name = found.next().getPath().getName()
+        if name.endswith(".parquet") and not name.startswith(("_", ".")):
+            return True
+    return False
+
+
+def _check_version(spark: SparkSession, path: str) -> None:
+    if not version_files(spark, path):
+        raise ValueError(f"no version at {path}: nothing is published")
+
+
+def _clauses(specs: Sequence[str], location: str | None = None) -> list[str]:
+    out = []
+    for spec in specs:
+        kv = ", ".join(f"`{k}` = {_sql_value(v)}" for k, v in _parse_partition(spec))
+        out.append(f"PARTITION ({kv})" + (f" LOCATION {_sql_str(f'{location}/{spec}')}" if location else ""))
+    return out
+
+
+def _sql_value(v: str) -> str:
+    return "NULL" if v == _NULL_PARTITION else _sql_str(v)
+
+
+def _in_batches(spark: SparkSession, head: str, clauses: Sequence[str], separator: str) -> None:
+    for i in range(0, len(clauses), _BATCH):
+        spark.sql(f"{head} {separator.join(clauses[i:i + _BATCH])}")
+
+
+def _partition_dirs(spark: SparkSession, path: str, depth: int) -> list[str]:
+    """Partition directories of a version, ``col=value/..``, listed level by level."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(conf)
+    found = [""]
+    for _ in range(depth):
+        found = [f"{d}/{name}".lstrip("/") for d in found
+                 for s in fs.listStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/{d}".rstrip("/")))
+                 for name in [s.getPath().getName()] if s.isDirectory() and "=" in name]
+    return found
+
+
+def _registered(spark: SparkSession, name: str) -> list[str]:
+    return [r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
+
+
+def _repoint(spark: SparkSession, name: str, specs: Sequence[str], root: str) -> None:
+    """Move registered tuples to ``root``, a quarter of them at a time: a few
+    statements however many there are, and never all tuples missing at once."""
+    step = max(1, min(_BATCH, -(-len(specs) // 4)))
+    for i in range(0, len(specs), step):
+        some = specs[i:i + step]
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(_clauses(some))}")
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(_clauses(some, root))}")
+
+
 def publish_partitioned(spark: SparkSession, name: str, base: str, version: str) -> None:
     """Point an existing external partitioned table at ``{base}/{version}``
     and register exactly the partitions present there.
 
-    SET LOCATION, drop every registered partition (batched, files stay as
-    the table is external), then MSCK REPAIR TABLE, which lists the version
-    directory in parallel.
+    The version must exist, hold data files, have the table's partition
+    columns, and keep the types of the columns it shares with the table. New
+    columns are added to the table; columns that only the table has stay, and
+    read as null, so that older versions can still be published.
     """
     if not spark.catalog.tableExists(name):
         raise ValueError(f"table {name} does not exist; create it before publishing")
     if not _is_external(spark, name):
         raise ValueError(f"table {name} must be external: dropping partitions of a managed table deletes files")
     path = version_path(base, version)
-    spark.sql(f"ALTER TABLE {name} SET LOCATION {_sql_str(path)}")
-    specs = [r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
-    for i in range(0, len(specs), _DROP_BATCH):
-        clauses = []
-        for spec in specs[i:i + _DROP_BATCH]:
-            kv = ", ".join(f"`{k}` = {_sql_str(v)}" for k, v in _parse_partition(spec))
-            clauses.append(f"PARTITION ({kv})")
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(clauses)}")
-    spark.sql(f"MSCK REPAIR TABLE {name}")
+    _check_version(spark, path)
+    columns = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    dirs = _partition_dirs(spark, path, len(columns))
+    if not dirs or any([k for k, _ in _parse_partition(d)] != columns for d in dirs):
+        raise ValueError(f"version {path} isn't partitioned by {columns}: nothing is published")
+    table = {f.name: f.dataType for f in spark.table(name).schema.fields}
+    fresh = [f for f in spark.read.parquet(path).schema.fields if f.name not in columns]
+    clash = [f.name for f in fresh if f.name in table and table[f.name] != f.dataType]
+    if clash:
+        raise ValueError(f"version {path} changes the type of {clash}: nothing is published")
+    added = [f for f in fresh if f.name not in table]
+    old_location, old_specs = table_location(spark, name), _registered(spark, name)
+    old_places = {s: _partition_location(spark, name, s) for s in old_specs[:1]}
+    new = {_canonical(d): d for d in dirs}
+    try:
+        if added:
+            spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({ddl_columns(StructType(added))})")
+        # the version's own tuples first, then those of both, and the absent ones last
+        known = {_canonical(s) for s in old_specs}
+        _in_batches(spark, f"ALTER TABLE {name} ADD IF NOT EXISTS",
+                    _clauses([d for c, d in new.items() if c not in known], path), " ")
+        _repoint(spark, name, [d for c, d in new.items() if c in known], path)
+        spark.sql(f"ALTER TABLE {name} SET LOCATION {_sql_str(path)}")
+        _in_batches(spark, f"ALTER TABLE {name} DROP IF EXISTS",
+                    _clauses([s for s in old_specs if _canonical(s) not in new]), ", ")
+        spark.sql(f"REFRESH TABLE {name}")
+    except Exception:
+        _restore(spark, name, old_location, old_specs, old_places, list(new.values()))
+        raise
+
+
+def _canonical(spec: str) -> str:
+    """A partition's tuple as one string, however it is escaped."""
+    return "\0".join(f"{k}={v}" for k, v in _parse_partition(spec))
+
+
+def _partition_location(spark: SparkSession, name: str, spec: str) -> str:
+    rows = spark.sql(f"DESCRIBE FORMATTED {name} {_clauses([spec])[0]}").filter(F.col("col_name") == "Location").collect()
+    return rows[0]["data_type"].strip() if rows else ""
+
+
+def _restore(spark: SparkSession, name: str, location: str, specs: Sequence[str], places: dict[str, str],
+             tried: Sequence[str]) -> None:
+    """Put a table's location and partitions back after a failed publish."""
+    # partitions stand under the version they were published from: the first one's place tells which
+    root = location
+    for spec, place in places.items():
+        if place.endswith("/" + spec):
+            root = place[: -len(spec) - 1]
+    spark.sql(f"ALTER TABLE {name} SET LOCATION {_sql_str(location)}")
+    known = {_canonical(s) for s in specs}
+    _in_batches(spark, f"ALTER TABLE {name} DROP IF EXISTS", _clauses([t for t in tried if _canonical(t) not in known]), ", ")
+    _in_batches(spark, f"ALTER TABLE {name} ADD IF NOT EXISTS", _clauses(specs, root), " ")
+    _repoint(spark, name, [s for s in specs if _canonical(s) in {_canonical(t) for t in tried}], root)
     spark.sql(f"REFRESH TABLE {name}")
 
 
 def publish_table(spark: SparkSession, name: str, base: str, version: str,
                   schema: StructType | None = None) -> None:
     """Create or re-point an unpartitioned external Parquet table at
-    ``{base}/{version}``. If the version's schema differs from the table's,
-    the (external) table is re-created so the new columns show."""
+    ``{base}/{version}``, which must exist. If the version's schema differs
+    from the table's, the (external) table is re-created so the new columns
+    show; should that fail, the old one is created again."""
     path = version_path(base, version)
+    _check_version(spark, path)
     _ensure_database(spark, name)
-    if spark.catalog.tableExists(name):
-        current = spark.table(name).schema
-        wanted = schema or spark.read.parquet(path).schema
-        if [(f.name, f.dataType) for f in current.fields] != [(f.name, f.dataType) for f in wanted.fields]:
-            if not _is_external(spark, name):
-                raise ValueError(f"table {name} must be external to change its schema safely")
-            spark.sql(f"DROP TABLE {name}")
-        else:
-            spark.sql(f"ALTER TABLE {name} SET LOCATION {_sql_str(path)}")
-            spark.sql(f"REFRESH TABLE {name}")
-            return
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION {_sql_str(path)}")
+    create = f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION"
+    if not spark.catalog.tableExists(name):
+        spark.sql(f"{create} {_sql_str(path)}")
+        return
+    current = spark.table(name).schema
+    wanted = schema or spark.read.parquet(path).schema
+    if [(f.name, f.dataType) for f in current.fields] == [(f.name, f.dataType) for f in wanted.fields]:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION {_sql_str(path)}")
+        spark.sql(f"REFRESH TABLE {name}")
+        return
+    if not _is_external(spark, name):
+        raise ValueError(f"table {name} must be external to change its schema safely")
+    old = table_location(spark, name)
+    spark.sql(f"DROP TABLE {name}")
+    try:
+        spark.sql(f"{create} {_sql_str(path)}")
+    except Exception:
+        spark.sql(f"{create} {_sql_str(old)}")
+        raise
 
 
 def save_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
@@ -208,4 +328,10 @@ def list_partitions(spark: SparkSession, name: str) -> DataFrame:
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
+    """Drop a table if it is there; an external table's files stay."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def drop_database(spark: SparkSession, name: str) -> None:
+    """Drop a database with all its tables, if it is there; external tables' files stay."""
+    spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")

@@ -8,16 +8,15 @@ adapter reads its whole source table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from keelson.functions.vehicle import ntz_epoch_ms
 
-# Existing rows take ids below 4/5 of the id range, the new
-# batch takes ids from 2/3 on (so 2/3..4/5 overlap); purchases before
-# 2001-01-01 exist, purchases from 2000-10-01 on are the new batch.
-EXISTING_ID_FRACTION = (4, 5)
-NEW_ID_FRACTION = (2, 3)
+# Of each 15 ids in a row, the first 12 exist and the last 5 are
+# in the new batch (so 2 overlap); purchases before 2001-01-01 exist, purchases
+# from 2000-10-01 on are the new batch.
+ID_CYCLE, EXISTING_BELOW, NEW_FROM_ID = 15, 12, 10
 EXISTING_BEFORE = "2001-01-01 00:00:00"
 NEW_FROM = "2000-10-01 00:00:00"
 
@@ -55,40 +54,38 @@ def vehicle_events(events: DataFrame) -> DataFrame:
     )
 
 
-def _fraction_of_range(df: DataFrame, key: str, frac: tuple[int, int]) -> Column:
-    """Scalar subquery: (max(key) + 1) * num / den, computed by Spark."""
-    num, den = frac
-    return df.select(((F.max(key) + 1) * num / den).alias("bound")).scalar()
+def _existing(key: str) -> Column:
+    return F.col(key) % ID_CYCLE < EXISTING_BELOW
+
+
+def _new(key: str) -> Column:
+    return F.col(key) % ID_CYCLE >= NEW_FROM_ID
+
+
+def all_customers(customer: DataFrame) -> DataFrame:
+    return customer.select(F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("name"),
+                           F.col("c_mktsegment").alias("location"))
 
 
 def customers(customer: DataFrame) -> DataFrame:
-    bound = _fraction_of_range(customer, "c_custkey", EXISTING_ID_FRACTION)
-    return customer.filter(F.col("c_custkey") < bound).select(
-        F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("name"),
-        F.col("c_mktsegment").alias("location"))
+    return all_customers(customer.filter(_existing("c_custkey")))
 
 
 def new_customers(customer: DataFrame) -> DataFrame:
-    bound = _fraction_of_range(customer, "c_custkey", NEW_ID_FRACTION)
-    return customer.filter(F.col("c_custkey") >= bound).select(
-        F.col("c_custkey").alias("customer_id"),
-        F.concat(F.col("c_name"), F.lit(" v2")).alias("name"),
-        F.col("c_mktsegment").alias("location"))
+    return all_customers(customer.filter(_new("c_custkey"))).withColumn("name", F.concat("name", F.lit(" v2")))
+
+
+def all_products(part: DataFrame) -> DataFrame:
+    return part.select(F.col("p_partkey").alias("product_id"), F.col("p_name").alias("name"),
+                       F.col("p_type").alias("category"), F.col("p_retailprice").alias("price"))
 
 
 def products(part: DataFrame) -> DataFrame:
-    bound = _fraction_of_range(part, "p_partkey", EXISTING_ID_FRACTION)
-    return part.filter(F.col("p_partkey") < bound).select(
-        F.col("p_partkey").alias("product_id"), F.col("p_name").alias("name"),
-        F.col("p_type").alias("category"), F.col("p_retailprice").alias("price"))
+    return all_products(part.filter(_existing("p_partkey")))
 
 
 def new_products(part: DataFrame) -> DataFrame:
-    bound = _fraction_of_range(part, "p_partkey", NEW_ID_FRACTION)
-    return part.filter(F.col("p_partkey") >= bound).select(
-        F.col("p_partkey").alias("product_id"),
-        F.concat(F.col("p_name"), F.lit(" v2")).alias("name"),
-        F.col("p_type").alias("category"), F.col("p_retailprice").alias("price"))
+    return all_products(part.filter(_new("p_partkey"))).withColumn("name", F.concat("name", F.lit(" v2")))
 
 
 def _purchases(lineitem: DataFrame, orders: DataFrame, order_filter: Column) -> DataFrame:
@@ -104,6 +101,10 @@ def _purchases(lineitem: DataFrame, orders: DataFrame, order_filter: Column) ->
     )
 
 
+def all_purchases(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+    return _purchases(lineitem, orders, F.lit(True))
+
+
 def purchases(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     return _purchases(lineitem, orders, F.col("o_orderdate") < _ntz(EXISTING_BEFORE))
 
@@ -112,6 +113,15 @@ def new_purchases(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     return _purchases(lineitem, orders, F.col("o_orderdate") >= _ntz(NEW_FROM))
 
 
+def order_chains(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Vertices and edges of a graph with many components and long paths:
+    each order is linked to the same customer's next order by key."""
+    ids = F.concat(F.lit("o:"), F.col("o_orderkey").cast("string"))
+    following = F.lead("o_orderkey").over(Window.partitionBy("o_custkey").orderBy("o_orderkey"))
+    edges = orders.select(ids.alias("src"), F.concat(F.lit("o:"), following.cast("string")).alias("dst"))
+    return orders.select(ids.alias("id")), edges.filter("dst IS NOT NULL")
+
+
 def retail_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The six inputs of the purchase-graph job, from the driver's tables."""
     customer = read_table(spark, sf_dir, "customer")
