@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm import line_quality
-from keelson.session import scratch_path
+import public_tokenizers
+from keelson.llm import hilbert_pack, line_quality, ordinal, signature_tree, suffix_repeats
+from keelson.session import scratch_path, ship_package
 
 #: Columns of ``documents``; every stage but the last returns them.
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -15,11 +16,44 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Line-first cleaning: failing lines go from the text, rejected documents go as a whole."""
     kept = line_quality.with_line_quality(docs).filter("kept")
-    kept = kept.withColumn("text", F.col("clean_text")).withColumn("n_chars", F.length("text").cast("long"))
-    return kept.select(*COLUMNS)
+    return kept.withColumn("text", F.col("clean_text")).withColumn(
+        "n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*COLUMNS)
 
 
-STAGES = [("quality rules", quality_rules)]
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are unlikely to be good by the ordinal regression go."""
+    ship_package(spark)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select(
+        "doc_id", ordinal.grade_of(F.col("quality"), F.col("toxic")).alias("grade"))
+    return ordinal.with_grades(docs, ordinal.fit(docs, labels)).filter("kept").select(*COLUMNS)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates (five words, similarity 0.8) stays."""
+    ship_package(spark)
+    return signature_tree.one_of_each(docs.select(*COLUMNS))
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Byte strings of 50 or more that a document with a smaller id has too go from the text."""
+    ship_package(spark)
+    docs = docs.select(*COLUMNS)
+    return suffix_repeats.without_repeats(docs, suffix_repeats.kept_texts, docs.schema)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences of 2048 tokens along the Hilbert curve."""
+    ship_package(spark)
+    return hilbert_pack.packed_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("quality classifier", quality_classifier),
+    ("near duplicates", near_duplicates),
+    ("repeated passages", repeated_passages),
+    ("packing", packing),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,4 +66,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
+#: SQL can't express the classifier and the packing; tests/llm compare the stages with brute force.
 ORACLE_SQL = None

@@ -29,9 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from keelson.llm.packed import (
-    bucket_bounds, bucket_count, blocks_with_replies, exchange, from_low48, low48, pack, reply_map, with_replies,
-)
+from keelson.llm.packed import bucket_count, counted_keys, key_totals, pack, with_replies
 from keelson.llm.textbytes import SpanHash, flat, lower_ascii, mix, words
 
 # Fixed value: the published backoff factor.
@@ -65,78 +63,41 @@ def _sent(rows: pa.RecordBatch, order: int) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(every[every != 0], return_counts=True)
 
 
-def _packed_counts(count: np.ndarray) -> bytes:
-    return pa.compress(count.astype("<i8").tobytes(), "zstd", asbytes=True)
-
-
-def _answer(payloads: list[bytes]) -> list[bytes | None]:
-    """Totals of the keys that occur twice or more; the others' total is 1."""
-    keys, counts = [], []
-    for p in payloads:
-        n = int(np.frombuffer(p, np.int64, 1)[0])
-        keys.append(from_low48(p[8 : 8 + 6 * n]))
-        counts.append(np.frombuffer(pa.decompress(p[8 + 6 * n :], 8 * n, "zstd", asbytes=True), "<i8"))
-    sizes = [len(k) for k in keys]
-    key, count = np.concatenate(keys), np.concatenate(counts)
-    _, inverse = np.unique(key, return_inverse=True)
-    total = np.bincount(inverse, weights=count)[inverse].astype(np.int64)
-    out = []
-    for t in np.split(total, np.cumsum(sizes)[:-1]):
-        more = t > 1
-        out.append(np.packbits(more).tobytes() + _packed_counts(t[more]) if more.any() else None)
-    return out
-
-
 def backoff_scores(docs: DataFrame, order: int = ORDER, least_count: int = LEAST_COUNT, id_col: str = "doc_id") -> DataFrame:
     """(id, ``n_words``, ``log_score``, ``mean_log_score``, ``n_backoffs``) of every row; natural logarithms."""
     blocks = pack(docs.select(id_col, "text"))
     buckets = bucket_count(blocks)
 
-    def send(rows: pa.RecordBatch):
-        h, count = _sent(rows, order)
-
-        def payload(lo: int, hi: int) -> bytes:
-            return np.int64(hi - lo).tobytes() + low48(h[lo:hi]) + _packed_counts(count[lo:hi])
-        return h, payload
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows, replies in blocks_with_replies(batches):
-            grams, bounds = ngrams(rows.column("text"), order)
-            every = np.concatenate(grams)
-            h = np.unique(every[every != 0])
-            total = np.ones(len(h), np.int64)
-            got = reply_map(replies)
-            which, cuts = bucket_bounds(h, buckets)
-            for b, lo, hi in zip(which.tolist(), cuts, cuts[1:]):
-                if b in got:
-                    width = -(-int(hi - lo) // 8)
-                    more = np.unpackbits(np.frombuffer(got[b], np.uint8, width), count=int(hi - lo)).astype(bool)
-                    total[lo:hi][more] = np.frombuffer(
-                        pa.decompress(got[b][width:], 8 * int(more.sum()), "zstd", asbytes=True), "<i8")
-
-            def count(keys: np.ndarray) -> np.ndarray:
-                there = keys != 0
-                out = np.zeros(len(keys))
-                out[there] = total[np.searchsorted(h, keys[there])]
-                return out
-
-            tables = [count(g) for g in grams]
-            log, steps = np.full(len(grams[0]), -np.inf), np.zeros(len(grams[0]))
-            longest = np.minimum(np.arange(len(grams[0])) - np.repeat(bounds[:-1], np.diff(bounds)) + 1, order)
-            for n in range(order, 0, -1):
-                before = np.concatenate([[0.0], tables[n - 1][:-1]]) if n > 1 else tables[0]
-                use = np.isinf(log) & (longest >= n) & ((n == 1) | (tables[n] >= least_count))
-                steps += np.isinf(log) & (longest >= n) & ~use
-                log[use] = np.log(tables[n][use] / before[use]) + steps[use] * np.log(ALPHA)
-            n_words = np.diff(bounds)
-            backs = np.concatenate([[0.0], np.cumsum(steps)])[bounds]
-            # summed text by text, so that a score doesn't depend on its neighbours
-            each = np.add.reduceat(np.append(log, 0.0), bounds[:-1]) if len(n_words) else np.zeros(0)
-            each = np.where(n_words > 0, each, 0.0)
-            yield pa.RecordBatch.from_pydict({
-                id_col: rows.column(id_col).cast(pa.int64()), "n_words": pa.array(n_words, pa.int64()),
-                "log_score": pa.array(each), "mean_log_score": pa.array(each / np.maximum(1, n_words), mask=n_words == 0),
-                "n_backoffs": pa.array(np.diff(backs).astype(np.int64))})
+    def score(part: int, number: int, rows: pa.RecordBatch, got: dict[int, bytes], block: dict) -> Iterator[pa.RecordBatch]:
+        grams, bounds = ngrams(rows.column("text"), order)
+        every = np.concatenate(grams)
+        h = np.unique(every[every != 0])
+        total = key_totals(h, buckets, got)
+
+        def count(keys: np.ndarray) -> np.ndarray:
+            there = keys != 0
+            out = np.zeros(len(keys))
+            out[there] = total[np.searchsorted(h, keys[there])]
+            return out
+
+        tables = [count(g) for g in grams]
+        log, steps = np.full(len(grams[0]), -np.inf), np.zeros(len(grams[0]))
+        longest = np.minimum(np.arange(len(grams[0])) - np.repeat(bounds[:-1], np.diff(bounds)) + 1, order)
+        for n in range(order, 0, -1):
+            before = np.concatenate([[0.0], tables[n - 1][:-1]]) if n > 1 else tables[0]
+            use = np.isinf(log) & (longest >= n) & ((n == 1) | (tables[n] >= least_count))
+            steps += np.isinf(log) & (longest >= n) & ~use
+            log[use] = np.log(tables[n][use] / before[use]) + steps[use] * np.log(ALPHA)
+        n_words = np.diff(bounds)
+        backs = np.concatenate([[0.0], np.cumsum(steps)])[bounds]
+        # summed text by text, so that a score doesn't depend on its neighbours
+        each = np.add.reduceat(np.append(log, 0.0), bounds[:-1]) if len(n_words) else np.zeros(0)
+        each = np.where(n_words > 0, each, 0.0)
+        yield pa.RecordBatch.from_pydict({
+            id_col: rows.column(id_col).cast(pa.int64()), "n_words": pa.array(n_words, pa.int64()),
+            "log_score": pa.array(each), "mean_log_score": pa.array(each / np.maximum(1, n_words), mask=n_words == 0),
+            "n_backoffs": pa.array(np.diff(backs).astype(np.int64))})
 
     schema = f"`{id_col}` bigint, n_words bigint, log_score double, mean_log_score double, n_backoffs bigint"
-    return with_replies(blocks, exchange(blocks, buckets, send, _answer)).mapInArrow(score, schema)
+    totals = counted_keys(blocks, buckets, lambda rows: _sent(rows, order))
+    return with_replies(blocks, totals, score, schema)

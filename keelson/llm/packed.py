@@ -7,6 +7,9 @@ each block sends its distinct keys as one binary row per bucket of the key
 space, a bucket's keys meet in one task, and the answer goes back to the block
 as one binary row per bucket. A key that stands in a third of all documents is
 sent at most once a block, so no bucket grows with a hot key's documents.
+
+Blocks are stored once, bucketed by ``part`` (the task that packed them, one
+file each), so that answers come to them without moving the texts again.
 """
 
 from __future__ import annotations
@@ -18,18 +21,23 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from keelson.llm.textbytes import pieces
-from keelson.session import scratch_path
+from keelson.session import scratch_path, unique_name
 
 #: Bytes of text in a block, and of text for each bucket of the key space.
 BLOCK_BYTES = 2 << 20
 BUCKET_BYTES = 4 << 20
+#: zstd level of the blocks: they are stored, so size counts more than time.
+LEVEL = 6
 
 
 def pack_batch(batch: pa.RecordBatch) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=LEVEL))
+    with pa.ipc.new_stream(sink, batch.schema, options=options) as w:
         w.write_batch(batch)
     return sink.getvalue().to_pybytes()
 
@@ -46,21 +54,36 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def stored_by_part(df: DataFrame, label: str) -> DataFrame:
+    """``df`` stored in buckets of ``part``: grouping by part needs no shuffle of it.
+
+    The table's name is only needed to write and to read it as a bucketed one;
+    it is dropped at once, the files stay in the shared folder.
+    """
+    spark, name = df.sparkSession, unique_name("keelson_" + label)
+    buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    df.write.option("path", scratch_path(spark, label)).bucketBy(buckets, "part").saveAsTable(name)
+    out = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return out
+
+
 def pack(docs: DataFrame, text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Stored blocks (``batch``, ``bytes``, ``blob``) of all rows and columns of ``docs``; each batch number is unique."""
+    """Stored blocks (``part``, ``batch``, ``bytes``, ``blob``) of all rows and columns of ``docs``; batch numbers are unique."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        number = TaskContext.get().partitionId() << 24
+        part = TaskContext.get().partitionId()
+        number = part << 24
         for piece in pieces(batches, text_col, block_bytes):
             piece = pa.RecordBatch.from_arrays(
                 [pa.concat_arrays([c]) for c in piece.columns], schema=piece.schema)  # own offsets, not a view
             yield pa.RecordBatch.from_pydict({
-                "batch": pa.array([number], pa.int64()), "bytes": pa.array([piece.nbytes], pa.int64()),
-                "blob": pa.array([pack_batch(piece)], pa.binary())})
+                "part": pa.array([part], pa.int64()), "batch": pa.array([number], pa.int64()),
+                "bytes": pa.array([piece.nbytes], pa.int64()), "blob": pa.array([pack_batch(piece)], pa.binary())})
             number += 1
 
-    return stored(docs.mapInArrow(run, "batch bigint, bytes bigint, blob binary"), "blocks")
+    return stored_by_part(docs.mapInArrow(run, "part bigint, batch bigint, bytes bigint, blob binary"), "blocks")
 
 
 def bucket_count(blocks: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
@@ -90,44 +113,63 @@ def from_low48(b: bytes) -> np.ndarray:
     return out.reshape(-1).view("<u8")
 
 
-Sender = Callable[..., tuple[np.ndarray, Callable[[int, int], bytes]]]
+Send = Callable[..., tuple[np.ndarray, Callable[[int, int], bytes]]]
+Answer = Callable[[list[bytes]], list[bytes | None]]
+Each = Callable[..., Iterator[pa.RecordBatch]]
 
 
-def exchange(blocks: DataFrame, buckets: int, send: Sender, answer: Callable[[list[bytes]], list[bytes | None]]) -> DataFrame:
-    """(``batch``, ``bucket``, ``reply``): what each bucket answers to each block.
+def _payloads(part: int, number: int, h: np.ndarray, payload: Callable[[int, int], bytes], buckets: int) -> pa.RecordBatch:
+    which, bounds = bucket_bounds(h, buckets)
+    return pa.RecordBatch.from_pydict({
+        "bucket": pa.array(which, pa.int32()), "part": pa.array([part] * len(which), pa.int64()),
+        "batch": pa.array([number] * len(which), pa.int64()),
+        "payload": pa.array([payload(int(x), int(y)) for x, y in zip(bounds, bounds[1:])], pa.binary())})
 
-    ``send(rows)`` gives a block's keys in ascending order and a function that
-    makes the payload of keys [lo, hi). ``answer(payloads)`` gets all payloads
-    of a bucket and gives a reply, or None for none, to each.
+
+def exchange(blocks: DataFrame, buckets: int, send: Send, answer: Answer, replies: DataFrame | None = None) -> DataFrame:
+    """(``part``, ``batch``, ``bucket``, ``reply``): what each bucket answers to each block.
+
+    ``send(rows)``, or ``send(rows, replies)`` with earlier replies, gives a
+    block's keys in ascending order and a function that makes the payload of
+    keys [lo, hi). ``answer(payloads)`` gets all payloads of a bucket and gives
+    a reply, or None for none, to each.
     """
+    schema = "bucket int, part bigint, batch bigint, payload binary"
+
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for number, blob in zip(b.column("batch").to_pylist(), b.column("blob")):
-                h, payload = send(unpack_batch(blob.as_py()))
-                which, bounds = bucket_bounds(h, buckets)
-                if len(which):
-                    yield pa.RecordBatch.from_pydict({
-                        "bucket": pa.array(which, pa.int32()), "batch": pa.array([number] * len(which), pa.int64()),
-                        "payload": pa.array([payload(int(x), int(y)) for x, y in zip(bounds, bounds[1:])], pa.binary())})
+            for part, number, blob in zip(b.column("part").to_pylist(), b.column("batch").to_pylist(), b.column("blob")):
+                yield _payloads(part, number, *send(unpack_batch(blob.as_py())), buckets)
+
+    def sent_on(part: int, number: int, rows: pa.RecordBatch, got: dict[int, bytes], block: dict) -> Iterator[pa.RecordBatch]:
+        yield _payloads(part, number, *send(rows, got), buckets)
 
     def answered(group: pa.Table) -> pa.Table:
-        replies = answer(group.column("payload").to_pylist())
-        keep = pa.array([r is not None for r in replies])
-        return pa.table({"batch": group.column("batch"), "bucket": group.column("bucket"),
-                         "reply": pa.array(replies, pa.binary())}).filter(keep)
+        found = answer(group.column("payload").to_pylist())
+        keep = pa.array([r is not None for r in found])
+        return group.select(["part", "batch", "bucket"]).append_column("reply", pa.array(found, pa.binary())).filter(keep)
 
-    return (blocks.select("batch", "blob").mapInArrow(sent, "bucket int, batch bigint, payload binary")
-            .groupBy("bucket").applyInArrow(answered, "batch bigint, bucket int, reply binary"))
+    rows = (blocks.select("part", "batch", "blob").mapInArrow(sent, schema) if replies is None
+            else with_replies(blocks, replies, sent_on, schema))
+    return rows.groupBy("bucket").applyInArrow(answered, "part bigint, batch bigint, bucket int, reply binary")
 
 
-def with_replies(blocks: DataFrame, replies: DataFrame) -> DataFrame:
-    """Blocks with all their replies, an array of (bucket, reply); null if none came."""
-    gathered = replies.groupBy("batch").agg(F.collect_list(F.struct("bucket", "reply")).alias("replies"))
-    return blocks.join(gathered, "batch", "left")
+def with_replies(blocks: DataFrame, replies: DataFrame, each: Each, schema: str | StructType) -> DataFrame:
+    """``each(part, batch, rows, replies by bucket, other columns)`` on every block; it yields record batches of ``schema``."""
+    target = to_arrow_schema(schema if isinstance(schema, StructType) else StructType.fromDDL(schema))
 
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        got: dict[int, dict[int, bytes]] = {}
+        for number, bucket, reply in zip(*(right.column(c).to_pylist() for c in ("batch", "bucket", "reply"))):
+            got.setdefault(number, {})[bucket] = reply
+        out = []
+        for i in range(left.num_rows):
+            block = {c: left.column(c)[i].as_py() for c in left.column_names}
+            out += each(block["part"], block["batch"], unpack_batch(block.pop("blob")), got.get(block["batch"], {}), block)
+        return pa.concat_tables([pa.Table.from_batches([x]).select(target.names).cast(target) for x in out]
+                                or [target.empty_table()])
 
-def reply_map(replies: list | None) -> dict[int, bytes]:
-    return {r["bucket"]: r["reply"] for r in replies or ()}
+    return blocks.groupBy("part").cogroup(replies.groupBy("part")).applyInArrow(run, schema)
 
 
 def shared_keys(blocks: DataFrame, buckets: int, keys: Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
@@ -159,10 +201,9 @@ def shared_keys(blocks: DataFrame, buckets: int, keys: Callable[[pa.RecordBatch]
     return exchange(blocks, buckets, send, answer)
 
 
-def shared_mask(h: np.ndarray, buckets: int, replies: list | None) -> np.ndarray:
+def shared_mask(h: np.ndarray, buckets: int, got: dict[int, bytes]) -> np.ndarray:
     """The answer of ``shared_keys`` for a block's ascending keys."""
     out = np.zeros(len(h), bool)
-    got = reply_map(replies)
     if got:
         which, bounds = bucket_bounds(h, buckets)
         for b, lo, hi in zip(which.tolist(), bounds, bounds[1:]):
@@ -171,9 +212,50 @@ def shared_mask(h: np.ndarray, buckets: int, replies: list | None) -> np.ndarray
     return out
 
 
-def blocks_with_replies(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch, list | None]]:
-    """(batch number, rows, replies) of each block, inside mapInArrow."""
-    for b in batches:
-        replies = b.column("replies")
-        for i, number in enumerate(b.column("batch").to_pylist()):
-            yield number, unpack_batch(b.column("blob")[i].as_py()), replies[i].as_py()
+def packed_counts(count: np.ndarray) -> bytes:
+    return pa.compress(count.astype("<i8").tobytes(), "zstd", asbytes=True)
+
+
+def unpacked_counts(b: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(b, 8 * n, "zstd", asbytes=True), "<i8") if n else np.zeros(0, np.int64)
+
+
+def counted_keys(blocks: DataFrame, buckets: int, count: Callable[..., tuple[np.ndarray, np.ndarray]],
+                 replies: DataFrame | None = None) -> DataFrame:
+    """Replies with the corpus total of each block's keys that total two or more.
+
+    ``count(rows[, replies])``: a block's distinct keys, ascending, and how
+    often the block has each.
+    """
+    def send(*block):
+        h, n = count(*block)
+
+        def payload(lo: int, hi: int) -> bytes:
+            return np.int64(hi - lo).tobytes() + low48(h[lo:hi]) + packed_counts(n[lo:hi])
+        return h, payload
+
+    def answer(payloads: list[bytes]) -> list[bytes | None]:
+        sizes = [int(np.frombuffer(p, np.int64, 1)[0]) for p in payloads]
+        key = np.concatenate([from_low48(p[8 : 8 + 6 * n]) for p, n in zip(payloads, sizes)])
+        each = np.concatenate([unpacked_counts(p[8 + 6 * n :], n) for p, n in zip(payloads, sizes)])
+        _, inverse = np.unique(key, return_inverse=True)
+        total = np.bincount(inverse, weights=each)[inverse].astype(np.int64)
+        out = []
+        for t in np.split(total, np.cumsum(sizes)[:-1]):
+            more = t > 1
+            out.append(np.packbits(more).tobytes() + packed_counts(t[more]) if more.any() else None)
+        return out
+
+    return exchange(blocks, buckets, send, answer, replies)
+
+
+def key_totals(h: np.ndarray, buckets: int, got: dict[int, bytes]) -> np.ndarray:
+    """The answer of ``counted_keys`` for a block's ascending keys."""
+    total = np.ones(len(h), np.int64)
+    which, cuts = bucket_bounds(h, buckets)
+    for b, lo, hi in zip(which.tolist(), cuts.tolist(), cuts[1:].tolist()):
+        if b in got:
+            width = -(-(hi - lo) // 8)
+            more = np.unpackbits(np.frombuffer(got[b], np.uint8, width), count=hi - lo).astype(bool)
+            total[lo:hi][more] = unpacked_counts(got[b][width:], int(more.sum()))
+    return total

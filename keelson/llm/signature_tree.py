@@ -8,6 +8,8 @@ of the link graph.
    ``m`` elements of their intersection within a prefix of each (prefix
    filter with overlap m). Blocks exchange prefix shingles; a document with
    too few prefix shingles that occur in any other document links with none.
+   The documents left exchange all their shingles: one with less than 0.8 of
+   them in other documents links with none.
 2. Equal sets are one class, kept by one representative.
 3. Signature trees over classes that share a smallest shingle (two hash
    orders): leaves hold token bitmaps and sizes, inner nodes their OR and the
@@ -15,9 +17,12 @@ of the link graph.
    overlap is below the least overlap a link needs; leaf pairs that remain and
    aren't yet connected are compared exactly. This finds nearly all links.
    Buckets above ``TREE_LEAVES`` are dealt into several trees here.
-4. The rest, exactly: prefix shingles that still join classes of different
-   groups each get a tree (over all their classes, in pairs of blocks) on
-   bitmaps; surviving pairs are compared by their whole sets.
+4. The rest, exactly: with shingles in order of their total (rarest first),
+   linked classes share one within the first n - ceil(0.8 n) + 1 of each. Such
+   shingles that still join classes of different groups each get a tree (over
+   all their classes, in pairs of blocks) on bitmaps and on what is left from
+   the shingle on: a pair's first common shingle has its whole intersection
+   behind it. Surviving pairs are compared by their whole sets.
 5. Links are contracted to components.
 
 Edge cases: fewer words than five make one shingle of them all; a null, empty
@@ -30,6 +35,7 @@ hashes of their bytes.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +44,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keelson.llm.links import linked_groups
-from keelson.llm.packed import blocks_with_replies, bucket_count, pack, shared_keys, shared_mask, stored, with_replies
+from keelson.llm.packed import (
+    bucket_count, counted_keys, key_totals, pack, shared_keys, shared_mask, stored, with_replies,
+)
 from keelson.llm.textbytes import SpanHash, flat, lower_ascii, mix, ranges, words
 
 # The link's definition.
@@ -46,7 +54,7 @@ SHINGLE_WORDS = 5
 SHARE = (4, 5)          # least Jaccard similarity: 80 / 100
 
 #: Leaves of one tree in step 3, classes of one block in step 4, children of a node, bits of a bitmap in step 4.
-TREE_LEAVES, BLOCK_CLASSES, FANOUT, BITS = 256, 4096, 8, 1024
+TREE_LEAVES, BLOCK_CLASSES, FANOUT, BITS = 256, 4096, 8, 4096
 
 
 def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -92,29 +100,33 @@ def prefix_keys(texts: pa.Array):
     length, least = prefix_sizes(n)
     at = ranges(bounds[:-1], length)
     # mixed anew: the least hashes of each text would all fall in the first buckets
-    keys, inverse, count = np.unique(mix(h[at] ^ np.uint64(0x2545F4914F6CDD1D)), return_inverse=True, return_counts=True)
+    keys, inverse, count = np.unique(_spread(h[at]), return_inverse=True, return_counts=True)
     return keys, count > 1, inverse, length, least, h, bounds
 
 
 class Tree:
-    """Leaves in order of (group, size), joined FANOUT at a time up to one root; levels[0] are the leaves."""
+    """Leaves in order of (group, size), joined FANOUT at a time up to one root; levels[0] are the leaves.
 
-    def __init__(self, size: np.ndarray, bits: np.ndarray, group: np.ndarray, largest: int):
+    ``limit``: the most elements that a leaf may share, at most its size.
+    """
+
+    def __init__(self, size: np.ndarray, limit: np.ndarray, bits: np.ndarray, group: np.ndarray, largest: int):
         self.order = np.lexsort((size, group == largest))
-        size, bits, group = size[self.order], bits[self.order], group[self.order]
+        size, limit, bits, group = (x[self.order] for x in (size, limit, bits, group))
         extra = size - np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
-        self.levels = [(size, size, bits, extra, group, group)]
+        self.levels = [(size, size, limit, bits, extra, group, group)]
         while len(self.levels[-1][0]) > 1:
-            low, high, b, x, g, k = self.levels[-1]
+            low, high, most, b, x, g, k = self.levels[-1]
             at = np.arange(0, len(low), FANOUT)
-            self.levels.append((np.minimum.reduceat(low, at), np.maximum.reduceat(high, at), np.bitwise_or.reduceat(b, at, axis=0),
-                                np.maximum.reduceat(x, at), np.minimum.reduceat(g, at), np.maximum.reduceat(k, at)))
+            self.levels.append((np.minimum.reduceat(low, at), np.maximum.reduceat(high, at), np.maximum.reduceat(most, at),
+                                np.bitwise_or.reduceat(b, at, axis=0), np.maximum.reduceat(x, at),
+                                np.minimum.reduceat(g, at), np.maximum.reduceat(k, at)))
 
     def may_link(self, level: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether any leaf below node a may link with one of another group below node b."""
-        low, high, bits, extra, g, k = self.levels[level]
+        low, high, limit, bits, extra, g, k = self.levels[level]
         both = np.bitwise_count(bits[a] & bits[b]).sum(axis=1, dtype=np.int64)
-        most = np.minimum(np.minimum(high[a], high[b]), both + np.minimum(extra[a], extra[b]))
+        most = np.minimum(np.minimum(limit[a], limit[b]), both + np.minimum(extra[a], extra[b]))
         if level == 0:  # an element whose bit the other side lacks is not in it
             pa_, pb = (np.bitwise_count(bits[x]).sum(axis=1, dtype=np.int64) for x in (a, b))
             most = np.minimum(most, np.minimum(low[a] - (pa_ - both), low[b] - (pb - both)))
@@ -179,7 +191,7 @@ def _tree_links(group: pa.Table) -> pa.Table:
         return x
 
     out = []
-    for a, b in Tree(size, bitmaps(sets, bits), np.arange(len(sets)), -1).pairs():
+    for a, b in Tree(size, size, bitmaps(sets, bits), np.arange(len(sets)), -1).pairs():
         for x, y in zip(a.tolist(), b.tolist()):
             rx, ry = find(x), find(y)
             if rx != ry and is_link(sets[x], sets[y]):
@@ -190,10 +202,10 @@ def _tree_links(group: pa.Table) -> pa.Table:
 
 def _tree_candidates(group: pa.Table) -> pa.Table:
     """Pairs of different groups that share a prefix shingle and that bitmaps and sizes can't rule out."""
-    uid, size, cut, side = (group.column(c).to_numpy() for c in ("uid", "n", "group", "block"))
+    uid, size, left, cut, side = (group.column(c).to_numpy() for c in ("uid", "n", "left", "group", "block"))
     bits = np.frombuffer(b"".join(group.column("bits").to_pylist()), np.uint64).reshape(len(uid), -1)
     values, counts = np.unique(cut, return_counts=True)
-    tree = Tree(size.astype(np.int64), bits, cut, values[counts.argmax()])
+    tree = Tree(size, left, bits, cut, values[counts.argmax()])
     one = group.column("lo")[0].as_py() == group.column("hi")[0].as_py()
     found = [np.zeros((2, 0), np.int64)]
     for a, b in tree.pairs():
@@ -203,37 +215,77 @@ def _tree_candidates(group: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def _documents(docs: DataFrame) -> DataFrame:
-    """Steps 1 and 2, stored: every row's uid, doc_id, n, set digest (d1, d2), and its tokens if it may link."""
-    blocks = pack(docs)
-    buckets = bucket_count(blocks)
-    replies = shared_keys(blocks, buckets, lambda rows: prefix_keys(rows.column("text"))[:2])
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, rows, got in blocks_with_replies(batches):
-            keys, _, inverse, length, least, h, bounds = prefix_keys(rows.column("text"))
-            hit = shared_mask(keys, buckets, got)[inverse]
-            n = np.diff(bounds)
-            inside = np.concatenate([[0], np.cumsum(hit)])
-            ends = np.cumsum(length)
-            may = (n > 0) & (inside[ends] - inside[ends - length] >= least)
-            sums = np.concatenate([np.zeros((1, 2), np.uint64), np.cumsum(
-                np.stack([mix(h ^ np.uint64(0x8EBC6AF09C88C6E3)), mix(h + np.uint64(0x589965CC75374CC3))], 1), axis=0, dtype=np.uint64)])
-            d = (sums[bounds[1:]] - sums[bounds[:-1]]).view(np.int64)
-            first: set = set()  # equal sets of a block: the tokens once
-            tokens = []
-            for i in range(len(n)):
-                key = (d[i, 0], d[i, 1])
-                tokens.append(h[bounds[i] : bounds[i + 1]].tobytes() if may[i] and key not in first else None)
-                if may[i]:
-                    first.add(key)
-            yield pa.RecordBatch.from_pydict({
-                "uid": pa.array((number << 16) + np.arange(len(n)), pa.int64()), "doc_id": rows.column("doc_id"),
-                "n": pa.array(n, pa.int64()), "may": pa.array(may), "d1": pa.array(d[:, 0]), "d2": pa.array(d[:, 1]),
-                "tokens": pa.array(tokens, pa.binary())})
+def _may_link(rows: pa.RecordBatch, buckets: int, got: dict[int, bytes]):
+    """A block's sets, their bounds and digests, and which may link by their prefixes."""
+    keys, _, inverse, length, least, h, bounds = prefix_keys(rows.column("text"))
+    hit = shared_mask(keys, buckets, got)[inverse]
+    n = np.diff(bounds)
+    inside = np.concatenate([[0], np.cumsum(hit)])
+    ends = np.cumsum(length)
+    may = (n > 0) & (inside[ends] - inside[ends - length] >= least)
+    sums = np.concatenate([np.zeros((1, 2), np.uint64), np.cumsum(
+        np.stack([mix(h ^ np.uint64(0x8EBC6AF09C88C6E3)), mix(h + np.uint64(0x589965CC75374CC3))], 1), axis=0, dtype=np.uint64)])
+    return h, bounds, (sums[bounds[1:]] - sums[bounds[:-1]]).view(np.int64), may
+
 
-    return stored(with_replies(blocks, replies).mapInArrow(
-        sets, "uid bigint, doc_id bigint, n bigint, may boolean, d1 bigint, d2 bigint, tokens binary"), "sets")
+def _first_of_each(digest: np.ndarray, may: np.ndarray) -> np.ndarray:
+    """The first row of each equal set among those that may link."""
+    rows = np.flatnonzero(may)
+    _, first = np.unique(digest[rows], axis=0, return_index=True)
+    return rows[np.sort(first)]
+
+
+def _spread(h: np.ndarray) -> np.ndarray:
+    return mix(h ^ np.uint64(0x2545F4914F6CDD1D))
+
+
+def _documents(blocks: DataFrame) -> DataFrame:
+    """Steps 1 and 2, stored: every row's uid, doc_id, n and set digest (d1, d2), and whether it may link.
+
+    The first row of each equal set of a block has its tokens, and the ``prefix`` of step 4.
+    """
+    buckets = bucket_count(blocks)
+    shared = stored(shared_keys(blocks, buckets, lambda rows: prefix_keys(rows.column("text"))[:2]), "shared")
+
+    def whole(h: np.ndarray, bounds: np.ndarray, digest: np.ndarray, may: np.ndarray):
+        one = _first_of_each(digest, may)
+        at = ranges(bounds[one], np.diff(bounds)[one])
+        return one, at, np.unique(_spread(h[at]), return_inverse=True, return_counts=True)
+
+    def count(rows: pa.RecordBatch, got: dict[int, bytes]):
+        keys, _, n = whole(*_may_link(rows, buckets, got))[2]
+        return keys, n
+
+    totals = stored(counted_keys(blocks, buckets, count, shared), "totals")
+    replies = shared.withColumn("bucket", -1 - F.col("bucket")).unionByName(totals)
+
+    def sets(part: int, number: int, rows: pa.RecordBatch, got: dict[int, bytes], block: dict) -> Iterator[pa.RecordBatch]:
+        h, bounds, d, may = _may_link(rows, buckets, {-1 - k: v for k, v in got.items() if k < 0})
+        one, at, (keys, inverse, _) = whole(h, bounds, d, may)
+        total = key_totals(keys, buckets, {k: v for k, v in got.items() if k >= 0})[inverse]
+        n = np.diff(bounds)
+        edge = np.concatenate([[0], np.cumsum(n[one])])
+        tokens, prefix, left, none = [None] * len(n), [None] * len(n), [None] * len(n), set()
+        for i, lo, hi in zip(one.tolist(), edge.tolist(), edge[1:].tolist()):
+            t, x = total[lo:hi], h[at[lo:hi]]
+            need = int(least_inside(n[i]))
+            if (t > 1).sum() < need:
+                none.add((d[i, 0], d[i, 1]))
+                continue
+            rare = np.lexsort((x, t))[: n[i] - need + 1]
+            place = np.flatnonzero(t[rare] > 1)
+            tokens[i], prefix[i], left[i] = x.tobytes(), x[rare[place]].view(np.int64), n[i] - place
+        if none:  # copies in this block still belong together
+            copies = Counter(zip(d[may, 0], d[may, 1]))
+            may = may & np.array([x not in none or copies[x] > 1 for x in zip(d[:, 0], d[:, 1])], bool)
+        yield pa.RecordBatch.from_pydict({
+            "uid": pa.array((number << 16) + np.arange(len(n)), pa.int64()), "doc_id": rows.column("doc_id"),
+            "n": pa.array(n, pa.int64()), "may": pa.array(may, pa.bool_()), "d1": pa.array(d[:, 0]), "d2": pa.array(d[:, 1]),
+            "tokens": pa.array(tokens, pa.binary()), "prefix": pa.array(prefix, pa.list_(pa.int64())), "left": pa.array(left, pa.list_(pa.int64()))})
+
+    return stored(with_replies(blocks, replies, sets,
+                               "uid bigint, doc_id bigint, n bigint, may boolean, d1 bigint, d2 bigint, tokens binary, "
+                               "prefix array<bigint>, left array<bigint>"), "sets")
 
 
 def _tree_keys(classes: DataFrame) -> DataFrame:
@@ -255,28 +307,27 @@ def _tree_keys(classes: DataFrame) -> DataFrame:
 
 def _crossing_links(classes: DataFrame, groups: DataFrame) -> DataFrame:
     """Step 4: all links between classes of different groups, exactly."""
-    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [np.frombuffer(x, np.uint64) for x in b.column("tokens").to_pylist()]
-            n = np.array([len(s) for s in sets], np.int64)
             yield pa.RecordBatch.from_pydict({
-                "uid": b.column("uid"), "group": b.column("group"), "n": pa.array(n, pa.int64()),
-                "prefix": pa.array([s[: k - int(least_inside(np.int64(k))) + 1].view(np.int64) for s, k in zip(sets, n.tolist())],
-                                   pa.list_(pa.int64())),
-                "bits": pa.array([x.tobytes() for x in bitmaps(sets, BITS)], pa.binary())})
-
-    grouped = classes.select("uid", "tokens").join(groups, classes.uid == groups.node, "left").select(
-        "uid", "tokens", F.coalesce("group", "uid").alias("group"))
-    cut = stored(grouped.mapInArrow(prefixes, "uid bigint, group bigint, n bigint, prefix array<bigint>, bits binary"), "prefixes")
-    places = cut.select("uid", "group", F.explode("prefix").alias("h"))
+                "uid": b.column("uid"), "group": b.column("group"), "n": pa.array([len(x) for x in sets], pa.int64()),
+                "prefix": b.column("prefix"), "left": b.column("left"), "bits": pa.array([x.tobytes() for x in bitmaps(sets, BITS)], pa.binary())})
+
+    grouped = classes.join(groups, classes.uid == groups.node, "left").select(
+        "uid", "tokens", "prefix", "left", F.coalesce("group", "uid").alias("group"))
+    cut = stored(grouped.mapInArrow(
+        mapped, "uid bigint, group bigint, n bigint, prefix array<bigint>, left array<bigint>, bits binary"), "prefixes")
+    places = cut.select("uid", "group", F.explode(F.arrays_zip("prefix", "left")).alias("x")).select(
+        "uid", "group", F.col("x.prefix").alias("h"), F.col("x.left").alias("left"))
     mixed = places.groupBy("h").agg(F.min("group").alias("x"), F.max("group").alias("y"), F.count("*").alias("c")).filter("x < y")
-    rows = stored(places.join(mixed.select("h", "c"), "h").select("uid", "h", "c"), "mixed")
+    rows = stored(places.join(mixed.select("h", "c"), "h").select("uid", "h", "left", "c"), "mixed")
     rows = rows.join(cut.select("uid", "group", "n", "bits"), "uid").withColumn(
         "blocks", F.ceil(F.col("c") / BLOCK_CLASSES).cast("int")).withColumn(
         "block", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int"))
     dealt = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns(
         {"lo": F.least("block", "with"), "hi": F.greatest("block", "with")})
-    pairs = dealt.select("h", "lo", "hi", "block", "uid", "group", "n", "bits").groupBy("h", "lo", "hi").applyInArrow(
+    pairs = dealt.select("h", "lo", "hi", "block", "uid", "group", "n", "left", "bits").groupBy("h", "lo", "hi").applyInArrow(
         _tree_candidates, "a bigint, b bigint").distinct()
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,14 +341,14 @@ def _crossing_links(classes: DataFrame, groups: DataFrame) -> DataFrame:
     return stored(pairs, "pairs").join(left, "a").join(right, "b").mapInArrow(check, "a bigint, b bigint")
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
-    """(``doc_id``, ``n_shingles``, ``component_id``) of every row of ``docs`` (doc_id, text)."""
-    rows = _documents(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+def _components(rows: DataFrame) -> DataFrame:
+    """Steps 3 to 5, stored: (``d1``, ``d2``, ``g``, ``component``) of every class; g tells groups apart."""
     classes = stored(rows.filter("may").groupBy("d1", "d2").agg(
-        F.min("uid").alias("uid"), F.min("doc_id").alias("least_id"), F.count("*").alias("copies")), "classes")
+        F.min("uid").alias("uid"), F.min("doc_id").alias("least_id")), "classes")
     # a block writes an equal set's tokens with its first row, which holds the class's least uid in its block
-    sets = stored(rows.filter("tokens IS NOT NULL").select("uid", "tokens").join(classes.select("uid"), "uid", "left_semi"), "class_sets")
-    trees = _tree_keys(sets).join(sets, "uid")
+    sets = rows.filter("tokens IS NOT NULL").select("uid", "tokens", "prefix", "left").join(classes.select("uid"), "uid", "left_semi")
+    sets = stored(sets, "class_sets")
+    trees = _tree_keys(sets).join(sets.select("uid", "tokens"), "uid")
     links = stored(trees.groupBy("which", "key", "part").applyInArrow(_tree_links, "a bigint, b bigint"), "links")
     groups = linked_groups(links)
     more = linked_groups(_crossing_links(sets, groups).join(
@@ -306,12 +357,38 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         F.coalesce("ga", "a").alias("a"), F.coalesce("gb", "b").alias("b")))
     placed = (classes.join(groups, classes.uid == groups.node, "left")
               .select("d1", "d2", "least_id", F.coalesce("group", "uid").alias("g")))
-    placed = placed.join(more, placed.g == more.node, "left").select(
-        "d1", "d2", "least_id", F.coalesce("group", "g").alias("g"))
-    placed = stored(placed, "placed")
+    placed = stored(placed.join(more, placed.g == more.node, "left").select(
+        "d1", "d2", "least_id", F.coalesce("group", "g").alias("g")), "placed")
     least = placed.groupBy("g").agg(F.min("least_id").alias("component"))
-    found = stored(placed.join(least, "g").select("d1", "d2", "component"), "components")
+    return stored(placed.join(least, "g").select("d1", "d2", "g", "component"), "components")
+
+
+def jaccard_components(docs: DataFrame) -> DataFrame:
+    """(``doc_id``, ``n_shingles``, ``component_id``) of every row of ``docs`` (doc_id, text)."""
+    rows = _documents(pack(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")))
+    found = _components(rows)
     alone = rows.filter("NOT may").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     linked = rows.filter("may").select("doc_id", "n", "d1", "d2").join(found, ["d1", "d2"]).select(
         "doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
     return alone.unionByName(linked)
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text, any more) without near duplicates.
+
+    Of each component the row of least doc_id stays (a null id comes last;
+    of equal ids, the first packed). Rows linked with nothing all stay.
+    """
+    blocks = pack(docs)
+    rows = _documents(blocks)
+    groups = rows.filter("may").select("uid", "doc_id", "d1", "d2").join(_components(rows), ["d1", "d2"]).groupBy("g").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("x"), F.col("doc_id"), F.col("uid"))).alias("m")).select("m.uid")
+    keep = rows.filter("NOT may").select("uid").unionByName(groups)
+    replies = keep.groupBy(F.shiftright("uid", 40).alias("part"), F.shiftright("uid", 16).alias("batch")).agg(
+        F.collect_list(F.expr("uid & 65535").cast("int")).alias("reply")).withColumn("bucket", F.lit(0))
+
+    def kept(part: int, number: int, block: pa.RecordBatch, got: dict, rest: dict) -> Iterator[pa.RecordBatch]:
+        if got:
+            yield block.take(pa.array(sorted(got[0]), pa.int32()))
+
+    return with_replies(blocks, replies, kept, docs.schema)

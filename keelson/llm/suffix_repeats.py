@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from keelson.llm.packed import (
-    bucket_bounds, bucket_count, exchange, pack, pack_batch, reply_map, shared_keys, shared_mask, stored, unpack_batch,
+    bucket_bounds, bucket_count, exchange, pack, pack_batch, shared_keys, shared_mask, stored_by_part, unpack_batch,
     with_replies,
 )
 from keelson.llm.textbytes import SpanHash, flat, mix, ranges
@@ -58,11 +58,11 @@ BUCKET_BYTES = 2 << 20
 Finish = Callable[[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray], pa.RecordBatch]
 
 
-def segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(key, text number, start, end) of every maximal run of windows with one anchor."""
+def segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(anchor key, text number, start, end, anchor's place from start) of every maximal run of windows with one anchor."""
     empty = np.zeros(0, np.int64)
     if len(data) < LEAST:
-        return np.zeros(0, np.uint64), empty, empty, empty
+        return np.zeros(0, np.uint64), empty, empty, empty, empty
     gram = SpanHash(data).every(GRAM)
     value, at, width = gram, np.arange(len(gram), dtype=np.int32), 1
     while width < GRAMS:
@@ -76,18 +76,23 @@ def segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     inside[ranges(offsets[:-1], sizes)] = True
     start = np.flatnonzero(inside)
     if not len(start):
-        return np.zeros(0, np.uint64), empty, empty, empty
+        return np.zeros(0, np.uint64), empty, empty, empty, empty
     owner = at[start]
     cut = np.flatnonzero((np.diff(start) > 1) | (np.diff(owner) != 0)) + 1
     first, last = np.concatenate([[0], cut]), np.concatenate([cut, [len(start)]]) - 1
     text = np.searchsorted(offsets, start[first], "right") - 1
-    return mix(gram[owner[first]] ^ np.uint64(0x5FCB8D1A2E7C4B93)), text, start[first], start[last] + LEAST
+    return _key(gram[owner[first]]), text, start[first], start[last] + LEAST, owner[first] - start[first]
+
+
+def _key(gram: np.ndarray) -> np.ndarray:
+    """An anchor's key: mixed anew, since the least grams would all fall in the first buckets."""
+    return mix(gram ^ np.uint64(0x5FCB8D1A2E7C4B93))
 
 
 def _anchor_keys(rows: pa.RecordBatch):
     """A block's distinct anchors, whether several texts have each, and its segments with their anchor's place."""
     data, offsets = flat(rows.column("text"))
-    key, text, start, end = segments(data, offsets)
+    key, text, start, end, anchor = segments(data, offsets)
     order = np.argsort(key, kind="stable")
     new = np.ones(len(key), bool)
     new[1:] = key[order][1:] != key[order][:-1]
@@ -96,7 +101,7 @@ def _anchor_keys(rows: pa.RecordBatch):
     several = text[order][first] != text[order][last]
     place = np.empty(len(key), np.int64)
     place[order] = np.cumsum(new) - 1
-    return key[order][first], several, place, (data, offsets, key, text, start, end)
+    return key[order][first], several, place, (offsets, text, start, end, anchor)
 
 
 class _Segments:
@@ -108,9 +113,11 @@ class _Segments:
         self.text = np.repeat(np.arange(rows.num_rows), counts)
         self.start = rows.column("_start").flatten().to_numpy() + self.offsets[self.text]
         self.end = self.start + rows.column("_size").flatten().to_numpy()
-        key = rows.column("_key").flatten().to_numpy().view(np.uint64)
+        spans = SpanHash(self.data)
+        anchor = self.start + rows.column("_anchor").flatten().to_numpy()
+        key = _key(spans.same_length(anchor, GRAM))
         doc = rows.column("doc_id").cast(pa.int64()).fill_null(np.iinfo(np.int64).max).to_numpy()[self.text]
-        h = SpanHash(self.data)(self.start, self.end)
+        h = spans(self.start, self.end)
         order = np.lexsort((doc, h, key))
         new = np.ones(len(order), bool)
         new[1:] = (key[order][1:] != key[order][:-1]) | (h[order][1:] != h[order][:-1])
@@ -226,29 +233,6 @@ def _answer(payloads: list[bytes]) -> list[bytes | None]:
     return [x.tobytes() if x.any() else None for x in np.split(bits, cuts)]
 
 
-def _candidates(buckets: int, finish: Finish) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Blocks of the documents that have shared anchors, with their segments; the others are finished at once."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i, number in enumerate(b.column("batch").to_pylist()):
-                rows = unpack_batch(b.column("blob")[i].as_py())
-                keys, _, place, (_, offsets, key, text, start, end) = _anchor_keys(rows)
-                hit = shared_mask(keys, buckets, b.column("replies")[i].as_py())[place]
-                key, text, start, end = key[hit], text[hit], start[hit], end[hit]
-                has = np.zeros(rows.num_rows, bool)
-                has[text] = True
-                some, none = rows.filter(pa.array(has)), rows.filter(pa.array(~has))
-                at = np.searchsorted(text, np.concatenate([np.flatnonzero(has), [rows.num_rows]])).astype(np.int32)
-                for name, values in (("_start", start - offsets[text]), ("_size", end - start), ("_key", key.view(np.int64))):
-                    some = some.append_column(name, pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values, pa.int64())))
-                data, offsets = flat(none.column("text"))
-                done = finish(none, data, offsets, np.zeros(len(data), bool))
-                yield pa.RecordBatch.from_pydict({
-                    "batch": pa.array([number], pa.int64()), "blob": pa.array([pack_batch(some)], pa.binary()),
-                    "done": pa.array([pack_batch(done)], pa.binary())})
-    return run
-
-
 def without_repeats(docs: DataFrame, finish: Finish, schema: str) -> DataFrame:
     """``finish`` applied to all rows of ``docs`` (doc_id, text, any more) with their covered bytes.
 
@@ -257,38 +241,51 @@ def without_repeats(docs: DataFrame, finish: Finish, schema: str) -> DataFrame:
     """
     blocks = pack(docs)
     buckets = bucket_count(blocks, BUCKET_BYTES)
-    shared = with_replies(blocks, shared_keys(blocks, buckets, lambda rows: _anchor_keys(rows)[:2]))
-    some = stored(shared.mapInArrow(_candidates(buckets, finish), "batch bigint, blob binary, done binary"), "candidates")
+
+    def candidates(part: int, number: int, rows: pa.RecordBatch, got: dict[int, bytes], block: dict) -> Iterator[pa.RecordBatch]:
+        """The texts that have shared anchors, with their segments; the others are finished at once."""
+        keys, _, place, (offsets, text, start, end, anchor) = _anchor_keys(rows)
+        hit = shared_mask(keys, buckets, got)[place]
+        text, start, end, anchor = text[hit], start[hit], end[hit], anchor[hit]
+        has = np.zeros(rows.num_rows, bool)
+        has[text] = True
+        some, none = rows.filter(pa.array(has)), rows.filter(pa.array(~has))
+        at = np.searchsorted(text, np.concatenate([np.flatnonzero(has), [rows.num_rows]])).astype(np.int32)
+        for name, values, kind in (("_start", start - offsets[text], pa.int32()), ("_size", end - start, pa.uint8()),
+                                   ("_anchor", anchor, pa.uint8())):
+            some = some.append_column(name, pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values, kind)))
+        data, offsets = flat(none.column("text"))
+        yield pa.RecordBatch.from_pydict({
+            "part": pa.array([part], pa.int64()), "batch": pa.array([number], pa.int64()),
+            "blob": pa.array([pack_batch(some)], pa.binary()),
+            "done": pa.array([pack_batch(finish(none, data, offsets, np.zeros(len(data), bool)))], pa.binary())})
+
+    shared = shared_keys(blocks, buckets, lambda rows: _anchor_keys(rows)[:2])
+    some = stored_by_part(with_replies(blocks, shared, candidates, "part bigint, batch bigint, blob binary, done binary"),
+                          "candidates")
 
     def send(rows: pa.RecordBatch):
         found = _Segments(rows)
         return found.key, found.payload
 
-    answers = with_replies(some, exchange(some, buckets, send, _answer))
-
-    def end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i in range(b.num_rows):
-                done = unpack_batch(b.column("done")[i].as_py())
-                if done.num_rows:
-                    yield done
-                rows = unpack_batch(b.column("blob")[i].as_py())
-                if not rows.num_rows:
-                    continue
-                s = _Segments(rows)
-                mask = np.zeros((len(s.key), WIDTH), bool)
-                got = reply_map(b.column("replies")[i].as_py())
-                which, bounds = bucket_bounds(s.key, buckets)
-                for k, lo, hi in zip(which.tolist(), bounds, bounds[1:]):
-                    if k in got:
-                        mask[lo:hi] = np.unpackbits(np.frombuffer(got[k], np.uint8).reshape(hi - lo, -1), axis=1)
-                mask = mask[s.place]
-                mask[s.above] = np.arange(WIDTH) < (s.end - s.start)[s.above][:, None]
-                covered = np.zeros(len(s.data), bool)
-                covered[(s.start[:, None] + np.arange(WIDTH))[mask]] = True
-                yield finish(rows, s.data, s.offsets, covered)
-
-    return answers.select("blob", "done", "replies").mapInArrow(end, schema)
+    def end(part: int, number: int, rows: pa.RecordBatch, got: dict[int, bytes], block: dict) -> Iterator[pa.RecordBatch]:
+        done = unpack_batch(block["done"])
+        if done.num_rows:
+            yield done
+        if rows.num_rows:
+            s = _Segments(rows)
+            mask = np.zeros((len(s.key), WIDTH), bool)
+            which, bounds = bucket_bounds(s.key, buckets)
+            for k, lo, hi in zip(which.tolist(), bounds, bounds[1:]):
+                if k in got:
+                    mask[lo:hi] = np.unpackbits(np.frombuffer(got[k], np.uint8).reshape(hi - lo, -1), axis=1)
+            mask = mask[s.place]
+            mask[s.above] = np.arange(WIDTH) < (s.end - s.start)[s.above][:, None]
+            covered = np.zeros(len(s.data), bool)
+            covered[(s.start[:, None] + np.arange(WIDTH))[mask]] = True
+            yield finish(rows, s.data, s.offsets, covered)
+
+    return with_replies(some, exchange(some, buckets, send, _answer), end, schema)
 
 
 def spans(offsets: np.ndarray, covered: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

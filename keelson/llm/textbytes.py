@@ -56,6 +56,11 @@ class SpanHash:
         h = (self.prefix[end] - self.prefix[start]) * down[start]
         return mix(h + (end - start).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
 
+    def same_length(self, start: np.ndarray, k: int) -> np.ndarray:
+        """Hashes of spans of k bytes, as ``every`` has them."""
+        _, down = _powers(len(self.prefix))
+        return mix((self.prefix[start + k] - self.prefix[start]) * down[start])
+
     def every(self, k: int) -> np.ndarray:
         """Hashes of all spans of k bytes, by start."""
         n = len(self.prefix) - k
