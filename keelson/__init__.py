@@ -9,7 +9,6 @@ sinks/      Versioned Parquet datasets and the catalog tables that point at them
 operators/  DataFrame -> DataFrame operators: data-quality metrics, merges,
             graph construction, PageRank, connected components, comparison.
 plans/      Jobs (logic / output / metrics) and the runner that records run metrics.
-streaming/  Nothing: the jobs are batch only.
 """
 
 __version__ = "0.1.0"

@@ -36,10 +36,9 @@ def normalize_gear(c: str | Column, codes: dict[str, str] | None = None) -> Colu
 
 
 def epoch_seconds(ms: str | Column) -> Column:
-    """Whole seconds of an epoch-millisecond value, truncated toward zero
-    (the reference casts ``ms / 1000`` to a long)."""
+    """Whole seconds of an epoch-millisecond value, truncated toward zero."""
     c = _col(ms).cast("long")
-    return ((c - c % 1000) / 1000).cast("long")
+    return F.call_function("div", c, F.lit(1000).cast("long"))
 
 
 def epoch_ms_wall_clock(ms: str | Column, time_zone: str | None = None) -> Column:

@@ -50,6 +50,11 @@ def _out_degrees(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("src").agg(F.sum("m").alias("deg"), F.count(F.lit(1)).alias("fanout"))
 
 
+def _weighted(pairs: DataFrame, degrees: DataFrame) -> DataFrame:
+    """(src, dst, weight = multiplicity / outdeg(src))."""
+    return pairs.join(degrees, "src").select("src", "dst", (F.col("m") / F.col("deg")).alias("weight"))
+
+
 def _persisted(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
@@ -112,7 +117,7 @@ def pagerank(vertices: DataFrame, edges: DataFrame, max_iter: int = DEFAULT_ITER
     # hot: fan-out above total_pairs / (HOT_SHARE * n)
     hot = _persisted(degrees.df.filter(F.col("fanout") * F.lit(HOT_SHARE * n) > F.lit(total_pairs)).select("src"))
     has_hot = hot.count() > 0
-    weighted = pairs.df.join(degrees.df, "src").select("src", "dst", (F.col("m") / F.col("deg")).alias("weight"))
+    weighted = _weighted(pairs.df, degrees.df)
     cold_w = weighted.join(F.broadcast(hot), "src", "left_anti") if has_hot else weighted
     cold_w = _persisted(cold_w.repartition(n, "src").sortWithinPartitions("src"))
     hot_w = None

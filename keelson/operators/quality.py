@@ -78,32 +78,11 @@ def _null_s() -> Column:
     return F.lit(None).cast("string")
 
 
-def _group_counts(df: DataFrame, groups: Sequence[tuple[str, str, Column | None]]) -> DataFrame:
-    """Row counts per value of several columns in one GROUPING SETS pass.
-
-    ``groups`` holds (metric name, column, optional row filter). Only
-    fixed-width counters are aggregated, so Spark keeps a hash aggregate
-    with map-side partial aggregation (a hot value never piles up in one
-    task) and never sorts the (expanded) input.
-    """
-    cols = [c for _, c, _ in groups]
-    keep = [F.coalesce(f, F.lit(False)).alias(f"_in_{i}") for i, (_, _, f) in enumerate(groups) if f is not None]
-    data = df.select(*[F.col(c) for c in dict.fromkeys(cols)], *keep)
-    counters = []
-    for i, (_, _, f) in enumerate(groups):
-        counters.append((F.count_if(F.col(f"_in_{i}")) if f is not None else F.count(F.lit(1))).alias(f"_n_{i}"))
-    agg = data.groupingSets([[c] for c in cols], *dict.fromkeys(cols)).agg(
-        F.grouping_id().alias("_gid"), *counters)
-    width = len(dict.fromkeys(cols))
-    order = list(dict.fromkeys(cols))
-    chain = None
-    for i, (metric, c, _) in enumerate(groups):
-        # grouping_id: one bit per grouping column, 0 = grouped; first column is the high bit
-        gid = (1 << width) - 1 - (1 << (width - 1 - order.index(c)))
-        cond = (F.col("_gid") == gid) & (F.col(f"_n_{i}") > 0)
-        val = F.array(_row(metric, F.col(c), F.col(f"_n_{i}"), _null_s()))
-        chain = F.when(cond, val) if chain is None else chain.when(cond, val)
-    return agg.select(F.inline(F.coalesce(chain, F.array().cast(_METRIC_ARRAY))))
+def _with_zero_row(counts: DataFrame) -> DataFrame:
+    """``counts`` plus a row without keys and with count 0, so that totals exist for empty input too."""
+    zero = counts.sparkSession.range(1).select(*[
+        (F.lit(0) if c == "n" else F.lit(None)).cast(t).alias(c) for c, t in counts.dtypes])
+    return counts.unionByName(zero)
 
 
 def vehicle_metrics(df: DataFrame, key_columns: Sequence[str] = VEHICLE_KEY_COLUMNS,
@@ -111,40 +90,48 @@ def vehicle_metrics(df: DataFrame, key_columns: Sequence[str] = VEHICLE_KEY_COLU
                     date: str = "date") -> DataFrame:
     """All vehicle business metrics as one long table: ``null_pct`` per key
     column, ``count`` per manufacturer, ``gear_pos`` per gear code,
-    ``min_date`` / ``max_date``.
+    ``min_date`` / ``max_date`` (``date``: a date, or yyyy-MM-dd text).
 
-    Two aggregates instead of the reference's eleven actions: a GROUPING SETS
-    hash aggregate for the per-group counts, and one keyless aggregate
-    (always exactly one row, even on empty input; string min/max stream
-    without a sort) for totals, null counts and the date range.
+    The input is read once, into one hash aggregate by manufacturer and gear
+    (counts, null counts, and the date's range as day numbers: fixed-width
+    values, so no sort, and a hot value is pre-aggregated in every task). A
+    GROUPING SETS pass over its few rows gives everything else.
     """
-    counts = _group_counts(df, [("count", manufacturer, None), ("gear_pos", gear, None)])
-    totals = df.agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(key_columns)],
-        F.min(date).alias("_min"), F.max(date).alias("_max"),
-    )
-    pct = [_row("null_pct", F.lit(c), F.coalesce(F.try_divide(F.col(f"_null_{i}") * 100.0, F.col("_n")),
-                                                   F.lit(0.0)), _null_s())
-           for i, c in enumerate(key_columns)]
-    total_rows = totals.select(F.inline(F.array(
-        *pct, _row("min_date", _null_s(), _null_d(), F.col("_min")), _row("max_date", _null_s(), _null_d(), F.col("_max")))))
-    return total_rows.unionByName(counts)
+    day = F.unix_date(F.to_date(F.col(date)))
+    nulls = [f"null_{i}" for i in range(len(key_columns))]
+    few = df.groupBy(F.col(manufacturer).alias("m"), F.col(gear).alias("g")).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.count_if(F.col(c).isNull()).alias(n) for c, n in zip(key_columns, nulls)],
+        F.min(day).alias("low"), F.max(day).alias("high"))
+    sets = _with_zero_row(few).groupingSets([["m"], ["g"], []], "m", "g").agg(
+        F.grouping_id().alias("set"), F.sum("n").alias("n"), *[F.sum(n).alias(n) for n in nulls],
+        F.min("low").alias("low"), F.max("high").alias("high"))
+    pct = [_row("null_pct", F.lit(c), F.coalesce(F.try_divide(F.col(n) * 100.0, F.col("n")), F.lit(0.0)), _null_s())
+           for c, n in zip(key_columns, nulls)]
+    text = lambda c: F.date_from_unix_date(F.col(c)).cast("string")
+    # grouping_id: one bit a column, the first the high one, 0 = grouped by it
+    rows = (F.when((F.col("set") == 0b01) & (F.col("n") > 0), F.array(_row("count", F.col("m"), F.col("n"), _null_s())))
+            .when((F.col("set") == 0b10) & (F.col("n") > 0), F.array(_row("gear_pos", F.col("g"), F.col("n"), _null_s())))
+            .when(F.col("set") == 0b11, F.array(*pct, _row("min_date", _null_s(), _null_d(), text("low")),
+                                                _row("max_date", _null_s(), _null_d(), text("high")))))
+    return sets.select(F.inline(F.coalesce(rows, F.array().cast(_METRIC_ARRAY))))
 
 
 def graph_metrics(vertices: DataFrame, edges: DataFrame, vertex_type: str = "vertex_type",
                   location: str = "location", category: str = "category",
                   relationship: str = "relationship", purchase_date: str = "purchase_date") -> DataFrame:
-    """Graph business metrics, each input scanned once: ``total_vertices``,
+    """Graph business metrics, each input read once: ``total_vertices``,
     ``customers_in`` per location and ``products_in`` per category from one
-    GROUPING SETS hash aggregate over the vertices; ``total_edges`` and the
-    ``min_date`` / ``max_date`` of PURCHASED edges from one keyless
-    aggregate over the edges."""
-    counts = _group_counts(vertices, [
-        ("customers_in", location, F.col(vertex_type) == "customer"),
-        ("products_in", category, F.col(vertex_type) == "product"),
-    ])
-    nv = vertices.agg(F.count(F.lit(1)).alias("_nv"))
+    hash aggregate over the vertices and a GROUPING SETS pass over its few
+    rows; ``total_edges`` and the ``min_date`` / ``max_date`` of PURCHASED
+    edges from one keyless aggregate over the edges."""
+    few = vertices.groupBy(F.col(vertex_type).alias("t"), F.col(location).alias("l"), F.col(category).alias("c")).agg(
+        F.count(F.lit(1)).alias("n"))
+    sets = _with_zero_row(few).groupingSets([["t", "l"], ["t", "c"], []], "t", "l", "c").agg(
+        F.grouping_id().alias("set"), F.sum("n").alias("n"))
+    rows = (F.when((F.col("set") == 0b001) & (F.col("t") == "customer"), F.array(_row("customers_in", F.col("l"), F.col("n"), _null_s())))
+            .when((F.col("set") == 0b010) & (F.col("t") == "product"), F.array(_row("products_in", F.col("c"), F.col("n"), _null_s())))
+            .when(F.col("set") == 0b111, F.array(_row("total_vertices", _null_s(), F.col("n"), _null_s()))))
     purchased = F.col(relationship) == "PURCHASED"
     e = edges.agg(
         F.count(F.lit(1)).alias("_ne"),
@@ -152,8 +139,7 @@ def graph_metrics(vertices: DataFrame, edges: DataFrame, vertex_type: str = "ver
         F.max(F.when(purchased, F.col(purchase_date))).alias("_max"),
     )
     totals = e.select(F.inline(F.array(
-        _row("total_vertices", _null_s(), nv.scalar(), _null_s()),
         _row("total_edges", _null_s(), F.col("_ne"), _null_s()),
         _row("min_date", _null_s(), _null_d(), F.col("_min")),
         _row("max_date", _null_s(), _null_d(), F.col("_max")))))
-    return totals.unionByName(counts)
+    return totals.unionByName(sets.select(F.inline(F.coalesce(rows, F.array().cast(_METRIC_ARRAY)))))

@@ -3,33 +3,45 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from keelson.operators import components
+import keelson.operators.pagerank as pagerank_module
 from keelson.operators.components import connected_components
-from keelson.operators.graph import build_edges, build_vertices, merged_graph
-from keelson.operators.merge import combine_output, insert_only_merge, merge_vertices, split_output
+from keelson.operators.graph import PurchaseGraph, build_vertices, merged_graph
+from keelson.operators.merge import combine_output, merge_edges, merge_vertices, new_rows, split_output
 from keelson.operators.pagerank import pagerank, ranked_vertices, top_k
-from tests.fixtures import retail
+from keelson.session import store
+from tests.fixtures import COMPONENTS, NEW_CUSTOMERS, NEW_PRODUCTS, NEW_PURCHASES, RAW_RANKS, retail
 
 
-def test_fixture_pagerank_values(spark):
+def test_pagerank_values(spark):
     g = merged_graph(retail(spark))
     raw = {r.id: r.pagerank for r in pagerank(g.vertices, g.edges, normalize=False).collect()}
     norm = {r.id: r.pagerank for r in pagerank(g.vertices, g.edges).collect()}
-    for c in ("c:1", "c:2", "c:3"):
-        assert raw[c] == pytest.approx(0.15) and norm[c] == pytest.approx(0.701754, abs=1e-6)
-    for p in ("p:101", "p:102", "p:103"):
-        assert raw[p] == pytest.approx(0.2775) and norm[p] == pytest.approx(1.298246, abs=1e-6)
-    assert sum(norm.values()) == pytest.approx(6.0)
+    assert raw == pytest.approx(RAW_RANKS)
+    total = sum(RAW_RANKS.values())
+    assert norm == pytest.approx({v: 6 * r / total for v, r in RAW_RANKS.items()})
 
 
-def test_fixture_components_and_top_k(spark):
+def test_components_and_top_k(spark):
     g = merged_graph(retail(spark))
-    comp = {r.id: r.component for r in connected_components(g.vertices, g.edges).collect()}
-    assert comp == {"c:1": "c:1", "c:2": "c:1", "p:101": "c:1", "p:102": "c:1", "c:3": "c:3", "p:103": "c:3"}
+    assert {r.id: r.component for r in connected_components(g.vertices, g.edges).collect()} == COMPONENTS
     ranked = ranked_vertices(g.vertices, pagerank(g.vertices, g.edges))
-    cust = [r.id for r in top_k(ranked, "customer", 2).collect()]
-    assert cust == ["c:1", "c:2"]  # all tie; ties broken by id
-    prod = top_k(ranked, "product", 10).collect()
-    assert len(prod) == 3 and {r.vertex_type for r in prod} == {"product"}
+    assert [r.id for r in top_k(ranked, "customer", 2).collect()] == ["c:7", "c:8"]  # all tie; ties broken by id
+    assert [r.id for r in top_k(ranked, "product", 10).collect()] == ["p:7", "p:12", "p:8"]
+
+
+def test_close_ranks_are_not_ties(spark):
+    ranked = spark.createDataFrame([("p:a", "product", 1.00000010), ("p:b", "product", 1.00000020)],
+                                   "id string, vertex_type string, pagerank double")
+    assert [r.id for r in top_k(ranked, "product", 1).collect()] == ["p:b"]
+
+
+def test_duplicate_vertex_ids_are_rejected(spark):
+    g = merged_graph(retail(spark))
+    assert g.checked() is g
+    twice = PurchaseGraph(g.vertices.unionByName(g.vertices.filter("id = 'p:8'")), g.edges)
+    with pytest.raises(ValueError, match="p:8"):
+        twice.checked()
 
 
 def python_pagerank(nodes, edges, iters=10, reset=0.15):
@@ -73,7 +85,7 @@ def test_pagerank_matches_python_loop_on_cyclic_graphs(spark, seed):
     edges = [(s, d) for s, d in edges if s != d] + [(nodes[0], nodes[1]), (nodes[0], nodes[1])]  # parallel edge
     v = spark.createDataFrame([(n,) for n in nodes], "id string")
     e = spark.createDataFrame(edges, "src string, dst string")
-    got = {r.id: r.pagerank for r in pagerank(v, e, checkpoint_interval=3).collect()}
+    got = {r.id: r.pagerank for r in pagerank(v, e, store_interval=3).collect()}
     want = python_pagerank(nodes, edges)
     assert got.keys() == want.keys()
     for n in nodes:
@@ -111,11 +123,31 @@ def test_merge_is_by_name_and_idempotent(spark):
 
 
 def test_edge_merge_drops_known_pairs(spark):
-    i = retail(spark, new_purchases=[(2001, 1, 101, "2023-04-01", 2, 2400.0), (2002, 3, 101, "2023-04-02", 1, 1.0),
-                                     (2003, 3, 101, "2023-04-03", 1, 1.0)])
-    g = merged_graph(i)
+    g = merged_graph(retail(spark, NEW_CUSTOMERS, NEW_PRODUCTS, NEW_PURCHASES))
     pairs = [(r.src, r.dst) for r in g.edges.collect()]
-    assert len(pairs) == 7 and pairs.count(("c:3", "p:101")) == 2 and pairs.count(("c:1", "p:101")) == 1
+    assert len(pairs) == 7 and pairs.count(("c:10", "p:13")) == 2 and pairs.count(("c:7", "p:8")) == 1
+    names = {r.id: r.name for r in g.vertices.collect()}
+    assert len(names) == 8 and names["c:9"] == "Oluchi" and names["p:12"] == "Rug" and names["c:10"] == "Noor"
+
+
+def test_small_batch_leaves_the_existing_side_in_place(spark, scratch):
+    path = scratch("existing")
+    spark.range(200000).selectExpr("concat('c:', id) AS src", "concat('p:', id % 100) AS dst",
+                                   "'PURCHASED' AS relationship").write.parquet(path)
+    batch = spark.createDataFrame([("c:1", "p:1", "PURCHASED"), ("c:x", "p:1", "PURCHASED")],
+                                  "src string, dst string, relationship string")
+    out = merge_edges(spark.read.parquet(path), batch)
+    assert out.count() == 200001
+    plan = new_rows(store(batch, "b").df, spark.read.parquet(path), ["src", "dst", "relationship"])
+    plan.collect()
+    final = plan._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "SortMergeJoin" not in final and "hashpartitioning" not in final
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # a batch over the threshold
+    try:
+        assert merge_edges(spark.read.parquet(path), batch).count() == 200001
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 
 
 def test_namespaced_ids_keep_overlapping_keys_apart(spark):
@@ -170,9 +202,68 @@ def test_pagerank_drops_dangling_edges(spark):
 
 
 def test_new_rows_with_duplicate_existing_keys(spark):
-    from keelson.operators.merge import new_rows
     existing = spark.createDataFrame([("a", "b", 1), ("a", "b", 2), ("c", "d", 3)], "src string, dst string, n int")
     batch = spark.createDataFrame([("a", "b", 9), ("x", "y", 8), ("x", "y", 7), (None, "b", 6)],
                                   "src string, dst string, n int")
     got = sorted((r.n for r in new_rows(batch, existing, ["src", "dst"]).collect()))
     assert got == [6, 7, 8]
+
+
+@pytest.fixture()
+def skew_conf(spark):
+    """No broadcasts, and thresholds at which small test data counts as skewed."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def split_joins(df) -> int:
+    """Joins that the final plan splits because of a skewed side."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("skew=true")
+
+
+def hub_edges(spark):
+    """80 % of all edges start at one vertex."""
+    return spark.range(100000).selectExpr(
+        "if(id < 80000, 'a', concat('b', id % 3000)) AS lo", "concat('x', id) AS hi")
+
+
+def test_hub_edges_are_split_in_components(spark, skew_conf):
+    e = store(hub_edges(spark), "hub").df
+    stats = store(components._neighbour_stats(e), "stats").df
+    assert split_joins(components._large_star(e, stats)) == 1
+    hi_hub = store(e.select(F.col("lo").alias("hi"), F.concat(F.lit("0"), "hi").alias("lo")), "hub").df
+    assert split_joins(components._small_star(hi_hub)[0]) >= 1
+
+
+def test_hub_edges_are_split_in_pagerank_weights(spark, skew_conf):
+    pairs = store(hub_edges(spark).selectExpr("lo AS src", "hi AS dst", "1L AS m"), "pairs").df
+    degrees = store(pagerank_module._out_degrees(pairs), "degrees").df
+    assert split_joins(pagerank_module._weighted(pairs, degrees)) == 1
+
+
+def test_pagerank_stops_when_ranks_are_fixed(spark, monkeypatch):
+    g = merged_graph(retail(spark))
+    rounds = []
+    keep = pagerank_module.store
+    monkeypatch.setattr(pagerank_module, "store", lambda df, label: (rounds.append(label), keep(df, label))[1])
+    got = {r.id: r.pagerank for r in pagerank(g.vertices, g.edges, normalize=False).collect()}
+    assert got == pytest.approx(RAW_RANKS) and rounds.count("pr_sums") == 3  # of 10
+
+
+def test_analytics_leave_only_their_results(spark, scratch):
+    import os
+    g = merged_graph(retail(spark)).materialized()
+    root = os.path.dirname(scratch("x"))
+    before = set(os.listdir(root))
+    pagerank(g.vertices, g.edges).collect()
+    connected_components(g.vertices, g.edges).collect()
+    assert sorted(d.rsplit("-", 1)[0] for d in set(os.listdir(root)) - before) == ["components", "pr_ranks"]

@@ -6,7 +6,7 @@ from keelson.plans.graph_job import PurchaseGraphJob
 from keelson.plans.vehicle_job import VehicleJob
 from keelson.session import unique_name
 from keelson.sources.tables import create_csv_table, read_csv_declared, register_view
-from tests.fixtures import CSV_DDL, CSV_TEXT, retail
+from tests.fixtures import COMPONENTS, CSV_DDL, CSV_TEXT, retail
 
 
 def test_parse_properties():
@@ -23,7 +23,7 @@ def csv_source(spark, scratch):
 def test_declared_csv_table_and_bad_int(spark, scratch):
     path = csv_source(spark, scratch)
     t = create_csv_table(spark, f"default.{unique_name('events')}", CSV_DDL, path)
-    assert t.count() == 3 and dict(t.dtypes)["timestamp"] == "bigint"
+    assert t.count() == 4 and dict(t.dtypes)["timestamp"] == "bigint"
     bad = scratch("badcsv")
     spark.createDataFrame([("id,year",), ("1,notanint",)], "v string").coalesce(1).write.text(bad)
     row = read_csv_declared(spark, bad, "id INT, year INT").first()
@@ -41,10 +41,12 @@ def test_vehicle_job_end_to_end_with_metrics_table(spark, scratch):
     run = run_job(spark, VehicleJob(), props)
     assert run.status == "SUCCESS" and run.record_counts["processed"] == 3
     out = spark.table(props["target-table"])
-    assert sorted(r.gearPosition for r in out.collect()) == ["0", "0", "4"]
+    assert sorted(r.gearPosition for r in out.collect()) == ["0", "2", "4"]
     assert spark.sql(f"SHOW PARTITIONS {props['target-table']}").count() == 3
+    assert {r.manufacturer for r in out.collect()} == {"Tarn", "Palmo"}
     business = spark.read.parquet(f"{root}/metrics/business_metrics")
-    assert business.filter("metric = 'count' AND group_key = 'Toyota'").first().value == 1
+    assert business.filter("metric = 'count' AND group_key = 'Palmo'").first().value == 2
+    assert set(run.timings) == {"logic", "output", "metrics"}
     failed = run_job(spark, VehicleJob(), {**props, "partition-columns": "", "job-id": "j2"}, raise_errors=False)
     assert failed.status == "FAILED" and "ValueError" in failed.error_details
     runs = {r.job_id: r for r in spark.read.parquet(f"{root}/metrics/runs").collect()}
@@ -54,25 +56,76 @@ def test_vehicle_job_end_to_end_with_metrics_table(spark, scratch):
 
 
 def test_graph_job_publishes_tables(spark, scratch):
+    from keelson.plans.graph_job import RESULT_TABLES, TABLE_DEFAULTS
     inputs = retail(spark)
     props = {}
-    from keelson.plans.graph_job import TABLE_DEFAULTS
     for key, (prop, _) in TABLE_DEFAULTS.items():
         view = unique_name(key)
         register_view(inputs[key], view)
         props[prop] = view
-    root = scratch("graphjob")
+    for label, (prop, _) in RESULT_TABLES.items():
+        props[prop] = f"default.{unique_name(label)}"
     props.update({"target-vertices-table": f"default.{unique_name('v')}",
-                  "target-edges-table": f"default.{unique_name('e')}",
-                  "pagerank-table": f"default.{unique_name('pr')}",
-                  "components-table": f"default.{unique_name('cc')}",
-                  "base-path": root, "version": "v001", "metrics-reporter": "console"})
+                  "target-edges-table": f"default.{unique_name('e')}", "top-k": "2",
+                  "base-path": scratch("graphjob"), "version": "v001", "metrics-reporter": "console"})
     run = run_job(spark, PurchaseGraphJob(), props)
     assert run.status == "SUCCESS" and run.record_counts["vertices"] == 6 and run.record_counts["edges"] == 5
     assert spark.table(props["target-vertices-table"]).count() == 6
     assert spark.table(props["target-edges-table"]).columns[:3] == ["purchase_id", "src", "dst"]
     assert spark.table(props["pagerank-table"]).count() == 6
-    assert spark.table(props["components-table"]).select("component").distinct().count() == 2
+    assert {r.id: r.component for r in spark.table(props["components-table"]).collect()} == COMPONENTS
+    assert sorted(r.id for r in spark.table(props["top-customers-table"]).collect()) == ["c:7", "c:8"]
+    assert sorted(r.id for r in spark.table(props["top-products-table"]).collect()) == ["p:12", "p:7"]
+
+
+class _Manual:
+    """A job whose metrics frame is given."""
+
+    def __init__(self, make):
+        self.make = make
+
+    def logic(self, spark, props):
+        return spark.range(3)
+
+    def output(self, spark, df, props):
+        return {"processed": df.count()}
+
+    def metrics(self, spark, df, props):
+        return self.make(spark)
+
+
+def test_failing_metrics_are_reported(spark, scratch):
+    root = scratch("failing")
+    job = _Manual(lambda s: s.range(1).selectExpr("raise_error('metrics broke') AS metric"))
+    props = {"metrics-reporter": "table", "metrics-path": root, "job-id": "m1"}
+    run = run_job(spark, job, props, raise_errors=False)
+    assert run.status == "FAILED" and run.record_counts == {"processed": 3}
+    row = spark.read.parquet(f"{root}/runs").first()
+    assert (row.job_id, row.status) == ("m1", "FAILED") and row.end_time is not None
+
+
+def test_console_prints_every_metric(spark, capsys):
+    job = _Manual(lambda s: s.range(120).selectExpr("concat('metric-', id) AS metric"))
+    assert run_job(spark, job).status == "SUCCESS"
+    printed = capsys.readouterr().out
+    assert all(f"metric-{i}\n" in printed for i in range(120))
+
+
+def test_compare_frames_on_any_column_names(spark):
+    names = ["l", "r", "_l", "left_count", "RIGHT_COUNT", "a`b"]
+    a = spark.createDataFrame([(1, 2, 3, 4, 5, 6), (1, 2, 3, 4, 5, 7)], names)
+    b = spark.createDataFrame([(1, 2, 3, 4, 5, 6)], names)
+    row = compare_frames(a, b).first()
+    assert (row.left_rows, row.right_rows, row.left_only, row.right_only) == (2, 1, 1, 0)
+
+
+def test_shared_folder_is_needed_off_a_local_master(monkeypatch):
+    from types import SimpleNamespace
+
+    from keelson.session import shared_dir
+    sc = SimpleNamespace(getConf=lambda: {}, getCheckpointDir=lambda: None, master="spark://host:7077", applicationId="app-x")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(SimpleNamespace(sparkContext=sc))
 
 
 def test_compare_frames(spark):

@@ -6,21 +6,27 @@ from tests.fixtures import METRIC_ROWS, METRIC_SCHEMA, PRICES, PRICE_SCHEMA
 
 
 def metrics_frame(spark):
-    df = spark.createDataFrame(METRIC_ROWS, METRIC_SCHEMA)
-    return df.withColumn("date", F.to_date(F.from_unixtime(F.col("timestamp") / 1000))).withColumn(
-        "hour", F.hour(F.from_unixtime(F.col("timestamp") / 1000)))
+    return spark.createDataFrame(METRIC_ROWS, METRIC_SCHEMA)
 
 
 def as_dict(df):
     return {(r.metric, r.group_key): (r.value, r.text_value) for r in df.collect()}
 
 
-def test_vehicle_metrics_single_pass(spark):
+def test_vehicle_metrics(spark):
     m = as_dict(Q.vehicle_metrics(metrics_frame(spark)))
-    assert m[("count", "Toyota")][0] == 2 and m[("count", "Honda")][0] == 1 and m[("count", "Ford")][0] == 1
-    assert m[("gear_pos", "D")][0] == 2 and m[("gear_pos", "P")][0] == 1 and m[("gear_pos", "N")][0] == 1
-    assert m[("min_date", None)][1] == "2021-04-01" and m[("max_date", None)][1] == "2021-04-04"
-    assert all(m[("null_pct", c)][0] == 0.0 for c in ("vin", "manufacturer", "model", "year"))
+    assert {k[1]: v[0] for k, v in m.items() if k[0] == "count"} == {"Norwind": 1, "Palmo": 3, None: 1}
+    assert {k[1]: v[0] for k, v in m.items() if k[0] == "gear_pos"} == {"5": 1, "0": 2, "-1": 1, "6": 1}
+    assert m[("min_date", None)][1] == "2024-02-29" and m[("max_date", None)][1] == "2024-03-02"
+    assert {k[1]: v[0] for k, v in m.items() if k[0] == "null_pct"} == {
+        "vin": 0.0, "manufacturer": 20.0, "model": 20.0, "year": 0.0}
+
+
+def test_metrics_read_their_input_once(spark, scratch):
+    path = scratch("metrics")
+    metrics_frame(spark).write.parquet(path)
+    plan = Q.vehicle_metrics(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[0].count("FileScan") == 1
 
 
 def test_null_group_is_null_key_and_percentages(spark):
@@ -54,20 +60,23 @@ def test_violation_counts(spark):
 
 def test_price_bands_and_discount(spark):
     df = spark.createDataFrame(PRICES, PRICE_SCHEMA).select(
-        "name", price_band("price").alias("band"), discount("price").alias("d"), final_price("price").alias("f"))
+        "name", price_band("price", 15.0, 20.0).alias("band"), discount("price").alias("d"), final_price("price").alias("f"))
     rows = {r.name: r for r in df.collect()}
-    assert (rows["Product A"].band, rows["Product B"].band, rows["Product C"].band) == ("Low", "High", "Medium")
-    assert abs(rows["Product A"].d - 1.05) < 1e-3 and abs(rows["Product A"].f - 9.45) < 1e-3
-    assert abs(rows["Product B"].f - 18.0) < 1e-3 and abs(rows["Product C"].f - 14.175) < 1e-3
-    nul = spark.createDataFrame([(None,)], "price double").select(price_band("price")).first()[0]
-    assert nul == "High"
+    assert {n: r.band for n, r in rows.items()} == {
+        "spoon": "Low", "pan": "Medium", "oven": "High", "edge low": "Medium", "edge high": "High"}
+    assert abs(rows["oven"].d - 40.0) < 1e-9 and abs(rows["oven"].f - 360.0) < 1e-9
+    assert abs(rows["spoon"].f - 2.88) < 1e-9
+    assert spark.createDataFrame([(None,)], "price double").select(price_band("price")).first()[0] == "High"
 
 
-def test_graph_metrics_fixture(spark):
+def test_graph_metrics(spark):
     from keelson.operators.graph import merged_graph
     from tests.fixtures import retail
     g = merged_graph(retail(spark))
     m = as_dict(Q.graph_metrics(g.vertices, g.edges))
     assert m[("total_vertices", None)][0] == 6 and m[("total_edges", None)][0] == 5
-    assert m[("customers_in", "Boston")][0] == 1 and m[("products_in", "Electronics")][0] == 3
-    assert m[("min_date", None)][1] == "2023-01-15" and m[("max_date", None)][1] == "2023-03-01"
+    assert m[("customers_in", "Brno")][0] == 1 and m[("products_in", "Floor")][0] == 1
+    assert m[("min_date", None)][1] == "2024-01-30" and m[("max_date", None)][1] == "2024-03-08"
+    empty = as_dict(Q.graph_metrics(g.vertices.limit(0), g.edges.limit(0)))
+    assert empty == {("total_vertices", None): (0.0, None), ("total_edges", None): (0.0, None),
+                     ("min_date", None): (None, None), ("max_date", None): (None, None)}

@@ -105,3 +105,77 @@ def test_null_int_partition_republish(spark, scratch):
     V.write_version(df.filter("hour IS NOT NULL"), base, "v2", ["date", "hour"])
     V.publish_partitioned(spark, name, base, "v2")
     assert [r.name for r in spark.table(name).collect()] == ["a"]
+
+
+def test_publishing_a_missing_version_changes_nothing(spark, scratch):
+    base, name = scratch("missing"), f"default.{unique_name('t')}"
+    df = frame(spark, [("x", "2024-05-01", 0), ("y", "2024-05-02", 5)])
+    V.create_partitioned_table(spark, name, df.schema, ["date", "hour"], V.version_path(base, "v0"))
+    V.write_version(df, base, "v1", ["date", "hour"])
+    V.publish_partitioned(spark, name, base, "v1")
+    with pytest.raises(ValueError):
+        V.publish_partitioned(spark, name, base, "v9")
+    V.write_version(df.withColumn("name", F.lit(3)), base, "v2", ["date", "hour"])
+    with pytest.raises(ValueError):  # another type
+        V.publish_partitioned(spark, name, base, "v2")
+    assert sorted(r.name for r in spark.table(name).collect()) == ["x", "y"]
+    plain, base = f"default.{unique_name('p')}", scratch("plain")
+    V.write_version(df, base, "v1")
+    V.publish_table(spark, plain, base, "v1")
+    with pytest.raises(ValueError):
+        V.publish_table(spark, plain, base, "v9")
+    assert spark.table(plain).count() == 2
+
+
+def test_failure_half_way_serves_the_old_version(spark, scratch, monkeypatch):
+    base, name = scratch("half"), f"default.{unique_name('t')}"
+    v1 = frame(spark, [("x", "2024-05-01", 0), ("y", "2024-05-02", 5)])
+    v2 = frame(spark, [("x2", "2024-05-01", 0), ("z2", "2024-05-03", 1)])
+    V.create_partitioned_table(spark, name, v1.schema, ["date", "hour"], V.version_path(base, "v0"))
+    V.write_version(v1, base, "v1", ["date", "hour"])
+    V.write_version(v2, base, "v2", ["date", "hour"])
+    V.publish_partitioned(spark, name, base, "v1")
+    in_batches = V._in_batches
+
+    def broken(spark, head, clauses, separator):
+        if "DROP" in head:
+            raise RuntimeError("metastore went away")
+        in_batches(spark, head, clauses, separator)
+
+    calls = []
+    monkeypatch.setattr(V, "_in_batches", lambda *a: (calls.append(a), broken(*a) if len(calls) < 3 else in_batches(*a)))
+    with pytest.raises(RuntimeError, match="went away"):
+        V.publish_partitioned(spark, name, base, "v2")
+    monkeypatch.undo()
+    assert sorted(r.name for r in spark.table(name).collect()) == ["x", "y"]
+    assert V.table_location(spark, name).rstrip("/").endswith("/v1")
+    V.publish_partitioned(spark, name, base, "v2")
+    assert sorted(r.name for r in spark.table(name).collect()) == ["x2", "z2"]
+
+
+def test_added_column_shows_and_old_versions_roll_back(spark, scratch):
+    base, name = scratch("added"), f"default.{unique_name('t')}"
+    v1 = spark.createDataFrame([("x", "2024-05-01")], "name string, date string")
+    v2 = spark.createDataFrame([("x", 4, "2024-05-01")], "name string, extra int, date string")
+    V.create_partitioned_table(spark, name, v1.schema, ["date"], V.version_path(base, "v0"))
+    V.write_version(v1, base, "v1", ["date"])
+    V.write_version(v2, base, "v2", ["date"])
+    V.publish_partitioned(spark, name, base, "v1")
+    V.publish_partitioned(spark, name, base, "v2")
+    assert [r.asDict() for r in spark.table(name).collect()] == [{"name": "x", "extra": 4, "date": "2024-05-01"}]
+    V.publish_partitioned(spark, name, base, "v1")
+    assert [r.asDict() for r in spark.table(name).collect()] == [{"name": "x", "extra": None, "date": "2024-05-01"}]
+
+
+def test_drop_table_and_database(spark, scratch):
+    db = unique_name("keelson_db")
+    path = scratch("kept")
+    V.save_table(spark.range(2).toDF("id"), f"{db}.kept", path)
+    V.save_table(spark.range(2).toDF("id"), f"{db}.gone")
+    V.drop_table(spark, f"{db}.gone")
+    V.drop_table(spark, f"{db}.gone")
+    assert not spark.catalog.tableExists(f"{db}.gone") and spark.catalog.tableExists(f"{db}.kept")
+    V.drop_database(spark, db)
+    V.drop_database(spark, db)
+    assert not spark.catalog.databaseExists(db)
+    assert spark.read.parquet(path).count() == 2  # an external table's files stay
