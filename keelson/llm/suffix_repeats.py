@@ -53,7 +53,9 @@ GRAM = 16
 GRAMS = LEAST - GRAM + 1
 SEGMENT = LEAST + GRAMS - 1
 WIDTH = -(-SEGMENT // 8) * 8
-BUCKET_BYTES = 2 << 20
+BUCKET_BYTES = 1 << 20
+#: Rows of the suffix matrix compared at once.
+ROWS = 1 << 15
 
 Finish = Callable[[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray], pa.RecordBatch]
 
@@ -109,12 +111,12 @@ class _Segments:
 
     def __init__(self, rows: pa.RecordBatch):
         self.data, self.offsets = flat(rows.column("text"))
-        counts = np.diff(np.asarray(rows.column("_start").offsets))
+        counts = np.diff(np.asarray(rows.column("_keelson_start").offsets))
         self.text = np.repeat(np.arange(rows.num_rows), counts)
-        self.start = rows.column("_start").flatten().to_numpy() + self.offsets[self.text]
-        self.end = self.start + rows.column("_size").flatten().to_numpy()
+        self.start = rows.column("_keelson_start").flatten().to_numpy() + self.offsets[self.text]
+        self.end = self.start + rows.column("_keelson_size").flatten().to_numpy()
         spans = SpanHash(self.data)
-        anchor = self.start + rows.column("_anchor").flatten().to_numpy()
+        anchor = self.start + rows.column("_keelson_anchor").flatten().to_numpy()
         key = _key(spans.same_length(anchor, GRAM))
         doc = rows.column("doc_id").cast(pa.int64()).fill_null(np.iinfo(np.int64).max).to_numpy()[self.text]
         h = spans(self.start, self.end)
@@ -187,11 +189,15 @@ def covered_by_smaller(data: np.ndarray, bounds: np.ndarray, doc: np.ndarray) ->
     padded = np.concatenate([data, np.zeros(WIDTH, np.uint8)])
     suffix = np.lib.stride_tricks.sliding_window_view(padded, WIDTH)[start]
     suffix[np.arange(WIDTH) >= rest[:, None]] = 0
-    order = np.argsort(np.ascontiguousarray(suffix).view(f"S{WIDTH}").reshape(-1), kind="stable")
-    suffix, start, seg, rest = suffix[order], start[order], seg[order], rest[order]
-    differ = suffix[1:] != suffix[:-1]
-    common = np.where(differ.any(axis=1), differ.argmax(axis=1), WIDTH)
-    common = np.minimum(common, np.minimum(rest[1:], rest[:-1]))
+    order = np.argsort(suffix.view(f"S{WIDTH}").reshape(-1))
+    start, seg, rest = start[order], seg[order], rest[order]
+    common = np.minimum(rest[1:], rest[:-1])
+    for i in range(0, len(common), ROWS):
+        some = suffix[order[i : i + ROWS + 1]]
+        differ = some[1:] != some[:-1]
+        here = common[i : i + len(differ)]
+        np.minimum(here, np.where(differ.any(axis=1), differ.argmax(axis=1), WIDTH), out=here)
+    del suffix
     before = np.where(start > bounds[:-1][seg], data[start - 1].astype(np.int64), -1)
     first, last, length, least = repeat_groups(common, before, doc[seg])
     rank = ranges(first, last - first + 1)
@@ -251,8 +257,8 @@ def without_repeats(docs: DataFrame, finish: Finish, schema: str) -> DataFrame:
         has[text] = True
         some, none = rows.filter(pa.array(has)), rows.filter(pa.array(~has))
         at = np.searchsorted(text, np.concatenate([np.flatnonzero(has), [rows.num_rows]])).astype(np.int32)
-        for name, values, kind in (("_start", start - offsets[text], pa.int32()), ("_size", end - start, pa.uint8()),
-                                   ("_anchor", anchor, pa.uint8())):
+        for name, values, kind in (("_keelson_start", start - offsets[text], pa.int32()), ("_keelson_size", end - start, pa.uint8()),
+                                   ("_keelson_anchor", anchor, pa.uint8())):
             some = some.append_column(name, pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values, kind)))
         data, offsets = flat(none.column("text"))
         yield pa.RecordBatch.from_pydict({
@@ -326,7 +332,7 @@ def kept_texts(rows: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, cove
     np.logical_and.at(whole, point, covered)
     gone = whole[point] if len(point) else covered
     texts = [bytes(data[x:y][~gone[x:y]]).decode() for x, y in zip(offsets.tolist(), offsets[1:].tolist())]
-    out = {c: rows.column(c) for c in rows.schema.names if not c.startswith("_")}
+    out = {c: rows.column(c) for c in rows.schema.names if not c.startswith("_keelson_")}
     out["text"] = pa.array(texts, pa.string())
     out["n_chars"] = pa.array([len(t) for t in texts], rows.schema.field("n_chars").type)
     return pa.RecordBatch.from_pydict(out)

@@ -34,7 +34,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64, at least n of each."""
     if len(_POWERS[0]) < n:
-        size = 1 << (n - 1).bit_length()
+        size = (n | ((1 << 18) - 1)) + 1
         inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
         for i, b in enumerate((_BASE, inverse)):
             p = np.full(size, b, np.uint64)
