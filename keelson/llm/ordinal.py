@@ -70,8 +70,21 @@ class OrdinalModel:
         return sigmoid(score[:, None] - self.thresholds[None, :])
 
 
-def fit_features(index: np.ndarray, bounds: np.ndarray, grade: np.ndarray, grades: int = GOOD + 1,
-                 dimensions: int = DIMENSIONS, rounds: int = 60, rate: float = 0.1, l2: float = 1.0,
+def distinct(index: np.ndarray, bounds: np.ndarray, dimensions: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each text's distinct features (int32), how often it has each (float32), and the new bounds."""
+    doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    pairs, count = np.unique(doc * dimensions + index, return_counts=True)
+    return ((pairs % dimensions).astype(np.int32), count.astype(np.float32),
+            np.searchsorted(pairs, np.arange(len(bounds)) * dimensions))
+
+
+def fit_features(index: np.ndarray, bounds: np.ndarray, grade: np.ndarray, dimensions: int = DIMENSIONS, **how) -> OrdinalModel:
+    """The model of whole feature lists (see ``features``) and their grades."""
+    return fit_distinct(*distinct(index, bounds, dimensions), np.diff(bounds) // 2, grade, dimensions=dimensions, **how)
+
+
+def fit_distinct(index: np.ndarray, count: np.ndarray, bounds: np.ndarray, n_words: np.ndarray, grade: np.ndarray,
+                 grades: int = GOOD + 1, dimensions: int = DIMENSIONS, rounds: int = 60, rate: float = 0.1, l2: float = 1.0,
                  least_docs: int = 8) -> OrdinalModel:
     """Maximum likelihood by Adam on the whole sample, deterministic; classes weigh alike.
 
@@ -83,25 +96,25 @@ def fit_features(index: np.ndarray, bounds: np.ndarray, grade: np.ndarray, grade
     if not n:
         return OrdinalModel(np.zeros(dimensions, np.float32), cuts - 1.0)
     first, steps = cuts[0], np.log(np.maximum(np.diff(cuts), 1e-3))
-    doc = np.repeat(np.arange(n), np.diff(bounds))
-    in_docs = np.bincount(np.unique(doc * dimensions + index) % dimensions, minlength=dimensions)
+    in_docs = np.bincount(index, minlength=dimensions)
     used = in_docs[index] >= least_docs
-    number = np.cumsum(in_docs >= least_docs) - 1           # the frequent features, counted through
     frequent = np.flatnonzero(in_docs >= least_docs)
-    scale = 1 / np.sqrt(np.maximum(1, np.diff(bounds) // 2))
-    doc, index, w = doc[used], number[index[used]], np.zeros(len(frequent))
+    number = (np.cumsum(in_docs >= least_docs) - 1).astype(np.int32)    # the frequent features, counted through
+    doc = np.repeat(np.arange(n, dtype=np.int32), np.diff(bounds))[used]
+    index, count, w = number[index[used]], count[used], np.zeros(len(frequent))
+    scale = 1 / np.sqrt(np.maximum(1, n_words))
     counts = np.bincount(grade, minlength=grades)
     weight = (n / (np.count_nonzero(counts) * np.maximum(1, counts)))[grade] / n
     m, v = np.zeros(len(w) + grades - 1), np.zeros(len(w) + grades - 1)
     for t in range(1, rounds + 1):
         cuts = first + np.concatenate([[0.0], np.cumsum(np.exp(steps))])
-        s = np.bincount(doc, weights=w[index], minlength=n) * scale
+        s = np.bincount(doc, weights=w[index] * count, minlength=n) * scale
         upper = np.where(grade < grades - 1, sigmoid(cuts[np.minimum(grade, grades - 2)] - s), 1.0)
         lower = np.where(grade > 0, sigmoid(cuts[np.maximum(grade - 1, 0)] - s), 0.0)
         p = np.maximum(upper - lower, 1e-9)
         du, dl = upper * (1 - upper) / p, lower * (1 - lower) / p      # d log p by the two cuts
         ds = weight * (du - dl)                                        # minus d log p / d s
-        dw = np.bincount(index, weights=(ds * scale)[doc], minlength=len(w)) + l2 * w / n
+        dw = np.bincount(index, weights=(ds * scale)[doc] * count, minlength=len(w)) + l2 * w / n
         dc = np.zeros(grades - 1)
         np.add.at(dc, np.minimum(grade, grades - 2), -weight * du)
         np.add.at(dc, np.maximum(grade - 1, 0), weight * dl)
@@ -127,17 +140,25 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, dime
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, "text", STEP_BYTES):
-            index, bounds = features(b.column("text"), dimensions)
+            every, whole = features(b.column("text"), dimensions)
+            index, count, bounds = distinct(every, whole, dimensions)
+            cut = list(zip(bounds.tolist(), bounds[1:].tolist()))
             yield pa.RecordBatch.from_pydict({
                 "doc_id": b.column("doc_id").cast(pa.int64()), "grade": b.column("grade").cast(pa.int32()),
-                "index": pa.array([index[x:y].astype("<i4").tobytes() for x, y in zip(bounds, bounds[1:])], pa.binary())})
-
-    rows = sample.mapInArrow(hashed, "doc_id bigint, grade int, index binary").toArrow().sort_by(
-        [("doc_id", "ascending"), ("grade", "ascending")])
-    each = [np.frombuffer(x, "<i4") for x in rows.column("index").to_pylist()]
-    index = np.concatenate([*each, np.zeros(0, np.int32)]).astype(np.int64)
-    bounds = np.concatenate([[0], np.cumsum([len(x) for x in each])]).astype(np.int64)
-    return fit_features(index, bounds, rows.column("grade").to_numpy(), dimensions=dimensions)
+                "n_words": pa.array(np.diff(whole) // 2, pa.int64()),
+                "index": pa.array([index[x:y].tobytes() for x, y in cut], pa.binary()),
+                "count": pa.array([count[x:y].tobytes() for x, y in cut], pa.binary())})
+
+    rows = sample.mapInArrow(hashed, "doc_id bigint, grade int, n_words bigint, index binary, count binary").toArrow()
+    # in one order whatever the tasks' order; equal rows may change places
+    rows = rows.sort_by([("doc_id", "ascending"), ("grade", "ascending"), ("n_words", "ascending")])
+
+    def joined(column: str, kind: type) -> np.ndarray:
+        return np.frombuffer(b"".join(rows.column(column).to_pylist()), kind)
+
+    bounds = np.concatenate([[0], np.cumsum([len(x) // 4 for x in rows.column("index").to_pylist()])]).astype(np.int64)
+    return fit_distinct(joined("index", np.int32), joined("count", np.float32), bounds, rows.column("n_words").to_numpy(),
+                        rows.column("grade").to_numpy(), dimensions=dimensions)
 
 
 def with_grades(docs: DataFrame, model: OrdinalModel, least_good: float = 0.3) -> DataFrame:
