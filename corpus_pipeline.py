@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 from keelson.llm import hilbert_pack, line_quality, ordinal, signature_tree, suffix_repeats
-from keelson.session import scratch_path, ship_package
+from keelson.session import ship_package, store
 
 #: Columns of ``documents``; every stage but the last returns them.
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -57,12 +57,17 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in a row over ``documents``; each result is written as Parquet and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages in a row over ``documents``; each result is written as Parquet and read again.
+
+    A stage's result is deleted once the next one's is written.
+    """
+    ship_package(spark)
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        path = scratch_path(spark, name.replace(" ", "_"))
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        after = store(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+        if before is not None:
+            before.drop()
+        docs, before = after.df, after
     return docs
 
 

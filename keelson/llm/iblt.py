@@ -16,8 +16,8 @@ block once; a range learns the first document of the following range, so
 nothing is sorted in one task.
 
 Edge cases: a null text is empty, has no paragraphs, and an empty sketch. Rows
-of equal id follow each other in the order of their texts; a null id comes
-first. After the last row comes the first; a single row is its own next one. An
+of equal id follow each other in the order of their texts (and stand in one
+range, so ids should be nearly unique); a null id comes first. After the last row comes the first; a single row is its own next one. An
 empty table gives an empty table; extra columns are ignored. Equal texts have
 equal fingerprints; a hash of the whole text tells different ones apart.
 """

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm.packed import stored
+from keelson.llm.packed import drop, stored
 
 
 def linked_groups(edges: DataFrame) -> DataFrame:
@@ -26,19 +26,25 @@ def linked_groups(edges: DataFrame) -> DataFrame:
     while not edges.isEmpty():
         both = edges.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(
             edges.select(F.col("b").alias("node"), F.col("a").alias("other")))
-        to = stored(both.groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("to")), "pointers")
-        onward = to.select(F.col("node").alias("to"), F.col("to").alias("next"))
-        to = stored(to.join(onward, "to").select("node", F.col("next").alias("to")), "pointers")
-        if groups is None:
-            groups = to.withColumnRenamed("to", "group")
+        near = stored(both.groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("to")), "pointers")
+        onward = near.select(F.col("node").alias("to"), F.col("to").alias("next"))
+        to = stored(near.join(onward, "to").select("node", F.col("next").alias("to")), "pointers")
+        drop(near)
+        before = groups
+        if before is None:
+            groups = stored(to.withColumnRenamed("to", "group"), "groups")
         else:
             moved = to.select(F.col("node").alias("group"), "to")
-            groups = stored(groups.join(moved, "group", "left").select(
+            groups = stored(before.join(moved, "group", "left").select(
                 "node", F.coalesce("to", "group").alias("group")), "groups")
+            drop(before)
         left, right = to.select(F.col("node").alias("a"), F.col("to").alias("x")), \
             to.select(F.col("node").alias("b"), F.col("to").alias("y"))
-        edges = stored(edges.join(left, "a").join(right, "b").filter("x <> y").select(
+        following = stored(edges.join(left, "a").join(right, "b").filter("x <> y").select(
             F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "edges")
+        drop(edges, to)
+        edges = following
     if groups is None:
         return edges.select(F.col("a").alias("node"), F.col("b").alias("group"))
+    drop(edges)
     return groups

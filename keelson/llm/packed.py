@@ -25,7 +25,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from keelson.llm.textbytes import pieces
-from keelson.session import scratch_path, unique_name
+from keelson.session import Stored, scratch_path, store, unique_name
 
 #: Bytes of text in a block, and of text for each bucket of the key space.
 BLOCK_BYTES = 2 << 20
@@ -49,9 +49,15 @@ def unpack_batch(blob: bytes) -> pa.RecordBatch:
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back: lineage ends there."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    table = store(df, label)
+    table.df.stored_table = table
+    return table.df
+
+
+def drop(*frames: DataFrame) -> None:
+    """Delete the files of stored frames that nothing reads any more."""
+    for df in frames:
+        df.stored_table.drop()
 
 
 def stored_by_part(df: DataFrame, label: str) -> DataFrame:
@@ -62,8 +68,10 @@ def stored_by_part(df: DataFrame, label: str) -> DataFrame:
     """
     spark, name = df.sparkSession, unique_name("keelson_" + label)
     buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    df.write.option("path", scratch_path(spark, label)).bucketBy(buckets, "part").saveAsTable(name)
+    path = scratch_path(spark, label)
+    df.write.option("path", path).bucketBy(buckets, "part").saveAsTable(name)
     out = spark.table(name)
+    out.stored_table = Stored(out, path)
     spark.sql(f"DROP TABLE {name}")
     return out
 

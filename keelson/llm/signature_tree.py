@@ -45,7 +45,8 @@ from pyspark.sql import functions as F
 
 from keelson.llm.links import linked_groups
 from keelson.llm.packed import (
-    bucket_count, counted_keys, key_totals, pack, shared_keys, shared_mask, stored, with_replies,
+    bucket_count, counted_keys, drop, key_totals, pack, shared_keys, shared_mask, stored, stored_by_part,
+    with_replies,
 )
 from keelson.llm.textbytes import SpanHash, flat, lower_ascii, mix, ranges, words
 
@@ -279,16 +280,19 @@ def _documents(blocks: DataFrame) -> DataFrame:
             copies = Counter(zip(d[may, 0], d[may, 1]))
             may = may & np.array([x not in none or copies[x] > 1 for x in zip(d[:, 0], d[:, 1])], bool)
         yield pa.RecordBatch.from_pydict({
+            "part": pa.array([part] * len(n), pa.int64()),
             "uid": pa.array((number << 16) + np.arange(len(n)), pa.int64()), "doc_id": rows.column("doc_id"),
             "n": pa.array(n, pa.int64()), "may": pa.array(may, pa.bool_()), "d1": pa.array(d[:, 0]), "d2": pa.array(d[:, 1]),
             "tokens": pa.array(tokens, pa.binary()), "prefix": pa.array(prefix, pa.list_(pa.int64())), "left": pa.array(left, pa.list_(pa.int64()))})
 
-    return stored(with_replies(blocks, replies, sets,
-                               "uid bigint, doc_id bigint, n bigint, may boolean, d1 bigint, d2 bigint, tokens binary, "
-                               "prefix array<bigint>, left array<bigint>"), "sets")
+    out = stored_by_part(with_replies(
+        blocks, replies, sets, "part bigint, uid bigint, doc_id bigint, n bigint, may boolean, d1 bigint, d2 bigint, "
+        "tokens binary, prefix array<bigint>, left array<bigint>"), "sets")
+    drop(shared, totals)
+    return out
 
 
-def _tree_keys(classes: DataFrame) -> DataFrame:
+def _tree_keys(sets: DataFrame, classes: DataFrame) -> DataFrame:
     """Two keys a class (its least elements in two hash orders), dealt into trees of TREE_LEAVES at most."""
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -299,30 +303,50 @@ def _tree_keys(classes: DataFrame) -> DataFrame:
                 "uid": pa.array(uid, pa.int64()), "which": pa.array(np.tile([0, 1], len(found)), pa.int32()),
                 "key": pa.array(np.array(found, np.int64).reshape(-1), pa.int64())})
 
-    keyed = stored(classes.select("uid", "tokens").mapInArrow(keys, "uid bigint, which int, key bigint"), "tree_keys")
+    keyed = sets.select("uid", "tokens").mapInArrow(keys, "uid bigint, which int, key bigint")
+    keyed = stored(keyed.join(classes.select("uid"), "uid", "left_semi"), "tree_keys")
     counts = keyed.groupBy("which", "key").agg(F.count("*").alias("c")).filter("c > 1")
     return keyed.join(counts, ["which", "key"]).select(
-        "uid", "which", "key", F.pmod(F.xxhash64("uid", "which"), F.ceil(F.col("c") / TREE_LEAVES)).alias("part"))
+        "uid", "which", "key", F.pmod(F.xxhash64("uid", "which"), F.ceil(F.col("c") / TREE_LEAVES)).alias("deal"))
+
+
+def _dealt_sets(sets: DataFrame, keys: DataFrame) -> DataFrame:
+    """(``which``, ``key``, ``deal``, ``uid``, ``tokens``): the sets of all tree keys.
+
+    The sets lie in buckets of their part, and the keys come to them, so whole sets move only once, to their trees.
+    """
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        uid = left.column("uid").to_numpy()
+        order = np.argsort(uid)
+        at = order[np.searchsorted(uid[order], right.column("uid").to_numpy())] if right.num_rows else np.zeros(0, np.int64)
+        return right.select(["which", "key", "deal", "uid"]).append_column("tokens", left.column("tokens").take(pa.array(at)))
 
+    placed = keys.withColumn("part", F.shiftright("uid", 40))
+    return sets.select("part", "uid", "tokens").groupBy("part").cogroup(placed.groupBy("part")).applyInArrow(
+        meet, "which int, key bigint, deal bigint, uid bigint, tokens binary")
 
-def _crossing_links(classes: DataFrame, groups: DataFrame) -> DataFrame:
-    """Step 4: all links between classes of different groups, exactly."""
+
+def _crossing_links(sets: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFrame:
+    """Step 4: all links between classes of different groups, exactly.
+
+    The whole sets aren't moved but for the pairs to compare.
+    """
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [np.frombuffer(x, np.uint64) for x in b.column("tokens").to_pylist()]
             yield pa.RecordBatch.from_pydict({
-                "uid": b.column("uid"), "group": b.column("group"), "n": pa.array([len(x) for x in sets], pa.int64()),
+                "uid": b.column("uid"), "n": pa.array([len(x) for x in sets], pa.int64()),
                 "prefix": b.column("prefix"), "left": b.column("left"), "bits": pa.array([x.tobytes() for x in bitmaps(sets, BITS)], pa.binary())})
 
-    grouped = classes.join(groups, classes.uid == groups.node, "left").select(
-        "uid", "tokens", "prefix", "left", F.coalesce("group", "uid").alias("group"))
-    cut = stored(grouped.mapInArrow(
-        mapped, "uid bigint, group bigint, n bigint, prefix array<bigint>, left array<bigint>, bits binary"), "prefixes")
+    group = classes.select("uid").join(groups, classes.uid == groups.node, "left").select(
+        "uid", F.coalesce("group", "uid").alias("group"))
+    cut = stored(sets.drop("part").mapInArrow(mapped, "uid bigint, n bigint, prefix array<bigint>, left array<bigint>, bits binary")
+                 .join(group, "uid"), "prefixes")
     places = cut.select("uid", "group", F.explode(F.arrays_zip("prefix", "left")).alias("x")).select(
         "uid", "group", F.col("x.prefix").alias("h"), F.col("x.left").alias("left"))
     mixed = places.groupBy("h").agg(F.min("group").alias("x"), F.max("group").alias("y"), F.count("*").alias("c")).filter("x < y")
-    rows = stored(places.join(mixed.select("h", "c"), "h").select("uid", "h", "left", "c"), "mixed")
-    rows = rows.join(cut.select("uid", "group", "n", "bits"), "uid").withColumn(
+    mixed_rows = stored(places.join(mixed.select("h", "c"), "h").select("uid", "h", "left", "c"), "mixed")
+    rows = mixed_rows.join(cut.select("uid", "group", "n", "bits"), "uid").withColumn(
         "blocks", F.ceil(F.col("c") / BLOCK_CLASSES).cast("int")).withColumn(
         "block", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int"))
     dealt = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns(
@@ -336,9 +360,13 @@ def _crossing_links(classes: DataFrame, groups: DataFrame) -> DataFrame:
             yield b.select(["a", "b"]).filter(pa.array([is_link(np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64))
                                                         for p, q in zip(x, y)], pa.bool_()))
 
-    left = classes.select(F.col("uid").alias("a"), F.col("tokens").alias("x"))
-    right = classes.select(F.col("uid").alias("b"), F.col("tokens").alias("y"))
-    return stored(pairs, "pairs").join(left, "a").join(right, "b").mapInArrow(check, "a bigint, b bigint")
+    pairs = stored(pairs, "pairs")
+    drop(cut, mixed_rows)
+    left = sets.select(F.col("uid").alias("a"), F.col("tokens").alias("x"))
+    right = sets.select(F.col("uid").alias("b"), F.col("tokens").alias("y"))
+    out = stored(pairs.join(left, "a").join(right, "b").mapInArrow(check, "a bigint, b bigint"), "links")
+    drop(pairs)
+    return out
 
 
 def _components(rows: DataFrame) -> DataFrame:
@@ -346,12 +374,11 @@ def _components(rows: DataFrame) -> DataFrame:
     classes = stored(rows.filter("may").groupBy("d1", "d2").agg(
         F.min("uid").alias("uid"), F.min("doc_id").alias("least_id")), "classes")
     # a block writes an equal set's tokens with its first row, which holds the class's least uid in its block
-    sets = rows.filter("tokens IS NOT NULL").select("uid", "tokens", "prefix", "left").join(classes.select("uid"), "uid", "left_semi")
-    sets = stored(sets, "class_sets")
-    trees = _tree_keys(sets).join(sets.select("uid", "tokens"), "uid")
-    links = stored(trees.groupBy("which", "key", "part").applyInArrow(_tree_links, "a bigint, b bigint"), "links")
+    sets = rows.filter("tokens IS NOT NULL").select("part", "uid", "tokens", "prefix", "left")
+    trees = _dealt_sets(sets, _tree_keys(sets, classes))
+    links = stored(trees.groupBy("which", "key", "deal").applyInArrow(_tree_links, "a bigint, b bigint"), "links")
     groups = linked_groups(links)
-    more = linked_groups(_crossing_links(sets, groups).join(
+    more = linked_groups(_crossing_links(sets, classes, groups).join(
         groups.select(F.col("node").alias("a"), F.col("group").alias("ga")), "a", "left").join(
         groups.select(F.col("node").alias("b"), F.col("group").alias("gb")), "b", "left").select(
         F.coalesce("ga", "a").alias("a"), F.coalesce("gb", "b").alias("b")))
@@ -365,7 +392,9 @@ def _components(rows: DataFrame) -> DataFrame:
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """(``doc_id``, ``n_shingles``, ``component_id``) of every row of ``docs`` (doc_id, text)."""
-    rows = _documents(pack(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")))
+    blocks = pack(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    rows = _documents(blocks)
+    drop(blocks)
     found = _components(rows)
     alone = rows.filter("NOT may").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     linked = rows.filter("may").select("doc_id", "n", "d1", "d2").join(found, ["d1", "d2"]).select(

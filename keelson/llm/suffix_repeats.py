@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from keelson.llm.packed import (
-    bucket_bounds, bucket_count, exchange, pack, pack_batch, shared_keys, shared_mask, stored_by_part, unpack_batch,
+    bucket_bounds, bucket_count, drop, exchange, pack, pack_batch, shared_keys, shared_mask, stored_by_part, unpack_batch,
     with_replies,
 )
 from keelson.llm.textbytes import SpanHash, flat, mix, ranges
@@ -269,6 +269,7 @@ def without_repeats(docs: DataFrame, finish: Finish, schema: str) -> DataFrame:
     shared = shared_keys(blocks, buckets, lambda rows: _anchor_keys(rows)[:2])
     some = stored_by_part(with_replies(blocks, shared, candidates, "part bigint, batch bigint, blob binary, done binary"),
                           "candidates")
+    drop(blocks)
 
     def send(rows: pa.RecordBatch):
         found = _Segments(rows)

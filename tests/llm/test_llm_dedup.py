@@ -76,7 +76,7 @@ def test_exact_step_alone_finds_every_link(llm, monkeypatch):
     df = llm.createDataFrame(rows, "doc_id bigint, text string")
     # every class in a tree of its own
     monkeypatch.setattr(signature_tree, "_tree_keys",
-                        lambda sets: sets.selectExpr("uid", "0 AS which", "uid AS key", "0L AS part"))
+                        lambda sets, classes: sets.selectExpr("uid", "0 AS which", "uid AS key", "0L AS deal"))
     assert found(df) == brute_components(rows)
     monkeypatch.setattr(signature_tree, "BLOCK_CLASSES", 7)   # many pairs of blocks
     assert found(df) == brute_components(rows)
