@@ -28,7 +28,7 @@ from keelson.llm.textbytes import pieces
 from keelson.session import Stored, scratch_path, store, unique_name
 
 #: Bytes of text in a block, and of text for each bucket of the key space.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 BUCKET_BYTES = 4 << 20
 #: zstd level of the blocks: they are stored, so size counts more than time.
 LEVEL = 6
@@ -154,6 +154,7 @@ def exchange(blocks: DataFrame, buckets: int, send: Send, answer: Answer, replie
 
     def answered(group: pa.Table) -> pa.Table:
         found = answer(group.column("payload").to_pylist())
+        pa.default_memory_pool().release_unused()  # a worker lives on: give back what this bucket took
         keep = pa.array([r is not None for r in found])
         return group.select(["part", "batch", "bucket"]).append_column("reply", pa.array(found, pa.binary())).filter(keep)
 
@@ -173,7 +174,8 @@ def with_replies(blocks: DataFrame, replies: DataFrame, each: Each, schema: str
         out = []
         for i in range(left.num_rows):
             block = {c: left.column(c)[i].as_py() for c in left.column_names}
-            out += each(block["part"], block["batch"], unpack_batch(block.pop("blob")), got.get(block["batch"], {}), block)
+            out += each(block["part"], block["batch"], unpack_batch(block.pop("blob")), got.pop(block["batch"], {}), block)
+        pa.default_memory_pool().release_unused()
         return pa.concat_tables([pa.Table.from_batches([x]).select(target.names).cast(target) for x in out]
                                 or [target.empty_table()])
 

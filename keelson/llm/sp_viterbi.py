@@ -36,7 +36,7 @@ from keelson.llm.textbytes import SpanHash, flat, pieces, ranges
 from keelson.llm.tokens import UnitEncoder
 
 #: Characters of a word above which BPE merges run by a heap; bytes of text handled at once; words in a group.
-LONG, STEP_BYTES, GROUP = 64, 4 << 20, 1 << 15
+LONG, STEP_BYTES, GROUP = 64, 2 << 20, 1 << 14
 # Fixed value: what an unknown character costs below the least piece score (unigram).
 UNKNOWN_PENALTY = 10.0
 _META = "▁"

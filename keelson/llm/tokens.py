@@ -14,8 +14,9 @@ import pyarrow as pa
 
 from keelson.llm.textbytes import SPACE, SpanHash, flat, ranges
 
-#: Units in the cache before it starts anew, units in one string, bytes of text handled at once.
-CACHE_UNITS, JOINED, STEP_BYTES = 1_000_000, 256, 4 << 20
+#: Units in the cache before it starts anew, units in one string, strings encoded at once (an encoding takes far more
+#: memory than its ids), bytes of text handled at once.
+CACHE_UNITS, JOINED, STRINGS, STEP_BYTES = 500_000, 256, 16, 2 << 20
 
 # First bytes of the multi-byte code points among which there are white spaces: not cut before.
 _UNSURE = SPACE.copy()
@@ -106,7 +107,8 @@ class BpeEncoder(UnitEncoder):
         strings += [texts[i] for i in alone]
         order = np.array(joins + alone, np.int64)
         encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        ids = np.concatenate([np.array(e.ids, np.uint32) for e in encode(strings, add_special_tokens=False)])
+        ids = np.concatenate([np.array(e.ids, np.uint32) for i in range(0, len(strings), STRINGS)
+                              for e in encode(strings[i : i + STRINGS], add_special_tokens=False)])
         # units end where as many bytes of tokens have passed
         edge = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum((end - start)[order])) + 1
         count = np.diff(edge, prepend=0)
