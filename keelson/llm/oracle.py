@@ -80,6 +80,27 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_words, round(coalesce(x, 0), 4) AS lo
 FROM d LEFT JOIN t ON d.r = t.r
 """
 
+ORACLE["op9_backoff_lm_order3"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_SPACES}'),
+             lambda v: v <> '') AS w FROM documents),
+p AS (SELECT r, i, w[i] AS w, CASE WHEN i > 1 THEN w[i - 1] END AS h, CASE WHEN i > 2 THEN w[i - 2] END AS g
+      FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
+one AS (SELECT w, count(*) AS c FROM p GROUP BY w),
+two AS (SELECT h, w, count(*) AS c FROM p WHERE h IS NOT NULL GROUP BY h, w),
+three AS (SELECT g, h, w, count(*) AS c FROM p WHERE g IS NOT NULL GROUP BY g, h, w),
+s AS (SELECT r, least(i, 3) - CASE WHEN three.c >= 2 THEN 3 WHEN two.c >= 2 THEN 2 ELSE 1 END AS b,
+             CASE WHEN three.c >= 2 THEN ln(three.c / pair.c) WHEN two.c >= 2 THEN ln(two.c / ctx.c)
+                  ELSE ln(one.c / (SELECT count(*) FROM p)) END AS x
+      FROM p JOIN one ON p.w = one.w LEFT JOIN one AS ctx ON p.h = ctx.w LEFT JOIN two ON p.h = two.h AND p.w = two.w
+      LEFT JOIN two AS pair ON p.g = pair.h AND p.h = pair.w
+      LEFT JOIN three ON p.g = three.g AND p.h = three.h AND p.w = three.w),
+t AS (SELECT r, sum(x + b * ln(0.4)) AS x, count(*) AS n, sum(b) AS b FROM s GROUP BY r)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_words, round(coalesce(x, 0), 4) AS log_score, round(x / n, 6) AS mean_log_score,
+       coalesce(b, 0)::BIGINT AS n_backoffs
+FROM d LEFT JOIN t ON d.r = t.r
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)

@@ -93,7 +93,16 @@ def op8_ordinal_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scores = backoff_lm.backoff_scores(table(spark, sf_dir, "documents"))
+    return _rounded_scores(backoff_lm.backoff_scores(table(spark, sf_dir, "documents")))
+
+
+@query
+def op9_backoff_lm_order3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two words of context: trigrams counted and joined, up to two back-off steps."""
+    return _rounded_scores(backoff_lm.backoff_scores(table(spark, sf_dir, "documents"), order=3))
+
+
+def _rounded_scores(scores: DataFrame) -> DataFrame:
     return scores.withColumns({"log_score": F.round("log_score", 4), "mean_log_score": F.round("mean_log_score", 6)})
 
 

@@ -9,7 +9,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 
-from keelson.llm import backoff_lm, hilbert_pack, sp_viterbi
+from keelson.llm import backoff_lm, hilbert_pack, queries, sp_viterbi
 from tests.llm.conftest import ODD
 
 BPE, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -112,6 +112,13 @@ def test_backoff_edges(odd, none):
     assert backoff_lm.backoff_scores(none).count() == 0
 
 
+def test_a_registered_query_scores_trigrams(llm, docs):
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    found = queries.QUERIES["op9_backoff_lm_order3"](llm, "/root/testdata/sf0.001").collect()
+    got = Counter((r.doc_id, r.n_words, round(r.log_score, 4), r.n_backoffs) for r in found)
+    assert got == brute_scores(rows, 3, 2) != brute_scores(rows, 2, 2)
+
+
 # ------------------------------------------------------------------ SentencePiece
 
 STRANGE = ["", "a  b   c", " lead", "trail  ", "x\n\n y\t", "日本語 é", "a" * 300, "ab" * 100 + " c", "Ａ<s> </s>", "   ", "é", "<0x41>"]
