@@ -14,7 +14,10 @@ How the suffix arrays stay small and distributed, exactly:
 2. The windows of a shared anchor form a segment of 84 bytes at most. Equal
    segments of a block collapse to one with its least doc_id, and are sent to
    the anchor's bucket, so a passage in a third of all documents sends one
-   segment a block.
+   segment a block. An anchor with more than ``SPLIT`` of them (a frequent
+   phrase in differing contexts) is hot: its windows are sent one by one by
+   their own hashes, spread over all buckets, and a bucket answers which of
+   them a smaller document has.
 3. A bucket builds an enhanced suffix array (sorted suffixes and common-prefix
    lengths) over its distinct segments, and scans it with a stack into
    common-prefix intervals of 50 bytes or more. Intervals whose occurrences
@@ -27,8 +30,9 @@ Edge cases: a null or empty text, and one below 50 bytes, is kept whole. Rows
 of equal doc_id don't remove from each other; a null doc_id counts as larger
 than all others. Texts of any length are one unit of a block. An empty table
 gives an empty table; extra columns are carried or ignored as ``finish`` asks.
-Segments are collapsed by 64-bit hashes of their bytes; anchors that collide
-by hash only add segments, which the suffix array tells apart.
+Segments and the windows of hot anchors are collapsed by 64-bit hashes of
+their bytes; anchors that collide by hash only add segments, which the suffix
+array tells apart.
 """
 
 from __future__ import annotations
@@ -41,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from keelson.llm.packed import (
-    bucket_bounds, bucket_count, drop, exchange, pack, pack_batch, shared_keys, shared_mask, stored_by_part, unpack_batch,
+    bucket_bounds, bucket_count, drop, exchange, from_low48, low48, pack, pack_batch, stored_by_part, unpack_batch,
     with_replies,
 )
 from keelson.llm.textbytes import SpanHash, flat, mix, ranges
@@ -54,6 +58,8 @@ GRAMS = LEAST - GRAM + 1
 SEGMENT = LEAST + GRAMS - 1
 WIDTH = -(-SEGMENT // 8) * 8
 BUCKET_BYTES = 1 << 20
+#: Segments of an anchor, summed over the blocks' distinct ones, above which its windows are dealt by their own hashes.
+SPLIT = 4096
 #: Rows of the suffix matrix compared at once.
 ROWS = 1 << 15
 
@@ -103,38 +109,144 @@ def _anchor_keys(rows: pa.RecordBatch):
     several = text[order][first] != text[order][last]
     place = np.empty(len(key), np.int64)
     place[order] = np.cumsum(new) - 1
-    return key[order][first], several, place, (offsets, text, start, end, anchor)
+    return key[order][first], several, place, (data, offsets, text, start, end, anchor)
+
+
+def _distinct(doc: np.ndarray, *keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each item's place among the distinct ``keys``, ascending, and the item of least doc at each place."""
+    order = np.lexsort((doc, *keys[::-1]))
+    new = np.ones(len(order), bool)
+    if len(order):
+        new[1:] = np.any([k[order][1:] != k[order][:-1] for k in keys], axis=0)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.cumsum(new) - 1
+    return place, order[new]
+
+
+def _segment_counts(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A block's distinct anchors, whether several texts have each, and how many distinct segments each has."""
+    keys, several, place, (data, _, _, start, end, _) = _anchor_keys(rows)
+    count = np.bincount(place, minlength=len(keys))
+    more = np.flatnonzero(count[place] > 1)
+    if len(more):
+        _, first = _distinct(np.zeros(len(more)), place[more], SpanHash(data)(start[more], end[more]))
+        count[count > 1] = 0
+        count += np.bincount(place[more][first], minlength=len(keys))
+    return keys, several, count
+
+
+def marked_anchors(blocks: DataFrame, buckets: int, split: int) -> DataFrame:
+    """Replies that mark each block's anchors in two documents or more, and those of them with over ``split`` segments."""
+    def send(rows: pa.RecordBatch):
+        h, several, count = _segment_counts(rows)
+
+        def payload(lo: int, hi: int) -> bytes:
+            n = count[lo:hi]
+            return (np.int64(hi - lo).tobytes() + low48(h[lo:hi]) + np.packbits(several[lo:hi]).tobytes()
+                    + np.packbits(n > 1).tobytes() + n[n > 1].astype("<u4").tobytes())
+        return h, payload
+
+    def answer(payloads: list[bytes]) -> list[bytes | None]:
+        keys, flags, counts = [], [], []
+        for p in payloads:
+            n = int(np.frombuffer(p, np.int64, 1)[0])
+            at, width = 8 + 6 * n, -(-n // 8)
+            keys.append(from_low48(p[8:at]))
+            flags.append(np.unpackbits(np.frombuffer(p, np.uint8, width, at), count=n).astype(bool))
+            each = np.ones(n, np.int64)
+            more = np.unpackbits(np.frombuffer(p, np.uint8, width, at + width), count=n).astype(bool)
+            each[more] = np.frombuffer(p, "<u4", offset=at + 2 * width)
+            counts.append(each)
+        _, inverse, times = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
+        shared = np.concatenate(flags) | (times > 1)[inverse]
+        hot = shared & (np.bincount(inverse, weights=np.concatenate(counts)) > split)[inverse]
+        cuts = np.cumsum([len(k) for k in keys])[:-1]
+        return [np.packbits(x).tobytes() + (np.packbits(y).tobytes() if y.any() else b"") if x.any() else None
+                for x, y in zip(np.split(shared, cuts), np.split(hot, cuts))]
+
+    return exchange(blocks, buckets, send, answer)
+
+
+def _marks(h: np.ndarray, buckets: int, got: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The answer of ``marked_anchors`` for a block's ascending anchors: shared, hot."""
+    out = np.zeros((2, len(h)), bool)
+    which, bounds = bucket_bounds(h, buckets)
+    for b, lo, hi in zip(which.tolist(), bounds, bounds[1:]):
+        if b in got:
+            n = int(hi - lo)
+            bits = np.unpackbits(np.frombuffer(got[b], np.uint8).reshape(-1, -(-n // 8)), axis=1, count=n)
+            out[: len(bits), lo:hi] = bits
+    return out[0], out[1]
 
 
 class _Segments:
-    """Distinct candidate segments of a block's rows, by ascending key, with their least doc_id."""
+    """Distinct candidate segments of a block's rows, by ascending key, with their least doc_id.
+
+    Segments of hot anchors stand as their windows instead. ``sent`` holds the keys of both, ascending.
+    """
 
     def __init__(self, rows: pa.RecordBatch):
         self.data, self.offsets = flat(rows.column("text"))
         counts = np.diff(np.asarray(rows.column("_keelson_start").offsets))
-        self.text = np.repeat(np.arange(rows.num_rows), counts)
-        self.start = rows.column("_keelson_start").flatten().to_numpy() + self.offsets[self.text]
-        self.end = self.start + rows.column("_keelson_size").flatten().to_numpy()
+        text = np.repeat(np.arange(rows.num_rows), counts)
+        start = rows.column("_keelson_start").flatten().to_numpy() + self.offsets[text]
+        end = start + rows.column("_keelson_size").flatten().to_numpy()
+        anchor = start + rows.column("_keelson_anchor").flatten().to_numpy()
+        hot = rows.column("_keelson_hot").flatten().to_numpy(zero_copy_only=False)
+        doc = rows.column("doc_id").cast(pa.int64()).fill_null(np.iinfo(np.int64).max).to_numpy()[text]
         spans = SpanHash(self.data)
-        anchor = self.start + rows.column("_keelson_anchor").flatten().to_numpy()
-        key = _key(spans.same_length(anchor, GRAM))
-        doc = rows.column("doc_id").cast(pa.int64()).fill_null(np.iinfo(np.int64).max).to_numpy()[self.text]
-        h = spans(self.start, self.end)
-        order = np.lexsort((doc, h, key))
-        new = np.ones(len(order), bool)
-        new[1:] = (key[order][1:] != key[order][:-1]) | (h[order][1:] != h[order][:-1])
-        self.place = np.empty(len(order), np.int64)
-        self.place[order] = np.cumsum(new) - 1
-        self.first = order[new]
-        self.key, self.least = key[self.first], doc[self.first]
-        self.above = doc > self.least[self.place]
+        whole = ~hot
+        self.start, self.end = start[whole], end[whole]
+        key = _key(spans.same_length(anchor[whole], GRAM))
+        self.place, self.first = _distinct(doc[whole], key, spans(self.start, self.end))
+        self.key, self.least = key[self.first], doc[whole][self.first]
+        self.above = doc[whole] > self.least[self.place]
+
+        count = (end - start)[hot] - LEAST + 1
+        self.window, doc = ranges(start[hot], count), np.repeat(doc[hot], count)
+        key = _key(spans.same_length(self.window, LEAST))
+        self.window_place, first = _distinct(doc, key)
+        self.window_key, self.window_least = key[first], doc[first]
+        self.window_above = doc > self.window_least[self.window_place]
+
+        both = np.concatenate([self.key, self.window_key])
+        order = np.argsort(both, kind="stable")
+        self.sent = both[order]
+        self._whole = np.concatenate([[0], np.cumsum(order < len(self.key))])
+
+    def between(self, lo: int, hi: int) -> tuple[int, int, int, int]:
+        """Bounds of the segments and of the windows among the sent keys [lo, hi)."""
+        a, b = int(self._whole[lo]), int(self._whole[hi])
+        return a, b, lo - a, hi - b
 
     def payload(self, lo: int, hi: int) -> bytes:
-        one = self.first[lo:hi]
+        a, b, c, d = self.between(lo, hi)
+        one = self.first[a:b]
         size = self.end[one] - self.start[one]
         body = self.data[ranges(self.start[one], size)]
-        raw = self.least[lo:hi].tobytes() + size.astype(np.uint8).tobytes() + body.tobytes()
-        return np.array([hi - lo, len(raw)], np.int64).tobytes() + pa.compress(raw, "zstd", asbytes=True)
+        raw = (self.least[a:b].tobytes() + self.window_key[c:d].tobytes() + self.window_least[c:d].tobytes()
+               + size.astype(np.uint8).tobytes() + body.tobytes())
+        return np.array([b - a, d - c, len(raw)], np.int64).tobytes() + pa.compress(raw, "zstd", asbytes=True)
+
+    def covered(self, buckets: int, got: dict[int, bytes]) -> np.ndarray:
+        """Which bytes go, by the buckets' answers."""
+        mask, gone = np.zeros((len(self.key), WIDTH), bool), np.zeros(len(self.window_key), bool)
+        which, bounds = bucket_bounds(self.sent, buckets)
+        for k, lo, hi in zip(which.tolist(), bounds.tolist(), bounds[1:].tolist()):
+            if k in got:
+                a, b, c, d = self.between(lo, hi)
+                bits, width = np.frombuffer(got[k], np.uint8), WIDTH // 8
+                mask[a:b] = np.unpackbits(bits[: (b - a) * width].reshape(b - a, width), axis=1)
+                gone[c:d] = np.unpackbits(bits[(b - a) * width :], count=d - c)
+        mask = mask[self.place]
+        mask[self.above] = np.arange(WIDTH) < (self.end - self.start)[self.above][:, None]
+        out = np.zeros(len(self.data), bool)
+        out[(self.start[:, None] + np.arange(WIDTH))[mask]] = True
+        at = self.window[gone[self.window_place] | self.window_above]
+        if len(at):
+            edge = np.bincount(at, minlength=len(out) + 1) - np.bincount(at + LEAST, minlength=len(out) + 1)
+            out |= np.cumsum(edge[:-1]) > 0
+        return out
 
 
 def repeat_groups(lengths: np.ndarray, before: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -209,24 +321,30 @@ def covered_by_smaller(data: np.ndarray, bounds: np.ndarray, doc: np.ndarray) ->
 
 
 def _answer(payloads: list[bytes]) -> list[bytes | None]:
-    """For each sent segment, the bytes covered in its least document."""
-    docs, sizes, bodies = [], [], []
+    """For each sent segment, the bytes covered in its least document; for each sent window, whether it is covered there."""
+    docs, sizes, bodies, keys, window_docs = [], [], [], [], []
     for p in payloads:
-        n, raw = np.frombuffer(p, np.int64, 2)
-        b = pa.decompress(p[16:], int(raw), "zstd", asbytes=True)
+        n, m, raw = np.frombuffer(p, np.int64, 3).tolist()
+        b = pa.decompress(p[24:], raw, "zstd", asbytes=True)
         docs.append(np.frombuffer(b, np.int64, n))
-        sizes.append(np.frombuffer(b, np.uint8, n, 8 * n).astype(np.int64))
-        bodies.append(np.frombuffer(b, np.uint8, offset=9 * n))
-    counts = [len(d) for d in docs]
-    doc, size, data = np.concatenate(docs), np.concatenate(sizes), np.concatenate(bodies)
+        keys.append(np.frombuffer(b, np.uint64, m, 8 * n))
+        window_docs.append(np.frombuffer(b, np.int64, m, 8 * (n + m)))
+        sizes.append(np.frombuffer(b, np.uint8, n, 8 * n + 16 * m).astype(np.int64))
+        bodies.append(np.frombuffer(b[9 * n + 16 * m :], np.uint8))
+    bits = _covered_bits(np.concatenate(docs), np.concatenate(sizes), np.concatenate(bodies))
+    doc = np.concatenate(window_docs)
+    place, first = _distinct(doc, np.concatenate(keys))
+    gone = doc > doc[first][place]
+    each = zip(np.split(bits, np.cumsum([len(d) for d in docs])[:-1]), np.split(gone, np.cumsum([len(k) for k in keys])[:-1]))
+    return [x.tobytes() + np.packbits(y).tobytes() if x.any() or y.any() else None for x, y in each]
+
+
+def _covered_bits(doc: np.ndarray, size: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """A row of bits for each segment: its covered bytes."""
+    if not len(doc):
+        return np.zeros((0, WIDTH // 8), np.uint8)
     end = np.cumsum(size)
-    h = SpanHash(data)(end - size, end)
-    order = np.lexsort((doc, h))
-    new = np.ones(len(order), bool)
-    new[1:] = h[order][1:] != h[order][:-1]
-    place = np.empty(len(order), np.int64)
-    place[order] = np.cumsum(new) - 1
-    one = order[new]
+    place, one = _distinct(doc, SpanHash(data)(end - size, end))
     bounds = np.concatenate([[0], np.cumsum(size[one])])
     covered = covered_by_smaller(data[ranges(end[one] - size[one], size[one])], bounds, doc[one])
     mask = np.zeros((len(one), WIDTH), bool)
@@ -234,31 +352,31 @@ def _answer(payloads: list[bytes]) -> list[bytes | None]:
     mask = mask[place]
     whole = doc > doc[one][place]  # another block has the same segment in a smaller document
     mask[whole] = np.arange(WIDTH) < size[whole][:, None]
-    bits = np.packbits(mask, axis=1)
-    cuts = np.cumsum(counts)[:-1]
-    return [x.tobytes() if x.any() else None for x in np.split(bits, cuts)]
+    return np.packbits(mask, axis=1)
 
 
-def without_repeats(docs: DataFrame, finish: Finish, schema: str) -> DataFrame:
+def without_repeats(docs: DataFrame, finish: Finish, schema: str, split: int = SPLIT) -> DataFrame:
     """``finish`` applied to all rows of ``docs`` (doc_id, text, any more) with their covered bytes.
 
     ``finish(rows, data, offsets, covered)`` gets a block's rows, all their
     texts' bytes in a row, and a flag for each byte; it returns ``schema``.
+    ``split``: anchors of more segments are hot; it changes no result.
     """
     blocks = pack(docs)
     buckets = bucket_count(blocks, BUCKET_BYTES)
 
     def candidates(part: int, number: int, rows: pa.RecordBatch, got: dict[int, bytes], block: dict) -> Iterator[pa.RecordBatch]:
         """The texts that have shared anchors, with their segments; the others are finished at once."""
-        keys, _, place, (offsets, text, start, end, anchor) = _anchor_keys(rows)
-        hit = shared_mask(keys, buckets, got)[place]
-        text, start, end, anchor = text[hit], start[hit], end[hit], anchor[hit]
+        keys, _, place, (_, offsets, text, start, end, anchor) = _anchor_keys(rows)
+        shared, hot = _marks(keys, buckets, got)
+        hit = shared[place]
+        text, start, end, anchor, hot = text[hit], start[hit], end[hit], anchor[hit], hot[place][hit]
         has = np.zeros(rows.num_rows, bool)
         has[text] = True
         some, none = rows.filter(pa.array(has)), rows.filter(pa.array(~has))
         at = np.searchsorted(text, np.concatenate([np.flatnonzero(has), [rows.num_rows]])).astype(np.int32)
         for name, values, kind in (("_keelson_start", start - offsets[text], pa.int32()), ("_keelson_size", end - start, pa.uint8()),
-                                   ("_keelson_anchor", anchor, pa.uint8())):
+                                   ("_keelson_anchor", anchor, pa.uint8()), ("_keelson_hot", hot, pa.bool_())):
             some = some.append_column(name, pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values, kind)))
         data, offsets = flat(none.column("text"))
         yield pa.RecordBatch.from_pydict({
@@ -266,14 +384,14 @@ def without_repeats(docs: DataFrame, finish: Finish, schema: str) -> DataFrame:
             "blob": pa.array([pack_batch(some)], pa.binary()),
             "done": pa.array([pack_batch(finish(none, data, offsets, np.zeros(len(data), bool)))], pa.binary())})
 
-    shared = shared_keys(blocks, buckets, lambda rows: _anchor_keys(rows)[:2])
-    some = stored_by_part(with_replies(blocks, shared, candidates, "part bigint, batch bigint, blob binary, done binary"),
+    marked = marked_anchors(blocks, buckets, split)
+    some = stored_by_part(with_replies(blocks, marked, candidates, "part bigint, batch bigint, blob binary, done binary"),
                           "candidates")
     drop(blocks)
 
     def send(rows: pa.RecordBatch):
         found = _Segments(rows)
-        return found.key, found.payload
+        return found.sent, found.payload
 
     def end(part: int, number: int, rows: pa.RecordBatch, got: dict[int, bytes], block: dict) -> Iterator[pa.RecordBatch]:
         done = unpack_batch(block["done"])
@@ -281,16 +399,7 @@ def without_repeats(docs: DataFrame, finish: Finish, schema: str) -> DataFrame:
             yield done
         if rows.num_rows:
             s = _Segments(rows)
-            mask = np.zeros((len(s.key), WIDTH), bool)
-            which, bounds = bucket_bounds(s.key, buckets)
-            for k, lo, hi in zip(which.tolist(), bounds, bounds[1:]):
-                if k in got:
-                    mask[lo:hi] = np.unpackbits(np.frombuffer(got[k], np.uint8).reshape(hi - lo, -1), axis=1)
-            mask = mask[s.place]
-            mask[s.above] = np.arange(WIDTH) < (s.end - s.start)[s.above][:, None]
-            covered = np.zeros(len(s.data), bool)
-            covered[(s.start[:, None] + np.arange(WIDTH))[mask]] = True
-            yield finish(rows, s.data, s.offsets, covered)
+            yield finish(rows, s.data, s.offsets, s.covered(buckets, got))
 
     return with_replies(some, exchange(some, buckets, send, _answer), end, schema)
 

@@ -185,6 +185,43 @@ def test_repeat_edges(llm, odd, none):
     assert removed(none) == Counter()
 
 
+def test_hot_anchors_lose_no_repeat(llm):
+    rnd = random.Random(6)
+    alpha = lambda n: "".join(rnd.choice("abcd é\n") for _ in range(n))
+    phrase, passage = alpha(40), alpha(45)
+    rows = [(rnd.randrange(150) or None, alpha(rnd.randrange(50)) + rnd.choice([phrase, passage + phrase, phrase + passage])
+             + alpha(rnd.randrange(50))) for _ in range(200)] + [(i, "a" * 130) for i in range(5)] + [(9, None), (9, "")]
+    df = llm.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    for split in (0, 3, 40):
+        got = suffix_repeats.without_repeats(df, suffix_repeats.digests, suffix_repeats.DIGESTS, split=split)
+        assert Counter(tuple(r) for r in got.collect()) == brute_repeats(rows)
+
+
+def test_a_frequent_phrase_in_differing_contexts_is_spread(llm, monkeypatch):
+    rnd = random.Random(7)
+    alpha = lambda n: "".join(rnd.choice("abcdefgh") for _ in range(n))
+    least = lambda t: suffix_repeats.SpanHash(np.frombuffer(t.encode(), np.uint8)).every(suffix_repeats.GRAM).min()
+    phrase = min((alpha(40) for _ in range(3000)), key=least)   # its least gram is the anchor of the windows around it
+    rows = [(i, alpha(30) + phrase + alpha(30)) for i in range(6000)] + [(7000, rnd.choice("ab") * 3)]
+    rows += [(8000 + i, rows[i][1]) for i in range(0, 6000, 500)]
+    calls = []
+
+    def exchange(blocks, buckets, send, *more):
+        calls.append((blocks, buckets, send))
+        return packed.exchange(blocks, buckets, send, *more)
+
+    monkeypatch.setattr(suffix_repeats, "exchange", exchange)
+    assert removed(llm.createDataFrame(rows, "doc_id bigint, text string").repartition(4)) == brute_repeats(rows)
+    blocks, buckets, send = calls[-1]   # that of the segments
+    load = Counter()
+    for (blob,) in blocks.select("blob").collect():
+        h, payload = send(packed.unpack_batch(blob))
+        which, bounds = packed.bucket_bounds(h, buckets)
+        for k, lo, hi in zip(which.tolist(), bounds.tolist(), bounds[1:].tolist()):
+            load[k] += len(payload(lo, hi))
+    assert max(load.values()) < 0.25 * sum(load.values())
+
+
 def test_code_points_go_only_as_a_whole():
     text = "aé" * 30
     data, offsets = suffix_repeats.flat(pa.array([text]))
