@@ -8,6 +8,11 @@ Two versions' sketches subtract cell by cell; peeling pure cells recovers the
 digests that only one version has. If cells remain, both are sketched anew,
 four times larger, until peeling succeeds (so the recovery is exact).
 
+A returned fingerprint has cells by its text's number of paragraphs, three a
+paragraph or more, and says how many. Fingerprints of two sizes are folded to
+the smaller one (``print_differences``) and hold some three quarters as many
+differences as that has cells; it says so if they don't (the tiniest may not).
+
 Likeness of two texts: shared / all paragraphs (1 if neither has any).
 
 ``with_edits`` compares each document with an edited text of its own and with
@@ -39,6 +44,10 @@ from keelson.llm.textbytes import SpanHash, flat, mix, pieces, ranges
 
 #: Cells of the smallest sketch (three tables), growth on failure, bytes of a paragraph, bytes of text handled at once.
 CELLS, GROWTH, LONGEST, STEP_BYTES = 12, 4, 200, 2 << 20
+#: Cells of a returned fingerprint for each paragraph, at least.
+PRINT_CELLS = 3
+#: Cells of fingerprints made at once (a larger one stands alone).
+PRINT_STEP = 1 << 18
 #: Sizes tried with one table layout before the seed changes as well.
 SIZES = 12
 
@@ -96,8 +105,9 @@ def sketches(h: np.ndarray, bounds: np.ndarray, cells: int, seed: int = 0) -> tu
     return count.reshape(n, cells), sums.reshape(n, cells), checks.reshape(n, cells)
 
 
-def peel(count: np.ndarray, sums: np.ndarray, checks: np.ndarray, seed: int = 0):
-    """Recovered (row, digest, sign) of subtracted sketches, and which rows came out whole."""
+def peel(count: np.ndarray, sums: np.ndarray, checks: np.ndarray, seed: int = 0, bits: int = 64):
+    """Recovered (row, digest, sign) of subtracted sketches, and which rows came out whole; ``bits`` of the checks count."""
+    low = np.uint64((1 << bits) - 1)
     n, cells = count.shape
     count, sums, checks = count.reshape(-1).copy(), sums.reshape(-1).copy(), checks.reshape(-1).copy()
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -105,7 +115,7 @@ def peel(count: np.ndarray, sums: np.ndarray, checks: np.ndarray, seed: int = 0)
     while len(live):
         sign = count[live]
         key = np.where(sign > 0, sums[live], np.uint64(0) - sums[live])
-        ok = (np.abs(sign) == 1) & (np.where(sign > 0, checks[live], np.uint64(0) - checks[live]) == _check(key))
+        ok = (np.abs(sign) == 1) & (np.where(sign > 0, checks[live], np.uint64(0) - checks[live]) & low == _check(key) & low)
         live, sign, key = live[ok], sign[ok], key[ok]
         if not len(live):
             break
@@ -124,7 +134,7 @@ def peel(count: np.ndarray, sums: np.ndarray, checks: np.ndarray, seed: int = 0)
         np.add.at(checks, at, np.tile(np.where(sign > 0, np.uint64(0) - check, check), 3))
         at = np.unique(at)
         live = at[np.abs(count[at]) == 1]
-    rest = ((count != 0) | (sums != 0) | (checks != 0)).reshape(n, cells).any(axis=1)
+    rest = ((count != 0) | (sums != 0) | (checks & low != 0)).reshape(n, cells).any(axis=1)
     row, key, sign = (np.concatenate([f[i] for f in found]) if found else np.zeros(0, t)
                       for i, t in enumerate((np.int64, np.uint64, np.int64)))
     return row, key, sign, ~rest
@@ -159,17 +169,49 @@ def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
 
 
 def fingerprints(h: np.ndarray, bounds: np.ndarray, whole: np.ndarray) -> list[str]:
-    """Smallest sketches as text: base64 of number of paragraphs, text hash, and cells."""
-    count, sums, checks = sketches(h, bounds, CELLS)
+    """Sketches sized by the texts, as text: base64 of number of paragraphs, text hash, number of cells, and cells."""
+    n = np.diff(bounds)
+    sizes = CELLS * GROWTH ** np.arange(20)
+    cells = sizes[np.searchsorted(sizes, PRINT_CELLS * n)]
+    out = [""] * len(n)
+    for c in np.unique(cells).tolist():
+        some = np.flatnonzero(cells == c)
+        # a bounded number of cells at once
+        for at in np.split(some, np.arange(1, len(some) * c // PRINT_STEP + 1) * max(1, PRINT_STEP // c)):
+            for i, text in zip(at.tolist(), _prints(h[ranges(bounds[at], n[at])], np.append(0, np.cumsum(n[at])), whole[at], c)):
+                out[i] = text
+    return out
+
+
+def _prints(h: np.ndarray, bounds: np.ndarray, whole: np.ndarray, cells: int) -> Iterator[str]:
+    count, sums, checks = sketches(h, bounds, cells)
     n = len(whole)
-    raw = np.zeros((n, 12 + 14 * CELLS), np.uint8)
+    raw = np.zeros((n, 16 + 14 * cells), np.uint8)
     raw[:, :4] = np.diff(bounds).astype("<u4").view(np.uint8).reshape(n, 4)
     raw[:, 4:12] = whole.astype("<u8").view(np.uint8).reshape(n, 8)
-    cell = raw[:, 12:].reshape(n, CELLS, 14)
-    cell[:, :, :2] = count.astype("<u2").view(np.uint8).reshape(n, CELLS, 2)
-    cell[:, :, 2:10] = np.ascontiguousarray(sums).astype("<u8").view(np.uint8).reshape(n, CELLS, 8)
-    cell[:, :, 10:] = np.ascontiguousarray(checks).astype("<u8").view(np.uint8).reshape(n, CELLS, 8)[:, :, :4]
-    return [base64.b64encode(x.tobytes()).decode() for x in raw]
+    raw[:, 12:16] = np.full(n, cells, "<u4").view(np.uint8).reshape(n, 4)
+    cell = raw[:, 16:].reshape(n, cells, 14)
+    cell[:, :, :2] = count.astype("<u2").view(np.uint8).reshape(n, cells, 2)
+    cell[:, :, 2:10] = np.ascontiguousarray(sums).astype("<u8").view(np.uint8).reshape(n, cells, 8)
+    cell[:, :, 10:] = np.ascontiguousarray(checks).astype("<u8").view(np.uint8).reshape(n, cells, 8)[:, :, :4]
+    return (base64.b64encode(x.tobytes()).decode() for x in raw)
+
+
+def _folded(text: str, cells: int) -> list[np.ndarray]:
+    """A fingerprint's counts, digest sums and check sums, folded to fewer cells."""
+    raw = np.frombuffer(base64.b64decode(text), np.uint8)
+    cell = raw[16:].reshape(-1, 14)
+    found = (np.ascontiguousarray(cell[:, x:y]).view(kind).reshape(-1).astype(np.uint64)
+             for x, y, kind in ((0, 2, "<u2"), (2, 10, "<u8"), (10, 14, "<u4")))
+    return [x.reshape(3, -1, cells // 3).sum(axis=1, dtype=np.uint64).reshape(1, -1) for x in found]
+
+
+def print_differences(a: str, b: str) -> tuple[np.ndarray, np.ndarray] | None:
+    """(digest, sign) of the paragraphs that only a's text (+1) or only b's (-1) has; None if the prints don't hold as many."""
+    cells = min(int(np.frombuffer(base64.b64decode(x), "<u4", 1, 12)[0]) for x in (a, b))
+    count, sums, checks = (x - y for x, y in zip(_folded(a, cells), _folded(b, cells)))
+    _, key, sign, whole = peel(count.astype(np.uint16).astype(np.int16).astype(np.int64), sums, checks, bits=32)
+    return (key, sign) if whole[0] else None
 
 
 def edited_text(text: str, after: str) -> str:

@@ -293,6 +293,24 @@ def test_equal_texts_have_equal_fingerprints(docs):
     assert len(set(prints)) == len({r.text for r in rows})
 
 
+@pytest.mark.parametrize("n", [0, 1, 20, 60, 700])
+def test_returned_fingerprints_of_edited_texts_subtract(n):
+    texts = ["".join(f"line {i} of {k}\n" for i in range(m)) for k, m in (("a", n), ("b", n + n // 8))]
+    texts.append(iblt.edited_text(*texts))
+    h, bounds, whole = iblt.paragraphs(pa.array(texts))
+    prints, of = iblt.fingerprints(h, bounds, whole), [h[x:y] for x, y in zip(bounds, bounds[1:])]
+    for i, j in ((0, 2), (2, 0), (0, 1)):
+        key, sign = iblt.print_differences(prints[i], prints[j])
+        assert set(key[sign > 0].tolist()) == set(of[i].tolist()) - set(of[j].tolist())
+        assert set(key[sign < 0].tolist()) == set(of[j].tolist()) - set(of[i].tolist())
+
+
+def test_fingerprints_do_not_depend_on_their_neighbours(docs):
+    texts = [r.text for r in docs.select("text").limit(50).collect()] + ["x\n" * 99999, None]
+    alone = [iblt.fingerprints(*iblt.paragraphs(pa.array([t], pa.string())))[0] for t in texts]
+    assert iblt.fingerprints(*iblt.paragraphs(pa.array(texts))) == alone
+
+
 @pytest.mark.parametrize("shared,apart", [(0, 0), (50, 0), (50, 3), (10, 200), (0, 5000)])
 def test_peeling_recovers_exactly_the_differences(shared, apart):
     rnd = np.random.default_rng(shared + apart)
