@@ -102,5 +102,77 @@ FROM d LEFT JOIN t ON d.r = t.r
 """
 
 
+_EDIT = "{{'cost': {x}.cost + {c}, 'audit': '{k}' || {x}.audit, 'out': {out}}}"
+
+
+def _edit(x: str, cost: str, letter: str, line: str = "") -> str:
+    """The best repair from a state, after one edit before it; ``line`` is what the edit writes."""
+    return _EDIT.format(x=x, c=cost, k=letter, out=f"list_prepend({line}, {x}.out)" if line else f"{x}.out")
+
+
+def _best(*options: str) -> str:
+    return f"list_sort([{', '.join(options)}])[1]"
+
+
+def _row(state: int) -> str:
+    """The least (cost, audit, lines) from a state with a row to come: it is deleted, kept or reroled."""
+    to = 3 if state == 2 else 2
+    keep = {0: "CASE c WHEN 's' THEN v1 WHEN 'u' THEN v2 END", 1: "CASE c WHEN 'u' THEN v2 END",
+            2: "CASE c WHEN 'a' THEN v3 END", 3: "CASE c WHEN 'u' THEN v2 END"}[state]
+    none = "{'cost': 1000000000, 'audit': '', 'out': []::VARCHAR[]}"
+    stay = lambda e: f"CASE WHEN NOT gone AND ({keep if 'keep' in e else 'v0'}) IS NOT NULL THEN {e.replace('keep', f'({keep})')} ELSE {none} END"
+    return _best(_edit(f"v{state}", "3", "D"), stay(_edit("keep", "cut", "K", "role || ':' || text")),
+                 f"CASE WHEN NOT gone THEN {_edit(f'v{to}', '2 + cut', 'R', repr({2: 'user:', 3: 'assistant:'}[to]) + ' || text')} ELSE {none} END")
+
+
+ORACLE["op11_turn_repair"] = rf"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda r, k:
+    CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END, i)) AS entry),
+fate AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(list_reduce(list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+                                        lambda ch: ascii(ch)::BIGINT),
+                         lambda r, b: xor(r >> 8, entry[(xor(r, b) & 255) + 1]), 4294967295), 4294967295) % 20 AS f
+  FROM conversations, crc),
+hit AS (
+  SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+         CASE f WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN f = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM fate WHERE f <> 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+         rtrim(text, E' \t\n\x0B\f\r') AS whole FROM hit),
+d AS (
+  SELECT *, left(role, 1) AS c, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS c0,
+         CASE WHEN whole = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+              WHEN right(whole, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+  FROM ranked),
+e AS (SELECT *, fault IN ('blank', 'duplicate') AS gone, (fault = 'truncated')::INT AS cut FROM d),
+facts AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (c0 || c NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM e GROUP BY conv_id),
+s AS (
+  SELECT conv_id, n + 1 AS i, {{'cost': 0, 'audit': '', 'out': []::VARCHAR[]}} AS v0,
+         {{'cost': 4, 'audit': 'II', 'out': ['user:', 'assistant:']}} AS v1,
+         {{'cost': 2, 'audit': 'I', 'out': ['assistant:']}} AS v2, {{'cost': 0, 'audit': '', 'out': []::VARCHAR[]}} AS v3
+  FROM facts
+  UNION ALL
+  SELECT conv_id, i, {_best("b0", _edit("w2", "2", "I", "'user:'"))}, {_best("b1", _edit("w2", "2", "I", "'user:'"))}, w2, w3
+  FROM (SELECT conv_id, i, b0, b1, {_best("b2", _edit("b3", "2", "I", "'assistant:'"))} AS w2,
+               {_best("b3", _edit("b2", "2", "I", "'user:'"))} AS w3
+        FROM (SELECT s.conv_id, e.i, {_row(0)} AS b0, {_row(1)} AS b1, {_row(2)} AS b2, {_row(3)} AS b3
+              FROM s JOIN e ON s.conv_id IS NOT DISTINCT FROM e.conv_id AND e.i = s.i - 1))),
+ids AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT ids.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(v0.cost, 0)::BIGINT AS cost,
+       coalesce(v0.audit, '') AS audit, sha256(coalesce(array_to_string(v0.out, chr(10)), '')) AS repaired_sha256
+FROM ids LEFT JOIN facts ON ids.conv_id IS NOT DISTINCT FROM facts.conv_id
+LEFT JOIN s ON ids.conv_id IS NOT DISTINCT FROM s.conv_id AND s.i = 1
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)

@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators and the pipeline, each over its whole table."""
+"""The registered queries of the operators and the pipeline, each over its whole table."""
 
 from __future__ import annotations
 
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 from keelson.llm import (
     backoff_lm, chat_format, hilbert_pack, iblt, length_histogram, line_quality, ordinal, signature_tree, sp_viterbi,
-    suffix_repeats,
+    suffix_repeats, turn_repair,
 )
 from keelson.session import ship_package
 
@@ -109,3 +109,9 @@ def _rounded_scores(scores: DataFrame) -> DataFrame:
 @query
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sp_viterbi.round_trips(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return turn_repair.repair_report(turn_repair.damaged(turns), turns)
