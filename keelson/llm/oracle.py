@@ -174,5 +174,27 @@ LEFT JOIN s ON ids.conv_id IS NOT DISTINCT FROM s.conv_id AND s.i = 1
 """
 
 
+ORACLE["op13_hard_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id, b.label,
+         coalesce(list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])), 0)::BIGINT AS score
+  FROM v AS a, v AS b WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE own = label AND vec_id <> anchor_id
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id,
+       (row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id))::INT AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON p.anchor_id = s.anchor_id AND own <> label
+            AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)

@@ -9,18 +9,22 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 from keelson.llm import (
-    backoff_lm, chat_format, hilbert_pack, iblt, length_histogram, line_quality, ordinal, signature_tree, sp_viterbi,
-    suffix_repeats, turn_repair,
+    backoff_lm, chat_format, hard_negatives, hilbert_pack, iblt, length_histogram, line_quality, lsh_forest, ordinal, signature_tree,
+    sp_viterbi, suffix_repeats, turn_repair,
 )
+from keelson.llm.packed import scoped
 from keelson.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(fn):
+    """Register ``fn``; what it stores on the way is deleted once its result is stored."""
+    kept = scoped(fn)
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
-        return fn(spark, sf_dir)
+        return kept(spark, sf_dir)
 
     QUERIES[fn.__name__] = run
     return fn
@@ -115,3 +119,17 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return turn_repair.repair_report(turn_repair.damaged(turns), turns)
+
+
+@query
+def op12_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsh_forest.forest_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").filter(hard_negatives.usable(F.col("embedding")) & F.col("label").isNotNull())
+    label = F.col("label").cast("long")
+    return hard_negatives.hard_negatives(rows.select(
+        "vec_id", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label).alias("label"),
+        hard_negatives.quantized(F.col("embedding")).alias("vector"), (F.col("vec_id") % 100 == 0).alias("anchor")))

@@ -42,11 +42,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from keelson.llm.links import linked_groups
 from keelson.llm.packed import (
-    bucket_count, counted_keys, drop, key_totals, pack, shared_keys, shared_mask, stored, stored_by_part,
-    with_replies,
+    bucket_count, come, counted_keys, drop, going_to_parts, key_totals, pack, part_of, row_ids, shared_keys, shared_mask,
+    stored, stored_by_part, unpack_batch, with_replies,
 )
 from keelson.llm.textbytes import SpanHash, flat, lower_ascii, mix, ranges, words
 
@@ -281,7 +282,7 @@ def _documents(blocks: DataFrame) -> DataFrame:
             may = may & np.array([x not in none or copies[x] > 1 for x in zip(d[:, 0], d[:, 1])], bool)
         yield pa.RecordBatch.from_pydict({
             "part": pa.array([part] * len(n), pa.int64()),
-            "uid": pa.array((number << 16) + np.arange(len(n)), pa.int64()), "doc_id": rows.column("doc_id"),
+            "uid": pa.array(row_ids(number, len(n))), "doc_id": rows.column("doc_id"),
             "n": pa.array(n, pa.int64()), "may": pa.array(may, pa.bool_()), "d1": pa.array(d[:, 0]), "d2": pa.array(d[:, 1]),
             "tokens": pa.array(tokens, pa.binary()), "prefix": pa.array(prefix, pa.list_(pa.int64())), "left": pa.array(left, pa.list_(pa.int64()))})
 
@@ -316,13 +317,13 @@ def _dealt_sets(sets: DataFrame, keys: DataFrame) -> DataFrame:
     The sets lie in buckets of their part, and the keys come to them, so whole sets move only once, to their trees.
     """
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        uid = left.column("uid").to_numpy()
+        right, uid = come(right), left.column("uid").to_numpy()
         order = np.argsort(uid)
         at = order[np.searchsorted(uid[order], right.column("uid").to_numpy())] if right.num_rows else np.zeros(0, np.int64)
-        return right.select(["which", "key", "deal", "uid"]).append_column("tokens", left.column("tokens").take(pa.array(at)))
+        return right.append_column("tokens", left.column("tokens").take(pa.array(at)))
 
-    placed = keys.withColumn("part", F.shiftright("uid", 40))
-    return sets.select("part", "uid", "tokens").groupBy("part").cogroup(placed.groupBy("part")).applyInArrow(
+    placed = going_to_parts(keys, "which", "key", "deal", "uid")
+    return sets.select("part", "uid", "tokens").groupBy("part").cogroup(placed).applyInArrow(
         meet, "which int, key bigint, deal bigint, uid bigint, tokens binary")
 
 
@@ -413,11 +414,17 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     groups = rows.filter("may").select("uid", "doc_id", "d1", "d2").join(_components(rows), ["d1", "d2"]).groupBy("g").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("x"), F.col("doc_id"), F.col("uid"))).alias("m")).select("m.uid")
     keep = rows.filter("NOT may").select("uid").unionByName(groups)
-    replies = keep.groupBy(F.shiftright("uid", 40).alias("part"), F.shiftright("uid", 16).alias("batch")).agg(
-        F.collect_list(F.expr("uid & 65535").cast("int")).alias("reply")).withColumn("bucket", F.lit(0))
-
-    def kept(part: int, number: int, block: pa.RecordBatch, got: dict, rest: dict) -> Iterator[pa.RecordBatch]:
-        if got:
-            yield block.take(pa.array(sorted(got[0]), pa.int32()))
-
-    return with_replies(blocks, replies, kept, docs.schema)
+    kept_rows = keep.groupBy(part_of("uid").alias("part")).agg(F.collect_list("uid").alias("uids"))
+    target = to_arrow_schema(docs.schema)
+
+    def kept(left: pa.Table, right: pa.Table) -> pa.Table:
+        uids = np.sort(right.column("uids").combine_chunks().flatten().to_numpy()) if right.num_rows else np.zeros(0, np.int64)
+        out = []
+        for number, blob in zip(left.column("batch").to_pylist(), left.column("blob")):
+            block = unpack_batch(blob.as_py())
+            first = row_ids(number, block.num_rows)
+            x, y = np.searchsorted(uids, [first[0], first[-1] + 1])
+            out.append(pa.Table.from_batches([block.take(pa.array(uids[x:y] - first[0]))]))
+        return pa.concat_tables(out or [target.empty_table()]).select(target.names).cast(target)
+
+    return blocks.select("part", "batch", "blob").groupBy("part").cogroup(kept_rows.groupBy("part")).applyInArrow(kept, docs.schema)

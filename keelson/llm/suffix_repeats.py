@@ -45,10 +45,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from keelson.llm.packed import (
-    bucket_bounds, bucket_count, drop, exchange, from_low48, low48, pack, pack_batch, stored_by_part, unpack_batch,
-    with_replies,
+    bucket_bounds, bucket_count, drop, exchange, pack, pack_batch, packed_keys, stored_by_part, unpack_batch,
+    unpacked_keys, with_replies,
 )
-from keelson.llm.textbytes import SpanHash, flat, mix, ranges
+from keelson.llm.textbytes import GramHash, SpanHash, flat, mix, ranges
 
 # Fixed value: the least length of a repeat.
 LEAST = 50
@@ -71,7 +71,7 @@ def segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     empty = np.zeros(0, np.int64)
     if len(data) < LEAST:
         return np.zeros(0, np.uint64), empty, empty, empty, empty
-    gram = SpanHash(data).every(GRAM)
+    gram = GramHash(data).every(GRAM)
     value, at, width = gram, np.arange(len(gram), dtype=np.int32), 1
     while width < GRAMS:
         step = min(width, GRAMS - width)
@@ -142,16 +142,16 @@ def marked_anchors(blocks: DataFrame, buckets: int, split: int) -> DataFrame:
 
         def payload(lo: int, hi: int) -> bytes:
             n = count[lo:hi]
-            return (np.int64(hi - lo).tobytes() + low48(h[lo:hi]) + np.packbits(several[lo:hi]).tobytes()
+            return (packed_keys(h[lo:hi]) + np.packbits(several[lo:hi]).tobytes()
                     + np.packbits(n > 1).tobytes() + n[n > 1].astype("<u4").tobytes())
         return h, payload
 
     def answer(payloads: list[bytes]) -> list[bytes | None]:
         keys, flags, counts = [], [], []
         for p in payloads:
-            n = int(np.frombuffer(p, np.int64, 1)[0])
-            at, width = 8 + 6 * n, -(-n // 8)
-            keys.append(from_low48(p[8:at]))
+            key, at = unpacked_keys(p)
+            n, width = len(key), -(-len(key) // 8)
+            keys.append(key)
             flags.append(np.unpackbits(np.frombuffer(p, np.uint8, width, at), count=n).astype(bool))
             each = np.ones(n, np.int64)
             more = np.unpackbits(np.frombuffer(p, np.uint8, width, at + width), count=n).astype(bool)
@@ -197,14 +197,14 @@ class _Segments:
         spans = SpanHash(self.data)
         whole = ~hot
         self.start, self.end = start[whole], end[whole]
-        key = _key(spans.same_length(anchor[whole], GRAM))
+        key = _key(GramHash(self.data).at(anchor[whole], GRAM))
         self.place, self.first = _distinct(doc[whole], key, spans(self.start, self.end))
         self.key, self.least = key[self.first], doc[whole][self.first]
         self.above = doc[whole] > self.least[self.place]
 
         count = (end - start)[hot] - LEAST + 1
         self.window, doc = ranges(start[hot], count), np.repeat(doc[hot], count)
-        key = _key(spans.same_length(self.window, LEAST))
+        key = spans(self.window, self.window + LEAST)
         self.window_place, first = _distinct(doc, key)
         self.window_key, self.window_least = key[first], doc[first]
         self.window_above = doc > self.window_least[self.window_place]

@@ -1,8 +1,8 @@
 """Numpy helpers for many texts at once: flat bytes, words, hashes of byte spans.
 
 Texts of one Arrow batch are handled as one uint8 array plus offsets. The hash
-of a span is a 64-bit polynomial over random byte values, so equal bytes hash
-equally wherever they stand; a span's hash costs O(1) after one pass.
+of a span is a polynomial over random byte values, so equal bytes hash equally
+wherever they stand; a span's hash costs O(1) after one pass.
 """
 
 from __future__ import annotations
@@ -12,6 +12,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+# Two moduli lanes of the sound hash share one Mersenne prime, so reducing is a shift and an add.
+_PRIME = np.uint64((1 << 31) - 1)
+_BASES = (1_183_477_331, 2_004_318_071)
+_LANES: list[list[np.ndarray]] = [[np.ones(1, np.uint32)] * 2, [np.ones(1, np.uint32)] * 2]
+_LANE_VALUES = [np.random.default_rng(seed).integers(1, int(_PRIME), 256, dtype=np.uint64) for seed in (20240607, 20240608)]
+
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 _BYTE_VALUES = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
@@ -31,33 +37,73 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """x below 2**63, modulo the prime."""
+    x = (x & _PRIME) + (x >> np.uint64(31))
+    x = (x & _PRIME) + (x >> np.uint64(31))
+    return np.where(x >= _PRIME, x - _PRIME, x)
+
+
+def _grown(length: int) -> int:
+    return (length | ((1 << 18) - 1)) + 1
+
+
+def _lane(i: int, n: int) -> list[np.ndarray]:
+    """Powers of a lane's base and of its inverse modulo the prime, at least n of each."""
+    if len(_LANES[i][0]) < n:
+        size = _grown(n)
+        for j, base in enumerate((_BASES[i], pow(_BASES[i], -1, int(_PRIME)))):
+            p = np.ones(1, np.uint64)
+            while len(p) < size:
+                p = np.concatenate([p, _reduced(p * np.uint64(pow(base, len(p), int(_PRIME))))])
+            _LANES[i][j] = p[:size].astype(np.uint32)
+    return _LANES[i]
+
+
+class SpanHash:
+    """64-bit hashes of spans [start, end) of one byte array; equal bytes have equal ones.
+
+    Two polynomials modulo a prime, so there are no strings that collide by
+    their structure, as there are modulo a power of two.
+    """
+
+    def __init__(self, data: np.ndarray):
+        self.prefix = []
+        for i, values in enumerate(_LANE_VALUES):
+            sums = np.zeros(len(data) + 1, np.uint32)
+            sums[1:] = _reduced(np.cumsum(_reduced(values[data] * _lane(i, len(data) + 1)[0][: len(data)])))
+            self.prefix.append(sums)
+
+    def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        lanes = []
+        for i, sums in enumerate(self.prefix):
+            span = sums[end].astype(np.uint64) + _PRIME - sums[start]
+            lanes.append(_reduced(np.where(span >= _PRIME, span - _PRIME, span) * _lane(i, len(sums))[1][start]))
+        h = (lanes[0] << np.uint64(32)) | lanes[1]
+        return mix(h + (end - start).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64, at least n of each."""
     if len(_POWERS[0]) < n:
-        size = (n | ((1 << 18) - 1)) + 1
         inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
         for i, b in enumerate((_BASE, inverse)):
-            p = np.full(size, b, np.uint64)
+            p = np.full(_grown(n), b, np.uint64)
             p[0] = 1
             _POWERS[i] = np.multiply.accumulate(p)
     return _POWERS[0], _POWERS[1]
 
 
-class SpanHash:
-    """Hashes of spans [start, end) of one byte array."""
+class GramHash:
+    """Cheap hashes of all spans of a few bytes, modulo 2**64: to choose among them, not to tell spans apart."""
 
     def __init__(self, data: np.ndarray):
         up, _ = _powers(len(data) + 1)
         self.prefix = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(_BYTE_VALUES[data] * up[: len(data)], out=self.prefix[1:])
 
-    def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        _, down = _powers(len(self.prefix))
-        h = (self.prefix[end] - self.prefix[start]) * down[start]
-        return mix(h + (end - start).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
-
-    def same_length(self, start: np.ndarray, k: int) -> np.ndarray:
-        """Hashes of spans of k bytes, as ``every`` has them."""
+    def at(self, start: np.ndarray, k: int) -> np.ndarray:
+        """Hashes of the spans of k bytes from ``start``, as ``every`` has them."""
         _, down = _powers(len(self.prefix))
         return mix((self.prefix[start + k] - self.prefix[start]) * down[start])
 

@@ -8,7 +8,11 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from keelson.llm import iblt, links, packed, signature_tree, suffix_repeats
+from pyspark.sql import functions as F
+
+from keelson.llm import backoff_lm, iblt, links, lsh_forest, packed, queries, signature_tree, suffix_repeats
+from keelson.llm.textbytes import SpanHash
+from keelson.session import shared_dir
 from tests.llm.conftest import LONG, ODD
 
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -200,7 +204,7 @@ def test_hot_anchors_lose_no_repeat(llm):
 def test_a_frequent_phrase_in_differing_contexts_is_spread(llm, monkeypatch):
     rnd = random.Random(7)
     alpha = lambda n: "".join(rnd.choice("abcdefgh") for _ in range(n))
-    least = lambda t: suffix_repeats.SpanHash(np.frombuffer(t.encode(), np.uint8)).every(suffix_repeats.GRAM).min()
+    least = lambda t: suffix_repeats.GramHash(np.frombuffer(t.encode(), np.uint8)).every(suffix_repeats.GRAM).min()
     phrase = min((alpha(40) for _ in range(3000)), key=least)   # its least gram is the anchor of the windows around it
     rows = [(i, alpha(30) + phrase + alpha(30)) for i in range(6000)] + [(7000, rnd.choice("ab") * 3)]
     rows += [(8000 + i, rows[i][1]) for i in range(0, 6000, 500)]
@@ -347,8 +351,101 @@ def test_shared_and_counted_keys(llm):
 
     shared = packed.shared_keys(blocks, 16, distinct)
     totals = packed.counted_keys(blocks, 16, lambda b: np.unique(keys(b), return_counts=True))
-    both = shared.selectExpr("part", "batch", "-1 - bucket AS bucket", "reply").unionByName(totals)
+    both = shared.selectExpr("part", "-1 - bucket AS bucket", "reply").unionByName(totals)
     got = {r.h: (r.shared, r.total) for r in packed.with_replies(blocks, both, each, "h bigint, shared boolean, total bigint").collect()}
     want = Counter(x for _, t in rows for x in t.split())
     assert len(got) == len(want) and Counter(v[1] for v in got.values()) == Counter(want.values())
     assert all(s == (n > 1) for s, n in got.values()) and len(LONG) > 0
+
+
+# ------------------------------------------------------------------ shared helpers
+
+def unlike(k):
+    """Two different strings of 2**k letters that collide under any polynomial modulo 2**64."""
+    a, b = "a", "b"
+    for _ in range(k):
+        a, b = a + b, b + a
+    return a, b
+
+
+@pytest.mark.parametrize("k", [9, 10, 11, 12])
+def test_span_hashes_tell_structured_strings_apart(k):
+    a, b = unlike(k)
+    data = np.frombuffer((a + b + a).encode(), np.uint8)
+    n = len(a)
+    h = SpanHash(data)(np.array([0, n, 2 * n]), np.array([n, 2 * n, 3 * n]))
+    assert h[0] == h[2] != h[1]
+
+
+def test_structured_strings_are_different_words_everywhere(llm):
+    a, b = unlike(10)
+    rows = [(1, f"{a} one two three four"), (2, f"{b} one two three four"), (3, f"{a} {b} {a}"), (4, f"{b} {b} {a}")]
+    df = llm.createDataFrame(rows, "doc_id bigint, text string")
+    assert found(df) == brute_components(rows)
+    assert {r.doc_id: r.component_id for r in lsh_forest.forest_components(df).collect()} == {1: 1, 2: 2, 3: 3, 4: 4}
+    scores = {r.doc_id: r.log_score for r in backoff_lm.backoff_scores(df, order=1).collect()}
+    counts = Counter(w for _, t in rows for w in t.split())
+    total = sum(counts.values())
+    want = {i: sum(np.log(counts[w] / total) for w in t.split()) for i, t in rows}
+    assert scores == pytest.approx(want)
+    got = {r.doc_id: r.n_removed for r in suffix_repeats.without_repeats(df, suffix_repeats.digests, suffix_repeats.DIGESTS).collect()}
+    assert got == {i: n for i, n in brute_removed(rows).items()}
+
+
+def brute_removed(rows):
+    out = {}
+    for i, text in rows:
+        t, gone = text.encode(), set()
+        for p in range(len(t) - 49):
+            if any(j < i and t[p : p + 50] in other.encode() for j, other in rows):
+                gone.update(range(p, p + 50))
+        out[i] = len(gone)
+    return out
+
+
+def test_keys_survive_the_exchange():
+    rnd = np.random.default_rng(0)
+    for n in (0, 1, 7, 1000):
+        h = np.sort(rnd.integers(0, 2**64, n, dtype=np.uint64))
+        got, end = packed.unpacked_keys(packed.packed_keys(h) + b"more")
+        assert got.tolist() == h.tolist() and (packed.packed_keys(h) + b"more")[end:] == b"more"
+    values = [b"", b"x", b"yz" * 50]
+    assert packed.unframed(packed.framed([5, 1 << 40, 7], values)) == ([5, 1 << 40, 7], values)
+
+
+def test_a_long_chain_needs_few_rounds(llm, monkeypatch):
+    rounds = []
+    monkeypatch.setattr(links, "drop", lambda *frames: rounds.append(len(frames)) or packed.drop(*frames))
+    n = 10_000
+    chain = llm.range(n).selectExpr("id AS a", "id + 1 AS b")
+    got = links.linked_groups(chain).agg(F.count("*"), F.countDistinct("group")).first()
+    assert tuple(got) == (n + 1, 1)
+    assert sum(x == 2 for x in rounds) < 20
+
+
+def test_exchange_rows_follow_the_parts(llm):
+    """One row for each part and bucket at most, however many blocks a part has."""
+    docs = llm.range(4000).selectExpr("id AS doc_id", "repeat(concat('word', id, ' '), 40) AS text").coalesce(1)
+    blocks = packed.pack(docs, block_bytes=4000)
+    parts = blocks.select("part").distinct().count()
+    assert blocks.count() > 5 * parts
+    seen = packed.exchange(blocks, 16, lambda rows: (np.arange(0, 2**63, 2**58, dtype=np.uint64), lambda x, y: b"."), lambda p: p)
+    assert seen.count() <= parts * 16
+
+
+def test_only_the_result_stays(llm):
+    """A query's intermediate tables are gone once it has its result."""
+    before = stored_folders(llm)
+    for name in ("op5_hilbert_packing", "op6_signature_tree", "op7_suffix_repeats", "op11_turn_repair", "op12_lsh_forest",
+                 "op13_hard_negatives"):
+        out = queries.QUERIES[name](llm, "/root/testdata/sf0.001")
+        now = stored_folders(llm)
+        assert len(now - before) == 1, (name, now - before)
+        assert out.count() > 0
+        before = now
+
+
+def stored_folders(spark):
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark) + "/scratch")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return {str(x.getPath().getName()) for x in fs.listStatus(path)} if fs.exists(path) else set()
