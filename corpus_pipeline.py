@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 from keelson.llm import hilbert_pack, line_quality, ordinal, signature_tree, suffix_repeats
+from keelson.llm.packed import scoped
 from keelson.session import ship_package, store
 
 #: Columns of ``documents``; every stage but the last returns them.
@@ -28,12 +29,14 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return ordinal.with_grades(docs, ordinal.fit(docs, labels)).filter("kept").select(*COLUMNS)
 
 
+@scoped
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five words, similarity 0.8) stays."""
     ship_package(spark)
     return signature_tree.one_of_each(docs.select(*COLUMNS))
 
 
+@scoped
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte strings of 50 or more that a document with a smaller id has too go from the text."""
     ship_package(spark)
@@ -41,6 +44,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return suffix_repeats.without_repeats(docs, suffix_repeats.kept_texts, docs.schema)
 
 
+@scoped
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of 2048 tokens along the Hilbert curve."""
     ship_package(spark)
@@ -59,12 +63,14 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in a row over ``documents``; each result is written as Parquet and read again.
 
-    A stage's result is deleted once the next one's is written.
+    A stage's result is deleted once the next one's is written; what a stage
+    stores on its way is deleted as soon as it has its result.
     """
     ship_package(spark)
     docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        after = store(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+        after = stage(spark, docs, sf_dir)
+        after = getattr(after, "stored_table", None) or store(after, name.replace(" ", "_"))
         if before is not None:
             before.drop()
         docs, before = after.df, after
