@@ -300,6 +300,15 @@ UNION ALL SELECT NULL, name, NULL, product_id, category, price FROM all_products
     "components_many": sql("""
 SELECT 'o:' || CAST(o_orderkey AS VARCHAR) AS id,
        min('o:' || CAST(o_orderkey AS VARCHAR)) OVER (PARTITION BY o_custkey) AS component FROM orders"""),
+    "table_as_of": sql("""
+SELECT nth, id, date, hour, gearPosition FROM vehicle_clean CROSS JOIN (VALUES (1), (2), (3), (4)) AS t(nth)
+WHERE nth IN (2, 4) OR (nth = 1) = (date = (SELECT min(date) FROM vehicle_clean))""", "vehicle_clean"),
+    "publish_history": sql("""
+SELECT nth, CASE WHEN nth = 4 THEN 'rollback' ELSE 'publish' END AS kind,
+       CASE nth WHEN 1 THEN 'v1' WHEN 3 THEN 'v3' ELSE 'v2' END AS version,
+       count(DISTINCT (date, hour)) AS partitions, count(*) AS row_count, nth = 4 AS served_now
+FROM vehicle_clean CROSS JOIN (VALUES (1), (2), (3), (4)) AS t(nth)
+WHERE nth IN (2, 4) OR (nth = 1) = (date = (SELECT min(date) FROM vehicle_clean)) GROUP BY nth""", "vehicle_clean"),
     "publish_schema_change": sql(f"SELECT {_VEHICLE_COLS} FROM vehicle_clean", "vehicle_clean"),
     "purchase_graph_etl": sql(_COMBINED.format(
         extra_null=", pagerank, component",

@@ -9,13 +9,13 @@ from keelson.operators.quality import vehicle_metrics
 from keelson.operators.vehicle import clean_vehicle_events
 from keelson.sinks.versioned import (
     check_partition_columns,
-    create_partitioned_table,
     new_version,
     publish_partitioned,
     read_version,
     version_path,
     write_version,
 )
+from keelson.sinks.served import create_served
 from keelson.sources.tables import scan_source_table
 
 # Property defaults of the reference job.
@@ -26,7 +26,7 @@ DEFAULT_TARGET = "vehicle_datalake.processed_events"
 class VehicleJob:
     """Properties: source-table, target-table, base-path, version,
     partition-columns (required), time-zone (default: session zone),
-    create-target=true to create a missing target table from the schema."""
+    create-target=true to create a missing target from the schema."""
 
     def logic(self, spark: SparkSession, props: dict[str, str]) -> DataFrame:
         source = props.get("source-table", DEFAULT_SOURCE)
@@ -42,7 +42,7 @@ class VehicleJob:
         version = props["version"]
         cols = check_partition_columns(df, props.get("partition-columns"))
         if props.get("create-target", "false").lower() == "true" and not spark.catalog.tableExists(target):
-            create_partitioned_table(spark, target, df.schema, cols, version_path(base, version))
+            create_served(spark, target, df.schema, cols)
         obs = Observation("vehicle_output")
         write_version(df, base, version, cols, observation=obs)
         publish_partitioned(spark, target, base, version)

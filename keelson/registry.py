@@ -49,6 +49,7 @@ from keelson.plans.job import run_job
 from keelson.plans.vehicle_job import VehicleJob
 from keelson.session import scratch_path, unique_name
 from keelson.sinks import versioned as V
+from keelson.sinks.served import PublishLog, create_served
 from keelson.sources import adapters as A
 from keelson.sources.tables import create_csv_table, read_files, register_view, scan_sql, scan_table
 
@@ -246,7 +247,7 @@ def _first_day(df: DataFrame) -> DataFrame:
 
 def _vehicle_table(spark, clean, base):
     name = f"default.{unique_name('processed_vehicles')}"
-    V.create_partitioned_table(spark, name, clean.schema, PARTITION_COLUMNS, V.version_path(base, "v000"))
+    create_served(spark, name, clean.schema, PARTITION_COLUMNS)
     return name
 
 
@@ -285,7 +286,7 @@ def q_publish_schema_change(spark, sf):
     base = scratch_path(spark, "schema_change")
     first = _first_day(clean).drop("model")
     name = f"default.{unique_name('processed_vehicles')}"
-    V.create_partitioned_table(spark, name, first.schema, PARTITION_COLUMNS, V.version_path(base, "v000"))
+    create_served(spark, name, first.schema, PARTITION_COLUMNS)
     V.write_version(first, base, "v1", PARTITION_COLUMNS)
     V.publish_partitioned(spark, name, base, "v1")
     V.write_version(clean, base, "v2", PARTITION_COLUMNS)
@@ -293,6 +294,38 @@ def q_publish_schema_change(spark, sf):
     return scan_table(spark, name)
 
 
+def _published_thrice(spark, sf, label: str) -> tuple[PublishLog, str]:
+    """v1 = first day, v2 = all days, v3 = all but the first, then back to v2; all of it logged."""
+    clean = vehicle_clean(spark, sf)
+    base = scratch_path(spark, label)
+    name, log = _vehicle_table(spark, clean, base), PublishLog(spark, scratch_path(spark, f"{label}_log"))
+    first = _first_day(clean)
+    rest = clean.filter(F.col("date") > clean.select(F.min("date")).scalar())
+    for version, rows in (("v1", first), ("v2", clean), ("v3", rest)):
+        V.write_version(rows, base, version, PARTITION_COLUMNS)
+        log.publish(name, base, version)
+    log.roll_back(name)
+    return log, name
+
+
+@query("table_as_of")
+def q_table_as_of(spark, sf):
+    """The rows that the table showed at each of four times: three publishes and a rollback."""
+    log, name = _published_thrice(spark, sf, "as_of")
+    out = None
+    for row in log.history(name).orderBy("nth").collect():
+        shown = log.as_of(name, row["published_at"]).select(F.lit(row["nth"]).alias("nth"), "id", "date", "hour", "gearPosition")
+        out = shown if out is None else out.unionByName(shown)
+    return out
+
+
+@query("publish_history")
+def q_publish_history(spark, sf):
+    log, name = _published_thrice(spark, sf, "history")
+    return log.history(name).select(
+        "nth", "kind", "version", "partitions", "row_count", F.col("served_until").isNull().alias("served_now"))
+
+
 @query("list_partitions")
 def q_list_partitions(spark, sf):
     clean = vehicle_clean(spark, sf)

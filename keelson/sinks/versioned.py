@@ -2,12 +2,15 @@
 external catalog tables re-pointed from one version to another.
 
 Every version stays on disk, so publishing an older version is a rollback.
-Publishing first checks that the version is there, holds data files and fits
-the table. Its partition tuples are then added or re-pointed (a quarter of those at a time), and
-only after that are the absent ones dropped, so no reader finds the table empty
-in between. If a step fails, the table is put back as it was and the error is
-raised again. Only tuples that occur are registered, nulls included. Partition
-tuples (metadata, one row each) reach the driver, never rows.
+A name made by ``sinks.served`` (``publish_table`` makes one for a new name)
+changes in one statement. A plain external table is changed in place: publishing
+first checks that the version is there, holds data files and fits the table.
+Its new partition tuples are then added, the common ones re-pointed one by
+one, where they are, and the absent ones dropped last; a reader may see old and
+new partitions side by side, but none missing. If a step fails, what was
+done is undone tuple by tuple and the error is raised again. Only tuples
+that occur are registered, nulls included. Partition tuples (metadata, one
+row each) reach the driver, never rows.
 """
 
 from __future__ import annotations
@@ -132,26 +135,6 @@ def _parse_partition(spec: str) -> list[tuple[str, str]]:
     return out
 
 
-def version_files(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` exists and holds at least one Parquet data file."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(conf)
-    if not fs.exists(p):
-        return False
-    found = fs.listFiles(p, True)
-    while found.hasNext():
-        name = found.next().getPath().getName()
-        if name.endswith(".parquet") and not name.startswith(("_", ".")):
-            return True
-    return False
-
-
-def _check_version(spark: SparkSession, path: str) -> None:
-    if not version_files(spark, path):
-        raise ValueError(f"no version at {path}: nothing is published")
-
-
 def _clauses(specs: Sequence[str], location: str | None = None) -> list[str]:
     out = []
     for spec in specs:
@@ -169,35 +152,23 @@ def _in_batches(spark: SparkSession, head: str, clauses: Sequence[str], separato
         spark.sql(f"{head} {separator.join(clauses[i:i + _BATCH])}")
 
 
-def _partition_dirs(spark: SparkSession, path: str, depth: int) -> list[str]:
-    """Partition directories of a version, ``col=value/..``, listed level by level."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(conf)
-    found = [""]
-    for _ in range(depth):
-        found = [f"{d}/{name}".lstrip("/") for d in found
-                 for s in fs.listStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/{d}".rstrip("/")))
-                 for name in [s.getPath().getName()] if s.isDirectory() and "=" in name]
-    return found
-
-
 def _registered(spark: SparkSession, name: str) -> list[str]:
     return [r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
 
 
-def _repoint(spark: SparkSession, name: str, specs: Sequence[str], root: str) -> None:
-    """Move registered tuples to ``root``, a quarter of them at a time: a few
-    statements however many there are, and never all tuples missing at once."""
-    step = max(1, min(_BATCH, -(-len(specs) // 4)))
-    for i in range(0, len(specs), step):
-        some = specs[i:i + step]
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(_clauses(some))}")
-        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(_clauses(some, root))}")
+def _moves(spark: SparkSession, name: str, specs: Sequence[str], root: str, undo: list[str]) -> None:
+    """Move registered tuples to ``root`` where they stand; ``undo`` gets the statements that move them back."""
+    for spec in specs:
+        old = _partition_location(spark, name, spec)
+        where = f"ALTER TABLE {name} {_clauses([spec])[0]} SET LOCATION"
+        undo.append(f"{where} {_sql_str(old)}")
+        spark.sql(f"{where} {_sql_str(f'{root}/{spec}')}")
 
 
 def publish_partitioned(spark: SparkSession, name: str, base: str, version: str) -> None:
-    """Point an existing external partitioned table at ``{base}/{version}``
-    and register exactly the partitions present there.
+    """Point an existing served name or external partitioned table at
+    ``{base}/{version}``, with exactly the partitions present there: a served
+    name in one statement, a table in place.
 
     The version must exist, hold data files, have the table's partition
     columns, and keep the types of the columns it shares with the table. New
@@ -206,37 +177,44 @@ def publish_partitioned(spark: SparkSession, name: str, base: str, version: str)
     """
     if not spark.catalog.tableExists(name):
         raise ValueError(f"table {name} does not exist; create it before publishing")
+    if served.serving(spark, name):
+        served.publish(spark, name, base, version)
+        return
     if not _is_external(spark, name):
         raise ValueError(f"table {name} must be external: dropping partitions of a managed table deletes files")
-    path = version_path(base, version)
-    _check_version(spark, path)
     columns = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
-    dirs = _partition_dirs(spark, path, len(columns))
-    if not dirs or any([k for k, _ in _parse_partition(d)] != columns for d in dirs):
-        raise ValueError(f"version {path} isn't partitioned by {columns}: nothing is published")
+    found = served.version_on_disk(spark, version_path(base, version), columns)
+    path, dirs = found.path, found.partitions
+    if not columns:
+        raise ValueError(f"table {name} isn't partitioned: use publish_table")
     table = {f.name: f.dataType for f in spark.table(name).schema.fields}
-    fresh = [f for f in spark.read.parquet(path).schema.fields if f.name not in columns]
+    fresh = [f for f in found.schema.fields if f.name not in columns]
     clash = [f.name for f in fresh if f.name in table and table[f.name] != f.dataType]
     if clash:
         raise ValueError(f"version {path} changes the type of {clash}: nothing is published")
     added = [f for f in fresh if f.name not in table]
     old_location, old_specs = table_location(spark, name), _registered(spark, name)
-    old_places = {s: _partition_location(spark, name, s) for s in old_specs[:1]}
-    new = {_canonical(d): d for d in dirs}
+    new, known = {_canonical(d): d for d in dirs}, {_canonical(s) for s in old_specs}
+    absent = [s for s in old_specs if _canonical(s) not in new]
+    undo: list[str] = []
     try:
         if added:
             spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({ddl_columns(StructType(added))})")
         # the version's own tuples first, then those of both, and the absent ones last
-        known = {_canonical(s) for s in old_specs}
-        _in_batches(spark, f"ALTER TABLE {name} ADD IF NOT EXISTS",
-                    _clauses([d for c, d in new.items() if c not in known], path), " ")
-        _repoint(spark, name, [d for c, d in new.items() if c in known], path)
+        fresh_clauses = [d for c, d in new.items() if c not in known]
+        undo += [f"ALTER TABLE {name} DROP IF EXISTS {c}" for c in _clauses(fresh_clauses)]
+        _in_batches(spark, f"ALTER TABLE {name} ADD IF NOT EXISTS", _clauses(fresh_clauses, path), " ")
+        _moves(spark, name, [d for c, d in new.items() if c in known], path, undo)
+        undo.append(f"ALTER TABLE {name} SET LOCATION {_sql_str(old_location)}")
         spark.sql(f"ALTER TABLE {name} SET LOCATION {_sql_str(path)}")
-        _in_batches(spark, f"ALTER TABLE {name} DROP IF EXISTS",
-                    _clauses([s for s in old_specs if _canonical(s) not in new]), ", ")
+        undo += [f"ALTER TABLE {name} ADD IF NOT EXISTS {_clauses([s])[0]} LOCATION {_sql_str(_partition_location(spark, name, s))}"
+                 for s in absent]
+        _in_batches(spark, f"ALTER TABLE {name} DROP IF EXISTS", _clauses(absent), ", ")
         spark.sql(f"REFRESH TABLE {name}")
     except Exception:
-        _restore(spark, name, old_location, old_specs, old_places, list(new.values()))
+        for statement in reversed(undo):
+            spark.sql(statement)
+        spark.sql(f"REFRESH TABLE {name}")
         raise
 
 
@@ -250,44 +228,33 @@ def _partition_location(spark: SparkSession, name: str, spec: str) -> str:
     return rows[0]["data_type"].strip() if rows else ""
 
 
-def _restore(spark: SparkSession, name: str, location: str, specs: Sequence[str], places: dict[str, str],
-             tried: Sequence[str]) -> None:
-    """Put a table's location and partitions back after a failed publish."""
-    # partitions stand under the version they were published from: the first one's place tells which
-    root = location
-    for spec, place in places.items():
-        if place.endswith("/" + spec):
-            root = place[: -len(spec) - 1]
-    spark.sql(f"ALTER TABLE {name} SET LOCATION {_sql_str(location)}")
-    known = {_canonical(s) for s in specs}
-    _in_batches(spark, f"ALTER TABLE {name} DROP IF EXISTS", _clauses([t for t in tried if _canonical(t) not in known]), ", ")
-    _in_batches(spark, f"ALTER TABLE {name} ADD IF NOT EXISTS", _clauses(specs, root), " ")
-    _repoint(spark, name, [s for s in specs if _canonical(s) in {_canonical(t) for t in tried}], root)
-    spark.sql(f"REFRESH TABLE {name}")
-
-
 def publish_table(spark: SparkSession, name: str, base: str, version: str,
                   schema: StructType | None = None) -> None:
-    """Create or re-point an unpartitioned external Parquet table at
-    ``{base}/{version}``, which must exist. If the version's schema differs
-    from the table's, the (external) table is re-created so the new columns
-    show; should that fail, the old one is created again."""
-    path = version_path(base, version)
-    _check_version(spark, path)
-    _ensure_database(spark, name)
-    create = f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION"
-    if not spark.catalog.tableExists(name):
-        spark.sql(f"{create} {_sql_str(path)}")
+    """Show ``{base}/{version}``, which must exist, under ``name``, with the version's schema.
+
+    A new name becomes a served one, where rows and schema change in one
+    statement. An external table that is there already is re-pointed in one
+    statement too if the schema stays or only gets new last columns (which come
+    first, and read as null until then). Else it is created anew; should that
+    fail, the old one is created again.
+    """
+    if not spark.catalog.tableExists(name) or served.serving(spark, name):
+        served.publish(spark, name, base, version, [], keep_columns=False)
         return
-    current = spark.table(name).schema
-    wanted = schema or spark.read.parquet(path).schema
-    if [(f.name, f.dataType) for f in current.fields] == [(f.name, f.dataType) for f in wanted.fields]:
+    found = served.version_on_disk(spark, version_path(base, version), [])
+    path, wanted = found.path, (schema or found.schema).fields
+    current = spark.table(name).schema.fields
+    same = [(f.name, f.dataType) for f in current] == [(f.name, f.dataType) for f in wanted[:len(current)]]
+    if same and (len(wanted) == len(current) or _is_external(spark, name)):
+        if len(wanted) > len(current):
+            spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({ddl_columns(StructType(wanted[len(current):]))})")
         spark.sql(f"ALTER TABLE {name} SET LOCATION {_sql_str(path)}")
         spark.sql(f"REFRESH TABLE {name}")
         return
     if not _is_external(spark, name):
         raise ValueError(f"table {name} must be external to change its schema safely")
     old = table_location(spark, name)
+    create = f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION"
     spark.sql(f"DROP TABLE {name}")
     try:
         spark.sql(f"{create} {_sql_str(path)}")
@@ -316,22 +283,31 @@ def create_empty_table_like(spark: SparkSession, template: DataFrame, name: str,
 
 
 def table_location(spark: SparkSession, name: str) -> str:
-    """Location of a table as DESCRIBE FORMATTED reports it."""
+    """Location of a table as DESCRIBE FORMATTED reports it; of a served name, the version's path."""
+    if what := served.serving(spark, name):
+        return what.path
     row = (spark.sql(f"DESCRIBE FORMATTED {name}")
            .filter(F.col("col_name") == "Location").select("data_type").first())
     return row[0].strip() if row else ""
 
 
 def list_partitions(spark: SparkSession, name: str) -> DataFrame:
-    """SHOW PARTITIONS as a DataFrame (``partition`` strings)."""
-    return spark.sql(f"SHOW PARTITIONS {name}")
+    """SHOW PARTITIONS as a DataFrame (``partition`` strings); of a served name, those of the version it shows."""
+    what = served.serving(spark, name)
+    return spark.sql(f"SHOW PARTITIONS {what.table if what else name}")
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
-    """Drop a table if it is there; an external table's files stay."""
+    """Drop a table or served name if it is there; an external table's files stay."""
+    if served.serving(spark, name):
+        served.drop_served(spark, name)
+        return
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def drop_database(spark: SparkSession, name: str) -> None:
     """Drop a database with all its tables, if it is there; external tables' files stay."""
     spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+
+
+from keelson.sinks import served  # noqa: E402  (each of the two modules needs the other's functions, not its names)
