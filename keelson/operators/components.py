@@ -7,10 +7,12 @@ that yields, per node, the large-star minimum and the two counts of the
 stop test, so the test reads |V| rows instead of re-shuffling the edges.
 
 Every round stores its node statistics and its edges as Parquet in the shared
-folder and drops the round before. So both sides of each join are plain
-shuffles of stored tables, and a hub's edges (the giant component's smallest id
-in the last rounds) can be split over many tasks by the skew join; a minimum
-over neighbours is a combinable aggregate, so no neighbour list is gathered.
+folder and drops the round before. So both sides of the large-star join are
+plain shuffles of stored tables, and a hub's edges can be split over many tasks
+by the skew join. The statistics tell whether any node has too many edges to
+smaller ones for one task: without, the small star is a window in the same
+plan; with, its minimums are pre-aggregated and joined as stored tables too.
+No neighbour list is gathered.
 It stops when the edge set is a forest of stars centred at each component's
 smallest id (an exact test, not a checksum).
 
@@ -20,7 +22,7 @@ component; an isolated vertex is its own component.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from keelson.operators.graph import drop_dangling
@@ -48,12 +50,17 @@ def _neighbour_stats(e: DataFrame) -> DataFrame:
         F.max(F.when(F.col("v") > F.col("u"), 1).otherwise(0)).alias("down"))
 
 
-def _is_star_forest(stats: DataFrame) -> bool:
-    """True when every node has at most one smaller neighbour and no node
-    with a smaller neighbour has a larger one: each component is then a star
-    centred at its minimum, the fixed point of both steps. Reads the
-    per-node stats (|V| rows), not the edges."""
-    return stats.filter((F.col("up") > 1) | ((F.col("up") >= 1) & (F.col("down") == 1))).isEmpty()
+def _summary(stats: DataFrame) -> tuple[bool, int, int]:
+    """One pass over the per-node statistics (|V| rows): whether the edges are
+    a forest of stars, how many edges there are, and the most of one node to
+    smaller ones.
+
+    A star forest: every node has at most one smaller neighbour and no node
+    with a smaller neighbour has a larger one. Each component is then a star
+    centred at its minimum, the fixed point of both steps."""
+    open_nodes, edges, most = stats.agg(
+        F.count_if((F.col("up") > 1) | ((F.col("up") >= 1) & (F.col("down") == 1))), F.sum("up"), F.max("up")).first()
+    return open_nodes == 0, edges or 0, most or 0
 
 
 def _large_star(e: DataFrame, stats: DataFrame) -> DataFrame:
@@ -63,13 +70,27 @@ def _large_star(e: DataFrame, stats: DataFrame) -> DataFrame:
     return _oriented(out, "a", "b")
 
 
-def _small_star(e: DataFrame) -> tuple[DataFrame, Stored]:
-    """m(u) = min of u's smaller neighbours; connect them and u itself to m(u)."""
-    least = store(e.groupBy(F.col("hi").alias("u")).agg(F.min("lo").alias("m")), "cc_least")
+def _small_star(large: DataFrame) -> DataFrame:
+    """m(u) = min of u's smaller neighbours; connect them and u itself to m(u). One shuffle by u, in one plan with the step before."""
+    least = F.min("lo").over(Window.partitionBy("hi"))
+    with_least = large.select("lo", "hi", least.alias("m"))
+    ends = F.explode(F.array("lo", "hi"))
+    return _canonical(with_least.select(ends.alias("a"), F.col("m").alias("b")), "a", "b")
+
+
+def _small_star_of_hubs(large: DataFrame) -> tuple[DataFrame, list[Stored]]:
+    """The same where a node has too many edges for one task: minimums are pre-aggregated, and both sides of the
+    join are stored tables, so the skew join can split a hub."""
+    kept = store(large, "cc_large")
+    least = store(kept.df.groupBy(F.col("hi").alias("u")).agg(F.min("lo").alias("m")), "cc_least")
     m = least.df
-    spokes = e.join(m, e.hi == m.u).select(F.col("lo").alias("a"), F.col("m").alias("b"))
+    spokes = kept.df.join(m, kept.df.hi == m.u).select(F.col("lo").alias("a"), F.col("m").alias("b"))
     hubs = m.select(F.col("u").alias("a"), F.col("m").alias("b"))
-    return _canonical(spokes.unionByName(hubs), "a", "b"), least
+    return _canonical(spokes.unionByName(hubs), "a", "b"), [kept, least]
+
+
+# A node is a hub when it has over 1/HUB_SHARE of the edges that a task would get, and over HUB_EDGES.
+HUB_SHARE, HUB_EDGES = 4, 100_000
 
 
 def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int | None = None) -> DataFrame:
@@ -79,21 +100,26 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
     raw = store(edges.select("src", "dst"), "cc_raw")
     current = store(_oriented(drop_dangling(raw.df, ids.df), "src", "dst"), "cc_edges")
     raw.drop()
+    tasks = int(vertices.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rounds = 0
     while True:
-        # one aggregation gives both the stop test and the large-star minimums
+        # one aggregation gives the stop test, the large-star minimums and the hubs
         stats = store(_neighbour_stats(current.df), "cc_stats")
-        if _is_star_forest(stats.df):
+        done, total, most = _summary(stats.df)
+        if done:
             stats.drop()
             break
         if max_rounds is not None and rounds >= max_rounds:
             raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
-        large = store(_large_star(current.df, stats.df), "cc_large")
-        small, least = _small_star(large.df)
-        following = store(small, "cc_edges")
-        for old in (stats, large, least, current):
+        large, spent = _large_star(current.df, stats.df), [stats, current]
+        if most > max(HUB_EDGES, total // (HUB_SHARE * tasks)):
+            small, more = _small_star_of_hubs(large)
+            spent += more
+        else:
+            small = _small_star(large)
+        current = store(small, "cc_edges")
+        for old in spent:
             old.drop()
-        current = following
         rounds += 1
     e = current.df
     labels = e.select(F.col("hi").alias("id"), F.col("lo").alias("component")).unionByName(
@@ -103,3 +129,36 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
     ids.drop()
     current.drop()
     return out.df
+
+
+def components_after_merge(labels: DataFrame, edges: DataFrame, new_vertices: DataFrame, new_edges: DataFrame) -> DataFrame:
+    """(id, component) of a graph after an insert-only merge, from the components before it.
+
+    ``labels``: (id, component) before; ``edges``: the edges before;
+    ``new_vertices`` and ``new_edges``: what the merge added. New edges, and
+    old ones that waited for a new vertex, are contracted to edges between
+    old components and new vertices. Components are found in that small graph
+    alone, and only labels that change are replaced: rounds and stored bytes
+    depend on the batch. Of the old side, labels and edges are scanned once;
+    the batch's ids decide by their size whether that needs a shuffle.
+    Edges whose ends are not vertices join nothing, as in ``connected_components``.
+    """
+    labels = labels.select("id", "component")
+    ids = store(new_vertices.select("id").distinct(), "cc_new_ids")
+    new = store(ids.df.join(labels, "id", "left_anti"), "cc_new")
+    ends = lambda e: e.select(F.explode(F.array("src", "dst")).alias("id"))
+    waiting = [edges.select("src", "dst").join(new.df.withColumnRenamed("id", end), end, "left_semi") for end in ("src", "dst")]
+    live = store(new_edges.select("src", "dst").unionByName(waiting[0]).unionByName(waiting[1]).distinct(), "cc_live")
+    touched = store(ends(live.df).distinct(), "cc_touched")
+    nodes = store(labels.join(touched.df, "id", "left_semi").unionByName(new.df.select("id", F.col("id").alias("component"))), "cc_nodes")
+    side = lambda end, to: nodes.df.select(F.col("id").alias(end), F.col("component").alias(to))
+    contracted = store(live.df.join(side("src", "a"), "src").join(side("dst", "b"), "dst").select(
+        F.col("a").alias("src"), F.col("b").alias("dst")).distinct(), "cc_contracted")
+    found = connected_components(nodes.df.select(F.col("component").alias("id")), contracted.df)
+    moved = store(found.filter(F.col("id") != F.col("component")).select(F.col("id").alias("old"), F.col("component").alias("to")), "cc_moved")
+    every = labels.unionByName(new.df.select("id", F.col("id").alias("component")))
+    out = store(every.join(moved.df, every.component == moved.df.old, "left").select(
+        "id", F.coalesce("to", "component").alias("component")), "components")
+    for table in (ids, new, live, touched, nodes, contracted, moved):
+        table.drop()
+    return out.df

@@ -41,12 +41,17 @@ def insert_only_merge(existing: DataFrame, updates: DataFrame, keys: Sequence[st
     """existing ∪ (updates not already present by ``keys``).
 
     The batch is stored once in the shared folder: it is computed once, and
-    its size is known. The existing row wins; updates to known keys are
-    discarded; duplicates inside the new batch all stay. Union by name, so a
-    batch with another column order cannot shift values between columns.
+    its size is known. So are its new rows, and the batch is deleted then; only
+    the new rows stay stored, as the result reads them. The existing row wins;
+    updates to known keys are discarded; duplicates inside the new batch all
+    stay. Union by name, so a batch with another column order cannot shift
+    values between columns. ``sinks.delta`` keeps such a result as a version
+    without writing the existing side again.
     """
-    batch = store(updates, "batch").df
-    return align_union(existing, new_rows(batch, existing, keys))
+    batch = store(updates, "batch")
+    fresh = store(new_rows(batch.df, existing, keys), "new_rows").df
+    batch.drop()
+    return align_union(existing, fresh)
 
 
 def merge_vertices(vertices: DataFrame, updates: DataFrame, key: str = "id") -> DataFrame:

@@ -83,9 +83,9 @@ def _equal_sums(a: DataFrame, b: DataFrame) -> bool:
     return a.join(other, "id", "full").filter(~F.col("s").eqNullSafe(F.col("t"))).isEmpty()
 
 
-# A source is "hot" when its fan-out exceeds total_pairs / (HOT_SHARE * partitions):
-# at most HOT_SHARE * partitions sources can be hot, which bounds what is broadcast.
-HOT_SHARE = 4
+# A source is "hot" when its fan-out exceeds total_pairs / (HOT_SHARE * partitions). At most the HOT_SOURCES hottest
+# are treated so, which bounds what is broadcast at any size; the others are left to the skew join.
+HOT_SHARE, HOT_SOURCES = 4, 10_000
 
 
 def pagerank(vertices: DataFrame, edges: DataFrame, max_iter: int = DEFAULT_ITERATIONS,
@@ -105,8 +105,8 @@ def pagerank(vertices: DataFrame, edges: DataFrame, max_iter: int = DEFAULT_ITER
     ``src``, so no round re-shuffles or re-sorts them. Edges of hot sources
     (a source with a large share of all edges would otherwise load one task
     with that share every round) are persisted spread over (src, dst), and
-    joined with a broadcast of just the hot sources' sums, whose row count
-    is bounded by ``HOT_SHARE * partitions``.
+    joined with a broadcast of just the hot sources' sums, ``HOT_SOURCES`` rows
+    at most.
     """
     spark = vertices.sparkSession
     ids = store(vertices.select("id").distinct(), "pr_ids")
@@ -115,7 +115,8 @@ def pagerank(vertices: DataFrame, edges: DataFrame, max_iter: int = DEFAULT_ITER
     total_pairs = int(degrees.df.agg(F.sum("fanout")).first()[0] or 0)
     n = partitions or _partition_count(spark, total_pairs)
     # hot: fan-out above total_pairs / (HOT_SHARE * n)
-    hot = _persisted(degrees.df.filter(F.col("fanout") * F.lit(HOT_SHARE * n) > F.lit(total_pairs)).select("src"))
+    hot = _persisted(degrees.df.filter(F.col("fanout") * F.lit(HOT_SHARE * n) > F.lit(total_pairs))
+                     .orderBy(F.col("fanout").desc(), "src").limit(HOT_SOURCES).select("src"))
     has_hot = hot.count() > 0
     weighted = _weighted(pairs.df, degrees.df)
     cold_w = weighted.join(F.broadcast(hot), "src", "left_anti") if has_hot else weighted

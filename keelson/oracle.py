@@ -261,6 +261,20 @@ ORACLES: dict[str, str] = {
     "scan_sql": sql("SELECT event_type, count(*) AS events, round(sum(value), 6) AS total_value "
                     "FROM events GROUP BY event_type"),
     "scan_json": sql("SELECT * FROM customer"),
+    "compare_by_digest": sql("""
+SELECT true AS schema_equal, (SELECT count(*) FROM merged_vertices) AS left_rows,
+       (SELECT count(*) FROM vertices) AS right_rows,
+       (SELECT count(*) FROM (SELECT * FROM merged_vertices EXCEPT ALL SELECT * FROM vertices)) AS left_only,
+       (SELECT count(*) FROM (SELECT * FROM vertices EXCEPT ALL SELECT * FROM merged_vertices)) AS right_only""",
+                          "merged_vertices", "vertices"),
+    "csv_quarantine": sql("""
+SELECT 'kept' AS outcome, count(*) AS records, sum(p_size)::BIGINT AS total_size FROM part
+WHERE p_partkey % 10 <> 3 AND p_partkey % 25 <> 4
+UNION ALL SELECT 'p_size is not int: many', count(*), NULL FROM part WHERE p_partkey % 10 = 3
+UNION ALL SELECT 'the line doesn''t have the declared fields', count(*), NULL FROM part WHERE p_partkey % 25 = 4"""),
+    "merge_delta": sql("SELECT * FROM merged_edges", "merged_edges"),
+    "merge_delta_bucketed": sql("SELECT * FROM merged_edges", "merged_edges"),
+    "components_after_merge": sql("SELECT * FROM components", "components"),
     "scan_csv_declared": sql("SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part"),
     "compare_frames": sql("""
 SELECT true AS schema_equal, (SELECT count(*) FROM merged_vertices) AS left_rows,

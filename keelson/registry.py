@@ -25,8 +25,8 @@ from keelson.functions import (
     trim_spaces,
 )
 from keelson.operators import quality as Q
-from keelson.operators.compare import compare_frames
-from keelson.operators.components import connected_components
+from keelson.operators.compare import compare_by_digest, compare_frames
+from keelson.operators.components import components_after_merge, connected_components
 from keelson.operators.graph import (
     CUSTOMER,
     PRODUCT,
@@ -47,10 +47,12 @@ from keelson.operators.vehicle import clean_vehicle_events
 from keelson.plans.graph_job import RESULT_TABLES, TABLE_DEFAULTS, GraphAnalytics, PurchaseGraphJob, enriched_output
 from keelson.plans.job import run_job
 from keelson.plans.vehicle_job import VehicleJob
-from keelson.session import scratch_path, unique_name
+from keelson.session import scratch_path, store, unique_name
 from keelson.sinks import versioned as V
+from keelson.sinks.delta import DeltaVersions
 from keelson.sinks.served import PublishLog, create_served
 from keelson.sources import adapters as A
+from keelson.sources.quarantine import read_csv_checked
 from keelson.sources.tables import create_csv_table, read_files, register_view, scan_sql, scan_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -395,6 +397,30 @@ def q_compare_frames(spark, sf):
     return compare_frames(merged, existing)
 
 
+@query("compare_by_digest")
+def q_compare_by_digest(spark, sf):
+    inputs = A.retail_inputs(spark, sf)
+    existing = store(build_vertices(inputs["customers"], inputs["products"]), "existing").df
+    merged = store(merge_vertices(existing, build_vertices(inputs["new_customers"], inputs["new_products"])), "merged").df
+    return compare_by_digest(merged, existing)
+
+
+@query("csv_quarantine")
+def q_csv_quarantine(spark, sf):
+    """Parts as CSV lines, one size in ten written as a word and one line in 25 cut short; what is kept and why not."""
+    part = A.read_table(spark, sf, "part")
+    size = F.when(F.col("p_partkey") % 10 == 3, F.lit("many")).otherwise(F.col("p_size").cast("string"))
+    whole = F.concat_ws(",", "p_partkey", "p_name", "p_brand", "p_type", size, "p_retailprice")
+    path = scratch_path(spark, "part_lines")
+    part.select(F.when(F.col("p_partkey") % 25 == 4, F.concat_ws(",", "p_partkey", "p_name")).otherwise(whole).alias("value")).write.text(path)
+    found = read_csv_checked(spark, path, PART_DDL, header=False)
+    kept = found.good.agg(F.count(F.lit(1)).alias("records"), F.sum("p_size").alias("total_size")).select(
+        F.lit("kept").alias("outcome"), "records", "total_size")
+    bad = found.bad.groupBy(F.col("reason").alias("outcome")).agg(F.count(F.lit(1)).alias("records")).withColumn(
+        "total_size", F.lit(None).cast("long"))
+    return kept.unionByName(bad)
+
+
 # ---------------------------------------------------------------- graph model and merges
 
 @query("align_union")
@@ -438,6 +464,25 @@ def q_merge_edges(spark, sf):
     return merge_edges(build_edges(i["purchases"]), build_edges(i["new_purchases"]))
 
 
+def _merged_delta(spark, sf, buckets: int) -> DataFrame:
+    """Version v1 of the edges, and v2 with what the batch adds: v2's rows."""
+    i = A.retail_inputs(spark, sf)
+    edges = DeltaVersions(spark, scratch_path(spark, "edge_versions"), ["src", "dst", "relationship"], buckets)
+    edges.create(build_edges(i["purchases"]), "v1")
+    edges.merge("v1", "v2", build_edges(i["new_purchases"]))
+    return edges.read("v2")
+
+
+@query("merge_delta")
+def q_merge_delta(spark, sf):
+    return _merged_delta(spark, sf, 0)
+
+
+@query("merge_delta_bucketed")
+def q_merge_delta_bucketed(spark, sf):
+    return _merged_delta(spark, sf, 8)
+
+
 @query("combine_output")
 def q_combine_output(spark, sf):
     g = graph(spark, sf)
@@ -513,6 +558,19 @@ def q_connected_components(spark, sf):
     return g.vertices.select("id", "vertex_type").join(connected_components(g.vertices, g.edges), "id")
 
 
+@query("components_after_merge")
+def q_components_after_merge(spark, sf):
+    """Components of the existing graph, then only what the batch changes."""
+    i = A.retail_inputs(spark, sf)
+    vertices, edges = (store(df, "existing").df for df in (
+        build_vertices(i["customers"], i["products"]), build_edges(i["purchases"])))
+    labels = connected_components(vertices, edges)
+    new_vertices, new_edges = build_vertices(i["new_customers"], i["new_products"]), build_edges(i["new_purchases"])
+    found = components_after_merge(labels, edges, new_vertices, new_edges)
+    types = vertices.select("id", "vertex_type").unionByName(new_vertices.select("id", "vertex_type")).distinct()
+    return types.join(found, "id")
+
+
 @query("components_many")
 def q_components_many(spark, sf):
     """About one component a customer, each a long path: orders chained per customer."""

@@ -19,7 +19,7 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 from urllib.parse import unquote
@@ -183,6 +183,25 @@ def publish(spark: SparkSession, name: str, base: str, version: str, partition_c
     return what
 
 
+def publish_registered(spark: SparkSession, name: str, base: str, version: str,
+                       register: Callable[[str, str], StructType]) -> Serving:
+    """Show a version under ``name`` that ``register(version, table)`` makes a table of; its schema is what is shown."""
+    before = serving(spark, name)
+    if before is None and spark.catalog.tableExists(name):
+        raise ValueError(f"{name} is a table, not a served name")
+    publish_id = _new_id()
+    what = Serving(V.version_path(base, version), base, version, _version_table(name, version, publish_id), publish_id, [])
+    try:
+        schema = register(version, what.table)
+        _show(spark, name, what, schema, schema)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {what.table}")
+        raise
+    for old in version_tables(spark, name, {what.table, before.table if before else what.table}):
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
+    return what
+
+
 def version_tables(spark: SparkSession, name: str, but: set[str]) -> list[str]:
     """The version tables of ``name`` that are registered, without those of ``but``."""
     *db, short = name.split(".")
