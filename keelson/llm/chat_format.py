@@ -4,7 +4,8 @@ Records of different layouts (turn rows, prompt/response, instruction/input/
 output, message lists, ShareGPT-like conversations) are turned into canonical
 turns. Each record is a VARIANT; its schema's nested field paths, without the
 scalar types, are hashed, and the hash selects one declarative ``Layout``:
-which path gives which role's text. Turns are then written in a template
+which path gives which role's text. A record with other fields besides takes
+the layout with most paths of those that it has all fields of. Turns are then written in a template
 
     <|im_start|>ROLE\nTEXT<|im_end|>\n
 
@@ -15,8 +16,8 @@ Escape: a run of n >= 0 backslashes between ``<`` and ``|`` gets one more, so
 ``<|`` never occurs inside a text; in roles, ``\`` and newlines are escaped
 too. ``unescape`` takes it back.
 
-Edge cases: a null text or role is empty. A record with an unknown fingerprint
-is kept with ``layout`` null and no turns. Equal turn numbers are ordered by
+Edge cases: a null text or role is empty. A record that no layout fits is
+kept with ``layout`` null and no turns, and counted in ``n_unmatched``. Texts of any length are one value. Equal turn numbers are ordered by
 role, then text; repeated rows are all kept. Rows whose id is null form one
 conversation with a null id. Extra columns are ignored. An empty table gives
 an empty table. A conversation is one output value, so its texts meet in one
@@ -146,17 +147,36 @@ def canonical_turns(df: DataFrame, record: Column, layouts: tuple[Layout, ...] =
     ``record`` is a VARIANT column, for instance ``parse_json(line)`` or
     ``to_variant_object(struct(...))``.
     """
-    df = df.withColumn("_shape", fingerprint(path_shape(record)))
+    shape = _free_name("_shape", df.columns)
+    df = df.withColumn(shape, fingerprint(path_shape(record)))
     name, turns = F.lit(None).cast("string"), F.lit(None).cast(TURN)
-    for x in reversed(layouts):
-        hit = F.col("_shape") == fingerprint(F.lit(x.shape))
+    # from the last choice to the first: contained layouts by their number of paths, then the exact one
+    choices = [(_contains(record, x), x) for x in sorted(layouts, key=lambda x: len(x.paths))]
+    choices += [(F.col(shape) == fingerprint(F.lit(x.shape)), x) for x in reversed(layouts)]
+    for hit, x in choices:
         name = F.when(hit, F.lit(x.name)).otherwise(name)
         turns = F.when(hit, _turns_of(record, x).cast(TURN)).otherwise(turns)
-    return df.withColumns({"layout": name, "turns": F.coalesce(turns, F.array().cast(TURN))}).drop("_shape")
+    return df.withColumns({"layout": name, "turns": F.coalesce(turns, F.array().cast(TURN))}).drop(shape)
+
+
+def _contains(record: Column, layout: Layout) -> Column:
+    """Whether a record has all fields that a layout reads, whatever else it has."""
+    fields = [layout.each[0]] if layout.each and layout.each[0] else list(layout.paths)
+    kind = "array<variant>" if layout.each and layout.each[0] else "variant"
+    found = F.lit(True)
+    for f in fields:
+        found = found & F.try_variant_get(record, f"$.{f}", kind).isNotNull()
+    return F.coalesce(found, F.lit(False))
+
+
+def _free_name(name: str, taken: list[str]) -> str:
+    while name.lower() in {c.lower() for c in taken}:
+        name += "_"
+    return name
 
 
 def format_chats(df: DataFrame, record: Column, id_col: str = "conv_id", order_col: str | None = None) -> DataFrame:
-    """One row a conversation: ``formatted``, ``loss_spans``, ``n_turns``, ``layouts``.
+    """One row a conversation: ``formatted``, ``loss_spans``, ``n_turns``, ``layouts``, ``n_unmatched`` (records without a layout).
 
     ``loss_spans``: array of (turn, start, in_turn, length), code points:
     ``start`` counts from the start of ``formatted``, ``in_turn`` from the end
@@ -181,7 +201,8 @@ def format_chats(df: DataFrame, record: Column, id_col: str = "conv_id", order_c
         F.length("head").cast("long").alias("in_turn"), (F.col("role") == LOSS_ROLE).alias("loss"),
         "head", "text")).alias("p"))
     chats = placed.groupBy("_id").agg(
-        F.sort_array(F.collect_list("p")).alias("p"), F.sort_array(F.collect_set("layout")).alias("layouts"))
+        F.sort_array(F.collect_list("p")).alias("p"), F.sort_array(F.collect_set("layout")).alias("layouts"),
+        F.count_if(F.col("layout").isNull()).alias("n_unmatched"))
     return chats.select(
         F.col("_id").alias(id_col),
         F.array_join(F.transform("p", lambda x: F.concat(
@@ -189,7 +210,7 @@ def format_chats(df: DataFrame, record: Column, id_col: str = "conv_id", order_c
         F.transform(F.filter("p", lambda x: x["loss"]), lambda x: F.struct(
             x["turn"].alias("turn"), x["start"].alias("start"), x["in_turn"].alias("in_turn"),
             F.length(x["text"]).cast("long").alias("length"))).alias("loss_spans"),
-        F.size("p").cast("long").alias("n_turns"), "layouts")
+        F.size("p").cast("long").alias("n_turns"), "layouts", "n_unmatched")
 
 
 def read_back(chats: DataFrame) -> DataFrame:

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from keelson.llm.packed import stored
 from keelson.llm.textbytes import pieces
 from keelson.llm.tokens import STEP_BYTES, encoder
 
@@ -46,8 +47,9 @@ def length_histogram(lengths: DataFrame) -> DataFrame:
     share. ``truncated_tokens``: all tokens when each document keeps at most
     this many.
     """
-    counts = lengths.groupBy("n_tokens").agg(F.count("*").alias("n_docs")).withColumns({
-        "tokens": F.col("n_docs") * F.col("n_tokens"), "block": F.floor(F.col("n_tokens") / BLOCK)})
+    # stored: a row a length, read three times below; the texts are encoded once
+    counts = stored(lengths.groupBy("n_tokens").agg(F.count("*").alias("n_docs")).withColumns({
+        "tokens": F.col("n_docs") * F.col("n_tokens"), "block": F.floor(F.col("n_tokens") / BLOCK)}), "lengths")
     later = Window.orderBy(F.col("block").desc()).rowsBetween(Window.unboundedPreceding, -1)
     # a row a block of lengths: a few, bounded by the longest text
     blocks = counts.groupBy("block").agg(F.sum("n_docs").alias("d"), F.sum("tokens").alias("t"))

@@ -7,7 +7,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from keelson.llm import chat_format, length_histogram, line_quality, ordinal
+from keelson.llm import chat_format, length_histogram, line_quality, ordinal, queries
 from tests.llm.conftest import ODD
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -35,6 +35,24 @@ def test_layouts_give_canonical_turns(llm):
     assert got[5].layouts == [] and got[4].layouts == ["conversations"]
 
 
+def test_records_with_other_fields_take_the_layout_they_contain(llm):
+    got = chats(llm, [
+        '{"prompt":"p","response":"r","id":7}', '{"system":"s","prompt":"p","response":"r","tags":["x"]}',
+        '{"messages":[{"role":"user","content":"u","name":"n"}],"id":1}', '{"messages":[]}', '{"prompt":"p"}',
+        '{"conversations":[{"from":"human","value":"h"}],"messages":3}', '{"prompt":"p","response":null,"x":{"y":1}}'])
+    assert {k: [tuple(t) for t in r.turns_read] for k, r in got.items()} == {
+        0: [("user", "p"), ("assistant", "r")], 1: [("system", "s"), ("user", "p"), ("assistant", "r")], 2: [("user", "u")], 3: [], 4: [],
+        5: [("user", "h")], 6: [("user", "p"), ("assistant", "")]}
+    assert {k: (r.layouts, r.n_unmatched) for k, r in got.items()} == {
+        0: (["prompt_response"], 0), 1: (["system_prompt_response"], 0), 2: (["messages"], 0), 3: (["messages"], 0), 4: ([], 1),
+        5: (["conversations"], 0), 6: (["prompt_response"], 0)}
+    long = "x <| y" * 100_000
+    df = llm.createDataFrame([(1, "assistant", long, "a", 5)], "conv_id bigint, role string, text string, _shape string, layout int")
+    out = chat_format.read_back(chat_format.format_chats(df, F.to_variant_object(F.struct("role", "text")))).first()
+    assert out.loss_read == [long]
+    assert chat_format.canonical_turns(df, F.to_variant_object(F.struct("role", "text"))).first()["_shape"] == "a"
+
+
 def test_fingerprint_ignores_scalar_types_and_field_order(llm):
     df = llm.createDataFrame([('{"a":1,"b":{"c":[{"d":"x"}]}}',), ('{"b":{"c":[{"d":null}]},"a":"y"}',), ('{"a":1,"b":{"c":[]}}',)], "j string")
     shapes = [r[0] for r in df.select(chat_format.fingerprint(chat_format.path_shape(F.parse_json("j")))).collect()]
@@ -160,6 +178,43 @@ def test_classifier_edges(llm, odd, none):
     assert ordinal.with_grades(none, untrained).count() == 0 and ordinal.fit(none, labels).weights.any() == False  # noqa: E712
 
 
+def plain_score(weights, text, dimensions):
+    """Weight of each feature of one text alone, by a plain loop."""
+    import pyarrow as pa
+    index, _ = ordinal.features(pa.array([text or ""]), dimensions)
+    words = len(index) // 2
+    return sum(float(weights[i]) for i in index.tolist()) / max(1, words) ** 0.5
+
+
+def test_query_equals_a_plain_run_over_the_same_sample(llm):
+    import pyarrow as pa
+    path = "/root/testdata/sf0.01"
+    docs = llm.read.parquet(f"{path}/documents.parquet").select("doc_id", "text")
+    text = {r.doc_id: r.text for r in docs.collect()}
+    labels = [(r.doc_id, 0 if r.toxic else 1 + r.quality) for r in llm.read.parquet(f"{path}/labels.parquet").collect()]
+    sample = sorted((i, g) for i, g in labels if i in text)
+    assert len(sample) <= ordinal.SAMPLE_ROWS
+    index, bounds = ordinal.features(pa.array([text[i] or "" for i, _ in sample]), ordinal.DIMENSIONS)
+    model = ordinal.fit_features(index, bounds, np.array([g for _, g in sample]))
+    got = {r.doc_id: r for r in queries.QUERIES["op8_ordinal_classifier"](llm, path).collect()}
+    assert set(got) == set(text)
+    for i, t in text.items():
+        s = plain_score(model.weights, t, ordinal.DIMENSIONS)
+        tails = [1 / (1 + np.exp(-(s - c))) for c in model.thresholds]
+        assert got[i].score == pytest.approx(s, abs=1e-4)
+        assert got[i].p_good == pytest.approx(tails[-1], abs=1e-4) and got[i].expected_grade == pytest.approx(sum(tails), abs=1e-4)
+        assert got[i].kept == (got[i].p_good >= 0.3)
+
+
+def test_sample_is_that_of_least_hashes(llm):
+    docs = llm.range(3000).selectExpr("id AS doc_id", "concat('word', id % 50, ' text') AS text")
+    labels = llm.range(3000).selectExpr("id AS doc_id", "cast(id % 3 AS int) AS grade")
+    few = ordinal.fit(docs, labels, sample_rows=100, dimensions=1 << 10)
+    least = labels.orderBy(F.xxhash64("doc_id")).limit(100)
+    same = ordinal.fit(docs, least, sample_rows=3000, dimensions=1 << 10)
+    assert (few.weights == same.weights).all() and (few.thresholds == same.thresholds).all()
+
+
 # ------------------------------------------------------------------ length histogram
 
 def test_length_histogram(llm, odd, none, docs):
