@@ -85,25 +85,27 @@ def _with_zero_row(counts: DataFrame) -> DataFrame:
     return counts.unionByName(zero)
 
 
-def vehicle_metrics(df: DataFrame, key_columns: Sequence[str] = VEHICLE_KEY_COLUMNS,
-                    manufacturer: str = "manufacturer", gear: str = "gearPosition",
-                    date: str = "date") -> DataFrame:
-    """All vehicle business metrics as one long table: ``null_pct`` per key
-    column, ``count`` per manufacturer, ``gear_pos`` per gear code,
-    ``min_date`` / ``max_date`` (``date``: a date, or yyyy-MM-dd text).
-
-    The input is read once, into one hash aggregate by manufacturer and gear
-    (counts, null counts, and the date's range as day numbers: fixed-width
-    values, so no sort, and a hot value is pre-aggregated in every task). A
-    GROUPING SETS pass over its few rows gives everything else.
+def vehicle_states(df: DataFrame, key_columns: Sequence[str] = VEHICLE_KEY_COLUMNS, manufacturer: str = "manufacturer",
+                   gear: str = "gearPosition", date: str = "date", by: Sequence[str] = ()) -> DataFrame:
+    """Mergeable states of the vehicle metrics: one short row for each manufacturer and gear (and values of ``by``).
+
+    ``n`` rows, ``null_i`` nulls of the i-th key column, and the range of the
+    date as day numbers. States of disjoint rows add up, so those of rows
+    that don't change can be kept (``sinks.delta``). The input is read once;
+    values are of fixed width, so there is no sort, and a hot value is
+    pre-aggregated in every task.
     """
     day = F.unix_date(F.to_date(F.col(date)))
-    nulls = [f"null_{i}" for i in range(len(key_columns))]
-    few = df.groupBy(F.col(manufacturer).alias("m"), F.col(gear).alias("g")).agg(
+    return df.groupBy(*by, F.col(manufacturer).alias("m"), F.col(gear).alias("g")).agg(
         F.count(F.lit(1)).alias("n"),
-        *[F.count_if(F.col(c).isNull()).alias(n) for c, n in zip(key_columns, nulls)],
+        *[F.count_if(F.col(c).isNull()).alias(f"null_{i}") for i, c in enumerate(key_columns)],
         F.min(day).alias("low"), F.max(day).alias("high"))
-    sets = _with_zero_row(few).groupingSets([["m"], ["g"], []], "m", "g").agg(
+
+
+def vehicle_metrics_of(states: DataFrame, key_columns: Sequence[str] = VEHICLE_KEY_COLUMNS) -> DataFrame:
+    """The vehicle metrics of any union of states: a GROUPING SETS pass over their few rows."""
+    nulls = [f"null_{i}" for i in range(len(key_columns))]
+    sets = _with_zero_row(states.select("m", "g", "n", *nulls, "low", "high")).groupingSets([["m"], ["g"], []], "m", "g").agg(
         F.grouping_id().alias("set"), F.sum("n").alias("n"), *[F.sum(n).alias(n) for n in nulls],
         F.min("low").alias("low"), F.max("high").alias("high"))
     pct = [_row("null_pct", F.lit(c), F.coalesce(F.try_divide(F.col(n) * 100.0, F.col("n")), F.lit(0.0)), _null_s())
@@ -117,6 +119,18 @@ def vehicle_metrics(df: DataFrame, key_columns: Sequence[str] = VEHICLE_KEY_COLU
     return sets.select(F.inline(F.coalesce(rows, F.array().cast(_METRIC_ARRAY))))
 
 
+def vehicle_metrics(df: DataFrame, key_columns: Sequence[str] = VEHICLE_KEY_COLUMNS,
+                    manufacturer: str = "manufacturer", gear: str = "gearPosition",
+                    date: str = "date") -> DataFrame:
+    """All vehicle business metrics as one long table: ``null_pct`` per key
+    column, ``count`` per manufacturer, ``gear_pos`` per gear code,
+    ``min_date`` / ``max_date`` (``date``: a date, or yyyy-MM-dd text).
+
+    One scan and hash aggregate (``vehicle_states``) gives everything.
+    """
+    return vehicle_metrics_of(vehicle_states(df, key_columns, manufacturer, gear, date), key_columns)
+
+
 def graph_metrics(vertices: DataFrame, edges: DataFrame, vertex_type: str = "vertex_type",
                   location: str = "location", category: str = "category",
                   relationship: str = "relationship", purchase_date: str = "purchase_date") -> DataFrame:

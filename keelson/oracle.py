@@ -337,6 +337,7 @@ WHERE nth IN (2, 4) OR (nth = 1) = (date = (SELECT min(date) FROM vehicle_clean)
                              "UNION ALL SELECT 'vehicle etl (no partitions)', 'FAILED', NULL, 'builtins.ValueError'",
                              "vehicle_clean"),
     "run_business_metrics": sql(_VEHICLE_METRICS, "vehicle_clean"),
+    "vehicle_metrics_by_states": sql(_VEHICLE_METRICS, "vehicle_clean"),
     "graph_job_vertices": sql("SELECT * FROM merged_vertices", "merged_vertices"),
     "graph_job_edges": sql("SELECT * FROM merged_edges", "merged_edges"),
     "graph_job_components": sql("SELECT * FROM components", "components"),

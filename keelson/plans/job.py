@@ -163,7 +163,12 @@ def run_job(spark: SparkSession, job: Job, props: dict[str, str] | None = None,
     except Exception as exc:  # report, then re-raise
         error = exc
         run = run.finished("FAILED", f"{type(exc).__module__}.{type(exc).__name__}: {exc}")
-    reporter.run(spark, run)
+    try:
+        reporter.run(spark, run)
+    except Exception as lost:
+        if error is None:
+            raise
+        error.add_note(f"the run record could not be written: {lost}")  # the job's own error is what counts
     if error is not None:
         if raise_errors:
             raise error

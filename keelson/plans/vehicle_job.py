@@ -9,6 +9,7 @@ from keelson.operators.quality import vehicle_metrics
 from keelson.operators.vehicle import clean_vehicle_events
 from keelson.sinks.versioned import (
     check_partition_columns,
+    create_partitioned_table,
     new_version,
     publish_partitioned,
     read_version,
@@ -26,7 +27,8 @@ DEFAULT_TARGET = "vehicle_datalake.processed_events"
 class VehicleJob:
     """Properties: source-table, target-table, base-path, version,
     partition-columns (required), time-zone (default: session zone),
-    create-target=true to create a missing target from the schema."""
+    create-target=true to create a missing target table from the schema
+    (served: as a served name, which later publishes switch in one statement)."""
 
     def logic(self, spark: SparkSession, props: dict[str, str]) -> DataFrame:
         source = props.get("source-table", DEFAULT_SOURCE)
@@ -41,8 +43,12 @@ class VehicleJob:
             props["version"] = new_version()  # run_job hands metrics() the same dict
         version = props["version"]
         cols = check_partition_columns(df, props.get("partition-columns"))
-        if props.get("create-target", "false").lower() == "true" and not spark.catalog.tableExists(target):
-            create_served(spark, target, df.schema, cols)
+        create = props.get("create-target", "false").lower()
+        if create in ("true", "served") and not spark.catalog.tableExists(target):
+            if create == "served":
+                create_served(spark, target, df.schema, cols)
+            else:
+                create_partitioned_table(spark, target, df.schema, cols, version_path(base, version))
         obs = Observation("vehicle_output")
         write_version(df, base, version, cols, observation=obs)
         publish_partitioned(spark, target, base, version)

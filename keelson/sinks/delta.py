@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import json
 import zlib
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -101,6 +101,26 @@ class DeltaVersions:
         """Take the version's table out of the catalog; files stay."""
         self.spark.sql(f"DROP TABLE IF EXISTS {self.table(version)}")
 
+    def states(self, version: str, label: str, make: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """``make``'s result for each segment of the version, in one frame.
+
+        Each is made once and kept beside its segment under ``label``, so a
+        version after a merge only reads the rows that the merge added. ``make``
+        gives states that add up over disjoint rows. It gets a segment's rows
+        with the version's columns of that segment's time.
+        """
+        out = None
+        for r in self._manifest(version):
+            path = f"{r.path.rsplit('/', 1)[0]}/_states_{label}"
+            try:
+                kept = self.spark.read.parquet(path)
+            except AnalysisException:
+                rows = self.spark.read.schema(StructType.fromJson(json.loads(r.schema))).parquet(r.path)
+                make(rows).write.parquet(path)
+                kept = self.spark.read.parquet(path)
+            out = kept if out is None else out.unionByName(kept, allowMissingColumns=True)
+        return out
+
     # -------------------------------------------------------------- writing
 
     def _segment(self, df: DataFrame, version: str) -> Segment:

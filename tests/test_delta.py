@@ -227,3 +227,25 @@ def test_merges_leave_only_what_they_return(spark):
     before = folders()
     assert insert_only_merge(old, batch, KEYS).count() == 4004
     assert {x.rsplit("-", 1)[0] for x in folders() - before} == {"new_rows"}
+
+
+def test_states_are_made_once_a_segment(spark, scratch):
+    from keelson.operators.quality import vehicle_metrics, vehicle_metrics_of, vehicle_states
+
+    rows = [(i, None if i % 5 == 0 else f"v{i}", f"m{i % 3}", "4" if i % 2 else "0", f"2024-01-{1 + i % 9:02d}") for i in range(90)]
+    events = spark.createDataFrame(rows, "id int, vin string, manufacturer string, gearPosition string, date string")
+    d = DeltaVersions(spark, scratch("states"), ["id"])
+    read = []
+
+    def make(df):
+        read.append({f.rsplit("/", 3)[-3] for f in df.inputFiles()})
+        return vehicle_states(df, ["id", "vin"], by=["date"])
+
+    d.create(events.filter("id < 60"), "v1")
+    d.states("v1", "x", make)
+    d.merge("v1", "v2", events.filter("id >= 50"))  # ten known ones again
+    got = vehicle_metrics_of(d.states("v2", "x", make), ["id", "vin"])
+    assert read == [{"v1"}, {"v2"}]
+    d.states("v2", "x", make)
+    assert len(read) == 2
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, vehicle_metrics(events, ["id", "vin"]).collect()), key=str)

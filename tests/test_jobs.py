@@ -155,3 +155,23 @@ def test_compare_frames_counts_duplicates_and_nulls(spark):
     assert (a.exceptAll(b).count(), b.exceptAll(a).count()) == (2, 1)
     empty = compare_frames(a.limit(0), b.limit(0)).first()
     assert (empty.left_rows, empty.left_only, empty.right_only) == (0, 0, 0)
+
+
+def test_a_failing_reporter_keeps_the_jobs_own_error(spark):
+    class Broken:
+        def business(self, *args):
+            raise KeyError("business")
+
+        def run(self, *args):
+            raise OSError("disk full")
+
+    with pytest.raises(KeyError, match="business") as caught:
+        run_job(spark, _Manual(lambda s: s.range(1)), reporter=Broken())
+    assert "disk full" in caught.value.__notes__[0]
+
+    class Late(Broken):
+        def business(self, *args):
+            pass
+
+    with pytest.raises(OSError, match="disk full"):
+        run_job(spark, _Manual(lambda s: s.range(1)), reporter=Late())
