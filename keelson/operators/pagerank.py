@@ -21,6 +21,8 @@ join is of two plain shuffles and a hub's edges can be split by the skew join.
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -90,11 +92,13 @@ HOT_SHARE, HOT_SOURCES = 4, 10_000
 
 def pagerank(vertices: DataFrame, edges: DataFrame, max_iter: int = DEFAULT_ITERATIONS,
              reset_prob: float = DEFAULT_RESET, normalize: bool = True, direction: str = "out",
-             store_interval: int = 3, partitions: int | None = None) -> DataFrame:
+             store_interval: int = 3, partitions: int | None = None, state: "RankState | None" = None) -> DataFrame:
     """(id, pagerank) for every vertex id (one row per distinct id).
 
     ``partitions``: partition count of the persisted edges; by default
     derived from the number of weighted pairs (see ``_partition_count``).
+    ``state``: is given each round's sums, the pairs and the degrees, stored,
+    for ``pagerank_after_merge``.
 
     Only the per-vertex message sums ``s`` (|V| rows) move between rounds:
     round i joins the persisted edges with round i-1's sums on ``src`` (the
@@ -145,11 +149,13 @@ def pagerank(vertices: DataFrame, edges: DataFrame, max_iter: int = DEFAULT_ITER
         sums = src_rank.groupBy(F.col("dst").alias("id")).agg(
             F.sum(F.col("weight") * F.col("rank")).alias("s"))
         # the first rounds are stored each, to see whether the ranks are fixed already
-        if i < EARLY_ROUNDS or i == max_iter - 1 or (i + 1) % store_interval == 0:
+        if state is not None or i < EARLY_ROUNDS or i == max_iter - 1 or (i + 1) % store_interval == 0:
             before, stored = stored, store(sums, "pr_sums")
             sums = stored.df
             fixed = before is not None and i < EARLY_ROUNDS and _equal_sums(before.df, sums)
-            if before is not None:
+            if state is not None:
+                state.rounds.append([stored])
+            elif before is not None:
                 before.drop()
             if fixed:
                 break
@@ -159,15 +165,140 @@ def pagerank(vertices: DataFrame, edges: DataFrame, max_iter: int = DEFAULT_ITER
     for frame in (cold_w, hot_w, hot):
         if frame is not None:
             frame.unpersist()
-    for table in (ids, pairs, degrees, stored):
-        if table is not None:
-            table.drop()
+    if state is not None:
+        state.ids, state.pairs, state.degrees = [ids], [pairs], [degrees]
+        state.max_iter, state.reset_prob, state.direction = max_iter, reset_prob, direction
+    else:
+        for table in (ids, pairs, degrees, stored):
+            if table is not None:
+                table.drop()
+    return _named(ranks, normalize)
+
+
+def _named(ranks: DataFrame, normalize: bool) -> DataFrame:
     if normalize:
         factor = ranks.select((F.count(F.lit(1)) / F.sum("rank")).alias("f")).scalar()
         ranks = ranks.select("id", (F.col("rank") * factor).alias("rank"))
     return ranks.withColumnRenamed("rank", "pagerank")
 
 
+@dataclass
+class RankState:
+    """What a full run leaves for merges to come: stored segments that add up.
+
+    ``ids``; ``pairs`` (src, dst, m); ``degrees`` (src, deg); ``rounds[i]``: (id, s), the in-sums of round i + 1.
+    ``pushed``: pairs whose share changed, by round, in the last merge.
+    """
+
+    ids: list[Stored] = field(default_factory=list)
+    pairs: list[Stored] = field(default_factory=list)
+    degrees: list[Stored] = field(default_factory=list)
+    rounds: list[list[Stored]] = field(default_factory=list)
+    max_iter: int = DEFAULT_ITERATIONS
+    reset_prob: float = DEFAULT_RESET
+    direction: str = "out"
+    pushed: list[int] = field(default_factory=list)
+
+    def drop(self) -> None:
+        for table in [*self.ids, *self.pairs, *self.degrees, *(t for r in self.rounds for t in r)]:
+            table.drop()
+
+
+# A change of a rank below this isn't pushed on: over ten rounds such changes stay far below 1e-12.
+LEAST_CHANGE = 1e-16
+
+
+def _added(segments: list[Stored], columns: list[str]) -> DataFrame:
+    out = segments[0].df.select(*columns)
+    for t in segments[1:]:
+        out = out.unionByName(t.df.select(*columns))
+    return out
+
+
+def pagerank_after_merge(state: RankState, edges: DataFrame, new_vertices: DataFrame, new_edges: DataFrame,
+                         normalize: bool = True) -> DataFrame:
+    """(id, pagerank) of the graph after an insert-only merge, from the rounds of the run before it.
+
+    ``edges``: the edges before; ``new_vertices``, ``new_edges``: what the
+    merge added. Round by round, with the same fixed number of rounds, only
+    changes go outward: from sources whose out-edges changed, and from those whose
+    rank differs from the old run's of that round. What a source gives to a
+    target is replaced, new share less old share; targets that no change
+    reaches keep their sums. A round scans the pairs without moving them, as long
+    as the changed sources are few enough to broadcast by their stored size.
+    The result equals the full run up to rounding (1e-12), and ``state`` is
+    brought up to date by stored changes. Old edges that waited for a new vertex count
+    from now on.
+    """
+    d, reset = 1.0 - state.reset_prob, state.reset_prob
+    known = _added(state.ids, ["id"])
+    given = store(new_vertices.select("id").distinct(), "pr_given")
+    fresh = store(given.df.join(known, "id", "left_anti"), "pr_fresh")
+    mark = lambda end: fresh.df.select(F.col("id").alias(end), F.lit(True).alias(f"new_{end}"))
+    waiting = edges.select("src", "dst").join(mark("src"), "src", "left").join(mark("dst"), "dst", "left").filter(
+        F.col("new_src").isNotNull() | F.col("new_dst").isNotNull()).select("src", "dst")
+    ends = store(new_edges.select("src", "dst").unionByName(waiting), "pr_ends")
+    touched = ends.df.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
+    there = store(known.unionByName(fresh.df).join(touched, "id", "left_semi"), "pr_there")
+    added = store(_pairs(there.df, ends.df, state.direction), "pr_pairs")
+    more = store(added.df.groupBy("src").agg(F.sum("m").alias("deg")), "pr_degrees")
+    spent = [given, ends, there]
+
+    # sources whose out-edges changed, with both degrees; they push in every round
+    old_deg = _added(state.degrees, ["src", "deg"])
+    changed = store(more.df.select("src", F.col("deg").alias("plus")).join(
+        old_deg.groupBy("src").agg(F.sum("deg").alias("deg")), "src", "left").select(
+        "src", F.coalesce("deg", F.lit(0)).alias("deg"), "plus"), "pr_changed")
+    spent.append(changed)
+    state.pushed = []
+    delta: Stored | None = None
+    rounds = list(state.rounds)
+    old_pairs, new_pairs = _added(state.pairs, ["src", "dst", "m"]), added.df
+    is_new = fresh.df.select(F.col("id").alias("src"), F.lit(True).alias("fresh"))
+    for i in range(state.max_iter):
+        movers = changed.df.select("src") if delta is None else changed.df.select("src").unionByName(
+            delta.df.filter(F.abs("s") > LEAST_CHANGE).select(F.col("id").alias("src"))).distinct()
+        movers = store(movers, "pr_movers")
+        sources = movers.df.join(changed.df.select("src", "plus"), "src", "left").join(is_new, "src", "left")
+        deg = old_deg.join(movers.df, "src", "left_semi").groupBy("src").agg(F.sum("deg").alias("deg"))
+        sources = sources.join(deg, "src", "left")
+        if i == 0:
+            sources = sources.withColumns({"old": F.when(F.col("fresh"), 0.0).otherwise(1.0), "new": F.lit(1.0)})
+        else:
+            before = rounds[min(i, len(rounds)) - 1]
+            sums = _added(before, ["id", "s"]).withColumnRenamed("id", "src").join(movers.df, "src", "left_semi").groupBy("src").agg(
+                F.sum("s").alias("s"))
+            plus = delta.df.select(F.col("id").alias("src"), F.col("s").alias("ds"))
+            sources = sources.join(sums, "src", "left").join(plus, "src", "left").withColumns({
+                "old": F.when(F.col("fresh"), 0.0).otherwise(reset + d * F.coalesce("s", F.lit(0.0))),
+                "new": reset + d * (F.coalesce("s", F.lit(0.0)) + F.coalesce("ds", F.lit(0.0)))})
+        total = F.coalesce("deg", F.lit(0)) + F.coalesce("plus", F.lit(0))
+        shares = store(sources.select("src", F.try_divide("new", total).alias("new_share"),
+                                      F.coalesce(F.try_divide("old", F.col("deg")), F.lit(0.0)).alias("old_share")), "pr_shares")
+        moved = old_pairs.join(shares.df, "src").select("dst", (F.col("m") * (F.col("new_share") - F.col("old_share"))).alias("x")).unionByName(
+            new_pairs.join(shares.df, "src").select("dst", (F.col("m") * F.col("new_share")).alias("x")))
+        following = store(moved.groupBy(F.col("dst").alias("id")).agg(F.sum("x").alias("s"), F.count(F.lit(1)).alias("n")), "pr_delta")
+        state.pushed.append(int(following.df.agg(F.sum("n")).first()[0] or 0))
+        for table in (movers, shares):
+            table.drop()
+        delta = following
+        if i < len(rounds):
+            state.rounds[i] = rounds[i] + [delta]
+        else:  # the old run had ended early: its last round holds for this one too
+            state.rounds.append(rounds[-1] + [delta] if rounds else [delta])
+    state.ids.append(fresh)
+    state.pairs.append(added)
+    state.degrees.append(more)
+    for table in spent:
+        table.drop()
+    ids = _added(state.ids, ["id"])
+    if not state.rounds or not state.max_iter:
+        return _named(ids.select("id", F.lit(1.0).alias("rank")), normalize)
+    sums = _added(state.rounds[-1], ["id", "s"]).groupBy("id").agg(F.sum("s").alias("s"))
+    ranks = store(ids.join(sums, "id", "left").select("id", (reset + d * F.coalesce("s", F.lit(0.0))).alias("rank")), "pr_ranks")
+    return _named(ranks.df, normalize)
+
+
 def ranked_vertices(vertices: DataFrame, ranks: DataFrame) -> DataFrame:
     """(id, vertex_type, pagerank): ranks joined back to the vertex type."""
     return vertices.select("id", "vertex_type").join(ranks, "id")

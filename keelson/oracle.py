@@ -306,6 +306,7 @@ UNION ALL SELECT NULL, name, NULL, product_id, category, price FROM all_products
                                "FROM merged_edges WHERE relationship = 'PURCHASED'", "merged_edges"),
     "graph_metrics": sql(_GRAPH_METRICS, "merged_vertices", "merged_edges"),
     "pagerank": sql(_RANKED + "ranked", "ranked"),
+    "pagerank_after_merge": sql(_RANKED + "ranked", "ranked"),
     "pagerank_both_directions": sql(_RANKED + "ranked_both", "ranked_both"),
     "connected_components": sql("SELECT * FROM components", "components"),
     "influential_customers": sql(_top("customer"), "ranked"),

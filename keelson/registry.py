@@ -42,7 +42,7 @@ from keelson.operators.merge import (
     new_rows,
     split_output,
 )
-from keelson.operators.pagerank import pagerank, ranked_vertices, top_k
+from keelson.operators.pagerank import RankState, pagerank, pagerank_after_merge, ranked_vertices, top_k
 from keelson.operators.vehicle import clean_vehicle_events
 from keelson.plans.graph_job import RESULT_TABLES, TABLE_DEFAULTS, GraphAnalytics, PurchaseGraphJob, enriched_output
 from keelson.plans.job import run_job
@@ -609,6 +609,21 @@ def q_components_after_merge(spark, sf):
     return types.join(found, "id")
 
 
+@query("pagerank_after_merge")
+def q_pagerank_after_merge(spark, sf):
+    """Ranks of the existing graph, then only what the batch changes."""
+    i = A.retail_inputs(spark, sf)
+    vertices, edges = (store(df, "existing").df for df in (
+        build_vertices(i["customers"], i["products"]), build_edges(i["purchases"])))
+    state = RankState()
+    pagerank(vertices, edges, state=state)
+    new_vertices, all_new = build_vertices(i["new_customers"], i["new_products"]), build_edges(i["new_purchases"])
+    fresh = new_rows(store(all_new, "batch").df, edges, ["src", "dst", "relationship"])
+    found = pagerank_after_merge(state, edges, new_vertices, fresh)
+    types = vertices.select("id", "vertex_type").unionByName(new_vertices.select("id", "vertex_type")).distinct()
+    return _rounded(types.join(found, "id"))
+
+
 @query("components_many")
 def q_components_many(spark, sf):
     """About one component a customer, each a long path: orders chained per customer."""
