@@ -15,9 +15,10 @@ are taken whose score lies in a given share of the positive's.
    coordinates of the anchor, the angle bounds the row's unit coordinate to a
    range, which is a stretch of the sorted list. Rows in the stretches of all
    focus coordinates are scored exactly.
-3. The scores to reach come from the bucket of longest rows, which all anchors
-   meet first: the lowest of the wanted number of scores found there. All
-   other buckets follow at once, with these.
+3. Buckets are met in rounds, longest rows first: those of one task, then
+   ``WIDER`` times as many each round. The scores to reach come from the rounds
+   before: the lowest of the wanted number of best scores. So the rounds are few,
+   and none returns more than some ``WIDER`` times that number for an anchor.
 
 The result is exact: bounds are widened by more than their rounding, scores are
 whole numbers. Where the bounds leave over half of a bucket, as they do for dense
@@ -51,6 +52,8 @@ from keelson.llm.packed import drop, pack_batch, stored, unpack_batch
 POSITIVES, NEGATIVES, SHARE = 5, 10, (30, 90)
 #: Rows of a bucket (its lists hold 16-bit places), anchors of a block, coordinates of an anchor that prune.
 BUCKET_ROWS, BLOCK_ANCHORS, FOCUS = 8192, 4096, 4
+#: Growth of the buckets met in a round.
+WIDER = 16
 #: Anchors scored at once against a bucket, and the width added to every bound.
 STEP, SLACK = 256, 1e-6
 LOWEST = np.iinfo(np.int64).min
@@ -283,38 +286,48 @@ class Mining:
             .repartitionByRange(max(1, math.ceil(total / BUCKET_ROWS)), F.col("length").desc(), F.xxhash64("vec_id"))
             .sortWithinPartitions(F.col("length").desc()).drop("length")
             .mapInArrow(_bucket, "part int, longest double, bucket binary, lists binary"), "buckets")
-        # two numbers: the task of the longest rows, and the last one
-        self.first, self.last = self.buckets.agg(F.max_by("part", "longest"), F.max("part")).first()
+        self.last = self.buckets.agg(F.max("part")).first()[0]
         self.anchors = self.rows.filter("anchor").select("uid", "vec_id", "label", "vector")
         self._spent: list[DataFrame] = []
 
-    def _search(self, anchors: DataFrame, search: Search, schema: str, label: str, seed: bool) -> DataFrame:
-        """``search`` of all anchors in the first task's buckets, or in all others."""
-        parts = (F.array(F.lit(self.first)) if seed else
-                 F.filter(F.sequence(F.lit(0), F.lit(self.last)), lambda p: p != self.first))
+    def _search(self, anchors: DataFrame, search: Search, schema: str, label: str, lo: int, hi: int) -> DataFrame:
+        """``search`` of all anchors in the buckets of tasks lo to hi - 1."""
         blocks = stored(anchors.repartition(self.blocks).mapInArrow(_block, "block binary"), "anchors")
-        tasks = blocks.select("block", F.explode(parts).alias("part")).repartition(self.last + 1, "part")
-        buckets = self.buckets.filter(F.col("part") == self.first) if seed else self.buckets
-        found = stored(tasks.join(buckets.repartition(self.last + 1, "part"), "part").mapInArrow(_meet(search), schema), label)
+        part = F.explode(F.sequence(F.lit(lo), F.lit(hi - 1)))
+        tasks = blocks.select("block", part.alias("part")).repartition(hi - lo, "part")
+        buckets = self.buckets.filter(F.col("part").between(lo, hi - 1)).repartition(hi - lo, "part")
+        found = stored(tasks.join(buckets, "part").mapInArrow(_meet(search), schema), label)
         drop(blocks)
         return found
 
-    def _in_two(self, anchors: Callable[[DataFrame | None], DataFrame], search: Search, schema: str, label: str) -> DataFrame:
-        first = self._search(anchors(None), search, schema, label, True)
-        rest = self._search(anchors(first), search, schema, label, False)
-        self._spent += [first, rest]
-        return first.unionByName(rest)
+    def _rounds(self, anchors: Callable[[DataFrame | None], DataFrame], search: Search, schema: str, label: str, key: list[str],
+                most: int) -> DataFrame:
+        """The ``most`` best of each key over all buckets: the first task's, then ``WIDER`` times as many each round.
+
+        ``anchors`` gets the best so far and gives what each anchor still has to
+        reach, so a round returns about ``WIDER * most`` rows of a key, however many buckets it takes.
+        """
+        best, lo, width = None, 0, 1
+        while lo <= self.last:
+            hi = min(lo + width, self.last + 1)
+            found = self._search(anchors(best), search, schema, label, lo, hi)
+            self._spent.append(found)
+            if best is not None:
+                found = best.drop("rank").unionByName(found)
+            best = stored(_ranked(found, key, label, most), "best")
+            self._spent.append(best)
+            lo, width = hi, width * WIDER
+        return best
 
     def positives(self) -> DataFrame:
         """(``uid``, ``rank``, ``positive_id``, ``positive_score``) of each anchor."""
         def anchors(found: DataFrame | None) -> DataFrame:
             if found is None:
                 return self.anchors.withColumn("reach", F.lit(LOWEST))
-            reach = found.groupBy("uid").agg(F.count("*").alias("n"), F.min("positive_score").alias("reach")).filter(
-                F.col("n") >= POSITIVES).select("uid", "reach")
+            reach = found.filter(F.col("rank") == POSITIVES).select("uid", F.col("positive_score").alias("reach"))
             return self.anchors.join(reach, "uid", "left").withColumn("reach", F.coalesce("reach", F.lit(LOWEST)))
 
-        return _ranked(self._in_two(anchors, _positives, POSITIVE, "positives"), ["uid"], "positive", POSITIVES)
+        return self._rounds(anchors, _positives, POSITIVE, "positive", ["uid"], POSITIVES)
 
     def negatives(self) -> DataFrame:
         """(``anchor_id``, ``positive_id``, ``rank``, ``negative_id``, ``positive_score``, ``negative_score``), stored."""
@@ -328,15 +341,14 @@ class Mining:
             def anchors(found: DataFrame | None) -> DataFrame:
                 each = positive
                 if found is not None:
-                    tenth = found.groupBy("uid", "nth").agg(F.count("*").alias("n"), F.min("negative_score").alias("tenth")).filter(
-                        F.col("n") >= NEGATIVES).drop("n")
+                    tenth = found.filter(F.col("rank") == NEGATIVES).select("uid", "nth", F.col("negative_score").alias("tenth"))
                     each = each.join(tenth, ["uid", "nth"], "left").withColumn("low", F.coalesce("tenth", "low"))
                 fields = ["positive_id", "positive_score", "low", "high"]
                 each = each.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("nth", *fields))).alias("x")).select(
                     "uid", *(F.col(f"x.{c}").alias(c) for c in fields))
                 return self.anchors.join(each, "uid")
 
-            found = _ranked(self._in_two(anchors, _negatives, NEGATIVE, "negatives"), ["uid", "nth"], "negative", NEGATIVES)
+            found = self._rounds(anchors, _negatives, NEGATIVE, "negative", ["uid", "nth"], NEGATIVES)
             self._spent.append(positive)
         out = stored(found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"), "mined")
         return out
