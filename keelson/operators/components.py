@@ -70,7 +70,7 @@ def _large_star(e: DataFrame, stats: DataFrame) -> DataFrame:
     return _oriented(out, "a", "b")
 
 
-def _small_star(large: DataFrame) -> DataFrame:
+def _small_star_in_one_plan(large: DataFrame) -> DataFrame:
     """m(u) = min of u's smaller neighbours; connect them and u itself to m(u). One shuffle by u, in one plan with the step before."""
     least = F.min("lo").over(Window.partitionBy("hi"))
     with_least = large.select("lo", "hi", least.alias("m"))
@@ -78,7 +78,7 @@ def _small_star(large: DataFrame) -> DataFrame:
     return _canonical(with_least.select(ends.alias("a"), F.col("m").alias("b")), "a", "b")
 
 
-def _small_star_of_hubs(large: DataFrame) -> tuple[DataFrame, list[Stored]]:
+def _small_star(large: DataFrame) -> tuple[DataFrame, list[Stored]]:
     """The same where a node has too many edges for one task: minimums are pre-aggregated, and both sides of the
     join are stored tables, so the skew join can split a hub."""
     kept = store(large, "cc_large")
@@ -113,10 +113,10 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
             raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
         large, spent = _large_star(current.df, stats.df), [stats, current]
         if most > max(HUB_EDGES, total // (HUB_SHARE * tasks)):
-            small, more = _small_star_of_hubs(large)
+            small, more = _small_star(large)
             spent += more
         else:
-            small = _small_star(large)
+            small = _small_star_in_one_plan(large)
         current = store(small, "cc_edges")
         for old in spent:
             old.drop()
