@@ -1,9 +1,11 @@
 """LM scoring: stupid-backoff scores over n-gram counts of the whole corpus.
 
 The n-gram count table is partitioned by hash: every block of documents sends
-its distinct n-grams of all orders with their counts, a bucket sums them, and
-the totals come back to the blocks that asked, where they are joined to each
-position's n-grams and summed per document.
+its distinct n-grams with their counts, a bucket sums them, and the totals
+come back to the blocks that asked, where they are joined to each position's
+n-grams and summed per document. Words and pairs go first. A longer n-gram is
+only sent, order by order, if both n-grams of one word less occur
+``least_count`` times: else it doesn't either, and no score asks for it.
 
     S(w | h) = c(h w) / c(h)             if c(h w) >= least_count
              = ALPHA * S(w | shorter h)  otherwise;  S(w) = c(w) / N
@@ -17,8 +19,8 @@ Every block sends a key once, so a word pair that stands in a third of all
 documents costs one row part a block. Counts cover all documents.
 
 Edge cases: a null, empty or blank text has 0 words, log score 0 and a null
-mean. Repeated rows count and are scored each. An empty table gives an empty
-table; extra columns are ignored. N-grams are told apart by 64-bit hashes.
+mean. Texts of any length are one unit of a block. Repeated rows count and are
+scored each. An empty table gives an empty table; extra columns are ignored. N-grams are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -28,13 +30,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from keelson.llm.packed import bucket_count, counted_keys, key_totals, pack, with_replies
+from keelson.llm.packed import bucket_count, counted_keys, key_totals, pack, stored, with_replies
 from keelson.llm.textbytes import SpanHash, flat, lower_ascii, mix, words
 
 # Fixed value: the published backoff factor.
 ALPHA = 0.4
 ORDER, LEAST_COUNT = 2, 2
+#: Orders up to this one are counted in one exchange; each higher one in its own, after the one before.
+FIRST = 2
 
 
 def ngrams(texts: pa.Array, order: int) -> tuple[list[np.ndarray], np.ndarray]:
@@ -57,10 +62,28 @@ def ngrams(texts: pa.Array, order: int) -> tuple[list[np.ndarray], np.ndarray]:
     return out, bounds
 
 
-def _sent(rows: pa.RecordBatch, order: int) -> tuple[np.ndarray, np.ndarray]:
-    grams, _ = ngrams(rows.column("text"), order)
-    every = np.concatenate(grams)
-    return np.unique(every[every != 0], return_counts=True)
+def _counts(grams: list[np.ndarray], upto: int, least: int, buckets: int, got: dict[int, bytes]) -> list[np.ndarray]:
+    """Corpus totals of each position's n-grams, order by order; 0 where there is none or it wasn't worth sending."""
+    out: list[np.ndarray] = []
+    for step in range(max(1, upto - FIRST + 1)):
+        orders = range(min(FIRST, upto) + 1) if step == 0 else [FIRST + step]
+        sent = [grams[n] if step == 0 else _worth_sending(grams, out, n, least) for n in orders]
+        every = np.concatenate(sent)
+        h = np.unique(every[every != 0])
+        total = key_totals(h, buckets, {k - step * buckets: v for k, v in got.items() if step * buckets <= k < (step + 1) * buckets})
+        for keys in sent:
+            there = keys != 0
+            found = np.zeros(len(keys))
+            found[there] = total[np.searchsorted(h, keys[there])]
+            out.append(found)
+    return out
+
+
+def _worth_sending(grams: list[np.ndarray], totals: list[np.ndarray], n: int, least: int) -> np.ndarray:
+    """The n-grams, 0 where one of its two shorter ones occurs fewer than ``least`` times: so does the n-gram, then."""
+    enough = totals[n - 1] >= least
+    before = np.concatenate([[False], enough[:-1]]) if len(enough) else enough
+    return np.where(enough & before, grams[n], np.uint64(0))
 
 
 def backoff_scores(docs: DataFrame, order: int = ORDER, least_count: int = LEAST_COUNT, id_col: str = "doc_id") -> DataFrame:
@@ -68,19 +91,26 @@ def backoff_scores(docs: DataFrame, order: int = ORDER, least_count: int = LEAST
     blocks = pack(docs.select(id_col, "text"))
     buckets = bucket_count(blocks)
 
-    def score(part: int, number: int, rows: pa.RecordBatch, got: dict[int, bytes], block: dict) -> Iterator[pa.RecordBatch]:
-        grams, bounds = ngrams(rows.column("text"), order)
-        every = np.concatenate(grams)
-        h = np.unique(every[every != 0])
-        total = key_totals(h, buckets, got)
+    def first(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        every = np.concatenate(ngrams(rows.column("text"), min(order, FIRST))[0])
+        return np.unique(every[every != 0], return_counts=True)
 
-        def count(keys: np.ndarray) -> np.ndarray:
-            there = keys != 0
-            out = np.zeros(len(keys))
-            out[there] = total[np.searchsorted(h, keys[there])]
-            return out
+    def longer(n: int):
+        def count(rows: pa.RecordBatch, got: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray]:
+            grams, _ = ngrams(rows.column("text"), n)
+            keys = _worth_sending(grams, _counts(grams, n - 1, least_count, buckets, got), n, least_count)
+            return np.unique(keys[keys != 0], return_counts=True)
+        return count
+
+    totals = counted_keys(blocks, buckets, first)
+    for n in range(FIRST + 1, order + 1):
+        totals = stored(totals, "totals")  # asked by the next order's exchange, and again at the end
+        more = counted_keys(blocks, buckets, longer(n), totals)
+        totals = totals.unionByName(more.withColumn("bucket", F.col("bucket") + F.lit((n - FIRST) * buckets)))
 
-        tables = [count(g) for g in grams]
+    def score(part: int, number: int, rows: pa.RecordBatch, got: dict[int, bytes], block: dict) -> Iterator[pa.RecordBatch]:
+        grams, bounds = ngrams(rows.column("text"), order)
+        tables = _counts(grams, order, least_count, buckets, got)
         log, steps = np.full(len(grams[0]), -np.inf), np.zeros(len(grams[0]))
         longest = np.minimum(np.arange(len(grams[0])) - np.repeat(bounds[:-1], np.diff(bounds)) + 1, order)
         for n in range(order, 0, -1):
@@ -99,5 +129,4 @@ def backoff_scores(docs: DataFrame, order: int = ORDER, least_count: int = LEAST
             "n_backoffs": pa.array(np.diff(backs).astype(np.int64))})
 
     schema = f"`{id_col}` bigint, n_words bigint, log_score double, mean_log_score double, n_backoffs bigint"
-    totals = counted_keys(blocks, buckets, lambda rows: _sent(rows, order))
     return with_replies(blocks, totals, score, schema)

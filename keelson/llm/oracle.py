@@ -63,7 +63,7 @@ FROM ({LINE_QUALITY.replace("DOCUMENTS_INPUT", "documents")})
 """
 
 
-ORACLE["op9_backoff_lm"] = f"""
+ORACLE["op9_backoff_lm_order2"] = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(
              translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_SPACES}'),
              lambda v: v <> '') AS w FROM documents),
@@ -102,6 +102,8 @@ FROM d LEFT JOIN t ON d.r = t.r
 """
 
 
+ORACLE["op9_backoff_lm"] = ORACLE["op9_backoff_lm_order3"]
+
 _EDIT = "{{'cost': {x}.cost + {c}, 'audit': '{k}' || {x}.audit, 'out': {out}}}"
 
 

@@ -97,13 +97,20 @@ def op8_ordinal_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded_scores(backoff_lm.backoff_scores(table(spark, sf_dir, "documents")))
+    """Two words of context: trigrams counted and joined, up to two back-off steps."""
+    return _rounded_scores(backoff_lm.backoff_scores(table(spark, sf_dir, "documents"), order=3))
 
 
 @query
 def op9_backoff_lm_order3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two words of context: trigrams counted and joined, up to two back-off steps."""
-    return _rounded_scores(backoff_lm.backoff_scores(table(spark, sf_dir, "documents"), order=3))
+    """The same under its earlier name."""
+    return op9_backoff_lm(spark, sf_dir)
+
+
+@query
+def op9_backoff_lm_order2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One word of context."""
+    return _rounded_scores(backoff_lm.backoff_scores(table(spark, sf_dir, "documents"), order=2))
 
 
 def _rounded_scores(scores: DataFrame) -> DataFrame:

@@ -96,7 +96,7 @@ def brute_scores(rows, order, least):
     return out
 
 
-@pytest.mark.parametrize("order,least", [(2, 2), (3, 2), (1, 1)])
+@pytest.mark.parametrize("order,least", [(2, 2), (3, 2), (1, 1), (4, 2), (4, 3)])
 def test_backoff_scores_match_brute_force(docs, order, least):
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
     got = Counter((r.doc_id, r.n_words, round(r.log_score, 4), r.n_backoffs)
