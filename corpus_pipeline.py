@@ -1,4 +1,13 @@
-"""The corpus pipeline: stages over ``documents``, each calling one operator of ``keelson.llm``."""
+"""The corpus pipeline: stages over ``documents``, each calling one operator of ``keelson.llm``.
+
+Edge cases, in every stage: only the columns of ``documents`` are read, so
+extra ones with any names don't matter and don't go on. A null text is empty.
+Quality rules reject texts without words; the classifier gives them the score 0.
+Rows of equal doc_id stay separate rows; a null doc_id links, removes and packs like
+any other, comes last among equals, and counts as larger than all ids. Repeated
+rows are near duplicates of each other, so the first of them stays. An empty
+table gives an empty table. Texts of any length are taken whole.
+"""
 
 from __future__ import annotations
 
@@ -16,7 +25,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Line-first cleaning: failing lines go from the text, rejected documents go as a whole."""
-    kept = line_quality.with_line_quality(docs).filter("kept")
+    kept = line_quality.with_line_quality(docs.select(*COLUMNS)).filter("kept")
     return kept.withColumn("text", F.col("clean_text")).withColumn(
         "n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*COLUMNS)
 
@@ -26,6 +35,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     ship_package(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select(
         "doc_id", ordinal.grade_of(F.col("quality"), F.col("toxic")).alias("grade"))
+    docs = docs.select(*COLUMNS)
     return ordinal.with_grades(docs, ordinal.fit(docs, labels)).filter("kept").select(*COLUMNS)
 
 
@@ -48,7 +58,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of 2048 tokens along the Hilbert curve."""
     ship_package(spark)
-    return hilbert_pack.packed_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return hilbert_pack.packed_pieces(docs.select(*COLUMNS), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 STAGES = [
