@@ -354,13 +354,26 @@ def forest_components(docs: DataFrame) -> DataFrame:
     classes = stored(rows.filter("n > 0").groupBy("d1", "d2").agg(F.min("uid").alias("uid"), F.min("doc_id").alias("least")), "classes")
     signed = stored(_taken(rows, classes, ["uid"], "sig", "uid bigint, sig binary"), "signed")
     first, large = _tree_links(rows, signed, list(range(QUICK)), False, None, None)
-    second, _ = _tree_links(rows, signed, list(range(QUICK, TREES)), True, linked_groups(first), large)
-    final = linked_groups(first.unionByName(second))
-    linked = final.select(F.col("node").alias("uid"), "group")
-    placed = stored(classes.join(linked, "uid", "left").select("d1", "d2", "least", F.coalesce("group", "uid").alias("group")), "placed")
+    groups = linked_groups(first)
+    second, _ = _tree_links(rows, signed, list(range(QUICK, TREES)), True, groups, large)
+    more = linked_groups(_between(second, groups))  # few: the groups that later trees have linked
+    placed = _grouped(_grouped(classes, groups, "uid"), more, "group")
+    placed = stored(placed.select("d1", "d2", "least", "group"), "placed")
     component = placed.groupBy("group").agg(F.min("least").alias("component_id"))
     of_class = stored(placed.select("d1", "d2", "group").join(component, "group").select("d1", "d2", "component_id"), "components")
     alone = rows.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     with_component = rows.filter("n > 0").select("doc_id", "n", "d1", "d2").join(of_class, ["d1", "d2"]).select("doc_id", "n", "component_id")
     return alone.unionByName(with_component).select(
         "doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def _grouped(rows: DataFrame, groups: DataFrame, column: str) -> DataFrame:
+    """``rows`` with ``group``: that of the node in ``column``, or the node itself."""
+    found = groups.select(F.col("node").alias(column), F.col("group").alias("found"))
+    return rows.join(found, column, "left").withColumn("group", F.coalesce("found", column)).drop("found")
+
+
+def _between(links: DataFrame, groups: DataFrame) -> DataFrame:
+    """Links between nodes as links between their groups."""
+    ends = _grouped(links, groups, "a").withColumnRenamed("group", "x")
+    return _grouped(ends, groups, "b").select(F.col("x").alias("a"), F.col("group").alias("b"))
