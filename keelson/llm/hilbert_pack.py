@@ -27,8 +27,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from keelson.llm.packed import pack_batch, stored, unpack_batch
+from keelson.llm.packed import BLOCK_BITS, PART_BLOCKS, TASK_BITS, pack_batch, stored, stored_by_part, unpack_batch
 from keelson.llm.textbytes import pieces, ranges
 from keelson.llm.tokens import STEP_BYTES, encoder
 
@@ -91,8 +93,9 @@ def token_blocks(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) ->
         encode = encoder(tokenizer_path)
         vectors = projection(len(encode.sizes))
         dtype = np.uint16 if max(len(encode.sizes) - 1, end_id) < 1 << 16 else np.uint32
-        number = TaskContext.get().partitionId() << 24
-        for b in pieces(batches, "text", STEP_BYTES):
+        first = TaskContext.get().partitionId() << TASK_BITS
+        for i, b in enumerate(pieces(batches, "text", STEP_BYTES)):
+            part = first + i // PART_BLOCKS
             ids, bounds = encode(b.column("text"))
             keys = curve_keys(ids, bounds, vectors)
             n = np.diff(bounds)
@@ -102,13 +105,12 @@ def token_blocks(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) ->
             binary = pa.Array.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(at.tobytes()), pa.py_buffer(whole.tobytes())])
             rows = pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "ids": binary})
             yield pa.RecordBatch.from_pydict({
-                "batch": pa.array([number], pa.int64()), "width": pa.array([whole.itemsize], pa.int32()),
+                "part": pa.array([part], pa.int64()), "batch": pa.array([(part << BLOCK_BITS) + i % PART_BLOCKS], pa.int64()), "width": pa.array([whole.itemsize], pa.int32()),
                 "sizes": pa.array([n + 1], pa.list_(pa.int64())), "keys": pa.array([keys], pa.list_(pa.int64())),
                 "blob": pa.array([pack_batch(rows)], pa.binary())})
-            number += 1
 
-    return stored(docs.select("doc_id", "text").mapInArrow(
-        run, "batch bigint, width int, sizes array<bigint>, keys array<bigint>, blob binary"), "tokens")
+    return stored_by_part(docs.select("doc_id", "text").mapInArrow(
+        run, "part bigint, batch bigint, width int, sizes array<bigint>, keys array<bigint>, blob binary"), "tokens")
 
 
 def curve_places(blocks: DataFrame) -> DataFrame:
@@ -148,31 +150,34 @@ def packed_pieces(docs: DataFrame, tokenizer_path: str, size: int = SIZE, end_id
                   with_ids: bool = False) -> DataFrame:
     """One row a piece of a document in a sequence; ``with_ids`` adds its ids."""
     blocks = token_blocks(docs, tokenizer_path, end_id)
-    placed = blocks.select("batch", "width", "blob").join(curve_places(blocks), "batch")
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i in range(b.num_rows):
-                rows = unpack_batch(b.column("blob")[i].as_py())
-                width = b.column("width")[i].as_py()
-                place = b.column("places")[i].values.to_numpy()
-                binary = rows.column("ids")
-                at = np.frombuffer(binary.buffers()[1], np.int64)[binary.offset : binary.offset + rows.num_rows + 1] // width
-                ids = np.frombuffer(binary.buffers()[2], np.uint16 if width == 2 else np.uint32)
-                n = np.diff(at)
-                first = place // size
-                count = (place + n - 1) // size - first + 1
-                doc = np.repeat(np.arange(len(n)), count)
-                sequence = ranges(first, count)
-                lo = np.maximum(sequence * size, place[doc])
-                hi = np.minimum((sequence + 1) * size, (place + n)[doc])
-                x, y = lo - place[doc] + at[doc], hi - place[doc] + at[doc]
-                parts = [ids[p:q].astype("<u4").tobytes() for p, q in zip(x.tolist(), y.tolist())]
-                out = {"doc_id": rows.column("doc_id").cast(pa.int64()).take(pa.array(doc)), "start": pa.array(lo - place[doc]),
-                       "length": pa.array(hi - lo), "ids_crc32": pa.array([zlib.crc32(p) for p in parts], pa.int64()),
-                       "doc_tokens": pa.array(n[doc]), "sequence_id": pa.array(sequence), "offset": pa.array(lo - sequence * size)}
-                if with_ids:
-                    out["ids"] = pa.array([np.frombuffer(p, "<u4").astype(np.int64) for p in parts], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_pydict(out)
-
-    return placed.mapInArrow(cut, PIECES + ", ids array<bigint>" * with_ids)
+    schema = PIECES + ", ids array<bigint>" * with_ids
+    target = to_arrow_schema(StructType.fromDDL(schema))
+
+    def cut(left: pa.Table, right: pa.Table) -> pa.Table:
+        places = dict(zip(right.column("batch").to_pylist(), right.column("places"))) if right.num_rows else {}
+        done = []
+        for number, width, blob in zip(left.column("batch").to_pylist(), left.column("width").to_pylist(), left.column("blob")):
+            rows, place = unpack_batch(blob.as_py()), places[number].values.to_numpy()
+            binary = rows.column("ids")
+            at = np.frombuffer(binary.buffers()[1], np.int64)[binary.offset : binary.offset + rows.num_rows + 1] // width
+            ids = np.frombuffer(binary.buffers()[2], np.uint16 if width == 2 else np.uint32)
+            n = np.diff(at)
+            first = place // size
+            count = (place + n - 1) // size - first + 1
+            doc = np.repeat(np.arange(len(n)), count)
+            sequence = ranges(first, count)
+            lo = np.maximum(sequence * size, place[doc])
+            hi = np.minimum((sequence + 1) * size, (place + n)[doc])
+            x, y = lo - place[doc] + at[doc], hi - place[doc] + at[doc]
+            parts = [ids[p:q].astype("<u4").tobytes() for p, q in zip(x.tolist(), y.tolist())]
+            out = {"doc_id": rows.column("doc_id").cast(pa.int64()).take(pa.array(doc)), "start": pa.array(lo - place[doc]),
+                   "length": pa.array(hi - lo), "ids_crc32": pa.array([zlib.crc32(p) for p in parts], pa.int64()),
+                   "doc_tokens": pa.array(n[doc]), "sequence_id": pa.array(sequence), "offset": pa.array(lo - sequence * size)}
+            if with_ids:
+                out["ids"] = pa.array([np.frombuffer(p, "<u4").astype(np.int64) for p in parts], pa.list_(pa.int64()))
+            done.append(pa.RecordBatch.from_pydict(out))
+        return pa.concat_tables([pa.Table.from_batches([x]).cast(target) for x in done] or [target.empty_table()])
+
+    # the places come to the blocks, which lie by part: the ids don't move
+    places = curve_places(blocks).select(F.shiftright("batch", BLOCK_BITS).alias("part"), "batch", "places")
+    return blocks.select("part", "batch", "width", "blob").groupBy("part").cogroup(places.groupBy("part")).applyInArrow(cut, schema)
