@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from keelson.operators import components
 import keelson.operators.pagerank as pagerank_module
 from keelson.operators.components import connected_components
-from keelson.operators.graph import PurchaseGraph, build_vertices, merged_graph
+from keelson.operators.graph import PurchaseGraph, build_vertices, merged_graph, numbered
 from keelson.operators.merge import combine_output, merge_edges, merge_vertices, new_rows, split_output
 from keelson.operators.pagerank import pagerank, ranked_vertices, top_k
 from keelson.session import store
@@ -259,6 +259,59 @@ def test_pagerank_stops_when_ranks_are_fixed(spark, monkeypatch):
     assert got == pytest.approx(RAW_RANKS) and rounds.count("pr_sums") == 3  # of 10
 
 
+def stored_types(monkeypatch, module) -> dict[str, dict[str, str]]:
+    """Column types of each frame that the module stores from now on, by label."""
+    keep, found = module.store, {}
+    monkeypatch.setattr(module, "store", lambda df, label: (found.update({label: dict(df.dtypes)}), keep(df, label))[1])
+    return found
+
+
+def test_rounds_move_numbers_not_names(spark, monkeypatch):
+    g = merged_graph(retail(spark))
+    ranks, comps = stored_types(monkeypatch, pagerank_module), stored_types(monkeypatch, components)
+    pagerank(g.vertices, g.edges)
+    connected_components(g.vertices, g.edges)
+    for label in ("pr_pairs", "pr_degrees", "pr_sums"):
+        assert "string" not in ranks[label].values(), label
+    assert ranks["pr_sums"].keys() == {"n", "s"}
+    for label in ("cc_edges", "cc_stats"):
+        assert "string" not in comps[label].values(), label
+
+
+def test_components_are_named_by_the_least_id_with_null_and_repeated_ids(spark):
+    v = spark.createDataFrame([(i,) for i in ["b", "a10", "a9", None, "z", "b"]], "id string")
+    e = spark.createDataFrame([("b", "a9"), ("a10", "a9"), ("z", None), (None, "a9"), ("z", "ghost")], "src string, dst string")
+    got = sorted(map(tuple, connected_components(v, e).collect()), key=repr)
+    assert got == sorted([("b", "a10"), ("a10", "a10"), ("a9", "a10"), ("z", "z"), (None, None)], key=repr)
+
+
+def test_numbers_follow_the_order_of_the_ids(spark):
+    v = spark.createDataFrame([(f"k{i % 700}",) for i in range(1400)], "id string").repartition(7)
+    rows = sorted((r.id, r.n) for r in numbered(v, "numbers", 5).df.collect())
+    assert len(rows) == 700 and rows[0][1] >= 5
+    assert all(a[1] < b[1] for a, b in zip(rows, rows[1:]))
+
+
+def test_sums_that_differ_in_their_last_bits_are_the_same(spark):
+    frame = lambda s: spark.createDataFrame([(1, s), (2, 5.0)], "n long, s double")
+    assert pagerank_module._same_sums(frame(0.1 + 0.2), frame(0.3))
+    assert not pagerank_module._same_sums(frame(0.3), frame(0.3 + 1e-11))
+    assert not pagerank_module._same_sums(frame(0.3).filter("n = 2"), frame(0.3))
+
+
+def test_ranks_after_a_merge_stop_when_they_are_fixed(spark, monkeypatch):
+    g = merged_graph(retail(spark))
+    state = pagerank_module.RankState()
+    pagerank(g.vertices, g.edges, state=state)
+    more = spark.createDataFrame([("c:8", "p:7"), ("c:new", "p:8")], "src string, dst string")
+    new = spark.createDataFrame([("c:new",)], "id string")
+    got = {r.id: r.pagerank for r in pagerank_module.pagerank_after_merge(state, g.edges, new, more).collect()}
+    vertices, edges = g.vertices.select("id").unionByName(new), g.edges.select("src", "dst").unionByName(more)
+    assert got == pytest.approx({r.id: r.pagerank for r in pagerank(vertices, edges).collect()}, abs=1e-12)
+    assert len(state.pushed) == 3  # of 10
+    state.drop()
+
+
 def test_analytics_leave_only_their_results(spark, scratch):
     import os
     g = merged_graph(retail(spark)).materialized()
