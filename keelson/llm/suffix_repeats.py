@@ -6,8 +6,8 @@ documents, and strings are judged on the input.
 
 How the suffix arrays stay small and distributed, exactly:
 
-1. Every 50-byte window owns an anchor: its k-byte gram of least hash
-   (leftmost if equal). Equal windows own equal anchors, so a window can only
+1. Every 50-byte window owns an anchor: its k-byte gram of least hash, by the
+   hash's upper half (leftmost if equal). Equal windows own equal anchors, so a window can only
    repeat where its anchor does. Documents are packed in blocks, blocks
    exchange their distinct anchor hashes, and learn which stand in other
    documents.
@@ -19,7 +19,9 @@ How the suffix arrays stay small and distributed, exactly:
    their own hashes, spread over all buckets, and a bucket answers which of
    them a smaller document has.
 3. A bucket builds an enhanced suffix array (sorted suffixes and common-prefix
-   lengths) over its distinct segments, and scans it with a stack into
+   lengths) over its distinct segments, without the suffixes whose first 50
+   bytes start no other (told by a cheap hash that may keep some more, as
+   intervals of 50 bytes hold none), and scans it with a stack into
    common-prefix intervals of 50 bytes or more. Intervals whose occurrences
    differ in the byte before them are maximal repeat groups; each holds all
    its occurrences, and every occurrence in a document above the group's least
@@ -48,7 +50,7 @@ from keelson.llm.packed import (
     bucket_bounds, bucket_count, drop, exchange, pack, pack_batch, packed_keys, stored_by_part, unpack_batch,
     unpacked_keys, with_replies,
 )
-from keelson.llm.textbytes import GramHash, SpanHash, flat, mix, ranges
+from keelson.llm.textbytes import STEP, GramHash, SpanHash, flat, mix, ranges
 
 # Fixed value: the least length of a repeat.
 LEAST = 50
@@ -62,6 +64,8 @@ BUCKET_BYTES = 1 << 20
 SPLIT = 4096
 #: Rows of the suffix matrix compared at once.
 ROWS = 1 << 15
+#: The bits of a gram's place in its block, below the upper half of its hash.
+_PLACE = np.uint64((1 << 32) - 1)
 
 Finish = Callable[[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray], pa.RecordBatch]
 
@@ -71,27 +75,36 @@ def segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     empty = np.zeros(0, np.int64)
     if len(data) < LEAST:
         return np.zeros(0, np.uint64), empty, empty, empty, empty
-    gram = GramHash(data).every(GRAM)
-    value, at, width = gram, np.arange(len(gram), dtype=np.int32), 1
-    while width < GRAMS:
-        step = min(width, GRAMS - width)
-        left = value[:-step] <= value[step:]
-        at = np.where(left, at[:-step], at[step:])
-        value = np.where(left, value[:-step], value[step:])
-        width += step
-    inside = np.zeros(len(data), bool)
     sizes = np.maximum(np.diff(offsets) - LEAST + 1, 0)
-    inside[ranges(offsets[:-1], sizes)] = True
-    start = np.flatnonzero(inside)
+    start = ranges(offsets[:-1], sizes)
     if not len(start):
         return np.zeros(0, np.uint64), empty, empty, empty, empty
-    owner = at[start]
-    cut = np.flatnonzero((np.diff(start) > 1) | (np.diff(owner) != 0)) + 1
+    gram = GramHash(data).every(GRAM)
+    owner = _owners(gram)[start]
+    new = owner[1:] != owner[:-1]
+    ends = np.cumsum(sizes)
+    new[ends[(ends > 0) & (ends < len(start))] - 1] = True
+    cut = np.flatnonzero(new) + 1
     first, last = np.concatenate([[0], cut]), np.concatenate([cut, [len(start)]]) - 1
     text = np.searchsorted(offsets, start[first], "right") - 1
     return _key(gram[owner[first]]), text, start[first], start[last] + LEAST, owner[first] - start[first]
 
 
+def _owners(gram: np.ndarray) -> np.ndarray:
+    """The place of each window's anchor among the grams."""
+    out = np.empty(len(gram) - GRAMS + 1, np.int64)
+    for lo in range(0, len(out), STEP):
+        part = gram[lo : lo + STEP + GRAMS - 1]
+        # half a hash and the place in one number: the least is the leftmost gram of least half hash
+        least, width = (part & ~_PLACE) | np.arange(lo, lo + len(part), dtype=np.uint64), 1
+        while width < GRAMS:
+            step = min(width, GRAMS - width)
+            least = np.minimum(least[:-step], least[step:])
+            width += step
+        out[lo : lo + len(least)] = least & _PLACE
+    return out
+
+
 def _key(gram: np.ndarray) -> np.ndarray:
     """An anchor's key: mixed anew, since the least grams would all fall in the first buckets."""
     return mix(gram ^ np.uint64(0x5FCB8D1A2E7C4B93))
@@ -264,6 +277,13 @@ def repeat_groups(lengths: np.ndarray, before: np.ndarray, doc: np.ndarray) -> t
     cuts = np.flatnonzero(np.diff(near) > 1) + 1
     firsts = near[np.concatenate([[0], cuts])]
     lasts = near[np.concatenate([cuts, [len(near)]]) - 1] + 1
+    # two suffixes alone, as most are, make one interval
+    two = lasts == firsts + 1
+    lo, hi = firsts[two], lasts[two]
+    alone = (doc[lo] != doc[hi]) & ((before[lo] < 0) | (before[lo] != before[hi]))
+    lo, hi = lo[alone], hi[alone]
+    pairs = np.stack([lo, hi, lengths[lo], np.minimum(doc[lo], doc[hi])], 1)
+    firsts, lasts = firsts[~two], lasts[~two]
     for lo, hi in zip(firsts.tolist(), lasts.tolist()):
         docs, left = doc[lo : hi + 1].tolist(), before[lo : hi + 1].tolist()
         if min(docs) == max(docs):
@@ -287,16 +307,27 @@ def repeat_groups(lengths: np.ndarray, before: np.ndarray, doc: np.ndarray) -> t
                     top[3], top[4] = min(top[3], least), max(top[4], most)
                 else:
                     stack.append([n, start, byte, least, most])
-    found = np.array(out, np.int64).reshape(-1, 4)
+    found = np.concatenate([pairs, np.array(out, np.int64).reshape(-1, 4)])
     return found[:, 0], found[:, 1], found[:, 2], found[:, 3]
 
 
+def _repeated(key: np.ndarray) -> np.ndarray:
+    """Which keys stand more than once."""
+    order = np.argsort(key)
+    same = key[order[1:]] == key[order[:-1]]
+    out = np.zeros(len(key), bool)
+    out[order[1:][same]] = out[order[:-1][same]] = True
+    return out
+
+
 def covered_by_smaller(data: np.ndarray, bounds: np.ndarray, doc: np.ndarray) -> np.ndarray:
     """Which bytes of distinct segments, each of one doc, lie in a repeat that a smaller doc has too."""
     size = np.diff(bounds)
     count = size - LEAST + 1
     start = ranges(bounds[:-1], count)
     seg = np.repeat(np.arange(len(size)), count)
+    again = _repeated(GramHash(data).at(start, LEAST))
+    start, seg = start[again], seg[again]
     rest = bounds[1:][seg] - start
     padded = np.concatenate([data, np.zeros(WIDTH, np.uint8)])
     suffix = np.lib.stride_tricks.sliding_window_view(padded, WIDTH)[start]

@@ -10,7 +10,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from keelson.llm import backoff_lm, iblt, links, lsh_forest, packed, queries, signature_tree, suffix_repeats
+from keelson.llm import backoff_lm, iblt, links, lsh_forest, packed, queries, signature_tree, suffix_repeats, textbytes
 from keelson.llm.textbytes import SpanHash
 from keelson.session import shared_dir
 from tests.llm.conftest import LONG, ODD
@@ -226,6 +226,37 @@ def test_a_frequent_phrase_in_differing_contexts_is_spread(llm, monkeypatch):
     assert max(load.values()) < 0.25 * sum(load.values())
 
 
+def test_suffix_array_holds_repeated_windows_only(monkeypatch):
+    rnd = random.Random(8)
+    phrase = rnd.randbytes(60)
+    own = lambda i: bytes([i // 4])
+    texts = [rnd.randbytes(11) + own(i) + phrase + own(i) + rnd.randbytes(11) if i % 4 == 0 else rnd.randbytes(84) for i in range(400)]
+    bounds, held = np.concatenate([[0], np.cumsum([len(t) for t in texts])]), []
+    scan = suffix_repeats.repeat_groups
+    monkeypatch.setattr(suffix_repeats, "repeat_groups", lambda lengths, *more: held.append(len(lengths) + 1) or scan(lengths, *more))
+    got = suffix_repeats.covered_by_smaller(np.frombuffer(b"".join(texts), np.uint8), bounds, np.arange(400))
+    assert held == [100 * 11]   # the phrase's windows, not all 14,000
+    want = np.zeros(len(got), bool)
+    for i in range(4, 400, 4):
+        want[bounds[i] + 12 : bounds[i] + 72] = True
+    assert (got == want).all()
+
+
+def test_hashes_do_not_depend_on_the_steps(monkeypatch):
+    data = np.frombuffer(random.Random(9).randbytes(3000), np.uint8)
+    offsets = np.array([0, 10, 10, 1200, 1249, 3000])
+    start = np.arange(0, 2900, 7)
+
+    def made():
+        return [SpanHash(data)(start, start + 61), textbytes.GramHash(data).every(16), textbytes.GramHash(data).at(start, 50),
+                *suffix_repeats.segments(data, offsets)]
+
+    whole = made()
+    for module in (textbytes, suffix_repeats):
+        monkeypatch.setattr(module, "STEP", 37)
+    assert all((a == b).all() for a, b in zip(whole, made()))
+
+
 def test_code_points_go_only_as_a_whole():
     text = "aé" * 30
     data, offsets = suffix_repeats.flat(pa.array([text]))
