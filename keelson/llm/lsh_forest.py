@@ -173,7 +173,7 @@ def _keyed(trees: list[int] | None):
 KEYED = "spot short, key bigint, uid bigint"
 
 
-def _regions(signed: DataFrame, trees: list[int], whole: bool, groups: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+def _regions(rows: DataFrame, signed: DataFrame, trees: list[int], whole: bool, groups: DataFrame | None) -> tuple[DataFrame, DataFrame]:
     """The regions of ``trees`` that hold several groups, stored: (``tree``, ``key``, ``lo``, ``hi``, ``uid``, ``group``),
     and the (``uid``, ``tree``) whose region of depth ``DEPTH`` is large, stored.
 
@@ -209,15 +209,17 @@ def _regions(signed: DataFrame, trees: list[int], whole: bool, groups: DataFrame
         more = F.greatest(F.lit(1), F.ceil(F.log(F.col("c") / REGION) / F.log(F.lit(1 / 0.9)))).cast("int")
         deeper = sized.filter(~small).select("uid", F.shiftright("spot", 6).cast("int").alias("tree"),
                                              F.least(depth + more, F.lit(DEEPEST)).cast("int").alias("depth"))
-        members = stored(deeper.join(signed, "uid").mapInArrow(_keyed(None), KEYED), "members")
-    rows = _union(found).withColumn("tree", F.shiftright("spot", 6).cast("int"))
+        # they go to their values, which don't move, however often a region is cut
+        valued = _taken(rows, deeper, ["uid", "tree", "depth"], "sig", "uid bigint, tree int, depth int, sig binary")
+        members = stored(valued.mapInArrow(_keyed(None), KEYED), "members")
+    placed = _union(found).withColumn("tree", F.shiftright("spot", 6).cast("int"))
     parts = F.ceil(F.col("c") / REGION).cast("int")
-    dealt = rows.filter(F.col("c") > REGION).select(
+    dealt = placed.filter(F.col("c") > REGION).select(
         "tree", "key", "uid", "group", parts.alias("parts"), F.pmod(F.xxhash64("uid", "tree"), parts).cast("int").alias("part"))
     meets = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)) if whole else F.col("part")
     dealt = dealt.withColumn("with", meets).select(
         "tree", "key", F.least("part", "with").alias("lo"), F.greatest("part", "with").alias("hi"), "uid", "group")
-    plain = rows.filter(F.col("c") <= REGION).select("tree", "key", F.lit(0).alias("lo"), F.lit(0).alias("hi"), "uid", "group")
+    plain = placed.filter(F.col("c") <= REGION).select("tree", "key", F.lit(0).alias("lo"), F.lit(0).alias("hi"), "uid", "group")
     out, large = stored(plain.unionByName(dealt), "regions"), stored(_union(large_rows).distinct(), "large")
     drop(*spent)
     return out, large
@@ -334,7 +336,7 @@ def _tree_links(rows: DataFrame, signed: DataFrame, trees: list[int], whole: boo
                 earlier: DataFrame | None) -> tuple[DataFrame, DataFrame]:
     """Confirmed links (a, b) between classes of different groups that share a region of ``trees``, stored, and the large
     regions' (uid, tree) of these and the ``earlier`` trees."""
-    regions, large = _regions(signed, trees, whole, groups)
+    regions, large = _regions(rows, signed, trees, whole, groups)
     every = large if earlier is None else stored(large.unionByName(earlier), "large")
     bits = every.groupBy("uid").agg(F.bit_or(F.expr("shiftleft(1, cast(tree AS int))")).alias("skip"))
     columns = [*PLACE, "uid", "group", "skip"]

@@ -58,6 +58,22 @@ def test_large_regions_go_deeper_or_are_dealt(llm, monkeypatch, region, deepest)
     assert found(frame(llm, rows)) == brute(rows)
 
 
+def test_values_stay_where_they_are_when_regions_are_cut(llm, monkeypatch):
+    monkeypatch.setattr(lsh_forest, "REGION", 4)
+    plans, stored = [], lsh_forest.stored
+
+    def noted(df, label):
+        if label == "members":
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return stored(df, label)
+
+    monkeypatch.setattr(lsh_forest, "stored", noted)
+    rows = [(i, t) for i, t in enumerate(family(9, 60, 200, 2))]
+    assert found(frame(llm, rows)) == brute(rows)
+    assert len(plans) > 2   # one for either set of trees, and one a cut
+    assert all("Join" not in p.split("FlatMapCoGroupsInArrow")[0] for p in plans)
+
+
 def test_many_copies_and_a_shared_passage(llm):
     rnd = random.Random(1)
     passage = " ".join(f"p{i}" for i in range(40))
