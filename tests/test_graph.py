@@ -320,3 +320,33 @@ def test_analytics_leave_only_their_results(spark, scratch):
     pagerank(g.vertices, g.edges).collect()
     connected_components(g.vertices, g.edges).collect()
     assert sorted(d.rsplit("-", 1)[0] for d in set(os.listdir(root)) - before) == ["components", "pr_ranks"]
+
+
+def test_every_round_is_stored_so_that_no_edges_are_moved(spark, monkeypatch):
+    nodes = [f"r{i:02d}" for i in range(30)]
+    edges = [(nodes[i], nodes[(i * 7 + 1) % 30]) for i in range(30)] + [("r00", n) for n in nodes[5:]] + [("r01", "r00")]
+    v, e = spark.createDataFrame([(n,) for n in nodes], "id string"), spark.createDataFrame(edges, "src string, dst string")
+    rounds, keep = [], pagerank_module.store
+    monkeypatch.setattr(pagerank_module, "store", lambda df, label: (rounds.append(label), keep(df, label))[1])
+    pagerank(v, e)
+    assert rounds.count("pr_sums") == 10  # a plan over two rounds would bring its own partitioning to the edges
+
+
+def test_few_partitions_by_source_at_any_size(spark):
+    assert pagerank_module._grid(1) == (1, 1) and pagerank_module._grid(4) == (4, 1) and pagerank_module._grid(12) == (4, 3)
+    for blocks in (8, 27, 1000):
+        by_source, groups = pagerank_module._grid(blocks)
+        assert blocks <= by_source * groups < blocks + by_source and by_source <= max(4, blocks ** 0.5)
+
+
+@pytest.mark.parametrize("hub", [False, True])
+def test_pagerank_in_groups_of_targets_matches_python_loop(spark, hub):
+    rnd = random.Random(12)
+    nodes = [f"g{i:03d}" for i in range(50)]
+    edges = [(rnd.choice(nodes), rnd.choice(nodes)) for _ in range(200)] + ([("g000", n) for n in nodes] * 6 if hub else [])
+    edges = [(s, d) for s, d in edges if s != d]
+    v, e = spark.createDataFrame([(n,) for n in nodes], "id string"), spark.createDataFrame(edges, "src string, dst string")
+    for direction in ("out", "both"):
+        got = {r.id: r.pagerank for r in pagerank(v, e, partitions=14, direction=direction).collect()}
+        want = python_pagerank(nodes, edges + [(d, s) for s, d in edges] * (direction == "both"))
+        assert got == pytest.approx(want, rel=1e-9)
