@@ -350,3 +350,29 @@ def test_pagerank_in_groups_of_targets_matches_python_loop(spark, hub):
         got = {r.id: r.pagerank for r in pagerank(v, e, partitions=14, direction=direction).collect()}
         want = python_pagerank(nodes, edges + [(d, s) for s, d in edges] * (direction == "both"))
         assert got == pytest.approx(want, rel=1e-9)
+
+
+@pytest.mark.parametrize("share", [2, 8])
+def test_components_of_many_edges_a_vertex(spark, monkeypatch, share):
+    monkeypatch.setattr(components, "FIRST_SHARE", share)
+    kept, keep = [], components.store
+    monkeypatch.setattr(components, "store", lambda df, label: (kept.append((label, keep(df, label))), kept[-1][1])[1])
+    rnd = random.Random(13)
+    nodes = [f"d{i:03d}" for i in range(90)]
+    dense = [nodes[:40], nodes[40:75]]  # two dense groups, a chain and two alone
+    edges = [(a, b) for group in dense for a in group for b in rnd.sample(group, 24)]
+    edges += [(nodes[i], nodes[i + 1]) for i in range(75, 87)] + [("ghost", nodes[0]), (None, nodes[41])]
+    v, e = spark.createDataFrame([(n,) for n in nodes], "id string"), spark.createDataFrame(edges, "src string, dst string")
+    got = {r.id: r.component for r in connected_components(v, e).collect()}
+    assert got == union_find(nodes, [(a, b) for a, b in edges if a not in (None, "ghost")])
+    # the first part goes through the rounds alone; of all edges, only those between its components do
+    assert [label for label, _ in kept].count("cc_labels") == 2
+
+
+def test_components_count_the_rounds_of_both_parts(spark):
+    nodes = [f"m{i:03d}" for i in range(30)]
+    edges = [(a, b) for a in nodes for b in nodes if a < b]
+    v, e = spark.createDataFrame([(n,) for n in nodes], "id string"), spark.createDataFrame(edges, "src string, dst string")
+    assert {r.component for r in connected_components(v, e, max_rounds=8).collect()} == {"m000"}
+    with pytest.raises(RuntimeError, match="did not converge in 0 rounds"):
+        connected_components(v, e, max_rounds=0)
