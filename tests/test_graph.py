@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from keelson.operators import components
+import keelson.operators.graph as graph_module
+import keelson.operators.merge as merge_module
 import keelson.operators.pagerank as pagerank_module
 from keelson.operators.components import connected_components
 from keelson.operators.graph import PurchaseGraph, build_vertices, merged_graph, numbered
@@ -376,3 +378,61 @@ def test_components_count_the_rounds_of_both_parts(spark):
     assert {r.component for r in connected_components(v, e, max_rounds=8).collect()} == {"m000"}
     with pytest.raises(RuntimeError, match="did not converge in 0 rounds"):
         connected_components(v, e, max_rounds=0)
+
+
+def plan_of(df) -> str:
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+def test_many_ids_number_the_edges_without_a_sort(spark, monkeypatch):
+    monkeypatch.setattr(graph_module, "DEALT_IDS", 2)
+    ids = store(spark.createDataFrame([("a", 0), ("b", 1), ("c", 2)], "id string, n long"), "ids").df
+    e = spark.createDataFrame([("a", "b"), ("a", "b"), ("b", "c"), ("a", "ghost"), (None, "a"), ("c", None)],
+                              "src string, dst string")
+    out = graph_module.numbered_edges(e, ids)
+    assert sorted(map(tuple, out.collect())) == [(0, 1), (0, 1), (1, 2)]
+    plan = plan_of(out)
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_hub_edges_are_split_when_numbered(spark, skew_conf, monkeypatch):
+    monkeypatch.setattr(graph_module, "DEALT_IDS", 0)
+    e = store(hub_edges(spark).selectExpr("lo AS src", "hi AS dst"), "hub").df
+    ids = numbered(e.selectExpr("explode(array(src, dst)) AS id"), "ids").df
+    out = graph_module.numbered_edges(e, ids)
+    assert out.count() == 100000 and split_joins(out) >= 1
+
+
+def test_a_large_batch_is_merged_without_a_sort(spark, skew_conf, monkeypatch):
+    monkeypatch.setattr(merge_module, "DEALT_ROWS", 1)
+    existing = spark.createDataFrame([("a", "b", 1), ("a", "b", 2), ("c", "d", 3), (None, "b", 4)], "src string, dst string, n int")
+    batch = spark.createDataFrame([("a", "b", 9), ("x", "y", 8), ("x", "y", 7), (None, "b", 6)], "src string, dst string, n int")
+    assert sorted(r.n for r in merge_edges(existing, batch, ["src", "dst"]).collect()) == [1, 2, 3, 4, 6, 7, 8]
+    plan = plan_of(new_rows(batch, existing, ["src", "dst"], dealt=True))
+    assert plan.count("ShuffledHashJoin") == 2 and "SortMergeJoin" not in plan
+
+
+def test_a_merge_joins_lineitem_and_orders_once(spark, scratch):
+    from keelson import registry
+    from keelson.sources import adapters as A
+    sf = scratch("sf")
+    days = ["2000-09-30 00:00:00", "2000-10-01 00:00:00", "2000-12-31 23:59:59", "2001-01-01 00:00:00", None, "1995-05-05 05:05:05"]
+    tables = {
+        "customer": spark.createDataFrame([(i, f"n{i}", "s") for i in range(15)], "c_custkey long, c_name string, c_mktsegment string"),
+        "part": spark.createDataFrame([(i, f"n{i}", "t", 1.0) for i in range(15)],
+                                      "p_partkey long, p_name string, p_type string, p_retailprice double"),
+        "orders": spark.createDataFrame([(i, i % 15 if i != 7 else None, days[i % 6]) for i in range(30)],
+                                        "o_orderkey long, o_custkey long, d string").selectExpr(
+            "o_orderkey", "o_custkey", "CAST(d AS TIMESTAMP_NTZ) AS o_orderdate"),
+        "lineitem": spark.createDataFrame([(i % 32, (i * 7) % 15, i // 32, float(i), 2.0 * i) for i in range(90)],
+                                          "l_orderkey long, l_partkey long, l_linenumber long, l_quantity double, l_extendedprice double"),
+    }
+    for name, df in tables.items():
+        df.write.parquet(f"{sf}/{name}.parquet")
+    g = registry.graph(spark, sf)
+    assert not any("lineitem" in f or "orders" in f for f in g.edges.inputFiles())
+    want = merged_graph(A.retail_inputs(spark, sf))
+    rows = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    assert g.edges.columns == want.edges.columns and rows(g.edges) == rows(want.edges)
+    assert rows(g.edges) and rows(g.vertices) == rows(want.vertices)
